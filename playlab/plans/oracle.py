@@ -83,3 +83,42 @@ def with_base(body: str, extra_ctes: str = "") -> str:
     if extra_ctes:
         ctes += ",\n" + extra_ctes.strip()
     return f"with {ctes}\n{body}"
+
+
+def rule_ctes(source: str = "clean") -> str:
+    """Label index and rule predictions over ``source`` (mirrors functions.rules)."""
+    from playlab.functions.rules import band_sql
+    return f"""
+lidx as (select play_type as lt,
+           cast(row_number() over (order by count(*) desc, play_type) - 1 as double) as li
+         from {source} group by play_type),
+pred as (select c.*, a.li as play_type_idx, b.li as prediction,
+           case when not isnan(c.wind) and c.wind > 20
+                then list_distinct([a.li, (select li from lidx where lt = 'run')]) else [a.li] end as labels,
+           case when isnan(c.temp) then cast([] as double[])
+                else list_distinct([(select li from lidx where lt = {band_sql('c.ydstogo - 3')}),
+                                    (select li from lidx where lt = {band_sql('c.ydstogo + 3')})]) end as predictions
+         from {source} c join lidx a on c.play_type = a.lt
+         join lidx b on {band_sql('c.ydstogo')} = b.lt)"""
+
+
+def metric_ctes(pred: str, suffix: str = "") -> str:
+    """Per-label stats pf{suffix} over a (play_type_idx, prediction) relation."""
+    return f"""
+cc{suffix} as (select play_type_idx as actual, prediction as predicted, count(*) as n from {pred} group by 1, 2),
+pl{suffix} as (select l as label, cast(sum(na) as double) as na, cast(sum(np) as double) as np,
+                 cast(sum(tp) as double) as tp from (
+    select actual as l, n as na, 0 as np, case when actual = predicted then n else 0 end as tp from cc{suffix}
+    union all select predicted as l, 0 as na, n as np, 0 as tp from cc{suffix}) group by l),
+pm{suffix} as (select *, case when np > 0 then tp / np else 0.0 end as p,
+                  case when na > 0 then tp / na else 0.0 end as r from pl{suffix}),
+pf{suffix} as (select *, case when p + r > 0 then 2 * p * r / (p + r) else 0.0 end as f from pm{suffix})"""
+
+
+def metric_select(suffix: str = "", metric_label: float = 0.0) -> str:
+    return f"""select round(sum(tp) / sum(na), 6) as accuracy,
+       round(sum(f * na) / sum(na), 6) as f1,
+       round(coalesce(max(case when label = {metric_label} then p end), 0.0), 6) as precision_by_label,
+       round(sum(p * na) / sum(na), 6) as weighted_precision,
+       round(sum(r * na) / sum(na), 6) as weighted_recall
+from pf{suffix}"""

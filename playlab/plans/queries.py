@@ -338,3 +338,118 @@ def q_base_frame(spark, d):
 @query("season_test_frame", O.with_base(f"select * from clean where season = {HOLDOUT_SEASON}"))
 def q_season_test_frame(spark, d):
     return season_test(plays(spark, d), HOLDOUT_SEASON)
+
+
+# ---------------------------------------------------------------- evaluation (rule predictions)
+from playlab.functions.rules import rule_predictions  # noqa: E402
+from playlab.operators import evaluate as E  # noqa: E402
+
+_RULE = O.rule_ctes("clean")
+
+
+def _pred(spark, d):
+    return rule_predictions(_clean(spark, d))
+
+
+def _metric_query(name: str, column: str):
+    sql = O.with_base(f"select {column} from ({O.metric_select()})", _RULE + "," + O.metric_ctes("pred"))
+
+    @query(name, sql)
+    def q(spark, d):
+        return E.metrics(_pred(spark, d)).select(r6(column).alias(column))
+    q.__name__ = f"q_{name}"
+    return q
+
+
+_metric_query("accuracy", "accuracy")
+_metric_query("weighted_f1", "f1")
+_metric_query("precision_by_label", "precision_by_label")
+_metric_query("weighted_precision", "weighted_precision")
+_metric_query("weighted_recall", "weighted_recall")
+
+
+@query("metric_report", O.with_base(
+    f"select 'all' as frame, * from ({O.metric_select()}) "
+    f"union all select 'holdout' as frame, * from ({O.metric_select('_h')})",
+    _RULE + "," + O.metric_ctes("pred") + ","
+    + O.metric_ctes(f"(select * from pred where season = {HOLDOUT_SEASON})", "_h")))
+def q_metric_report(spark, d):
+    pred = _pred(spark, d)
+    return E.metric_report({"all": pred, "holdout": pred.where(F.col("season") == HOLDOUT_SEASON)})
+
+
+@query("confusion_matrix", O.with_base(
+    "select play_type_idx as actual, prediction as predicted, count(*) as n from pred group by 1, 2", _RULE))
+def q_confusion_matrix(spark, d):
+    return E.confusion_matrix(_pred(spark, d))
+
+
+@query("predicted_distribution", O.with_base(
+    "select prediction, count(*) as n from pred group by prediction", _RULE))
+def q_predicted_distribution(spark, d):
+    return A.count_by(_pred(spark, d), "prediction")
+
+
+@query("actual_distribution", O.with_base(
+    "select play_type_idx, count(*) as n from pred group by play_type_idx", _RULE))
+def q_actual_distribution(spark, d):
+    return A.count_by(_pred(spark, d), "play_type_idx")
+
+
+@query("label_index_map", O.with_base(
+    "select distinct play_type, play_type_idx from pred", _RULE))
+def q_label_index_map(spark, d):
+    return A.label_index_map(_pred(spark, d))
+
+
+@query("misclassified", O.with_base(
+    "select row_id, posteam, play_type, play_type_idx, prediction from pred "
+    "where posteam = 'T7' and play_type_idx <> prediction", _RULE))
+def q_misclassified(spark, d):
+    return P.misclassified(_pred(spark, d), "T7").select(
+        KEY, "posteam", LABEL, "play_type_idx", "prediction")
+
+
+@query("cast_label_float", O.with_base(
+    "select row_id, prediction, cast(play_type_idx as float) as play_type_idx from pred", _RULE))
+def q_cast_label_float(spark, d):
+    return P.cast_label_float(_pred(spark, d)).select(KEY, "prediction", "play_type_idx")
+
+
+_ML = """
+ml as (select len(list_intersect(predictions, labels)) as i, len(predictions) as np,
+              len(labels) as nl, len(list_distinct(list_concat(predictions, labels))) as nu from pred)"""
+
+
+@query("multilabel_metrics", O.with_base(
+    """select round(avg(case when nl > 0 then i / nl else 0.0 end), 6) as recall,
+              round(avg(case when np > 0 then i / np else 0.0 end), 6) as precision,
+              round(avg(case when np + nl > 0 then 2.0 * i / (np + nl) else 0.0 end), 6) as f1,
+              round(avg(case when nu > 0 then i / nu else 0.0 end), 6) as accuracy from ml""",
+    _RULE + "," + _ML))
+def q_multilabel_metrics(spark, d):
+    m = E.multilabel_metrics(_pred(spark, d))
+    return m.select(*[r6(c).alias(c) for c in m.columns])
+
+
+@query("multilabel_by_label", O.with_base(
+    """select label, round(case when tp + fp > 0 then tp / (tp + fp) else 0.0 end, 6) as precision,
+              round(case when tp + fn > 0 then tp / (tp + fn) else 0.0 end, 6) as recall,
+              round(case when 2 * tp + fp + fn > 0 then 2.0 * tp / (2 * tp + fp + fn) else 0.0 end, 6) as f1
+       from (select label, cast(count(*) filter (where in_p and in_l) as double) as tp,
+                    cast(count(*) filter (where in_p and not in_l) as double) as fp,
+                    cast(count(*) filter (where not in_p and in_l) as double) as fn
+             from (select u.label, list_contains(predictions, u.label) as in_p,
+                          list_contains(labels, u.label) as in_l
+                   from pred, unnest(list_distinct(list_concat(predictions, labels))) as u(label))
+             group by label) where tp + fn > 0""",
+    _RULE))
+def q_multilabel_by_label(spark, d):
+    m = E.multilabel_by_label(_pred(spark, d))
+    return m.select("label", *[r6(c).alias(c) for c in ("precision", "recall", "f1")])
+
+
+@query("multilabel_label_set", O.with_base(
+    "select distinct u.label from pred, unnest(labels) as u(label)", _RULE))
+def q_multilabel_label_set(spark, d):
+    return E.multilabel_label_set(_pred(spark, d))
