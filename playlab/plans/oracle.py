@@ -122,3 +122,40 @@ def metric_select(suffix: str = "", metric_label: float = 0.0) -> str:
        round(sum(p * na) / sum(na), 6) as weighted_precision,
        round(sum(r * na) / sum(na), 6) as weighted_recall
 from pf{suffix}"""
+
+
+def feature_ctes(source: str, cats, nums, one_hot: bool = True, numeric: bool = True) -> str:
+    """CTEs giving ``fe(row_id, slot, value)``: the assembled vector's non-zero
+    entries (numeric columns first, then one-hot blocks with the last category
+    dropped), ``fx`` the rows kept (no NaN/NULL numeric input) and ``fs`` the
+    per-slot statistics (max |v|, min and max including zeros) over ``fx``.
+    Also ``lx`` (label index) and ``ix_<c>`` (category index) per column."""
+    parts = [f"fu as (select * replace (case when surface = '' then 'Undefined' else surface end as surface) "
+             f"from {source})"]
+    for c in cats:
+        parts.append(
+            f"ix_{c} as (select {c} as v, cast(row_number() over (order by count(*) desc, "
+            f"cast({c} as varchar)) - 1 as double) as i, count(*) over () as nd from fu group by {c})")
+    parts.append("lx as (select play_type as v, cast(row_number() over (order by count(*) desc, play_type) - 1 "
+                 "as double) as i from fu group by play_type)")
+    valid = " and ".join(f"{n} is not null and not isnan({n})" for n in nums) if numeric and nums else "true"
+    parts.append(f"fx as (select * from fu where {valid})")
+    pieces = []
+    offset = "0"
+    if numeric:
+        for j, n in enumerate(nums):
+            pieces.append(f"select row_id, {j} as slot, {n} as value from fx where {n} <> 0")
+        offset = str(len(nums))
+    if one_hot:
+        for c in cats:
+            pieces.append(f"select fx.row_id, cast({offset} + ix.i as integer) as slot, 1.0 as value "
+                          f"from fx join ix_{c} ix on cast(fx.{c} as varchar) = cast(ix.v as varchar) "
+                          f"where ix.i < ix.nd - 1")
+            offset = f"({offset} + (select max(nd) - 1 from ix_{c}))"
+    parts.append("fe as (" + " union all ".join(pieces) + ")")
+    parts.append(f"fd as (select {offset} as d)")
+    parts.append("fs as (select slot, max(abs(value)) as m, "
+                 "case when count(*) < (select count(*) from fx) then least(min(value), 0.0) else min(value) end as lo, "
+                 "case when count(*) < (select count(*) from fx) then greatest(max(value), 0.0) else max(value) end as hi, "
+                 "sum(value) as sv from fe group by slot)")
+    return ",\n".join(parts)

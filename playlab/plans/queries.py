@@ -453,3 +453,207 @@ def q_multilabel_by_label(spark, d):
     "select distinct u.label from pred, unnest(labels) as u(label)", _RULE))
 def q_multilabel_label_set(spark, d):
     return E.multilabel_label_set(_pred(spark, d))
+
+
+# ---------------------------------------------------------------- features
+from pyspark.ml import Pipeline  # noqa: E402
+
+from playlab.operators import features as FE  # noqa: E402
+from playlab.operators import models as M  # noqa: E402
+
+# categorical and numeric feature columns present in the plays fixture, in the
+# reference's order (categoricals as indexed there, numerics by the dtype rule)
+CATS = ["season_type", "posteam", "week", "season", "roof", "surface"]
+NUMS = ["quarter_seconds_remaining", "down", "ydstogo", "ep", "wind", "temp"]
+
+
+def _ftrain(spark, d):
+    return P.blank_to(prepare(plays(spark, d)).train, "surface")
+
+
+def _fclean(spark, d):
+    return P.blank_to(_clean(spark, d), "surface")
+
+
+def _explode(df, column):
+    return FE.explode_vector(df, column, KEY).select(KEY, "slot", r6("value").alias("value"))
+
+
+_IDX_JOINS = " ".join(
+    f"join ix_{c} on cast(fu.{c} as varchar) = cast(ix_{c}.v as varchar)" for c in CATS)
+
+
+@query("string_index", O.with_base(
+    "select fu.row_id, " + ", ".join(f"ix_{c}.i as {c}_idx" for c in CATS)
+    + ", lx.i as play_type_idx from fu " + _IDX_JOINS + " join lx on fu.play_type = lx.v",
+    O.feature_ctes("train", CATS, NUMS)))
+def q_string_index(spark, d):
+    tr = _ftrain(spark, d)
+    model = Pipeline(stages=[FE.label_indexer(), FE.index(CATS)]).fit(tr)
+    return model.transform(tr).select(KEY, *[FE.idx(c) for c in CATS], "play_type_idx")
+
+
+@query("one_hot", O.with_base(
+    " union all ".join(
+        f"select fu.row_id, '{c}' as column_name, cast(ix.i as integer) as slot, 1.0 as value "
+        f"from fu join ix_{c} ix on cast(fu.{c} as varchar) = cast(ix.v as varchar) where ix.i < ix.nd - 1"
+        for c in CATS),
+    O.feature_ctes("train", CATS, NUMS)))
+def q_one_hot(spark, d):
+    tr = _ftrain(spark, d)
+    enc = Pipeline(stages=[FE.index(CATS), FE.one_hot(CATS)]).fit(tr).transform(tr)
+    out = None
+    for c in CATS:
+        part = FE.explode_vector(enc, FE.vec(c), KEY).select(
+            KEY, F.lit(c).alias("column_name"), "slot", "value")
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+@query("assemble_skip", O.with_base("select row_id, slot, round(value, 6) as value from fe",
+                                    O.feature_ctes("clean", CATS, NUMS)))
+def q_assemble_skip(spark, d):
+    rows = _fclean(spark, d)
+    pipe = FE.feature_pipeline(CATS, NUMS, kind=None, label=None, assemble_invalid="skip")
+    return _explode(pipe.fit(rows).transform(rows), "features")
+
+
+@query("assemble_strict", O.with_base("select row_id, slot, round(value, 6) as value from fe",
+                                      O.feature_ctes("train", CATS, NUMS, numeric=False)))
+def q_assemble_strict(spark, d):
+    tr = _ftrain(spark, d)
+    pipe = FE.feature_pipeline(CATS, NUMS, kind=None, label=None, assemble_invalid="error", one_hot_only=True)
+    return _explode(pipe.fit(tr).transform(tr), "features")
+
+
+@query("max_abs_scale", O.with_base(
+    "select fe.row_id, fe.slot, round(fe.value / fs.m, 6) as value from fe join fs using (slot)",
+    O.feature_ctes("train", CATS, NUMS, one_hot=False)))
+def q_max_abs_scale(spark, d):
+    tr = _ftrain(spark, d)
+    model = Pipeline(stages=[FE.assemble(NUMS), FE.scaler("maxabs")]).fit(tr)
+    return _explode(model.transform(tr), "scaledFeatures")
+
+
+@query("min_max_scale", O.with_base(
+    """select fx.row_id, fs.slot,
+              round(case when fs.hi = fs.lo then 1.5
+                         else (coalesce(fe.value, 0.0) - fs.lo) / (fs.hi - fs.lo) + 1.0 end, 6) as value
+       from fx join fs on true left join fe on fe.row_id = fx.row_id and fe.slot = fs.slot""",
+    O.feature_ctes("train", CATS, NUMS, one_hot=False)))
+def q_min_max_scale(spark, d):
+    tr = _ftrain(spark, d)
+    model = Pipeline(stages=[FE.assemble(NUMS), FE.scaler("minmax")]).fit(tr)
+    return _explode(model.transform(tr), "scaledFeatures")
+
+
+@query("feature_pipeline", O.with_base(
+    "select fe.row_id, fe.slot, round(fe.value / fs.m, 6) as value from fe join fs using (slot)",
+    O.feature_ctes("train", CATS, NUMS)))
+def q_feature_pipeline(spark, d):
+    tr = _ftrain(spark, d)
+    model = FE.feature_pipeline(CATS, NUMS, kind="maxabs", label="play_type").fit(tr)
+    return _explode(model.transform(tr), "scaledFeatures")
+
+
+# ---------------------------------------------------------------- models
+def _frames(spark, d, end=END_SEASON):
+    prep = prepare(plays(spark, d), end=end)
+    return P.blank_to(prep.train, "surface"), P.blank_to(prep.test, "surface"), prep.fill
+
+
+def _predictions(model, df):
+    return M.score(model, df).select(KEY, "play_type_idx", "prediction")
+
+
+def _scoring_features(kind="maxabs", cats=CATS):
+    return FE.feature_pipeline(cats, NUMS, kind=kind, label="play_type", handle_invalid="keep")
+
+
+@query("logistic_regression")
+def q_logistic_regression(spark, d):
+    tr, te, _ = _frames(spark, d)
+    model = M.fit(tr, _scoring_features(), M.classifier("lr", maxIter=50, regParam=0.01))
+    return _predictions(model, te)
+
+
+@query("random_forest")
+def q_random_forest(spark, d):
+    tr, te, _ = _frames(spark, d)
+    model = M.fit(tr, _scoring_features(), M.classifier("rf", numTrees=20, maxDepth=5))
+    return _predictions(model, te)
+
+
+_NB_SMOOTHING = 1.0
+
+
+def _nb_sql():
+    lam = _NB_SMOOTHING
+    body = f"""
+cls as (select lx.i as c, count(*) as n from fx join lx on fx.play_type = lx.v group by lx.i),
+slots as (select slot, m, lo, hi from fs),
+sums as (select lx.i as c, fe.slot, sum(fe.value) as sv from fe join fx using (row_id)
+         join lx on fx.play_type = lx.v group by lx.i, fe.slot),
+sc as (select cls.c, slots.slot,
+              case when slots.hi = slots.lo then 1.5 * cls.n
+                   else (coalesce(sums.sv, 0.0) - cls.n * slots.lo) / (slots.hi - slots.lo) + cls.n end as s
+       from cls join slots on true left join sums on sums.c = cls.c and sums.slot = slots.slot),
+st as (select c, sum(s) as tot from sc group by c)"""
+    sel = f"""
+select 'pi' as kind, cast(c as integer) as class_index, -1 as feature,
+       round(ln(n + {lam}) - ln((select sum(n) from cls) + {lam} * (select count(*) from cls)), 6) as value
+from cls
+union all
+select 'theta' as kind, cast(sc.c as integer) as class_index, sc.slot as feature,
+       round(ln(sc.s + {lam}) - ln(st.tot + {lam} * (select d from fd)), 6) as value
+from sc join st using (c)"""
+    return O.with_base(sel, O.feature_ctes("train", CATS, NUMS) + "," + body)
+
+
+@query("naive_bayes", _nb_sql())
+def q_naive_bayes(spark, d):
+    tr = _ftrain(spark, d)
+    model = M.fit(tr, FE.feature_pipeline(CATS, NUMS, kind="minmax", label="play_type"),
+                  M.classifier("nb", smoothing=_NB_SMOOTHING))
+    return M.nb_parameters(spark, model).withColumn("value", r6("value"))
+
+
+@query("mlp")
+def q_mlp(spark, d):
+    tr, te, _ = _frames(spark, d)
+    feats = _scoring_features().fit(tr)
+    ftr = feats.transform(tr)
+    n_classes = len(feats.stages[0].labels)
+    layers = M.mlp_layers(ftr, "scaledFeatures", [16], n_classes)
+    clf = M.classifier("mlp", layers=layers, maxIter=50).fit(ftr)
+    return clf.transform(feats.transform(te)).select(KEY, "play_type_idx", "prediction")
+
+
+def _tuned(spark, d):
+    tr = _ftrain(spark, d)
+    feats = FE.feature_pipeline(CATS, NUMS, kind="minmax", label="play_type").fit(tr)
+    est = M.classifier("nb")
+    return M.tune(feats.transform(tr), est, M.grid(est, {"smoothing": [0.5, 1.0]}), metric="accuracy")
+
+
+@query("tune")
+def q_tune(spark, d):
+    return _tuned(spark, d).metrics_frame(spark)
+
+
+@query("best_params")
+def q_best_params(spark, d):
+    return M.best_params(spark, _tuned(spark, d).best_model)
+
+
+@query("score")
+def q_score(spark, d):
+    df = plays(spark, d)
+    cats = [c for c in CATS if c != "season"]
+    prep = prepare(df, end=HOLDOUT_SEASON)
+    train = P.blank_to(prep.train.drop("season"), "surface")
+    test = P.blank_to(prep.test.drop("season"), "surface")
+    holdout = P.blank_to(A.impute(season_test(df, HOLDOUT_SEASON), prep.fill).drop("season"), "surface")
+    model = M.fit(train, _scoring_features(cats=cats), M.classifier("lr", maxIter=50, regParam=0.01))
+    return (_predictions(model, test).withColumn("frame", F.lit("test"))
+            .unionByName(_predictions(model, holdout).withColumn("frame", F.lit("holdout"))))
