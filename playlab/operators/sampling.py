@@ -20,8 +20,13 @@ from playlab.functions.hashing import HASH_RANGE, row_hash, uniform_hash
 MAX_INLINE_CLASSES = 10_000
 
 
-def _hash(df: DataFrame, key: str | None, purpose: str, seed: int) -> Column:
-    return uniform_hash(key, purpose, seed) if key else row_hash(df.columns, purpose, seed)
+def _hash(df: DataFrame, key, purpose: str, seed: int) -> Column:
+    """Hash of the key (a column name or a list of names) or of the whole row."""
+    if not key:
+        return row_hash(df.columns, purpose, seed)
+    if isinstance(key, (list, tuple)):
+        return uniform_hash(key[0], purpose, seed, *key[1:])
+    return uniform_hash(key, purpose, seed)
 
 
 def _fraction_of(label: str, fractions: dict) -> Column:
@@ -114,59 +119,68 @@ def undersample_targets(counts: dict, rounds: int = 1) -> dict:
     return cur
 
 
-def undersample(df: DataFrame, label: str = LABEL, key: str | None = KEY, seed: int = 42,
-                rounds: int = 1, bits: int = 16) -> DataFrame:
-    """Random undersampling of the majority class, ``rounds`` times.
+def _literal_map(d: dict):
+    if len(d) > MAX_INLINE_CLASSES:
+        raise ValueError(f"{len(d)} classes: more than {MAX_INLINE_CLASSES} per-class targets")
+    return F.create_map(*[x for k, v in d.items() for x in (F.lit(k), F.lit(v))])
 
-    A cut class keeps its ``target`` rows with the smallest (hash, key); the
-    others are untouched.  Rounds compose: each cuts the currently largest
-    class to the minority size, so all targets follow from the class counts
-    and one pass applies them.
-
-    No class is ever sorted in one task.  A histogram of the top ``bits``
-    bits of the hash per (class, bin) -- a map-side combined aggregate of at
-    most classes * 2**bits rows -- gives for every cut class the bin where
-    its running count crosses the target.  Rows in lower bins are kept by a
-    filter, rows in higher bins dropped, and only the boundary bin
-    (about n / 2**bits rows) is ranked by a window.
+
+def mark_smallest(df: DataFrame, label: str, key: str | None, purpose: str, seed: int, want: dict,
+                  flag: str = "_sel", bits: int = 16) -> DataFrame:
+    """Add a boolean ``flag``: true for the ``want[c]`` rows of class c with the
+    smallest (hash(key, purpose, seed), key); all rows when ``want[c]`` is at
+    least the class size; false for classes not in ``want``.
+
+    No class is sorted in one task.  A histogram of the top ``bits`` bits of
+    the hash per (class, bin) -- a map-side combined aggregate of at most
+    classes * 2**bits rows -- gives, per class, the bin where the running
+    count reaches the target.  Rows in lower bins are flagged by a filter,
+    rows in higher bins are not, and only the boundary bin (about
+    n / 2**bits rows of the class) is ranked by a window.
     """
-    h = _hash(df, key, "rank", seed)
-    shift = 32 - bits
-    base = df.withColumn("_h", h).withColumn("_bin", F.shiftright("_h", shift))
-    # one aggregate over the data: per (class, bin) counts
-    hist = base.where(F.col(label).isNotNull()).groupBy(label, "_bin").agg(F.count(F.lit(1)).alias("_n"))
-    per_class = hist.groupBy(label).agg(F.sum("_n").alias("_count"))
-    # targets from the counts: the `rounds` largest classes go to the minimum
-    w_rank = Window.orderBy(F.col("_count").desc(), F.col(label).cast("string"))
-    targets = (per_class
-               .withColumn("_rank", F.row_number().over(w_rank))
-               .withColumn("_min", F.min("_count").over(Window.partitionBy()))
-               .where((F.col("_rank") <= rounds) & (F.col("_count") > F.col("_min")))
-               .select(label, F.col("_min").alias("_target")))
+    live = {c: int(n) for c, n in want.items() if n > 0 and c is not None}
+    if not live:
+        return df.withColumn(flag, F.lit(False))
+    base = (df.withColumn("_h", _hash(df, key, purpose, seed))
+              .withColumn("_bin", F.shiftright("_h", 32 - bits)))
+    want_col = _literal_map(live)[F.col(label)]
+    hist = (base.where(want_col.isNotNull()).groupBy(label, "_bin")
+                .agg(F.count(F.lit(1)).alias("_n")))
     w_cum = Window.partitionBy(label).orderBy("_bin").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    bounds = (hist.join(targets, label)
-                  .withColumn("_cum", F.sum("_n").over(w_cum))
-                  .where((F.col("_cum") - F.col("_n") < F.col("_target")) & (F.col("_cum") >= F.col("_target")))
-                  .select(label, F.col("_bin").alias("_edge"),
-                          (F.col("_target") - (F.col("_cum") - F.col("_n"))).alias("_need")))
-    rows = bounds.limit(MAX_INLINE_CLASSES + 1).collect()
-    if len(rows) <= MAX_INLINE_CLASSES:
-        if not rows:
-            return df
-        edge_items, need_items = [], []
-        for r in rows:
-            edge_items += [F.lit(r[label]), F.lit(r["_edge"])]
-            need_items += [F.lit(r[label]), F.lit(r["_need"])]
-        edge = F.create_map(*edge_items)[F.col(label)]
-        need = F.create_map(*need_items)[F.col(label)]
-        marked = base.withColumn("_e", edge).withColumn("_k", need)
+    bounds = (hist.withColumn("_cum", F.sum("_n").over(w_cum)).withColumn("_want", want_col)
+                  .where((F.col("_cum") - F.col("_n") < F.col("_want")) & (F.col("_cum") >= F.col("_want")))
+                  .select(label, "_bin", (F.col("_want") - (F.col("_cum") - F.col("_n"))).alias("_need"))
+                  .collect())  # at most one row per class in `want`
+    if bounds:
+        edge = _literal_map({r[label]: r["_bin"] for r in bounds})[F.col(label)]
+        need = _literal_map({r[label]: r["_need"] for r in bounds})[F.col(label)]
     else:
-        marked = base.join(bounds.checkpoint(), label, "left").withColumnRenamed("_edge", "_e") \
-                     .withColumnRenamed("_need", "_k")
-    below = marked.where(F.col("_e").isNull() | (F.col("_bin") < F.col("_e")))
+        edge, need = F.lit(None).cast("bigint"), F.lit(None).cast("bigint")
+    marked = base.withColumn("_e", edge).withColumn("_k", need).withColumn("_w", want_col)
+    plain = (marked.where(F.col("_e").isNull() | (F.col("_bin") != F.col("_e")))
+                   .withColumn(flag, F.col("_w").isNotNull() & (F.col("_e").isNull() | (F.col("_bin") < F.col("_e")))))
     order = [F.col("_h")] + ([F.col(key)] if key else [])
     w_edge = Window.partitionBy(label, "_bin").orderBy(*order)
     at_edge = (marked.where(F.col("_bin") == F.col("_e"))
-                     .withColumn("_r", F.row_number().over(w_edge))
-                     .where(F.col("_r") <= F.col("_k")).drop("_r"))
-    return below.unionByName(at_edge).select(*df.columns)
+                     .withColumn(flag, F.row_number().over(w_edge) <= F.col("_k")))
+    return plain.unionByName(at_edge).drop("_h", "_bin", "_e", "_k", "_w")
+
+
+def undersample(df: DataFrame, label: str = LABEL, key: str | None = KEY, seed: int = 42,
+                rounds: int = 1) -> DataFrame:
+    """Random undersampling of the majority class, ``rounds`` times.
+
+    A cut class keeps its ``target`` rows with the smallest (hash, key); the
+    others are untouched.  Rounds compose: each cuts the currently largest
+    class to the minority size, so all targets follow from the class counts
+    (one small aggregate, one row per class) and one pass applies them.
+    """
+    counts = {r[label]: r["n"] for r in df.groupBy(label).agg(F.count(F.lit(1)).alias("n")).collect()
+              if r[label] is not None}
+    targets = undersample_targets(counts, rounds)
+    cut = {c: t for c, t in targets.items() if t < counts[c]}
+    if not cut:
+        return df
+    marked = mark_smallest(df, label, key, "rank", seed, cut, "_keep")
+    keep = F.col("_keep") | ~F.col(label).isin(list(cut)) | F.col(label).isNull()
+    return marked.where(keep).drop("_keep").select(*df.columns)

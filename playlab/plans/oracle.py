@@ -159,3 +159,74 @@ def feature_ctes(source: str, cats, nums, one_hot: bool = True, numeric: bool =
                  "case when count(*) < (select count(*) from fx) then greatest(max(value), 0.0) else max(value) end as hi, "
                  "sum(value) as sv from fe group by slot)")
     return ",\n".join(parts)
+
+
+SMOTE_NUMS = ["quarter_seconds_remaining", "down", "ydstogo", "ep", "wind", "temp"]
+SMOTE_CATS = ["season_type", "week", "posteam", "season", "roof", "surface"]
+
+
+def smote_ctes(src: str, k: int = 5, seed: int = 42) -> str:
+    """Brute-force SMOTE-NC over relation ``src``; result relation ``sm``
+    (all original rows with synth 0, then the synthetic rows)."""
+    nums, cats = SMOTE_NUMS, SMOTE_CATS
+    sd_cols = ", ".join(f"stddev_pop({c}) as s{i}" for i, c in enumerate(nums))
+    sd_list = ", ".join(f"s{i}" for i in range(len(nums)))
+    d2 = " + ".join(f"(a.{c} - c.{c}) * (a.{c} - c.{c})" for c in nums)
+    dc = " + ".join(f"case when a.{c} <> c.{c} then 1 else 0 end" for c in cats)
+    hnbr = ("cast(concat('0x', substr(md5(concat(cast(p.row_id as varchar), ':', cast(p.t as varchar), "
+            f"':nbr:{seed}')), 1, 8)) as bigint)")
+    hgap = ("cast(concat('0x', substr(md5(concat(cast(p.row_id as varchar), ':', cast(p.t as varchar), "
+            f"':gap:{seed}')), 1, 8)) as bigint)")
+    modes = []
+    for c in cats:
+        modes.append(f"""
+md_{c} as (select qid, v as {c} from (
+    select qid, v, row_number() over (partition by qid order by cn desc, v) as rn
+    from (select nb.qid, c.{c} as v, count(*) as cn from nb join {src} c on c.row_id = nb.cid
+          group by nb.qid, c.{c})) where rn = 1)""")
+    num_out = ", ".join(
+        f"case when p.k > 0 then p.{c} + p.u * (c.{c} - p.{c}) else p.{c} end as {c}" for c in nums)
+    cat_out = ", ".join(f"coalesce(md_{c}.{c}, p.{c}) as {c}" for c in cats)
+    mode_joins = " ".join(f"left join md_{c} on md_{c}.qid = p.row_id" for c in cats)
+    return f"""
+scnt as (select play_type, count(*) as n from {src} group by play_type),
+splan as (select play_type, n, (select max(n) from scnt) - n as g,
+                 least({k}, n - 1) as k from scnt where n < (select max(n) from scnt)),
+ssd as (select play_type, {sd_cols} from {src} group by play_type),
+smed as (select play_type, median(s) as m from (select play_type, unnest([{sd_list}]) as s from ssd)
+         group by play_type),
+sb as (select u.*, p.k, p.g // p.n + case when row_number() over (partition by u.play_type
+              order by {h('u.row_id', 'base', seed)}, u.row_id) - 1 < p.g % p.n then 1 else 0 end as mcount
+       from {src} u join splan p using (play_type)),
+nn as (select a.row_id as qid, c.row_id as cid, a.k,
+              row_number() over (partition by a.row_id order by
+                round({d2} + smed.m * smed.m * ({dc}), 6), c.row_id) as nr
+       from sb a join {src} c on a.play_type = c.play_type and a.row_id <> c.row_id
+       join smed on smed.play_type = a.play_type where a.mcount > 0),
+nb as (select * from nn where nr <= k),
+{','.join(m.strip() for m in modes)},
+st as (select sb.*, r.t from sb, unnest(range(sb.mcount)) as r(t) where sb.mcount > 0),
+sp as (select p.*, case when p.k > 0 then {hnbr} % p.k + 1 end as pick,
+              {hgap} / 4294967296.0 as u from st p),
+sm as (select {', '.join(CLEAN_COLS)}, 0 as synth from {src}
+       union all
+       select p.row_id, p.season_type, p.week, p.posteam, p.quarter_seconds_remaining, p.down, p.ydstogo,
+              p.play_type, p.ep, p.season, p.wind, p.temp, p.roof, p.surface, p.t + 1 as synth
+       from (select p.row_id, p.play_type, p.t, {num_out}, {cat_out}
+             from (select * replace (t as t) from sp) p
+             left join nb on nb.qid = p.row_id and nb.nr = p.pick
+             left join {src} c on c.row_id = nb.cid {mode_joins}) p)"""
+
+
+def undersample_ctes(src: str, rounds: int, out: str, seed: int = 42) -> str:
+    """Rows of ``src`` after ``rounds`` majority cuts, as relation ``out``."""
+    return f"""
+{out}_counts as (select play_type, count(*) as n from {src} group by play_type),
+{out}_ranked as (select play_type, n, row_number() over (order by n desc, play_type) as rk,
+                  min(n) over () as n_min from {out}_counts),
+{out}_targets as (select play_type, case when rk <= {rounds} then n_min else n end as target
+                  from {out}_ranked),
+{out}_ordered as (select t.*, row_number() over (partition by t.play_type
+              order by {h('t.row_id', 'rank', seed)}, t.row_id) as rn from {src} t),
+{out} as (select o.* exclude (rn) from {out}_ordered o join {out}_targets g
+          on o.play_type = g.play_type where o.rn <= g.target)"""

@@ -32,8 +32,10 @@ class Prepared:
 
     def frames(self) -> DataFrame:
         """All frames stacked, with a ``split`` column naming each."""
-        out = self.train.withColumn("split", F.lit("train")).unionByName(
-            self.test.withColumn("split", F.lit("test")))
+        train, test = self.train, self.test
+        if self.balanced is not None:  # original rows carry synth = 0
+            train, test = train.withColumn("synth", F.lit(0)), test.withColumn("synth", F.lit(0))
+        out = train.withColumn("split", F.lit("train")).unionByName(test.withColumn("split", F.lit("test")))
         if self.balanced is not None:
             out = out.unionByName(self.balanced.withColumn("split", F.lit("balanced")))
         return out
@@ -53,7 +55,8 @@ def training_fill(train: DataFrame) -> dict:
 
 def prepare(df: DataFrame, end: int = END_SEASON, start: int = FIRST_SEASON, balanced: bool = False,
             reference_order: bool = False, key: str = KEY, label: str = LABEL,
-            fractions: dict | None = None, seed: int = 42, smote_k: int = 5) -> Prepared:
+            fractions: dict | None = None, seed: int = 42, smote_k: int = 5,
+            categorical=None, numeric=None) -> Prepared:
     """(train, test, balanced) frames of the reference's data pipeline.
 
     Default order: split first, then fill both frames with the *training*
@@ -74,7 +77,8 @@ def prepare(df: DataFrame, end: int = END_SEASON, start: int = FIRST_SEASON, bal
     bal = None
     if balanced:
         from playlab.operators.smotenc import balance
-        bal = balance(train, label=label, key=key, seed=seed, k=smote_k)
+        bal = balance(train, label=label, key=key, seed=seed, k=smote_k,
+                      categorical=categorical, numeric=numeric)
     return Prepared(train, test, bal, fill)
 
 

@@ -657,3 +657,38 @@ def q_score(spark, d):
     model = M.fit(train, _scoring_features(cats=cats), M.classifier("lr", maxIter=50, regParam=0.01))
     return (_predictions(model, test).withColumn("frame", F.lit("test"))
             .unionByName(_predictions(model, holdout).withColumn("frame", F.lit("holdout"))))
+
+
+# ---------------------------------------------------------------- SMOTE-NC, balancing, flagship
+from playlab.operators import smotenc as SM  # noqa: E402
+
+_SM_ROUND = ", ".join(f"round({c}, 6) as {c}" for c in O.SMOTE_NUMS)
+
+
+def _rounded(df):
+    return df.select(*[r6(c).alias(c) if c in O.SMOTE_NUMS else F.col(c) for c in df.columns])
+
+
+@query("smotenc_oversample", O.with_base(
+    f"select * replace ({_SM_ROUND}) from sm", O.smote_ctes("train")))
+def q_smotenc_oversample(spark, d):
+    tr = prepare(plays(spark, d)).train
+    return _rounded(SM.smotenc(tr, categorical=O.SMOTE_CATS, numeric=O.SMOTE_NUMS))
+
+
+@query("balance_classes", O.with_base(
+    f"select * replace ({_SM_ROUND}) from sm",
+    O.undersample_ctes("train", 2, "us2") + "," + O.smote_ctes("us2")))
+def q_balance_classes(spark, d):
+    return _rounded(SM.balance(prepare(plays(spark, d)).train))
+
+
+@query("prepare", O.with_base(
+    f"""select *, 0 as synth, 'train' as split from train
+        union all select *, 0 as synth, 'test' as split from test
+        union all select *, 'balanced' as split from (select * from sm)""".replace(
+        "select *, cast(null", "select * replace (" + _SM_ROUND + "), cast(null").replace(
+        "select *, 'balanced'", "select * replace (" + _SM_ROUND + "), 'balanced'"),
+    O.undersample_ctes("train", 2, "us2") + "," + O.smote_ctes("us2")))
+def q_prepare(spark, d):
+    return _rounded(prepare(plays(spark, d), balanced=True).frames())
