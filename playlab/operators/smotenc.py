@@ -215,7 +215,7 @@ def smotenc(df: DataFrame, label: str = LABEL, categorical=None, numeric=None, k
         m2 = counts[c][1] ** 2
         q = pdf[pdf["_own"] & (pdf["_m"] > 0)]
         if q.empty:
-            return pd.DataFrame({f.name: [] for f in nbr_schema.fields})
+            return pd.DataFrame({f.name: pd.Series([], dtype=object) for f in nbr_schema.fields})
         cand = pdf.drop_duplicates(subset=[key])
         cn = cand[numeric].to_numpy(float)
         cc = cand[categorical].to_numpy(object)
