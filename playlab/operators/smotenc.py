@@ -59,17 +59,26 @@ from pyspark.sql import types as T
 from playlab.functions.columns import KEY, LABEL
 from playlab.functions.hashing import HASH_RANGE, uniform_hash, unit_hash
 from playlab.operators.sampling import mark_smallest
+from playlab.session import materialize
 
 MAX_PIVOTS = 4096       # per class; bounds what is shipped to the tasks
 CELL_ROWS = 1000        # rows per cell aimed for
 _CHUNK = 2048           # rows per numpy distance block
 
 
-def class_stats(df: DataFrame, label: str, numeric) -> dict:
-    """{class: (n_c, m_c)} from one aggregate (C rows reach the driver)."""
-    aggs = [F.count(F.lit(1)).alias("_n")] + [F.stddev_pop(c).alias(f"_s{i}") for i, c in enumerate(numeric)]
+def class_stats(df: DataFrame, label: str, numeric, categorical=()) -> dict:
+    """{class: (n_c, m_c)} from one aggregate (C rows reach the driver).
+
+    The same pass counts NaN/NULL inputs, which SMOTE-NC cannot use.
+    """
+    missing = [F.col(c).isNull() for c in list(numeric) + list(categorical)] + [F.isnan(c) for c in numeric]
+    bad = F.greatest(*[m.cast("int") for m in missing], F.lit(0)) > 0
+    aggs = [F.count(F.lit(1)).alias("_n"), F.count_if(bad).alias("_bad")]
+    aggs += [F.stddev_pop(c).alias(f"_s{i}") for i, c in enumerate(numeric)]
     out = {}
     for r in df.groupBy(label).agg(*aggs).collect():
+        if r["_bad"]:
+            raise ValueError("SMOTE-NC needs inputs without NaN or NULL: impute first")
         sds = [r[f"_s{i}"] for i in range(len(numeric))]
         sds = [s for s in sds if s is not None and not math.isnan(s)]
         out[r[label]] = (int(r["_n"]), float(np.median(sds)) if sds else 0.0)
@@ -99,12 +108,8 @@ def smotenc(df: DataFrame, label: str = LABEL, categorical=None, numeric=None, k
     """Oversample every class to the largest class's count."""
     numeric = list(numeric)
     categorical = list(categorical)
-    missing = [F.col(c).isNull() for c in numeric + categorical] + [F.isnan(c) for c in numeric]
-    bad = df.where(F.greatest(*[m.cast("int") for m in missing], F.lit(0)) > 0)
-    if bad.limit(1).count():
-        raise ValueError("SMOTE-NC needs inputs without NaN or NULL: impute first")
-
-    stats = class_stats(df, label, numeric)
+    df = materialize(df)  # reused by every pass below
+    stats = class_stats(df, label, numeric, categorical)
     if not stats:
         return df.withColumn("synth", F.lit(0))
     target = max(n for n, _ in stats.values())
@@ -120,7 +125,7 @@ def smotenc(df: DataFrame, label: str = LABEL, categorical=None, numeric=None, k
     lab = F.col(label)
     quot_col = F.create_map(*[x for c, q in quot.items() for x in (F.lit(c), F.lit(q))])[lab]
     work = mark_smallest(work, label, key, "base", seed, extra, "_extra")
-    work = work.withColumn("_m", quot_col + F.col("_extra").cast("int")).drop("_extra")
+    work = materialize(work.withColumn("_m", quot_col + F.col("_extra").cast("int")).drop("_extra"))
 
     counts = {c: (n, m) for c, (n, m, _) in plan.items()}
     kk = {c: min(k, n - 1) for c, (n, _) in counts.items()}
@@ -289,6 +294,6 @@ def balance(df: DataFrame, label: str = LABEL, key: str = KEY, categorical=None,
         roles = column_roles(df, key=key, label=label)
         categorical = [n for n, _, r in roles if r == "categorical"] if categorical is None else categorical
         numeric = [n for n, _, r in roles if r == "numeric"] if numeric is None else numeric
-    cut = undersample(df, label=label, key=key, seed=seed, rounds=rounds)
+    cut = undersample(materialize(df), label=label, key=key, seed=seed, rounds=rounds)
     out = smotenc(cut, label=label, categorical=categorical, numeric=numeric, key=key, k=k, seed=seed)
     return out.select(*df.columns, "synth")

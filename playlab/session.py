@@ -21,6 +21,7 @@ _LOCAL_DEFAULTS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
+    "spark.ui.showConsoleProgress": "false",
 }
 
 
@@ -57,3 +58,15 @@ def shared_dir(spark: SparkSession, name: str) -> str:
     base = spark.conf.get("spark.checkpoint.dir", None) or ensure_checkpoint_dir(spark)
     base = base[len("file:"):] if base.startswith("file:") and not base.startswith("file://") else base
     return os.path.join(base, f"{name}-{uuid.uuid4().hex}")
+
+
+def materialize(df):
+    """Write ``df`` once to the shared checkpoint folder and read it back.
+
+    Used where several jobs reuse one intermediate frame (statistics, then
+    the rows): later jobs start from the written files instead of
+    recomputing the lineage, and a lost executor costs a re-read, not a
+    recomputation.  Never a machine-local copy.
+    """
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
