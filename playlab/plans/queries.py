@@ -23,7 +23,7 @@ from playlab.plans import oracle as O
 from playlab.plans.prepare import base_frame, cleaned, prepare, season_test, training_fill
 from playlab.session import shared_dir
 from playlab.sources import io as S
-from playlab.sources.plays import plays, scan_table
+from playlab.sources.plays import plays, scan, scan_table, write_partitioned
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -55,15 +55,22 @@ def _split():
 
 
 # ---------------------------------------------------------------- sources
+def _season_dataset(spark, d) -> str:
+    """The plays written as a season-partitioned parquet dataset in the shared folder."""
+    path = shared_dir(spark, "plays-by-season")
+    write_partitioned(plays(spark, d), path)
+    return path
+
+
 @query("season_scan", O.with_base(
     f"select * from plays where season >= {FIRST_SEASON} and season < {HOLDOUT_SEASON}"))
 def q_season_scan(spark, d):
-    return scan_table(plays(spark, d), FIRST_SEASON, HOLDOUT_SEASON)
+    return scan(spark, _season_dataset(spark, d), FIRST_SEASON, HOLDOUT_SEASON)
 
 
 @query("single_season_scan", O.with_base(f"select * from plays where season = {HOLDOUT_SEASON}"))
 def q_single_season_scan(spark, d):
-    return scan_table(plays(spark, d), HOLDOUT_SEASON, HOLDOUT_SEASON + 1)
+    return scan(spark, _season_dataset(spark, d), HOLDOUT_SEASON, HOLDOUT_SEASON + 1)
 
 
 def _profile_sql():

@@ -80,13 +80,17 @@ def plays(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def write_partitioned(df: DataFrame, path: str, mode: str = "overwrite") -> None:
+def write_partitioned(df: DataFrame, path: str, files_per_season: int = 8, key: str = "row_id",
+                      mode: str = "overwrite") -> None:
     """Write plays as parquet partitioned by season (one folder per season).
 
-    Rows are clustered by season before the write so each task writes few
-    files per season folder instead of one per (task, season) pair.
+    Rows are shuffled on (season, hash(key) mod ``files_per_season``): every
+    season is spread over that many tasks (no task holds a whole season),
+    and each task writes one file into one season folder instead of one per
+    season it happens to hold.  The hash keeps a retried task's rows the same.
     """
-    (df.repartition("season").write.mode(mode)
+    spread = F.pmod(F.xxhash64(F.col(key)), F.lit(files_per_season))
+    (df.repartition(F.col("season"), spread).write.mode(mode)
        .partitionBy("season").parquet(path))
 
 
