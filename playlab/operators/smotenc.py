@@ -57,13 +57,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from playlab.functions.columns import KEY, LABEL
-from playlab.functions.hashing import HASH_RANGE, uniform_hash, unit_hash
+from playlab.functions.hashing import uniform_hash, unit_hash
 from playlab.operators.sampling import mark_smallest
 from playlab.session import materialize
 
 MAX_PIVOTS = 4096       # per class; bounds what is shipped to the tasks
 CELL_ROWS = 1000        # rows per cell aimed for
-_CHUNK = 2048           # rows per numpy distance block
+_BLOCK_ENTRIES = 4_000_000  # distance entries per numpy block (about 32 MB)
 
 
 def class_stats(df: DataFrame, label: str, numeric, categorical=()) -> dict:
@@ -86,7 +86,8 @@ def class_stats(df: DataFrame, label: str, numeric, categorical=()) -> dict:
 
 
 def _dist2(xn, xc, pn, pc, m2):
-    """Squared distances between rows (xn numeric, xc categorical) and pivots."""
+    """Squared distances between rows and reference rows (numeric parts xn/pn,
+    categorical parts as integer codes xc/pc; a differing code adds m2)."""
     d = np.zeros((xn.shape[0], pn.shape[0]))
     for j in range(xn.shape[1]):
         diff = xn[:, j:j + 1] - pn[None, :, j]
@@ -96,6 +97,59 @@ def _dist2(xn, xc, pn, pc, m2):
     return d
 
 
+def _block_rows(width: int) -> int:
+    """Rows per numpy block so a block's distance matrix stays near 32 MB."""
+    return max(1, _BLOCK_ENTRIES // max(1, width))
+
+
+class _ClassPivots:
+    """One class's pivots: numeric matrix, categorical codes and vocabularies."""
+
+    def __init__(self, rows, numeric, categorical, m):
+        self.numeric, self.categorical, self.m2 = numeric, categorical, m * m
+        self.pn = np.array([[float(r[x]) for x in numeric] for r in rows], dtype=float).reshape(
+            len(rows), len(numeric))
+        self.vocab = [pd.Index(pd.unique(pd.Series([r[x] for r in rows], dtype=object))) for x in categorical]
+        self.pc = np.stack([self.vocab[j].get_indexer(pd.Series([r[x] for r in rows], dtype=object))
+                            for j, x in enumerate(categorical)], axis=1) if categorical else \
+            np.zeros((len(rows), 0), dtype=np.int64)
+
+    def encode(self, frame: pd.DataFrame) -> np.ndarray:
+        """Codes of the rows' categories in the pivot vocabularies (-1: no pivot has it)."""
+        if not self.categorical:
+            return np.zeros((len(frame), 0), dtype=np.int64)
+        return np.stack([self.vocab[j].get_indexer(frame[x].astype(object))
+                         for j, x in enumerate(self.categorical)], axis=1)
+
+    def dist(self, frame: pd.DataFrame) -> np.ndarray:
+        return np.sqrt(_dist2(frame[self.numeric].to_numpy(float), self.encode(frame), self.pn, self.pc, self.m2))
+
+
+def _top_k(d: np.ndarray, k: int) -> np.ndarray:
+    """Column indices of the k smallest entries per row, ordered by (value, column).
+
+    Exact with ties: all entries below the k-th value, then the first equal
+    entries in column order.  Linear in the row length (no full sort).
+    """
+    kth = np.partition(d, k - 1, axis=1)[:, k - 1:k]
+    less = d < kth
+    need = k - less.sum(axis=1, keepdims=True)
+    eq = d == kth
+    take = less | (eq & (np.cumsum(eq, axis=1) <= need))
+    cols = np.nonzero(take)[1].reshape(d.shape[0], k)
+    order = np.argsort(np.take_along_axis(d, cols, axis=1), axis=1, kind="stable")
+    return np.take_along_axis(cols, order, axis=1)
+
+
+def _modes(values: np.ndarray) -> list:
+    """Per row, the most frequent value; ties go to the smallest value."""
+    codes, uniq = pd.factorize(values.ravel(), sort=True)
+    srt = np.sort(codes.reshape(values.shape), axis=1)
+    same = (srt[:, :, None] == srt[:, None, :]).sum(axis=2)
+    best = srt[np.arange(len(srt)), same.argmax(axis=1)]  # first maximum = smallest value
+    return np.asarray(uniq, dtype=object)[best].tolist()
+
+
 def _pick_pivots(df, label, key, counts, seed, cell_rows, max_pivots):
     """Pivot rows per class: the P_c rows with the smallest hash(key, 'pivot')."""
     want = {c: min(max_pivots, max(1, math.ceil(n / cell_rows))) for c, (n, _) in counts.items()}
@@ -110,53 +164,44 @@ def smotenc(df: DataFrame, label: str = LABEL, categorical=None, numeric=None, k
     categorical = list(categorical)
     df = materialize(df)  # reused by every pass below
     stats = class_stats(df, label, numeric, categorical)
+    originals = df.withColumn("synth", F.lit(0))
     if not stats:
-        return df.withColumn("synth", F.lit(0))
+        return originals
     target = max(n for n, _ in stats.values())
     plan = {c: (n, m, target - n) for c, (n, m) in stats.items() if target - n > 0}
-    originals = df.withColumn("synth", F.lit(0))
     if not plan:
         return originals
 
     # base rows: q_c copies each, plus one more for the r_c smallest base hashes
-    extra = {c: g % n for c, (n, _, g) in plan.items()}
-    quot = {c: g // n for c, (n, _, g) in plan.items()}
-    work = df.where(F.col(label).isin(list(plan)))
     lab = F.col(label)
-    quot_col = F.create_map(*[x for c, q in quot.items() for x in (F.lit(c), F.lit(q))])[lab]
-    work = mark_smallest(work, label, key, "base", seed, extra, "_extra")
-    work = materialize(work.withColumn("_m", quot_col + F.col("_extra").cast("int")).drop("_extra"))
+    quot = F.create_map(*[x for c, (n, _, g) in plan.items() for x in (F.lit(c), F.lit(g // n))])[lab]
+    work = mark_smallest(df.where(lab.isin(list(plan))), label, key, "base", seed,
+                         {c: g % n for c, (n, _, g) in plan.items()}, "_extra")
+    work = materialize(work.withColumn("_m", quot + F.col("_extra").cast("int")).drop("_extra"))
 
     counts = {c: (n, m) for c, (n, m, _) in plan.items()}
     kk = {c: min(k, n - 1) for c, (n, _) in counts.items()}
-    pivots = _pick_pivots(work, label, key, counts, seed, cell_rows, max_pivots)
-    piv = {}
-    for c in plan:
-        rows = [r for r in pivots if r[label] == c]
-        pn = np.array([[float(r[x]) for x in numeric] for r in rows], dtype=float).reshape(len(rows), len(numeric))
-        pc = np.array([[r[x] for x in categorical] for r in rows], dtype=object).reshape(len(rows), len(categorical))
-        piv[c] = (pn, pc, counts[c][1] ** 2)
-
-    def assign(pdf_iter):
-        for pdf in pdf_iter:
-            out_cells = np.zeros(len(pdf), dtype=np.int32)
-            out_d = np.zeros(len(pdf))
-            for c, idx in pdf.groupby(label).groups.items():
-                pn, pc, m2 = piv[c]
-                sub = pdf.loc[idx]
-                pos = pdf.index.get_indexer(idx)
-                for s in range(0, len(sub), _CHUNK):
-                    part = sub.iloc[s:s + _CHUNK]
-                    d = _dist2(part[numeric].to_numpy(float), part[categorical].to_numpy(object), pn, pc, m2)
-                    cell = d.argmin(axis=1)
-                    out_cells[pos[s:s + _CHUNK]] = cell
-                    out_d[pos[s:s + _CHUNK]] = np.sqrt(d[np.arange(len(cell)), cell])
-            yield pd.DataFrame({label: pdf[label], "_cell": out_cells, "_d": out_d,
-                                "_q": pdf["_m"] > 0})
+    pivot_rows = _pick_pivots(work, label, key, counts, seed, cell_rows, max_pivots)
+    piv = {c: _ClassPivots([r for r in pivot_rows if r[label] == c], numeric, categorical, counts[c][1])
+           for c in plan}
+    cols = [label, key, "_m"] + numeric + categorical
+
+    # pass 1: nearest pivot of every row
+    def assign(batches):
+        for pdf in batches:
+            cell = np.zeros(len(pdf), dtype=np.int32)
+            dist = np.zeros(len(pdf))
+            for c, pos in pdf.groupby(label).indices.items():
+                step = _block_rows(len(piv[c].pn))
+                for s in range(0, len(pos), step):
+                    at = pos[s:s + step]
+                    d = piv[c].dist(pdf.iloc[at])
+                    cell[at] = d.argmin(axis=1)
+                    dist[at] = d[np.arange(len(at)), cell[at]]
+            yield pd.DataFrame({label: pdf[label], "_cell": cell, "_d": dist, "_q": (pdf["_m"] > 0).to_numpy()})
 
     assign_schema = T.StructType([df.schema[label], T.StructField("_cell", T.IntegerType()),
                                   T.StructField("_d", T.DoubleType()), T.StructField("_q", T.BooleanType())])
-    cols = [label, key, "_m"] + numeric + categorical
     assigned = work.select(*cols).mapInPandas(assign, assign_schema)
     kk_col = F.create_map(*[x for c, v in kk.items() for x in (F.lit(c), F.lit(v))])[lab]
     w = Window.partitionBy(label, "_cell").orderBy("_d")
@@ -166,36 +211,32 @@ def smotenc(df: DataFrame, label: str = LABEL, categorical=None, numeric=None, k
                        F.max(F.when(F.col("_rn") == kk_col + 1, F.col("_d"))).alias("D"))
                   .collect())  # one row per cell: bounded by the pivot count
     reach = {}
-    for c in plan:
-        pn, pc, m2 = piv[c]
-        p = len(pn)
-        U = np.full(p, -np.inf)
-        D = np.full(p, np.inf)
+    for c, pv in piv.items():
+        p = len(pv.pn)
+        U, D = np.full(p, -np.inf), np.full(p, np.inf)
         for r in cell_stats:
             if r[label] == c:
                 if r["U"] is not None:
                     U[r["_cell"]] = r["U"]
                 if r["D"] is not None:
                     D[r["_cell"]] = r["D"]
-        pp = np.sqrt(_dist2(pn, pc, pn, pc, m2))  # pivots x pivots, small
+        pp = np.sqrt(_dist2(pv.pn, pv.pc, pv.pn, pv.pc, pv.m2))  # pivots x pivots, small and local
         theta = U + np.min(pp + D[None, :], axis=1)
         # -inf where a cell has no query (nothing to send); the slack covers the
         # rounding of distance^2 used to order neighbours
         reach[c] = U + theta + 1e-3
 
-    def replicate(pdf_iter):
-        for pdf in pdf_iter:
+    # pass 2: every row to its own cell and to each cell whose queries it may serve
+    def replicate(batches):
+        for pdf in batches:
             pieces = []
-            for c, idx in pdf.groupby(label).groups.items():
-                pn, pc, m2 = piv[c]
-                lim = reach[c]
-                sub = pdf.loc[idx]
-                for s in range(0, len(sub), _CHUNK):
-                    part = sub.iloc[s:s + _CHUNK]
-                    d = np.sqrt(_dist2(part[numeric].to_numpy(float), part[categorical].to_numpy(object),
-                                       pn, pc, m2))
+            for c, pos in pdf.groupby(label).indices.items():
+                step = _block_rows(len(piv[c].pn))
+                for s in range(0, len(pos), step):
+                    part = pdf.iloc[pos[s:s + step]]
+                    d = piv[c].dist(part)
                     own = d.argmin(axis=1)
-                    send = d <= lim[None, :]
+                    send = d <= reach[c][None, :]
                     send[np.arange(len(own)), own] = True
                     r_idx, cells = np.nonzero(send)
                     rep = part.iloc[r_idx].copy()
@@ -214,41 +255,38 @@ def smotenc(df: DataFrame, label: str = LABEL, categorical=None, numeric=None, k
          T.StructField("_nbr", T.ArrayType(T.ArrayType(T.DoubleType())))]
         + [T.StructField(f"_mode_{c}", df.schema[c].dataType) for c in categorical])
 
+    # per cell: exact k nearest of its queries among members and received rows
     def cell_knn(pdf):
         c = pdf[label].iloc[0]
-        k_eff = kk[c]
-        m2 = counts[c][1] ** 2
-        q = pdf[pdf["_own"] & (pdf["_m"] > 0)]
+        k_eff, m2 = kk[c], counts[c][1] ** 2
+        q = pdf[pdf["_own"].to_numpy() & (pdf["_m"].to_numpy() > 0)]
         if q.empty:
             return pd.DataFrame({f.name: pd.Series([], dtype=object) for f in nbr_schema.fields})
-        cand = pdf.drop_duplicates(subset=[key])
+        cand = pdf.drop_duplicates(subset=[key]).sort_values(key, kind="stable")  # key order breaks ties
         cn = cand[numeric].to_numpy(float)
-        cc = cand[categorical].to_numpy(object)
+        cv = cand[categorical].to_numpy(object)
+        vocab = [pd.Index(pd.unique(cand[x].astype(object))) for x in categorical]
+        cc = np.stack([vocab[j].get_indexer(cand[x].astype(object)) for j, x in enumerate(categorical)], axis=1) \
+            if categorical else np.zeros((len(cand), 0), dtype=np.int64)
         ck = cand[key].to_numpy()
         out_nbr, out_modes = [], {x: [] for x in categorical}
-        korder = np.argsort(ck, kind="stable")
-        for s in range(0, len(q), _CHUNK):
-            part = q.iloc[s:s + _CHUNK]
-            if k_eff == 0:
+        step = _block_rows(len(cand))
+        for s in range(0, len(q), step):
+            part = q.iloc[s:s + step]
+            if k_eff == 0:  # a class of one row: copies
                 out_nbr.extend([] for _ in range(len(part)))
                 for x in categorical:
                     out_modes[x].extend(part[x].tolist())
                 continue
-            d = np.round(_dist2(part[numeric].to_numpy(float), part[categorical].to_numpy(object), cn, cc, m2), 6)
-            d[part[key].to_numpy()[:, None] == ck[None, :]] = np.inf
-            # order by (distance^2, key): columns in key order, then a stable sort on distance
-            sel = np.argsort(d[:, korder], axis=1, kind="stable")[:, :k_eff]
-            nb = korder[sel]
+            qc = np.stack([vocab[j].get_indexer(part[x].astype(object)) for j, x in enumerate(categorical)],
+                          axis=1) if categorical else np.zeros((len(part), 0), dtype=np.int64)
+            d = np.round(_dist2(part[numeric].to_numpy(float), qc, cn, cc, m2), 6)
+            d[part[key].to_numpy()[:, None] == ck[None, :]] = np.inf  # not itself
+            nb = _top_k(d, k_eff)
             out_nbr.extend(cn[nb].tolist())
             for j, x in enumerate(categorical):
-                vals = cc[nb, j]
-                codes, uniq = pd.factorize(vals.ravel(), sort=True)
-                srt = np.sort(codes.reshape(vals.shape), axis=1)
-                same = (srt[:, :, None] == srt[:, None, :]).sum(axis=2)
-                best = srt[np.arange(len(srt)), same.argmax(axis=1)]  # first max = smallest value
-                out_modes[x].extend(np.asarray(uniq, dtype=object)[best].tolist())
-        res = pd.DataFrame({label: q[label].to_numpy(), key: q[key].to_numpy(),
-                            "_k": k_eff, "_nbr": out_nbr})
+                out_modes[x].extend(_modes(cv[nb, j]))
+        res = pd.DataFrame({label: q[label].to_numpy(), key: q[key].to_numpy(), "_k": k_eff, "_nbr": out_nbr})
         for x in categorical:
             res[f"_mode_{x}"] = out_modes[x]
         return res
@@ -259,10 +297,8 @@ def smotenc(df: DataFrame, label: str = LABEL, categorical=None, numeric=None, k
     base = work.where(F.col("_m") > 0).join(nbrs, [label, key])
     t = F.col("_t")
     ex = base.withColumn("_t", F.explode(F.sequence(F.lit(0), F.col("_m") - 1)))
-    pick = F.when(F.col("_k") > 0,
-                  (uniform_hash(key, "nbr", seed, t) % F.col("_k")).cast("int")).otherwise(F.lit(None))
-    gap = unit_hash(key, "gap", seed, t)
-    ex = ex.withColumn("_pick", pick).withColumn("_u", gap)
+    pick = F.when(F.col("_k") > 0, (uniform_hash(key, "nbr", seed, t) % F.col("_k")).cast("int"))
+    ex = ex.withColumn("_pick", pick).withColumn("_u", unit_hash(key, "gap", seed, t))
     out_cols = []
     for f in df.schema.fields:
         c = f.name
