@@ -7,7 +7,6 @@ ydstogo < 50 punt, < 75 field_goal, < 90 pass, < 96 run, otherwise no_play.
 
 from __future__ import annotations
 
-from pyspark.ml.feature import StringIndexer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -30,17 +29,26 @@ def band_sql(expr: str) -> str:
     return f"(case {whens} else '{LAST_BAND}' end)"
 
 
+def label_order(df: DataFrame, label: str = LABEL) -> list:
+    """Labels by descending frequency, ties alphabetical: StringIndexer's order.
+
+    One grouped count; one row per class reaches the driver.
+    """
+    rows = df.where(F.col(label).isNotNull()).groupBy(label).count().collect()
+    return [r[label] for r in sorted(rows, key=lambda r: (-r["count"], str(r[label])))]
+
+
 def rule_predictions(df: DataFrame, label: str = LABEL, index: str = LABEL_INDEX) -> DataFrame:
-    """Adds ``index`` (StringIndexer: by frequency, ties alphabetical), ``prediction``
-    (the rule's play type under the same index) and multilabel ``labels`` /
-    ``predictions`` arrays.
+    """Adds ``index`` (as StringIndexer: by frequency, ties alphabetical),
+    ``prediction`` (the rule's play type under the same index) and multilabel
+    ``labels`` / ``predictions`` arrays.
 
-    The label list of the fitted indexer has one entry per class, so the
-    lookup map is small and bounded by the number of classes.
+    The label list has one entry per class, so the lookup map is small and
+    bounded by the number of classes.
     """
-    model = StringIndexer(inputCol=label, outputCol=index).fit(df)
-    lookup = F.create_map(*[x for i, lab in enumerate(model.labels) for x in (F.lit(lab), F.lit(float(i)))])
-    out = model.transform(df).withColumn("prediction", lookup[band("ydstogo")])
+    labels = label_order(df, label)
+    lookup = F.create_map(*[x for i, lab in enumerate(labels) for x in (F.lit(lab), F.lit(float(i)))])
+    out = df.withColumn(index, lookup[F.col(label)]).withColumn("prediction", lookup[band("ydstogo")])
     windy = ~F.isnan("wind") & (F.col("wind") > 20)
     labels = F.array_distinct(F.when(windy, F.array(F.col(index), lookup[F.lit("run")]))
                               .otherwise(F.array(F.col(index))))

@@ -54,13 +54,21 @@ def confusion_matrix(pred: DataFrame, label: str = LABEL_COL, prediction: str =
 
 
 def per_label(pred: DataFrame, label: str = LABEL_COL, prediction: str = PREDICTION_COL) -> DataFrame:
-    """(label, n_actual, n_predicted, tp, precision, recall, f1) per label seen anywhere."""
+    """(label, n_actual, n_predicted, tp, precision, recall, f1) per label seen anywhere.
+
+    Each confusion cell counts once for its actual label and once for its
+    predicted label; one more grouped sum gives the per-label totals, so no
+    join is needed.
+    """
     c = confusion_counts(pred, label, prediction)
-    actual = c.groupBy(F.col("actual").alias("label")).agg(F.sum("n").alias("n_actual"))
-    predicted = c.groupBy(F.col("predicted").alias("label")).agg(F.sum("n").alias("n_predicted"))
-    tp = c.where(F.col("actual") == F.col("predicted")).select(F.col("actual").alias("label"), F.col("n").alias("tp"))
-    s = (actual.join(predicted, "label", "full").join(tp, "label", "left")
-               .na.fill(0, ["n_actual", "n_predicted", "tp"]))
+    n, diag = F.col("n"), F.when(F.col("actual") == F.col("predicted"), F.col("n")).otherwise(F.lit(0))
+    sides = F.array(
+        F.struct(F.col("actual").alias("label"), n.alias("n_actual"), F.lit(0).cast("bigint").alias("n_predicted"),
+                 diag.cast("bigint").alias("tp")),
+        F.struct(F.col("predicted").alias("label"), F.lit(0).cast("bigint").alias("n_actual"),
+                 n.alias("n_predicted"), F.lit(0).cast("bigint").alias("tp")))
+    s = (c.select(F.explode(sides).alias("s")).select("s.*")
+          .groupBy("label").agg(*[F.sum(x).alias(x) for x in ("n_actual", "n_predicted", "tp")]))
     p = F.when(F.col("n_predicted") > 0, F.col("tp") / F.col("n_predicted")).otherwise(0.0)
     r = F.when(F.col("n_actual") > 0, F.col("tp") / F.col("n_actual")).otherwise(0.0)
     s = s.withColumn("precision", p).withColumn("recall", r)

@@ -158,8 +158,13 @@ def _pick_pivots(df, label, key, counts, seed, cell_rows, max_pivots):
 
 
 def smotenc(df: DataFrame, label: str = LABEL, categorical=None, numeric=None, key: str = KEY,
-            k: int = 5, seed: int = 42, cell_rows: int = CELL_ROWS, max_pivots: int = MAX_PIVOTS) -> DataFrame:
-    """Oversample every class to the largest class's count."""
+            k: int = 5, seed: int = 42, cell_rows: int = CELL_ROWS, max_pivots: int = MAX_PIVOTS,
+            diagnostics: dict | None = None) -> DataFrame:
+    """Oversample every class to the largest class's count.
+
+    ``diagnostics``, when given, receives row counts of the kNN passes
+    (extra jobs; for measuring how well the cell bounds prune).
+    """
     numeric = list(numeric)
     categorical = list(categorical)
     df = materialize(df)  # reused by every pass below
@@ -249,6 +254,9 @@ def smotenc(df: DataFrame, label: str = LABEL, categorical=None, numeric=None, k
     rep_schema = T.StructType([work.schema[c] for c in cols] + [
         T.StructField("_cell", T.IntegerType()), T.StructField("_own", T.BooleanType())])
     replicated = work.select(*cols).mapInPandas(replicate, rep_schema)
+    if diagnostics is not None:
+        diagnostics.update(rows=work.count(), sent=replicated.count(),
+                           queries=work.where(F.col("_m") > 0).count(), cells=len(cell_stats))
 
     nbr_schema = T.StructType(
         [df.schema[label], df.schema[key], T.StructField("_k", T.IntegerType()),

@@ -125,3 +125,10 @@ def test_param_grids():
     assert len(M.grid(M.classifier("nb"), M.NB_GRID)) == 19
     assert M.NB_GRID["smoothing"][0] == 0.05 and M.NB_GRID["smoothing"][-1] == 0.95
     assert not math.isnan(M.NB_GRID["smoothing"][2])
+
+
+def test_label_order_matches_string_indexer(spark):
+    from pyspark.ml.feature import StringIndexer
+    from playlab.functions.rules import label_order
+    df = spark.createDataFrame([(x,) for x in "bbaaccd"], "play_type string")
+    assert label_order(df) == StringIndexer(inputCol="play_type", outputCol="i").fit(df).labels
