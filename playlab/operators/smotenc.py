@@ -27,8 +27,10 @@ scaled by m_c / sqrt 2), so the triangle inequality holds.  Following the
 pivot partitioning of Lu, Shen, Chen and Ooi, "Efficient Processing of k
 Nearest Neighbor Joins using MapReduce", PVLDB 5(10), 2012:
 
-* each class picks P_c = min(max_pivots, ceil(n_c / cell_rows)) pivot rows
-  by key hash (a bounded table, checked before it is shipped to tasks);
+* each class picks P_c = ceil(n_c / cell_rows) pivot rows by key hash, within
+  a global budget of ``max_pivots`` shared in proportion to class size; the
+  pivot table is therefore bounded, and it reaches the tasks once per
+  executor as a broadcast whose size is checked first;
 * pass 1 (``mapInPandas``, numpy): every row goes to the cell of its nearest
   pivot.  Per cell: U_i = largest distance of a query row to pivot i, D_i =
   distance from pivot i to its (k'+1)-th nearest member;
@@ -61,7 +63,8 @@ from playlab.functions.hashing import uniform_hash, unit_hash
 from playlab.operators.sampling import mark_smallest
 from playlab.session import materialize
 
-MAX_PIVOTS = 4096       # per class; bounds what is shipped to the tasks
+MAX_PIVOTS = 262_144    # over all classes; bounds what is broadcast to the tasks
+MAX_PIVOT_BYTES = 256 << 20
 CELL_ROWS = 1000        # rows per cell aimed for
 _BLOCK_ENTRIES = 4_000_000  # distance entries per numpy block (about 32 MB)
 
@@ -105,14 +108,15 @@ def _block_rows(width: int) -> int:
 class _ClassPivots:
     """One class's pivots: numeric matrix, categorical codes and vocabularies."""
 
-    def __init__(self, rows, numeric, categorical, m):
+    def __init__(self, rows: pd.DataFrame, numeric, categorical, m):
         self.numeric, self.categorical, self.m2 = numeric, categorical, m * m
-        self.pn = np.array([[float(r[x]) for x in numeric] for r in rows], dtype=float).reshape(
-            len(rows), len(numeric))
-        self.vocab = [pd.Index(pd.unique(pd.Series([r[x] for r in rows], dtype=object))) for x in categorical]
-        self.pc = np.stack([self.vocab[j].get_indexer(pd.Series([r[x] for r in rows], dtype=object))
-                            for j, x in enumerate(categorical)], axis=1) if categorical else \
-            np.zeros((len(rows), 0), dtype=np.int64)
+        self.pn = rows[numeric].to_numpy(float).reshape(len(rows), len(numeric))
+        self.vocab = [pd.Index(pd.unique(rows[x].astype(object))) for x in categorical]
+        self.pc = np.stack([self.vocab[j].get_indexer(rows[x].astype(object)) for j, x in enumerate(categorical)],
+                           axis=1) if categorical else np.zeros((len(rows), 0), dtype=np.int64)
+
+    def nbytes(self) -> int:
+        return self.pn.nbytes + self.pc.nbytes + sum(64 * len(v) for v in self.vocab)
 
     def encode(self, frame: pd.DataFrame) -> np.ndarray:
         """Codes of the rows' categories in the pivot vocabularies (-1: no pivot has it)."""
@@ -150,11 +154,16 @@ def _modes(values: np.ndarray) -> list:
     return np.asarray(uniq, dtype=object)[best].tolist()
 
 
-def _pick_pivots(df, label, key, counts, seed, cell_rows, max_pivots):
-    """Pivot rows per class: the P_c rows with the smallest hash(key, 'pivot')."""
-    want = {c: min(max_pivots, max(1, math.ceil(n / cell_rows))) for c, (n, _) in counts.items()}
-    chosen = mark_smallest(df, label, key, "pivot", seed, want, "_p").where("_p")
-    return chosen.collect()  # at most sum(P_c) <= classes * max_pivots rows
+def _pick_pivots(df, label, key, counts, seed, cell_rows, max_pivots, columns) -> pd.DataFrame:
+    """Pivot rows per class: the P_c rows with the smallest hash(key, 'pivot').
+
+    P_c = ceil(n_c / cell_rows), but all classes together stay within
+    ``max_pivots`` (shared in proportion to class size, at least one each).
+    """
+    total = sum(n for n, _ in counts.values())
+    want = {c: max(1, min(math.ceil(n / cell_rows), (max_pivots * n) // total)) for c, (n, _) in counts.items()}
+    chosen = mark_smallest(df, label, key, "pivot", seed, want, "_p").where("_p").select(*columns)
+    return chosen.toPandas()  # at most max_pivots + classes rows, through Arrow
 
 
 def smotenc(df: DataFrame, label: str = LABEL, categorical=None, numeric=None, key: str = KEY,
@@ -186,13 +195,17 @@ def smotenc(df: DataFrame, label: str = LABEL, categorical=None, numeric=None, k
 
     counts = {c: (n, m) for c, (n, m, _) in plan.items()}
     kk = {c: min(k, n - 1) for c, (n, _) in counts.items()}
-    pivot_rows = _pick_pivots(work, label, key, counts, seed, cell_rows, max_pivots)
-    piv = {c: _ClassPivots([r for r in pivot_rows if r[label] == c], numeric, categorical, counts[c][1])
-           for c in plan}
     cols = [label, key, "_m"] + numeric + categorical
+    pivot_rows = _pick_pivots(work, label, key, counts, seed, cell_rows, max_pivots, cols)
+    piv = {c: _ClassPivots(g, numeric, categorical, counts[c][1]) for c, g in pivot_rows.groupby(label)}
+    size = sum(p.nbytes() for p in piv.values())
+    if size > MAX_PIVOT_BYTES:
+        raise ValueError(f"pivot table of {size} bytes exceeds {MAX_PIVOT_BYTES}: lower max_pivots")
+    piv_bc = df.sparkSession.sparkContext.broadcast(piv)  # bounded above; once per executor
 
     # pass 1: nearest pivot of every row
     def assign(batches):
+        piv = piv_bc.value
         for pdf in batches:
             cell = np.zeros(len(pdf), dtype=np.int32)
             dist = np.zeros(len(pdf))
@@ -225,14 +238,20 @@ def smotenc(df: DataFrame, label: str = LABEL, categorical=None, numeric=None, k
                     U[r["_cell"]] = r["U"]
                 if r["D"] is not None:
                     D[r["_cell"]] = r["D"]
-        pp = np.sqrt(_dist2(pv.pn, pv.pc, pv.pn, pv.pc, pv.m2))  # pivots x pivots, small and local
-        theta = U + np.min(pp + D[None, :], axis=1)
+        # theta_i = U_i + min_j (|p_i p_j| + D_j), in row blocks of the local pivot matrix
+        near = np.empty(p)
+        step = _block_rows(p)
+        for s in range(0, p, step):
+            pp = np.sqrt(_dist2(pv.pn[s:s + step], pv.pc[s:s + step], pv.pn, pv.pc, pv.m2))
+            near[s:s + step] = np.min(pp + D[None, :], axis=1)
+        theta = U + near
         # -inf where a cell has no query (nothing to send); the slack covers the
         # rounding of distance^2 used to order neighbours
         reach[c] = U + theta + 1e-3
 
     # pass 2: every row to its own cell and to each cell whose queries it may serve
     def replicate(batches):
+        piv = piv_bc.value
         for pdf in batches:
             pieces = []
             for c, pos in pdf.groupby(label).indices.items():
