@@ -148,7 +148,7 @@ def feature_ctes(source: str, cats, nums, one_hot: bool = True, numeric: bool =
         offset = str(len(nums))
     if one_hot:
         for c in cats:
-            pieces.append(f"select fx.row_id, cast({offset} + ix.i as integer) as slot, 1.0 as value "
+            pieces.append(f"select fx.row_id, cast({offset} + ix.i as integer) as slot, cast(1.0 as double) as value "
                           f"from fx join ix_{c} ix on cast(fx.{c} as varchar) = cast(ix.v as varchar) "
                           f"where ix.i < ix.nd - 1")
             offset = f"({offset} + (select max(nd) - 1 from ix_{c}))"
@@ -211,7 +211,7 @@ sp as (select p.*, case when p.k > 0 then {hnbr} % p.k + 1 end as pick,
 sm as (select {', '.join(CLEAN_COLS)}, 0 as synth from {src}
        union all
        select p.row_id, p.season_type, p.week, p.posteam, p.quarter_seconds_remaining, p.down, p.ydstogo,
-              p.play_type, p.ep, p.season, p.wind, p.temp, p.roof, p.surface, p.t + 1 as synth
+              p.play_type, p.ep, p.season, p.wind, p.temp, p.roof, p.surface, cast(p.t + 1 as integer) as synth
        from (select p.row_id, p.play_type, p.t, {num_out}, {cat_out}
              from (select * replace (t as t) from sp) p
              left join nb on nb.qid = p.row_id and nb.nr = p.pick

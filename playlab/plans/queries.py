@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.ml import Pipeline
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -16,9 +17,14 @@ from pyspark.sql import types as T
 from playlab.functions.columns import (
     END_SEASON, FIRST_SEASON, HOLDOUT_SEASON, KEY, LABEL, NULL_CHECKED, REFERENCE_COLUMNS,
 )
+from playlab.functions.rules import rule_predictions
 from playlab.operators import aggregates as A
 from playlab.operators import clean as P
+from playlab.operators import evaluate as E
+from playlab.operators import features as FE
+from playlab.operators import models as M
 from playlab.operators import sampling as R
+from playlab.operators import smotenc as SM
 from playlab.plans import oracle as O
 from playlab.plans.prepare import base_frame, cleaned, prepare, season_test, training_fill
 from playlab.session import shared_dir
@@ -348,8 +354,6 @@ def q_season_test_frame(spark, d):
 
 
 # ---------------------------------------------------------------- evaluation (rule predictions)
-from playlab.functions.rules import rule_predictions  # noqa: E402
-from playlab.operators import evaluate as E  # noqa: E402
 
 _RULE = O.rule_ctes("clean")
 
@@ -463,10 +467,6 @@ def q_multilabel_label_set(spark, d):
 
 
 # ---------------------------------------------------------------- features
-from pyspark.ml import Pipeline  # noqa: E402
-
-from playlab.operators import features as FE  # noqa: E402
-from playlab.operators import models as M  # noqa: E402
 
 # categorical and numeric feature columns present in the plays fixture, in the
 # reference's order (categoricals as indexed there, numerics by the dtype rule)
@@ -502,7 +502,7 @@ def q_string_index(spark, d):
 
 @query("one_hot", O.with_base(
     " union all ".join(
-        f"select fu.row_id, '{c}' as column_name, cast(ix.i as integer) as slot, 1.0 as value "
+        f"select fu.row_id, '{c}' as column_name, cast(ix.i as integer) as slot, cast(1.0 as double) as value "
         f"from fu join ix_{c} ix on cast(fu.{c} as varchar) = cast(ix.v as varchar) where ix.i < ix.nd - 1"
         for c in CATS),
     O.feature_ctes("train", CATS, NUMS)))
@@ -667,7 +667,6 @@ def q_score(spark, d):
 
 
 # ---------------------------------------------------------------- SMOTE-NC, balancing, flagship
-from playlab.operators import smotenc as SM  # noqa: E402
 
 _SM_ROUND = ", ".join(f"round({c}, 6) as {c}" for c in O.SMOTE_NUMS)
 
