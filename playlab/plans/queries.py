@@ -690,11 +690,9 @@ def q_balance_classes(spark, d):
 
 
 @query("prepare", O.with_base(
-    f"""select *, 0 as synth, 'train' as split from train
-        union all select *, 0 as synth, 'test' as split from test
-        union all select *, 'balanced' as split from (select * from sm)""".replace(
-        "select *, cast(null", "select * replace (" + _SM_ROUND + "), cast(null").replace(
-        "select *, 'balanced'", "select * replace (" + _SM_ROUND + "), 'balanced'"),
+    f"""select * replace ({_SM_ROUND}), 0 as synth, 'train' as split from train
+        union all select * replace ({_SM_ROUND}), 0 as synth, 'test' as split from test
+        union all select * replace ({_SM_ROUND}), 'balanced' as split from sm""",
     O.undersample_ctes("train", 2, "us2") + "," + O.smote_ctes("us2")))
 def q_prepare(spark, d):
     return _rounded(prepare(plays(spark, d), balanced=True).frames())
