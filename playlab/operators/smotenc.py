@@ -227,17 +227,17 @@ def smotenc(df: DataFrame, label: str = LABEL, categorical=None, numeric=None, k
                   .groupBy(label, "_cell")
                   .agg(F.max(F.when(F.col("_q"), F.col("_d"))).alias("U"),
                        F.max(F.when(F.col("_rn") == kk_col + 1, F.col("_d"))).alias("D"))
-                  .collect())  # one row per cell: bounded by the pivot count
+                  .toPandas())  # one row per cell: bounded by the pivot budget, through Arrow
+    by_class = dict(tuple(cell_stats.groupby(label))) if len(cell_stats) else {}
     reach = {}
     for c, pv in piv.items():
         p = len(pv.pn)
         U, D = np.full(p, -np.inf), np.full(p, np.inf)
-        for r in cell_stats:
-            if r[label] == c:
-                if r["U"] is not None:
-                    U[r["_cell"]] = r["U"]
-                if r["D"] is not None:
-                    D[r["_cell"]] = r["D"]
+        st = by_class.get(c)
+        if st is not None:
+            cells = st["_cell"].to_numpy(int)
+            U[cells] = st["U"].fillna(-np.inf).to_numpy(float)
+            D[cells] = st["D"].fillna(np.inf).to_numpy(float)
         # theta_i = U_i + min_j (|p_i p_j| + D_j), in row blocks of the local pivot matrix
         near = np.empty(p)
         step = _block_rows(p)
@@ -275,7 +275,7 @@ def smotenc(df: DataFrame, label: str = LABEL, categorical=None, numeric=None, k
     replicated = work.select(*cols).mapInPandas(replicate, rep_schema)
     if diagnostics is not None:
         diagnostics.update(rows=work.count(), sent=replicated.count(),
-                           queries=work.where(F.col("_m") > 0).count(), cells=len(cell_stats))
+                           queries=work.where(F.col("_m") > 0).count(), cells=int(len(cell_stats)))
 
     nbr_schema = T.StructType(
         [df.schema[label], df.schema[key], T.StructField("_k", T.IntegerType()),

@@ -113,3 +113,18 @@ def test_entry_smoke(spark):
     df = E.entry(spark)
     assert df.count() > 0
     assert set(E.oracle_sql()) <= set(E.queries())
+
+
+def test_smotenc_tiny_classes(spark):
+    rows = [(1, "a", 1.0, "x"), (2, "a", 2.0, "y"), (3, "a", 3.0, "x"), (4, "a", 4.0, "x"),
+            (5, "b", 10.0, "y"), (6, "b", 20.0, "z"), (7, "c", 5.0, "q")]
+    df = spark.createDataFrame(rows, "row_id long, play_type string, v double, cat string")
+    out = SM.smotenc(df, categorical=["cat"], numeric=["v"], cell_rows=1)
+    got = {r.play_type: r["count"] for r in out.groupBy("play_type").count().collect()}
+    assert got == {"a": 4, "b": 4, "c": 4}
+    # a single-row class is copied; a two-row class interpolates towards its other row
+    c_rows = out.where("play_type = 'c'").collect()
+    assert {(r.v, r.cat) for r in c_rows} == {(5.0, "q")}
+    for r in out.where("play_type = 'b' and synth > 0").collect():
+        assert 10.0 <= r.v <= 20.0
+        assert r.cat == ("z" if r.row_id == 5 else "y")
