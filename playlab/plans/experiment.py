@@ -33,6 +33,7 @@ class Experiment:
     scored: dict          # frame name -> predictions
     report: DataFrame     # one row of metrics per frame
     confusion: DataFrame  # (frame, actual, predicted, n)
+    dropped: list         # categoricals left out: a single value in training
 
 
 def experiment(plays: DataFrame, kind: str, grid_spec: dict, categorical, numeric, *, balanced: bool = False,
@@ -57,6 +58,7 @@ def experiment(plays: DataFrame, kind: str, grid_spec: dict, categorical, numeri
         frames = {k: v.drop("season") for k, v in frames.items()}
     train = blank_to(train, "surface")
     frames = {k: blank_to(v, "surface") for k, v in frames.items()}
+    categorical, dropped = FE.usable_categoricals(train, categorical)  # one-hot needs two values
 
     features = FE.feature_pipeline(categorical, numeric, kind=SCALER[kind], label="play_type",
                                    handle_invalid="keep").fit(train)
@@ -76,4 +78,4 @@ def experiment(plays: DataFrame, kind: str, grid_spec: dict, categorical, numeri
     for k, v in scored.items():
         part = E.confusion_matrix(v).select(F.lit(k).alias("frame"), "*")
         confusion = part if confusion is None else confusion.unionByName(part)
-    return Experiment(model, tuned, scored, report, confusion)
+    return Experiment(model, tuned, scored, report, confusion, dropped)

@@ -132,3 +132,9 @@ def test_label_order_matches_string_indexer(spark):
     from playlab.functions.rules import label_order
     df = spark.createDataFrame([(x,) for x in "bbaaccd"], "play_type string")
     assert label_order(df) == StringIndexer(inputCol="play_type", outputCol="i").fit(df).labels
+
+
+def test_usable_categoricals(spark):
+    from playlab.operators.features import usable_categoricals
+    df = spark.createDataFrame([("a", 1, "x"), ("b", 1, "x"), ("a", 1, "y")], "s string, i int, t string")
+    assert usable_categoricals(df, ["s", "i", "t"]) == (["s", "t"], ["i"])
