@@ -1,4 +1,4 @@
-"""One modelling run of the reference's notebooks, as a single call.
+"""One modelling run, as a single call.
 
 prepare -> (balance) -> feature pipeline fitted once on training rows ->
 grid search of the classifier -> best model -> scores, metric report and
@@ -22,7 +22,7 @@ from playlab.operators.aggregates import impute
 from playlab.operators.clean import blank_to
 from playlab.plans.prepare import prepare, season_test
 
-# scaler per classifier, as in the reference notebooks
+# scaler per classifier: min-max to [1, 2] keeps naive Bayes inputs positive
 SCALER = {"lr": "maxabs", "rf": "maxabs", "nb": "minmax", "mlp": "maxabs"}
 
 

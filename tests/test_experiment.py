@@ -1,4 +1,4 @@
-"""End-to-end runs shaped like the reference notebooks."""
+"""End-to-end modelling runs: regular sampling, season holdout, balanced training."""
 
 import pytest
 
