@@ -128,6 +128,27 @@ def tune(features_df: DataFrame, estimator, param_maps, metric: str = "accuracy"
     return Tuned(best_model, best, param_maps, scores, metric)
 
 
+def tune_pipeline(train: DataFrame, features: Pipeline, estimator, param_maps, metric: str = "accuracy",
+                  ratio: float = 0.8, seed: int = 42, parallelism: int = 2, label: str = LABEL_INDEX) -> Tuned:
+    """The reference's search: ``TrainValidationSplit`` over the whole pipeline, so
+    every grid entry refits the feature stages on its 80% (M6, ``refit_features``).
+
+    The split is Spark's seeded ``randomSplit``; results then depend on the
+    partition layout, unlike ``tune``.
+    """
+    from pyspark.ml.tuning import TrainValidationSplit
+
+    evaluator = MulticlassClassificationEvaluator(labelCol=label, predictionCol="prediction", metricName=metric)
+    pipe = Pipeline(stages=features.getStages() + [estimator])
+    tvs = TrainValidationSplit(estimator=pipe, estimatorParamMaps=param_maps, evaluator=evaluator,
+                               trainRatio=ratio, seed=seed, parallelism=parallelism)
+    fitted = tvs.fit(train)
+    scores = list(fitted.validationMetrics)
+    best = max(range(len(scores)), key=lambda i: (scores[i], -i)) if evaluator.isLargerBetter() else \
+        min(range(len(scores)), key=lambda i: (scores[i], i))
+    return Tuned(fitted.bestModel, best, param_maps, scores, metric)
+
+
 def best_params(spark: SparkSession, model) -> DataFrame:
     """(param, value) of a fitted model's parameters, values as text (M7)."""
     stage = model.stages[-1] if isinstance(model, PipelineModel) else model

@@ -38,12 +38,14 @@ class Experiment:
 
 def experiment(plays: DataFrame, kind: str, grid_spec: dict, categorical, numeric, *, balanced: bool = False,
                holdout: int | None = None, metric: str = "accuracy", seed: int = 42,
-               parallelism: int = 2, hidden=(16,)) -> Experiment:
+               parallelism: int = 2, hidden=(16,), refit_features: bool = False) -> Experiment:
     """Tune ``kind`` over ``grid_spec`` and evaluate it.
 
     ``holdout``: train and test come from seasons before it, the season itself
     is a second test frame, and ``season`` is not a feature.  ``balanced``:
     fit on the undersampled and SMOTE-NC-oversampled training frame.
+    ``refit_features``: search as the reference does, refitting the feature
+    stages for every grid entry (``TrainValidationSplit`` over the pipeline).
     """
     end = holdout if holdout is not None else END_SEASON
     prep = prepare(plays, end=end, balanced=balanced, seed=seed,
@@ -60,8 +62,9 @@ def experiment(plays: DataFrame, kind: str, grid_spec: dict, categorical, numeri
     frames = {k: blank_to(v, "surface") for k, v in frames.items()}
     categorical, dropped = FE.usable_categoricals(train, categorical)  # one-hot needs two values
 
-    features = FE.feature_pipeline(categorical, numeric, kind=SCALER[kind], label="play_type",
-                                   handle_invalid="keep").fit(train)
+    feature_stages = FE.feature_pipeline(categorical, numeric, kind=SCALER[kind], label="play_type",
+                                         handle_invalid="keep")
+    features = feature_stages.fit(train)
     ftrain = features.transform(train)
     params = {}
     if kind == "mlp":
@@ -69,9 +72,14 @@ def experiment(plays: DataFrame, kind: str, grid_spec: dict, categorical, numeri
         params["layers"] = M.mlp_layers(ftrain, "scaledFeatures", list(hidden), n_classes)
     clf = M.classifier(kind, **params)
     key = [KEY, "synth"] if balanced else KEY
-    tuned = M.tune(ftrain, clf, M.grid(clf, grid_spec), metric=metric, seed=seed, key=key,
-                   parallelism=parallelism)
-    model = PipelineModel(features.stages + [tuned.best_model])
+    if refit_features:
+        tuned = M.tune_pipeline(train, feature_stages, clf, M.grid(clf, grid_spec), metric=metric, seed=seed,
+                                parallelism=parallelism)
+        model = tuned.best_model
+    else:
+        tuned = M.tune(ftrain, clf, M.grid(clf, grid_spec), metric=metric, seed=seed, key=key,
+                       parallelism=parallelism)
+        model = PipelineModel(features.stages + [tuned.best_model])
     scored = {k: M.score(model, v) for k, v in frames.items()}
     report = E.metric_report(scored)
     confusion = None
