@@ -128,3 +128,13 @@ def test_smotenc_tiny_classes(spark):
     for r in out.where("play_type = 'b' and synth > 0").collect():
         assert 10.0 <= r.v <= 20.0
         assert r.cat == ("z" if r.row_id == 5 else "y")
+
+
+@pytest.mark.parametrize("parts", [1, 7])
+def test_smotenc_ignores_partitioning(spark, parts):
+    train = prepare(plays(spark, SF001)).train
+    cols = ["row_id", "synth"] + O.SMOTE_NUMS + O.SMOTE_CATS + ["play_type"]
+    base = SM.smotenc(train, categorical=O.SMOTE_CATS, numeric=O.SMOTE_NUMS, cell_rows=20)
+    other = SM.smotenc(train.repartition(parts), categorical=O.SMOTE_CATS, numeric=O.SMOTE_NUMS, cell_rows=20)
+    assert sorted(tuple(r) for r in base.select(*cols).collect()) == \
+        sorted(tuple(r) for r in other.select(*cols).collect())
