@@ -168,7 +168,7 @@ def _pick_pivots(df, label, key, counts, seed, cell_rows, max_pivots, columns) -
 
 def smotenc(df: DataFrame, label: str = LABEL, categorical=None, numeric=None, key: str = KEY,
             k: int = 5, seed: int = 42, cell_rows: int = CELL_ROWS, max_pivots: int = MAX_PIVOTS,
-            diagnostics: dict | None = None) -> DataFrame:
+            copy_groups: bool = True, diagnostics: dict | None = None) -> DataFrame:
     """Oversample every class to the largest class's count.
 
     ``diagnostics``, when given, receives row counts of the kNN passes
@@ -195,8 +195,32 @@ def smotenc(df: DataFrame, label: str = LABEL, categorical=None, numeric=None, k
 
     counts = {c: (n, m) for c, (n, m, _) in plan.items()}
     kk = {c: min(k, n - 1) for c, (n, _) in counts.items()}
+    kk_col = F.create_map(*[x for c, v in kk.items() for x in (F.lit(c), F.lit(v))])[lab]
     cols = [label, key, "_m"] + numeric + categorical
-    pivot_rows = _pick_pivots(work, label, key, counts, seed, cell_rows, max_pivots, cols)
+
+    # Groups of exact copies.  With m_c > 0 a row's distance 0 neighbours are
+    # exactly its copies, so a row with at least k' copies has only copies as
+    # neighbours and its synthetic rows are copies of it; other rows can only
+    # ever pick the k'+1 smallest keys of such a group.  Those groups leave the
+    # kNN passes (however large, no cell holds them), keeping k'+1 members.
+    knn, copy_queries = work, None
+    feats = numeric + categorical
+    short = [c for c in plan if counts[c][1] > 0 and kk[c] > 0]
+    if copy_groups and short and feats:
+        sizes = work.groupBy(label, *feats).agg(F.count(F.lit(1)).alias("_cg"))  # combined map-side
+        big_group = lab.isin(short) & (F.col("_cg") >= kk_col + 1)
+        if sizes.where(big_group).limit(1).count():
+            marked = work.join(sizes, [label, *feats])  # a hot group is split by AQE's skew join
+            big = big_group
+            w_copy = Window.partitionBy(label, *feats).orderBy(key)
+            reps = (marked.where(big).withColumn("_rk", F.row_number().over(w_copy))
+                    .where(F.col("_rk") <= F.lit(k + 1))  # literal limit: top rows kept per task before the shuffle
+                    .where(F.col("_rk") <= kk_col + 1)
+                    .withColumn("_m", F.lit(0)).drop("_rk", "_cg"))
+            copy_queries = marked.where(big & (F.col("_m") > 0)).drop("_cg")
+            knn = materialize(marked.where(~big).drop("_cg").unionByName(reps))
+
+    pivot_rows = _pick_pivots(knn, label, key, counts, seed, cell_rows, max_pivots, cols)
     piv = {c: _ClassPivots(g, numeric, categorical, counts[c][1]) for c, g in pivot_rows.groupby(label)}
     size = sum(p.nbytes() for p in piv.values())
     if size > MAX_PIVOT_BYTES:
@@ -220,8 +244,7 @@ def smotenc(df: DataFrame, label: str = LABEL, categorical=None, numeric=None, k
 
     assign_schema = T.StructType([df.schema[label], T.StructField("_cell", T.IntegerType()),
                                   T.StructField("_d", T.DoubleType()), T.StructField("_q", T.BooleanType())])
-    assigned = work.select(*cols).mapInPandas(assign, assign_schema)
-    kk_col = F.create_map(*[x for c, v in kk.items() for x in (F.lit(c), F.lit(v))])[lab]
+    assigned = knn.select(*cols).mapInPandas(assign, assign_schema)
     w = Window.partitionBy(label, "_cell").orderBy("_d")
     cell_stats = (assigned.withColumn("_rn", F.row_number().over(w))
                   .groupBy(label, "_cell")
@@ -272,10 +295,11 @@ def smotenc(df: DataFrame, label: str = LABEL, categorical=None, numeric=None, k
 
     rep_schema = T.StructType([work.schema[c] for c in cols] + [
         T.StructField("_cell", T.IntegerType()), T.StructField("_own", T.BooleanType())])
-    replicated = work.select(*cols).mapInPandas(replicate, rep_schema)
+    replicated = knn.select(*cols).mapInPandas(replicate, rep_schema)
     if diagnostics is not None:
-        diagnostics.update(rows=work.count(), sent=replicated.count(),
-                           queries=work.where(F.col("_m") > 0).count(), cells=int(len(cell_stats)))
+        diagnostics.update(rows=knn.count(), sent=replicated.count(),
+                           queries=knn.where(F.col("_m") > 0).count(), cells=int(len(cell_stats)),
+                           copy_queries=0 if copy_queries is None else copy_queries.count())
 
     nbr_schema = T.StructType(
         [df.schema[label], df.schema[key], T.StructField("_k", T.IntegerType()),
@@ -321,7 +345,7 @@ def smotenc(df: DataFrame, label: str = LABEL, categorical=None, numeric=None, k
     nbrs = replicated.groupBy(label, "_cell").applyInPandas(cell_knn, nbr_schema)
 
     # synthesis: one output row per (base row, t), no per-row Python
-    base = work.where(F.col("_m") > 0).join(nbrs, [label, key])
+    base = knn.where(F.col("_m") > 0).join(nbrs, [label, key])
     t = F.col("_t")
     ex = base.withColumn("_t", F.explode(F.sequence(F.lit(0), F.col("_m") - 1)))
     pick = F.when(F.col("_k") > 0, (uniform_hash(key, "nbr", seed, t) % F.col("_k")).cast("int"))
@@ -341,6 +365,9 @@ def smotenc(df: DataFrame, label: str = LABEL, categorical=None, numeric=None, k
         else:
             out_cols.append(F.col(c))
     synthetic = ex.select(*out_cols, (t + 1).alias("synth"))
+    if copy_queries is not None:
+        copies = copy_queries.withColumn("_t", F.explode(F.sequence(F.lit(0), F.col("_m") - 1)))
+        synthetic = synthetic.unionByName(copies.select(*df.columns, (t + 1).alias("synth")))
     return originals.unionByName(synthetic)
 
 

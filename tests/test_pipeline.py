@@ -138,3 +138,20 @@ def test_smotenc_ignores_partitioning(spark, parts):
     other = SM.smotenc(train.repartition(parts), categorical=O.SMOTE_CATS, numeric=O.SMOTE_NUMS, cell_rows=20)
     assert sorted(tuple(r) for r in base.select(*cols).collect()) == \
         sorted(tuple(r) for r in other.select(*cols).collect())
+
+
+def test_smotenc_copy_groups(spark):
+    # the training rows plus nine copies of each punt and pass row (new keys)
+    train = prepare(plays(spark, SF001)).train
+    extra = None
+    for i in range(1, 10):
+        part = train.where("play_type in ('punt', 'pass')").withColumn("row_id", F.col("row_id") * 100 + i)
+        extra = part if extra is None else extra.unionByName(part)
+    df = train.unionByName(extra).cache()
+    cols = ["row_id", "synth"] + O.SMOTE_NUMS + O.SMOTE_CATS + ["play_type"]
+    dg = {}
+    fast = SM.smotenc(df, categorical=O.SMOTE_CATS, numeric=O.SMOTE_NUMS, cell_rows=50, diagnostics=dg)
+    plain = SM.smotenc(df, categorical=O.SMOTE_CATS, numeric=O.SMOTE_NUMS, cell_rows=50, copy_groups=False)
+    assert dg["copy_queries"] > 0
+    assert sorted(tuple(r) for r in fast.select(*cols).collect()) == \
+        sorted(tuple(r) for r in plain.select(*cols).collect())
