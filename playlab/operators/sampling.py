@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -125,32 +126,47 @@ def _literal_map(d: dict):
     return F.create_map(*[x for k, v in d.items() for x in (F.lit(k), F.lit(v))])
 
 
-def mark_smallest(df: DataFrame, label: str, key: str | None, purpose: str, seed: int, want: dict,
+def mark_smallest(df: DataFrame, label: str, key: str | None, purpose: str, seed: int, want,
                   flag: str = "_sel", bits: int = 16) -> DataFrame:
     """Add a boolean ``flag``: true for the ``want[c]`` rows of class c with the
     smallest (hash(key, purpose, seed), key); all rows when ``want[c]`` is at
     least the class size; false for classes not in ``want``.
 
+    ``want`` is a dict, or a function from the class counts to that dict; the
+    counts then come from the same histogram pass (cached: it has at most
+    classes * 2**bits rows), so the data is read once for the statistics.
+
     No class is sorted in one task.  A histogram of the top ``bits`` bits of
-    the hash per (class, bin) -- a map-side combined aggregate of at most
-    classes * 2**bits rows -- gives, per class, the bin where the running
-    count reaches the target.  Rows in lower bins are flagged by a filter,
-    rows in higher bins are not, and only the boundary bin (about
-    n / 2**bits rows of the class) is ranked by a window.
+    the hash per (class, bin) -- a map-side combined aggregate -- gives, per
+    class, the bin where the running count reaches the target.  Rows in lower
+    bins are flagged by a filter, rows in higher bins are not, and only the
+    boundary bin (about n / 2**bits rows of the class) is ranked by a window.
     """
+    base = (df.withColumn("_h", _hash(df, key, purpose, seed))
+              .withColumn("_bin", F.shiftright("_h", 32 - bits)))
+    cached = None
+    if callable(want):
+        cached = (base.where(F.col(label).isNotNull()).groupBy(label, "_bin")
+                      .agg(F.count(F.lit(1)).alias("_n"))
+                      .persist(StorageLevel.MEMORY_AND_DISK))
+        counts = {r[label]: int(r["n"]) for r in cached.groupBy(label).agg(F.sum("_n").alias("n")).collect()}
+        want = want(counts)
     live = {c: int(n) for c, n in want.items() if n > 0 and c is not None}
     if not live:
+        if cached is not None:
+            cached.unpersist()
         return df.withColumn(flag, F.lit(False))
-    base = (df.withColumn("_h", _hash(df, key, purpose, seed))
-              .withColumn("_bin", F.shiftright("_h", 32 - bits)))
     want_col = _literal_map(live)[F.col(label)]
-    hist = (base.where(want_col.isNotNull()).groupBy(label, "_bin")
-                .agg(F.count(F.lit(1)).alias("_n")))
+    hist = cached if cached is not None else (
+        base.where(want_col.isNotNull()).groupBy(label, "_bin").agg(F.count(F.lit(1)).alias("_n")))
     w_cum = Window.partitionBy(label).orderBy("_bin").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    bounds = (hist.withColumn("_cum", F.sum("_n").over(w_cum)).withColumn("_want", want_col)
+    bounds = (hist.where(want_col.isNotNull())
+                  .withColumn("_cum", F.sum("_n").over(w_cum)).withColumn("_want", want_col)
                   .where((F.col("_cum") - F.col("_n") < F.col("_want")) & (F.col("_cum") >= F.col("_want")))
                   .select(label, "_bin", (F.col("_want") - (F.col("_cum") - F.col("_n"))).alias("_need"))
                   .collect())  # at most one row per class in `want`
+    if cached is not None:
+        cached.unpersist()
     if bounds:
         edge = _literal_map({r[label]: r["_bin"] for r in bounds})[F.col(label)]
         need = _literal_map({r[label]: r["_need"] for r in bounds})[F.col(label)]
@@ -173,14 +189,18 @@ def undersample(df: DataFrame, label: str = LABEL, key: str | None = KEY, seed:
     A cut class keeps its ``target`` rows with the smallest (hash, key); the
     others are untouched.  Rounds compose: each cuts the currently largest
     class to the minority size, so all targets follow from the class counts
-    (one small aggregate, one row per class) and one pass applies them.
+    and one pass applies them.  The counts and the rank boundaries come from
+    one histogram pass, so the data is read twice in all.
     """
-    counts = {r[label]: r["n"] for r in df.groupBy(label).agg(F.count(F.lit(1)).alias("n")).collect()
-              if r[label] is not None}
-    targets = undersample_targets(counts, rounds)
-    cut = {c: t for c, t in targets.items() if t < counts[c]}
+    cut = {}
+
+    def targets(counts: dict) -> dict:
+        t = undersample_targets(counts, rounds)
+        cut.update({c: v for c, v in t.items() if v < counts[c]})
+        return dict(cut)
+
+    marked = mark_smallest(df, label, key, "rank", seed, targets, "_keep")
     if not cut:
         return df
-    marked = mark_smallest(df, label, key, "rank", seed, cut, "_keep")
     keep = F.col("_keep") | ~F.col(label).isin(list(cut)) | F.col(label).isNull()
     return marked.where(keep).drop("_keep").select(*df.columns)
