@@ -80,12 +80,13 @@ def usable_categoricals(df: DataFrame, columns) -> tuple[list, list]:
 
 def feature_pipeline(categorical, numeric, kind: str | None = "maxabs", label: str | None = LABEL,
                      handle_invalid: str = "error", assemble_invalid: str = "skip",
-                     one_hot_only: bool = False) -> Pipeline:
+                     one_hot_only: bool = False, label_invalid: str = "error") -> Pipeline:
     """Index -> one-hot -> assemble -> scale as one estimator.
 
     ``label`` adds the label indexer (``play_type_idx``); ``handle_invalid``
     applies to the category indexer and encoder ("keep" for scoring frames
-    with categories unseen in training).
+    with categories unseen in training); ``label_invalid="skip"`` drops rows
+    whose label was unseen in training instead of failing.
     """
     stages = [index(categorical, handle_invalid), one_hot(categorical, handle_invalid)]
     inputs = ([] if one_hot_only else list(numeric)) + [vec(c) for c in categorical]
@@ -93,7 +94,7 @@ def feature_pipeline(categorical, numeric, kind: str | None = "maxabs", label: s
     if kind:
         stages.append(scaler(kind))
     if label:
-        stages.insert(0, label_indexer(label))
+        stages.insert(0, label_indexer(label, handle_invalid=label_invalid))
     return Pipeline(stages=stages)
 
 

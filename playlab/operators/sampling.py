@@ -141,6 +141,9 @@ def mark_smallest(df: DataFrame, label: str, key: str | None, purpose: str, seed
     class, the bin where the running count reaches the target.  Rows in lower
     bins are flagged by a filter, rows in higher bins are not, and only the
     boundary bin (about n / 2**bits rows of the class) is ranked by a window.
+    Without a key, identical rows share one hash and one fate; a very large
+    group of identical rows then sits in a single bin, so pass a key for such
+    data.
     """
     base = (df.withColumn("_h", _hash(df, key, purpose, seed))
               .withColumn("_bin", F.shiftright("_h", 32 - bits)))

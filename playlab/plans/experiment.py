@@ -38,7 +38,8 @@ class Experiment:
 
 def experiment(plays: DataFrame, kind: str, grid_spec: dict, categorical, numeric, *, balanced: bool = False,
                holdout: int | None = None, metric: str = "accuracy", seed: int = 42,
-               parallelism: int = 2, hidden=(16,), refit_features: bool = False) -> Experiment:
+               parallelism: int = 2, hidden=(16,), refit_features: bool = False,
+               label_invalid: str = "error") -> Experiment:
     """Tune ``kind`` over ``grid_spec`` and evaluate it.
 
     ``holdout``: train and test come from seasons before it, the season itself
@@ -63,7 +64,7 @@ def experiment(plays: DataFrame, kind: str, grid_spec: dict, categorical, numeri
     categorical, dropped = FE.usable_categoricals(train, categorical)  # one-hot needs two values
 
     feature_stages = FE.feature_pipeline(categorical, numeric, kind=SCALER[kind], label="play_type",
-                                         handle_invalid="keep")
+                                         handle_invalid="keep", label_invalid=label_invalid)
     features = feature_stages.fit(train)
     ftrain = features.transform(train)
     params = {}

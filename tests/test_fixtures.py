@@ -138,3 +138,12 @@ def test_usable_categoricals(spark):
     from playlab.operators.features import usable_categoricals
     df = spark.createDataFrame([("a", 1, "x"), ("b", 1, "x"), ("a", 1, "y")], "s string, i int, t string")
     assert usable_categoricals(df, ["s", "i", "t"]) == (["s", "t"], ["i"])
+
+
+def test_label_invalid_skip(spark):
+    from playlab.operators.features import feature_pipeline
+    train = spark.createDataFrame([("a", 1.0, "x"), ("b", 2.0, "y"), ("a", 3.0, "y")],
+                                  "cat string, v double, play_type string")
+    test = spark.createDataFrame([("a", 1.0, "x"), ("b", 2.0, "z")], "cat string, v double, play_type string")
+    model = feature_pipeline(["cat"], ["v"], label_invalid="skip").fit(train)
+    assert model.transform(test).count() == 1
