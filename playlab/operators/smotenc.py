@@ -67,6 +67,7 @@ MAX_PIVOTS = 262_144    # over all classes; bounds what is broadcast to the task
 MAX_PIVOT_BYTES = 256 << 20
 CELL_ROWS = 1000        # rows per cell aimed for
 _BLOCK_ENTRIES = 4_000_000  # distance entries per numpy block (about 32 MB)
+PRUNE_MIN = 4096           # candidates per cell above which the in-cell filter is used
 
 
 def class_stats(df: DataFrame, label: str, numeric, categorical=()) -> dict:
@@ -145,6 +146,56 @@ def _top_k(d: np.ndarray, k: int) -> np.ndarray:
     return np.take_along_axis(cols, order, axis=1)
 
 
+def _exact_knn(qn, qc, qk, cn, cc, ck, k: int, m2: float, prune_min: int = PRUNE_MIN) -> np.ndarray:
+    """Rows of the candidates (given in key order) holding each query's k
+    nearest by (distance^2 rounded to 6 decimals, key), the query itself
+    excluded.
+
+    Up to ``prune_min`` candidates every distance is computed.  Beyond that,
+    candidates and queries are placed on a line by their distance a(.) to one
+    reference candidate; |a(q) - a(o)| <= d(q, o).  A probe of 2k+1
+    candidates next to q on that line bounds q's k-th distance by theta_q,
+    and only candidates with a(o) within a(q) +- (theta_q + 0.01) are scored
+    (the slack keeps every candidate whose rounded distance could tie).
+    Exact, and much less than all pairs when the data are spread out.
+    """
+    n_q, n_c = len(qn), len(cn)
+    if n_c <= prune_min or n_c < 2 * k + 2:
+        out = []
+        step = _block_rows(n_c)
+        for s in range(0, n_q, step):
+            d = np.round(_dist2(qn[s:s + step], qc[s:s + step], cn, cc, m2), 6)
+            d[qk[s:s + step, None] == ck[None, :]] = np.inf
+            out.append(_top_k(d, k))
+        return np.concatenate(out) if out else np.zeros((0, k), dtype=np.int64)
+    a_c = np.sqrt(_dist2(cn, cc, cn[:1], cc[:1], m2))[:, 0]
+    a_q = np.sqrt(_dist2(qn, qc, cn[:1], cc[:1], m2))[:, 0]
+    by_a = np.argsort(a_c, kind="stable")
+    a_sorted = a_c[by_a]
+    w = 2 * k + 1
+    start = np.clip(np.searchsorted(a_sorted, a_q) - k, 0, n_c - w)
+    probe = by_a[start[:, None] + np.arange(w)[None, :]]  # w distinct candidates per query
+    dp = np.zeros(probe.shape)
+    for j in range(cn.shape[1]):
+        diff = qn[:, j:j + 1] - cn[probe, j]
+        dp += diff * diff
+    for j in range(cc.shape[1]):
+        dp += m2 * (qc[:, j:j + 1] != cc[probe, j])
+    dp[qk[:, None] == ck[probe]] = np.inf
+    theta = np.sqrt(np.partition(dp, k - 1, axis=1)[:, k - 1]) + 0.01
+    result = np.empty((n_q, k), dtype=np.int64)
+    q_order = np.argsort(a_q, kind="stable")
+    for s in range(0, n_q, 256):
+        blk = q_order[s:s + 256]
+        lo = np.searchsorted(a_sorted, np.min(a_q[blk] - theta[blk]), side="left")
+        hi = np.searchsorted(a_sorted, np.max(a_q[blk] + theta[blk]), side="right")
+        sub = np.sort(by_a[lo:hi])  # back to key order: ties go to the smaller key
+        d = np.round(_dist2(qn[blk], qc[blk], cn[sub], cc[sub], m2), 6)
+        d[qk[blk, None] == ck[sub][None, :]] = np.inf
+        result[blk] = sub[_top_k(d, k)]
+    return result
+
+
 def _modes(values: np.ndarray) -> list:
     """Per row, the most frequent value; ties go to the smallest value."""
     codes, uniq = pd.factorize(values.ravel(), sort=True)
@@ -168,7 +219,7 @@ def _pick_pivots(df, label, key, counts, seed, cell_rows, max_pivots, columns) -
 
 def smotenc(df: DataFrame, label: str = LABEL, categorical=None, numeric=None, key: str = KEY,
             k: int = 5, seed: int = 42, cell_rows: int = CELL_ROWS, max_pivots: int = MAX_PIVOTS,
-            copy_groups: bool = True, diagnostics: dict | None = None) -> DataFrame:
+            copy_groups: bool = True, prune_min: int = PRUNE_MIN, diagnostics: dict | None = None) -> DataFrame:
     """Oversample every class to the largest class's count.
 
     ``diagnostics``, when given, receives row counts of the kNN passes
@@ -320,23 +371,15 @@ def smotenc(df: DataFrame, label: str = LABEL, categorical=None, numeric=None, k
         cc = np.stack([vocab[j].get_indexer(cand[x].astype(object)) for j, x in enumerate(categorical)], axis=1) \
             if categorical else np.zeros((len(cand), 0), dtype=np.int64)
         ck = cand[key].to_numpy()
-        out_nbr, out_modes = [], {x: [] for x in categorical}
-        step = _block_rows(len(cand))
-        for s in range(0, len(q), step):
-            part = q.iloc[s:s + step]
-            if k_eff == 0:  # a class of one row: copies
-                out_nbr.extend([] for _ in range(len(part)))
-                for x in categorical:
-                    out_modes[x].extend(part[x].tolist())
-                continue
-            qc = np.stack([vocab[j].get_indexer(part[x].astype(object)) for j, x in enumerate(categorical)],
-                          axis=1) if categorical else np.zeros((len(part), 0), dtype=np.int64)
-            d = np.round(_dist2(part[numeric].to_numpy(float), qc, cn, cc, m2), 6)
-            d[part[key].to_numpy()[:, None] == ck[None, :]] = np.inf  # not itself
-            nb = _top_k(d, k_eff)
-            out_nbr.extend(cn[nb].tolist())
-            for j, x in enumerate(categorical):
-                out_modes[x].extend(_modes(cv[nb, j]))
+        if k_eff == 0:  # a class of one row: copies
+            out_nbr = [[] for _ in range(len(q))]
+            out_modes = {x: q[x].tolist() for x in categorical}
+        else:
+            qc = np.stack([vocab[j].get_indexer(q[x].astype(object)) for j, x in enumerate(categorical)],
+                          axis=1) if categorical else np.zeros((len(q), 0), dtype=np.int64)
+            nb = _exact_knn(q[numeric].to_numpy(float), qc, q[key].to_numpy(), cn, cc, ck, k_eff, m2, prune_min)
+            out_nbr = cn[nb].tolist()
+            out_modes = {x: _modes(cv[nb, j]) for j, x in enumerate(categorical)}
         res = pd.DataFrame({label: q[label].to_numpy(), key: q[key].to_numpy(), "_k": k_eff, "_nbr": out_nbr})
         for x in categorical:
             res[f"_mode_{x}"] = out_modes[x]

@@ -26,3 +26,19 @@ def test_modes_ties_go_to_smallest():
     vals = np.array([["b", "a", "b", "a", "c"], ["x", "y", "y", "z", "z"]], dtype=object)
     assert _modes(vals) == ["a", "y"]
     assert _modes(np.array([[3, 1, 2]], dtype=object)) == [1]
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.integers(20, 300), st.integers(1, 40), st.integers(1, 5), st.integers(0, 10 ** 6), st.booleans())
+def test_pruned_knn_equals_brute_force(n_c, n_q, k, seed, coarse):
+    from playlab.operators.smotenc import _exact_knn
+    rng = np.random.default_rng(seed)
+    scale = 3 if coarse else 1000
+    cn = rng.integers(0, scale, size=(n_c, 3)).astype(float)  # coarse values: many exact ties
+    cc = rng.integers(0, 3, size=(n_c, 2))
+    ck = np.arange(n_c) * 7 + 3
+    qi = rng.choice(n_c, size=min(n_q, n_c), replace=False)
+    args = (cn[qi], cc[qi], ck[qi], cn, cc, ck, k, 2.25)
+    brute = _exact_knn(*args, prune_min=10 ** 9)
+    pruned = _exact_knn(*args, prune_min=0)
+    assert (brute == pruned).all()
