@@ -29,7 +29,7 @@ from playlab.plans import oracle as O
 from playlab.plans.prepare import base_frame, cleaned, prepare, season_test, training_fill
 from playlab.session import shared_dir
 from playlab.sources import io as S
-from playlab.sources.plays import plays, scan, scan_table, write_partitioned
+from playlab.sources.plays import plays, scan, write_partitioned
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
