@@ -26,10 +26,11 @@ _LOCAL_DEFAULTS = {
 }
 
 
-def local_session(cores: int = 8, shuffle_partitions: int = 8, app: str = "playlab") -> SparkSession:
+def local_session(cores: int = 8, shuffle_partitions: int = 8, app: str = "playlab",
+                  extra_conf: dict | None = None) -> SparkSession:
     """A local session for tests and the benchmark."""
     builder = SparkSession.builder.master(f"local[{cores}]").appName(app)
-    for k, v in _LOCAL_DEFAULTS.items():
+    for k, v in {**_LOCAL_DEFAULTS, **(extra_conf or {})}.items():
         builder = builder.config(k, v)
     builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     spark = builder.getOrCreate()
