@@ -10,12 +10,47 @@ from conftest import SF001
 _MODEL = {"logistic_regression", "random_forest", "mlp", "tune", "best_params", "score", "naive_bayes"}
 
 
+def global_windows(plan: str) -> list:
+    """Window operators without PARTITION BY (they move every row into one task).
+
+    Spark prints ``Window [functions], [partition keys], [order]`` and leaves
+    out the partition group when it is empty.
+    """
+    found = []
+    for line in plan.splitlines():
+        at = line.find("Window [")
+        if at < 0:
+            continue
+        text, depth, groups = line[at + len("Window "):], 0, 0
+        for ch in text:
+            if ch == "[":
+                depth += 1
+                if depth == 1:
+                    groups += 1
+            elif ch == "]":
+                depth -= 1
+        if groups < 3:
+            found.append(line.strip())
+    return found
+
+
+def test_global_window_detector(spark):
+    from pyspark.sql import Window
+    from pyspark.sql import functions as F
+    df = spark.range(10)
+    glob = df.withColumn("r", F.row_number().over(Window.orderBy("id")))
+    part = df.withColumn("r", F.row_number().over(Window.partitionBy(F.col("id") % 2).orderBy("id")))
+    assert global_windows(glob._jdf.queryExecution().executedPlan().toString())
+    assert not global_windows(part._jdf.queryExecution().executedPlan().toString())
+
+
 @pytest.mark.parametrize("name", sorted(set(E.queries()) - _MODEL))
-def test_no_pairwise_joins(spark, name):
+def test_no_pairwise_joins_or_global_windows(spark, name):
     df = E.queries()[name](spark, SF001)
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "CartesianProduct" not in plan
     assert "BroadcastNestedLoopJoin" not in plan
+    assert not global_windows(plan)
 
 
 def test_filters_reach_the_scan(spark):
