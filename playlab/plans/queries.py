@@ -220,9 +220,10 @@ def q_count_by_key(spark, d):
 
 
 @query("count_by_pair", O.with_base(
-    "select play_type, roof, count(*) as n from clean group by play_type, roof"))
+    "select play_type, play_type_idx, count(*) as n from pred group by play_type, play_type_idx",
+    O.rule_ctes("clean")))
 def q_count_by_pair(spark, d):
-    return A.count_by(_clean(spark, d), LABEL, "roof")
+    return A.count_by(rule_predictions(_clean(spark, d)), LABEL, "play_type_idx")
 
 
 @query("distinct_values", O.with_base("select distinct surface from clean"))
