@@ -40,24 +40,29 @@ def local_session(cores: int = 8, shuffle_partitions: int = 8, app: str = "playl
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the checkpoint folder, setting one only where none is configured."""
+    """Return the checkpoint folder, setting one only where none is configured.
+
+    ``spark.checkpoint.dir`` (a core setting, read at start-up) is the shared
+    folder on a cluster.  Only a local session without it gets a fresh folder
+    under the system temp directory, set on the context (the setting itself
+    cannot change at run time).
+    """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if current:
         return current
-    configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
+    configured = sc.getConf().get("spark.checkpoint.dir", None)
     if not configured:
         if not sc.master.startswith("local"):
             raise RuntimeError("spark.checkpoint.dir must name a shared folder on a cluster")
         configured = tempfile.mkdtemp(prefix="playlab-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", configured)
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
 
 
 def shared_dir(spark: SparkSession, name: str) -> str:
     """A new, unique folder below the shared checkpoint location."""
-    base = spark.conf.get("spark.checkpoint.dir", None) or ensure_checkpoint_dir(spark)
+    base = spark.sparkContext.getConf().get("spark.checkpoint.dir", None) or ensure_checkpoint_dir(spark)
     base = base[len("file:"):] if base.startswith("file:") and not base.startswith("file://") else base
     return os.path.join(base, f"{name}-{uuid.uuid4().hex}")
 
