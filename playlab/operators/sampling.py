@@ -13,11 +13,14 @@ from dataclasses import dataclass, field
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from playlab.functions.columns import KEY, LABEL, SAMPLE_FRACTIONS
 from playlab.functions.hashing import HASH_RANGE, row_hash, uniform_hash
+from playlab.session import materialize
 
-# More classes than this and per-class boundaries are joined, not inlined.
+# Up to this many classes, per-class values are inlined as literal maps;
+# beyond, they stay a table joined on the label.
 MAX_INLINE_CLASSES = 10_000
 
 
@@ -121,8 +124,6 @@ def undersample_targets(counts: dict, rounds: int = 1) -> dict:
 
 
 def _literal_map(d: dict):
-    if len(d) > MAX_INLINE_CLASSES:
-        raise ValueError(f"{len(d)} classes: more than {MAX_INLINE_CLASSES} per-class targets")
     return F.create_map(*[x for k, v in d.items() for x in (F.lit(k), F.lit(v))])
 
 
@@ -159,30 +160,43 @@ def mark_smallest(df: DataFrame, label: str, key: str | None, purpose: str, seed
         if cached is not None:
             cached.unpersist()
         return df.withColumn(flag, F.lit(False))
-    want_col = _literal_map(live)[F.col(label)]
-    hist = cached if cached is not None else (
-        base.where(want_col.isNotNull()).groupBy(label, "_bin").agg(F.count(F.lit(1)).alias("_n")))
+    lab = F.col(label)
+    inline = len(live) <= MAX_INLINE_CLASSES
+    if inline:  # per-class values as literal maps inside the plan
+        want_map = _literal_map(live)
+        hist = cached if cached is not None else (
+            base.where(want_map[lab].isNotNull()).groupBy(label, "_bin").agg(F.count(F.lit(1)).alias("_n")))
+        hist = hist.withColumn("_w", want_map[lab]).where(F.col("_w").isNotNull())
+    else:  # many classes: per-class values stay a table, joined on the label
+        targets = df.sparkSession.createDataFrame(
+            list(live.items()), T.StructType([df.schema[label], T.StructField("_w", T.LongType())]))
+        hist = cached if cached is not None else (
+            base.join(targets.select(label), label).groupBy(label, "_bin").agg(F.count(F.lit(1)).alias("_n")))
+        hist = hist.join(targets, label)
     w_cum = Window.partitionBy(label).orderBy("_bin").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    bounds = (hist.where(want_col.isNotNull())
-                  .withColumn("_cum", F.sum("_n").over(w_cum)).withColumn("_want", want_col)
-                  .where((F.col("_cum") - F.col("_n") < F.col("_want")) & (F.col("_cum") >= F.col("_want")))
-                  .select(label, "_bin", (F.col("_want") - (F.col("_cum") - F.col("_n"))).alias("_need"))
-                  .collect())  # at most one row per class in `want`
+    bounds = (hist.withColumn("_cum", F.sum("_n").over(w_cum))
+                  .where((F.col("_cum") - F.col("_n") < F.col("_w")) & (F.col("_cum") >= F.col("_w")))
+                  .select(label, F.col("_bin").alias("_e"), (F.col("_w") - (F.col("_cum") - F.col("_n"))).alias("_k")))
+    if inline:
+        rows = bounds.collect()  # at most one row per class in `want`
+        marked = base.withColumn("_w", want_map[lab])
+        if rows:
+            marked = (marked.withColumn("_e", _literal_map({r[label]: r["_e"] for r in rows})[lab])
+                            .withColumn("_k", _literal_map({r[label]: r["_k"] for r in rows})[lab]))
+        else:
+            marked = marked.withColumn("_e", F.lit(None).cast("bigint")).withColumn("_k", F.lit(None).cast("bigint"))
+    else:
+        bounds = materialize(bounds)  # one row per class, written once
+        marked = base.join(targets, label, "left").join(bounds, label, "left")
     if cached is not None:
         cached.unpersist()
-    if bounds:
-        edge = _literal_map({r[label]: r["_bin"] for r in bounds})[F.col(label)]
-        need = _literal_map({r[label]: r["_need"] for r in bounds})[F.col(label)]
-    else:
-        edge, need = F.lit(None).cast("bigint"), F.lit(None).cast("bigint")
-    marked = base.withColumn("_e", edge).withColumn("_k", need).withColumn("_w", want_col)
     plain = (marked.where(F.col("_e").isNull() | (F.col("_bin") != F.col("_e")))
                    .withColumn(flag, F.col("_w").isNotNull() & (F.col("_e").isNull() | (F.col("_bin") < F.col("_e")))))
     order = [F.col("_h")] + ([F.col(key)] if key else [])
     w_edge = Window.partitionBy(label, "_bin").orderBy(*order)
     at_edge = (marked.where(F.col("_bin") == F.col("_e"))
                      .withColumn(flag, F.row_number().over(w_edge) <= F.col("_k")))
-    return plain.unionByName(at_edge).drop("_h", "_bin", "_e", "_k", "_w")
+    return plain.unionByName(at_edge).drop("_h", "_bin", "_e", "_k", "_w").select(*df.columns, flag)
 
 
 def undersample(df: DataFrame, label: str = LABEL, key: str | None = KEY, seed: int = 42,

@@ -156,3 +156,14 @@ def test_smotenc_copy_groups(spark):
     assert dg["copy_queries"] > 0
     assert sorted(tuple(r) for r in fast.select(*cols).collect()) == \
         sorted(tuple(r) for r in plain.select(*cols).collect())
+
+
+def test_many_classes_join_path_matches_inline(spark, monkeypatch):
+    train = prepare(plays(spark, SF01)).train
+    want = {"punt": 100, "field_goal": 5000, "pass": 0, "run": 7}
+    inline = _keys(R.mark_smallest(train, "play_type", "row_id", "x", 42, want, "_s").where("_s"))
+    cut_inline = _keys(R.undersample(train, rounds=2))
+    monkeypatch.setattr(R, "MAX_INLINE_CLASSES", 1)
+    joined = _keys(R.mark_smallest(train, "play_type", "row_id", "x", 42, want, "_s").where("_s"))
+    assert joined == inline
+    assert _keys(R.undersample(train, rounds=2)) == cut_inline
