@@ -142,9 +142,9 @@ def mark_smallest(df: DataFrame, label: str, key: str | None, purpose: str, seed
     class, the bin where the running count reaches the target.  Rows in lower
     bins are flagged by a filter, rows in higher bins are not, and only the
     boundary bin (about n / 2**bits rows of the class) is ranked by a window.
-    Without a key, identical rows share one hash and one fate; a very large
-    group of identical rows then sits in a single bin, so pass a key for such
-    data.
+    Without a key, identical rows share one hash; in the boundary bin they
+    are collapsed map-side and only distinct rows are ranked, each keeping
+    as many copies as still fit, so a huge group of copies costs one row.
     """
     base = (df.withColumn("_h", _hash(df, key, purpose, seed))
               .withColumn("_bin", F.shiftright("_h", 32 - bits)))
@@ -192,10 +192,27 @@ def mark_smallest(df: DataFrame, label: str, key: str | None, purpose: str, seed
         cached.unpersist()
     plain = (marked.where(F.col("_e").isNull() | (F.col("_bin") != F.col("_e")))
                    .withColumn(flag, F.col("_w").isNotNull() & (F.col("_e").isNull() | (F.col("_bin") < F.col("_e")))))
-    order = [F.col("_h")] + ([F.col(key)] if key else [])
-    w_edge = Window.partitionBy(label, "_bin").orderBy(*order)
-    at_edge = (marked.where(F.col("_bin") == F.col("_e"))
-                     .withColumn(flag, F.row_number().over(w_edge) <= F.col("_k")))
+    edge_rows = marked.where(F.col("_bin") == F.col("_e"))
+    if key:
+        w_edge = Window.partitionBy(label, "_bin").orderBy("_h", key)
+        at_edge = edge_rows.withColumn(flag, F.row_number().over(w_edge) <= F.col("_k"))
+    else:
+        # No key: identical rows are interchangeable.  Collapse them (map-side)
+        # and rank distinct rows only; each keeps as many copies as still fit.
+        cols = [c for c in marked.columns if c != flag]
+        grouped = edge_rows.groupBy(*cols).agg(F.count(F.lit(1)).alias("_c"))
+        w_edge = (Window.partitionBy(label, "_bin")
+                  .orderBy("_h", F.to_json(F.struct(*[F.col(c) for c in df.columns])))
+                  .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+        before = F.sum("_c").over(w_edge) - F.col("_c")
+        grouped = grouped.withColumn("_take", F.least(F.col("_c"), F.greatest(F.lit(0), F.col("_k") - before)))
+        take = (grouped.where(F.col("_take") > 0)
+                       .withColumn("_i", F.explode(F.sequence(F.lit(1), F.col("_take"))))
+                       .withColumn(flag, F.lit(True)))
+        leave = (grouped.where(F.col("_c") > F.col("_take"))
+                        .withColumn("_i", F.explode(F.sequence(F.lit(1), F.col("_c") - F.col("_take"))))
+                        .withColumn(flag, F.lit(False)))
+        at_edge = take.unionByName(leave).drop("_c", "_take", "_i")
     return plain.unionByName(at_edge).drop("_h", "_bin", "_e", "_k", "_w").select(*df.columns, flag)
 
 

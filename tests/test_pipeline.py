@@ -167,3 +167,23 @@ def test_many_classes_join_path_matches_inline(spark, monkeypatch):
     joined = _keys(R.mark_smallest(train, "play_type", "row_id", "x", 42, want, "_s").where("_s"))
     assert joined == inline
     assert _keys(R.undersample(train, rounds=2)) == cut_inline
+
+
+def test_keyless_ranking_with_copies(spark):
+    train = prepare(plays(spark, SF001)).train.drop("row_id")
+    copies = train.where("play_type = 'punt'").limit(1)
+    df = train
+    for _ in range(6):  # one punt row repeated: 64 extra copies
+        copies = copies.unionByName(copies)
+    df = train.unionByName(copies).cache()
+    n = {r.play_type: r["count"] for r in df.groupBy("play_type").count().collect()}
+    want = {"punt": n["punt"] // 2, "field_goal": 3}
+    out = R.mark_smallest(df, "play_type", None, "x", 42, want, "_s", bits=1)
+    got = {r.play_type: r["count"] for r in out.where("_s").groupBy("play_type").count().collect()}
+    assert got == want
+    assert out.count() == df.count()
+    # the same rows whatever the partitioning
+    a = sorted(tuple(r) for r in out.where("_s").collect())
+    b = sorted(tuple(r) for r in R.mark_smallest(df.repartition(5), "play_type", None, "x", 42, want, "_s",
+                                                 bits=1).where("_s").collect())
+    assert a == b
