@@ -20,6 +20,7 @@ from playlab.functions.columns import (
 from playlab.operators.aggregates import impute, nan_mean_value
 from playlab.operators.clean import clean, project
 from playlab.operators.sampling import StratifiedSplit
+from playlab.session import materialize
 from playlab.sources.plays import scan_table
 
 
@@ -65,7 +66,9 @@ def prepare(df: DataFrame, end: int = END_SEASON, start: int = FIRST_SEASON, bal
     test = cleaned EXCEPT DISTINCT filled sample (filled rows leak back into
     test) and the test frame is not filled.
     """
-    rows = cleaned(df, start, end, key)
+    # the cleaned rows feed the mean, train, test (and balancing): read the
+    # raw tables once and reuse the written fourth-down subset
+    rows = materialize(cleaned(df, start, end, key))
     split = StratifiedSplit(label, dict(SAMPLE_FRACTIONS if fractions is None else fractions), seed, key)
     sample = split.sample(rows)
     fill = training_fill(sample)
