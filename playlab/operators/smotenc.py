@@ -129,6 +129,61 @@ class _ClassPivots:
     def dist(self, frame: pd.DataFrame) -> np.ndarray:
         return np.sqrt(_dist2(frame[self.numeric].to_numpy(float), self.encode(frame), self.pn, self.pc, self.m2))
 
+    def _line(self):
+        """Pivots on a line by their distance to pivot 0 (for the filters below)."""
+        if not hasattr(self, "a_sorted"):
+            a = np.sqrt(_dist2(self.pn, self.pc, self.pn[:1], self.pc[:1], self.m2))[:, 0]
+            self.by_a = np.argsort(a, kind="stable")
+            self.a_sorted = a[self.by_a]
+
+    def nearest(self, frame: pd.DataFrame, prune_min: int):
+        """(cell, distance) of each row's nearest pivot, ties to the lowest pivot index.
+
+        With many pivots the exact line-filtered search of ``_exact_knn`` is
+        used (k = 1), so a row is not compared with every pivot.
+        """
+        xn, xc = frame[self.numeric].to_numpy(float), self.encode(frame)
+        if len(self.pn) <= prune_min:
+            d = np.sqrt(_dist2(xn, xc, self.pn, self.pc, self.m2))
+            cell = d.argmin(axis=1)
+            return cell, d[np.arange(len(cell)), cell]
+        cell = _exact_knn(xn, xc, np.full(len(xn), -1), self.pn, self.pc, np.arange(len(self.pn)), 1, self.m2,
+                          prune_min=0)[:, 0]
+        diff2 = ((xn - self.pn[cell]) ** 2).sum(axis=1) + self.m2 * (xc != self.pc[cell]).sum(axis=1)
+        return cell, np.sqrt(diff2)
+
+    def within(self, frame: pd.DataFrame, reach: np.ndarray, prune_min: int):
+        """(row, cell) pairs with distance(row, pivot) <= reach[cell].
+
+        With many pivots only pivots whose line position lies within the
+        largest reach of the row's are compared (|a(o) - a(p)| <= d(o, p)).
+        """
+        xn, xc = frame[self.numeric].to_numpy(float), self.encode(frame)
+        if len(self.pn) <= prune_min or np.isposinf(reach).any():  # an unbounded cell takes every row
+            return np.nonzero(np.sqrt(_dist2(xn, xc, self.pn, self.pc, self.m2)) <= reach[None, :])
+        finite = reach[np.isfinite(reach)]
+        if not len(finite) or finite.max() < 0:
+            return np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64)
+        r_max = finite.max()
+        self._line()
+        a_o = np.sqrt(_dist2(xn, xc, self.pn[:1], self.pc[:1], self.m2))[:, 0]
+        rows, cells = [], []
+        order = np.argsort(a_o, kind="stable")
+        for s in range(0, len(order), 256):
+            blk = order[s:s + 256]
+            lo = np.searchsorted(self.a_sorted, a_o[blk].min() - r_max, side="left")
+            hi = np.searchsorted(self.a_sorted, a_o[blk].max() + r_max, side="right")
+            sub = self.by_a[lo:hi]
+            if not len(sub):
+                continue
+            d = np.sqrt(_dist2(xn[blk], xc[blk], self.pn[sub], self.pc[sub], self.m2))
+            r_idx, c_idx = np.nonzero(d <= reach[sub][None, :])
+            rows.append(blk[r_idx])
+            cells.append(sub[c_idx])
+        if not rows:
+            return np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64)
+        return np.concatenate(rows), np.concatenate(cells)
+
 
 def _top_k(d: np.ndarray, k: int) -> np.ndarray:
     """Column indices of the k smallest entries per row, ordered by (value, column).
@@ -219,7 +274,8 @@ def _pick_pivots(df, label, key, counts, seed, cell_rows, max_pivots, columns) -
 
 def smotenc(df: DataFrame, label: str = LABEL, categorical=None, numeric=None, key: str = KEY,
             k: int = 5, seed: int = 42, cell_rows: int = CELL_ROWS, max_pivots: int = MAX_PIVOTS,
-            copy_groups: bool = True, prune_min: int = PRUNE_MIN, diagnostics: dict | None = None) -> DataFrame:
+            copy_groups: bool = True, prune_min: int = PRUNE_MIN, pivot_prune_min: int = PRUNE_MIN,
+            diagnostics: dict | None = None) -> DataFrame:
     """Oversample every class to the largest class's count.
 
     ``diagnostics``, when given, receives row counts of the kNN passes
@@ -285,12 +341,10 @@ def smotenc(df: DataFrame, label: str = LABEL, categorical=None, numeric=None, k
             cell = np.zeros(len(pdf), dtype=np.int32)
             dist = np.zeros(len(pdf))
             for c, pos in pdf.groupby(label).indices.items():
-                step = _block_rows(len(piv[c].pn))
+                step = _block_rows(min(len(piv[c].pn), pivot_prune_min + 1))
                 for s in range(0, len(pos), step):
                     at = pos[s:s + step]
-                    d = piv[c].dist(pdf.iloc[at])
-                    cell[at] = d.argmin(axis=1)
-                    dist[at] = d[np.arange(len(at)), cell[at]]
+                    cell[at], dist[at] = piv[c].nearest(pdf.iloc[at], pivot_prune_min)
             yield pd.DataFrame({label: pdf[label], "_cell": cell, "_d": dist, "_q": (pdf["_m"] > 0).to_numpy()})
 
     assign_schema = T.StructType([df.schema[label], T.StructField("_cell", T.IntegerType()),
@@ -329,17 +383,16 @@ def smotenc(df: DataFrame, label: str = LABEL, categorical=None, numeric=None, k
         for pdf in batches:
             pieces = []
             for c, pos in pdf.groupby(label).indices.items():
-                step = _block_rows(len(piv[c].pn))
+                step = _block_rows(min(len(piv[c].pn), pivot_prune_min + 1))
                 for s in range(0, len(pos), step):
                     part = pdf.iloc[pos[s:s + step]]
-                    d = piv[c].dist(part)
-                    own = d.argmin(axis=1)
-                    send = d <= reach[c][None, :]
-                    send[np.arange(len(own)), own] = True
-                    r_idx, cells = np.nonzero(send)
-                    rep = part.iloc[r_idx].copy()
-                    rep["_cell"] = cells.astype(np.int32)
-                    rep["_own"] = cells == own[r_idx]
+                    own, _ = piv[c].nearest(part, pivot_prune_min)
+                    r_idx, cells = piv[c].within(part, reach[c], pivot_prune_min)
+                    pairs = np.unique(np.stack([np.concatenate([r_idx, np.arange(len(part))]),
+                                                np.concatenate([cells, own])], axis=1), axis=0)
+                    rep = part.iloc[pairs[:, 0]].copy()
+                    rep["_cell"] = pairs[:, 1].astype(np.int32)
+                    rep["_own"] = pairs[:, 1] == own[pairs[:, 0]]
                     pieces.append(rep)
             if pieces:
                 yield pd.concat(pieces, ignore_index=True)

@@ -68,13 +68,14 @@ def test_mark_smallest_with_small_bins(spark):
     assert "pass" not in got
 
 
-@pytest.mark.parametrize("cell_rows,max_pivots,prune_min", [(8, SM.MAX_PIVOTS, SM.PRUNE_MIN), (4, 7, 10 ** 9),
-                                                          (10 ** 6, SM.MAX_PIVOTS, 0)])
-def test_smotenc_cells_match_brute_force(spark, cell_rows, max_pivots, prune_min):
+@pytest.mark.parametrize("cell_rows,max_pivots,prune_min,pivot_prune_min", [
+    (8, SM.MAX_PIVOTS, SM.PRUNE_MIN, SM.PRUNE_MIN), (4, 7, 10 ** 9, SM.PRUNE_MIN),
+    (10 ** 6, SM.MAX_PIVOTS, 0, SM.PRUNE_MIN), (6, SM.MAX_PIVOTS, SM.PRUNE_MIN, 0)])
+def test_smotenc_cells_match_brute_force(spark, cell_rows, max_pivots, prune_min, pivot_prune_min):
     train = prepare(plays(spark, SF001)).train.cache()
     one = SM.smotenc(train, categorical=O.SMOTE_CATS, numeric=O.SMOTE_NUMS, cell_rows=10 ** 6, prune_min=10 ** 9)
     many = SM.smotenc(train, categorical=O.SMOTE_CATS, numeric=O.SMOTE_NUMS, cell_rows=cell_rows,
-                      max_pivots=max_pivots, prune_min=prune_min)
+                      max_pivots=max_pivots, prune_min=prune_min, pivot_prune_min=pivot_prune_min)
     cols = ["row_id", "synth"] + O.SMOTE_NUMS + O.SMOTE_CATS + ["play_type"]
     a = sorted(tuple(r) for r in one.select(*cols).collect())
     b = sorted(tuple(r) for r in many.select(*cols).collect())
