@@ -61,11 +61,18 @@ def _split():
 
 
 # ---------------------------------------------------------------- sources
+_SEASON_DATASETS: dict = {}
+
+
 def _season_dataset(spark, d) -> str:
-    """The plays written as a season-partitioned parquet dataset in the shared folder."""
-    path = shared_dir(spark, "plays-by-season")
-    write_partitioned(plays(spark, d), path)
-    return path
+    """The plays as a season-partitioned parquet dataset in the shared folder,
+    written once per application and table folder and then reused."""
+    k = (spark.sparkContext.applicationId, d)
+    if k not in _SEASON_DATASETS:
+        path = shared_dir(spark, "plays-by-season")
+        write_partitioned(plays(spark, d), path)
+        _SEASON_DATASETS[k] = path
+    return _SEASON_DATASETS[k]
 
 
 @query("season_scan", O.with_base(
