@@ -11,8 +11,9 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+import zipfile
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 _LOCAL_DEFAULTS = {
     "spark.ui.enabled": "false",
@@ -77,3 +78,55 @@ def materialize(df):
     """
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the Python workers, once per application.
+
+    The zip goes through ``addPyFile`` (the driver serves it, as with
+    ``--py-files``), so functions that run on executors can import the package
+    although it is not installed there.
+    """
+    app = spark.sparkContext.applicationId
+    if app in _SHIPPED:
+        return
+    root = os.path.dirname(os.path.abspath(__file__))
+    target = os.path.join(tempfile.mkdtemp(prefix="playlab-zip-"), "playlab-package.zip")
+    with zipfile.ZipFile(target, "w", zipfile.ZIP_DEFLATED) as z:
+        for folder, _, names in os.walk(root):
+            for name in names:
+                if name.endswith(".py"):
+                    path = os.path.join(folder, name)
+                    z.write(path, os.path.join("playlab", os.path.relpath(path, root)))
+    spark.sparkContext.addPyFile(target)
+    _SHIPPED.add(app)
+
+
+_FREE_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+def write_stage(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` as Parquet into the shared folder and read it back.
+
+    Cuts the lineage like a checkpoint, but the files are columnar, compressed
+    and have statistics, so later readers prune columns and Spark knows their
+    size.  The shuffle files of the query that made them are freed when it
+    ends, and the folder goes when the application ends.
+    """
+    spark = df.sparkSession
+    path = shared_dir(spark, name)
+    before = spark.conf.get(_FREE_SHUFFLES, None)
+    spark.conf.set(_FREE_SHUFFLES, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        if before is None:
+            spark.conf.unset(_FREE_SHUFFLES)
+        else:
+            spark.conf.set(_FREE_SHUFFLES, before)
+    jpath = spark._jvm.org.apache.hadoop.fs.Path(path)
+    jpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(jpath)
+    return spark.read.schema(df.schema).parquet(path)
