@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from playlab.llm import bpe, language, packing, pii
+from playlab.llm import bpe, language, neardup, packing, pii, topk
 from playlab.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -41,6 +41,20 @@ def op1(spark, d):
                          "sequence_id", "offset", "source")
 
 
+@query("op2_topk", """
+with v as (select distinct vec_id, list_transform(embedding, x -> cast(floor(256 * cast(x as double)) as bigint)) as v
+           from embeddings
+           where vec_id is not null and embedding is not null and len(embedding) > 0
+             and len(list_filter(embedding, x -> x is null or not isfinite(x))) = 0),
+s as (select q.vec_id as query_id, c.vec_id,
+             cast(list_sum(list_transform(list_zip(q.v, c.v), p -> p[1] * p[2])) as bigint) as score
+      from v q join v c on c.vec_id <> q.vec_id and len(c.v) = len(q.v) where q.vec_id % 50 = 0),
+r as (select *, cast(row_number() over (partition by query_id order by score desc, vec_id) as integer) as rank from s)
+select query_id, rank, vec_id, score from r where rank <= 5""")
+def op2(spark, d):
+    return topk.topk(table(spark, d, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
 @query("op4_pii")
 def op4(spark, d):
     found = pii.scan(table(spark, d, "documents").select("doc_id", "text"))
@@ -50,6 +64,11 @@ def op4(spark, d):
                         pii.span_list("pii").alias("spans"))
 
 
+@query("op5_neardup")
+def op5(spark, d):
+    return neardup.near_duplicates(table(spark, d, "embeddings")).select("vec_id", "n_links", "component_id", "kept")
+
+
 @query("op7_language")
 def op7(spark, d):
     docs = table(spark, d, "documents")
