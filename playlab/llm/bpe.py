@@ -37,7 +37,7 @@ CACHE_PIECES = 300_000  # encodings of pieces that a Python worker keeps at once
 CACHE_PAIRS = 2_000_000  # verdicts on token pairs
 
 # Fixed value: the pre-tokenizer's pattern, with its white space spelled out.
-_WS = r"\t-\r \x85\xa0  -     　"
+_WS = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 _PATTERN = regex.compile(
     rf"'s|'t|'re|'ve|'m|'ll|'d| ?\p{{L}}+| ?\p{{N}}+| ?[^{_WS}\p{{L}}\p{{N}}]+|[{_WS}]+(?![^{_WS}])|[{_WS}]+")
 

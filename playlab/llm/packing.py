@@ -27,6 +27,8 @@ from __future__ import annotations
 
 import bisect
 import math
+import struct
+import unicodedata
 from fractions import Fraction
 from itertools import chain
 
@@ -37,70 +39,69 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from playlab.llm.bpe import byte_alphabet
 from playlab.llm.common import slices
 from playlab.session import ship_package, write_stage
 
-CACHE_WORDS = 400_000  # word encodings a Python worker keeps at once
+CACHE_WORDS = 1_000_000  # word encodings a Python worker keeps at once
 
 # The tokenizer's white space (\s) and its pieces of a word.
 _SPLIT = regex.compile(r"[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]+")
 _PIECES_OF_WORD = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\s\p{L}\p{N}]+")
 # What str.split() cuts at and that white space does not hold.
 _CONTROL = regex.compile(r"[\x1c-\x1f]")
+# Words of these characters go straight to the model; others through the whole tokenizer.
+_LATIN = regex.compile(r"[\x21-\x7e\xa1-\u017f]+")
 
 
-class WordEncoder:
-    """Encodes texts word by word with a tokenizer that never joins across white space.
+class WordEncoder(dict):
+    """Encodings by word, for a tokenizer that never joins across white space.
 
-    Each distinct word goes to the tokenizers library once, many words at a time
-    in one text, whose ids are cut apart at the ids that end a piece (``</w>``).
-    Where the count of pieces does not agree, words are encoded one by one.
+    A word that is looked up first is normalized, cut into pieces and given to the
+    model of the tokenizers library; a word outside Latin letters or with a special
+    token's string goes through the library's whole tokenizer.
     """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
+        super().__init__()
         self.tok = Tokenizer.from_file(path)
         self.tok.no_padding()
         self.tok.no_truncation()
-        vocab = self.tok.get_vocab(with_added_tokens=True)
-        self.special = [t.content for t in self.tok.get_added_tokens_decoder().values()]
-        self.ends = np.zeros(max(vocab.values()) + 1, bool)
-        self.ends[[i for t, i in vocab.items() if t.endswith("</w>")]] = True
-        self.kind = np.dtype("<u2" if len(self.ends) <= 65536 else "<u4")
-        self.known: dict[str, bytes] = {}
-
-    def _one(self, word: str) -> bytes:
-        return np.array(self.tok.encode(word, add_special_tokens=False).ids, self.kind).tobytes()
-
-    def _learn(self, words: list[str]):
-        plain = [w for w in words if not any(t in w for t in self.special)]
-        for w in set(words).difference(plain):
-            self.known[w] = self._one(w)
-        groups = [plain[i:i + 256] for i in range(0, len(plain), 256)]
-        coded = self.tok.encode_batch_fast([" ".join(g) for g in groups], add_special_tokens=False)
-        for group, e in zip(groups, coded):
-            ids = np.array(e.ids, self.kind)
-            n = [1 if w.isascii() and w.isalpha() else len(_PIECES_OF_WORD.findall(w.lower())) for w in group]
-            ends = np.flatnonzero(self.ends[ids]) + 1
-            if sum(n) != len(ends) or (len(ends) and ends[-1] != len(ids)):
-                for w in group:
-                    self.known[w] = self._one(w)
-                continue
-            size, raw, at = self.kind.itemsize, ids.tobytes(), 0
-            for w, to in zip(group, np.concatenate([[0], ends])[np.cumsum(n)].tolist()):
-                self.known[w] = raw[at:to * size]
-                at = to * size
+        self.model = self.tok.model
+        special = [regex.escape(t.content) for t in self.tok.get_added_tokens_decoder().values()]
+        self.special = regex.compile("|".join(special) or r"(?!)")
+        self.bytes_as = {b: c for c, b in byte_alphabet().items()}
+        size = max(self.tok.get_vocab(with_added_tokens=True).values()) + 1
+        self.kind = "H" if size <= 65536 else "I"
+        self.packers = [struct.Struct(f"<{n}{self.kind}").pack for n in range(64)]
+
+    def pack(self, ids) -> bytes:
+        return self.packers[len(ids)](*ids) if len(ids) < 64 else struct.pack(f"<{len(ids)}{self.kind}", *ids)
+
+    def _ids(self, word: str) -> list[int]:
+        if word.isascii() and word.isalpha():
+            return [t.id for t in self.model.tokenize(word.lower())]
+        if not _LATIN.fullmatch(word) or self.special.search(word):
+            return self.tok.encode(word, add_special_tokens=False).ids
+        low = "".join(map(str.lower, unicodedata.normalize("NFC", word)))
+        return [t.id for p in _PIECES_OF_WORD.findall(low) for t in self.model.tokenize(
+            p if p.isascii() else p.encode().decode("latin-1").translate(self.bytes_as))]
+
+    def __missing__(self, word: str) -> bytes:
+        code = self[word] = self.pack(self._ids(word))
+        return code
 
     def encode(self, texts: list[str]) -> list[bytes]:
         cut = [[w for w in _SPLIT.split(t) if w] if _CONTROL.search(t) else t.split() for t in texts]
-        new = set(chain.from_iterable(cut)).difference(self.known)
-        if len(self.known) + len(new) > CACHE_WORDS:
-            self.known.clear()
-            new = set(chain.from_iterable(cut))
-        self._learn(list(new))
-        get = self.known.__getitem__
-        return [b"".join(map(get, ws)) for ws in cut]
+        get = self.__getitem__
+        out = [b"".join(map(get, ws)) for ws in cut]
+        if len(self) > CACHE_WORDS:  # keep the words of this slice
+            kept = {w: self[w] for w in set(chain.from_iterable(cut))}
+            self.clear()
+            self.update(kept)
+        return out
 
 
 _ENCODERS: dict[str, WordEncoder] = {}
@@ -208,7 +209,7 @@ def pack(docs: DataFrame, tokenizer: str, end_id: int = 2, length: int = 4096, w
 
     def tokenize(batches):
         enc, part = encoder(tokenizer), TaskContext.get().partitionId()
-        end = np.array([end_id], enc.kind).tobytes()
+        end = enc.pack([end_id])
         at: dict[str, int] = {}
         for batch in batches:
             ids_, texts, queues = (batch.column(i).to_pylist() for i in range(3))
