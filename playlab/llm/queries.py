@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from playlab.llm import bpe, language, neardup, packing, pii, topk
+from playlab.llm import bpe, html_text, language, neardup, packing, pii, topk
 from playlab.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -77,6 +77,13 @@ def op7(spark, d):
             .select("doc_id", language.held_out().alias("held_out"), "lang_pred", F.col("lang_score").alias("score")))
 
 
+@query("op9_html")
+def op9(spark, d):
+    pages = table(spark, d, "pages").select("page_id", "url", "html")
+    found = html_text.extract(pages, html_text.train(pages))
+    return found.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
 @query("op10_bpe")
 def op10(spark, d):
     path = tokenizer_file("byte_bpe_50k.json")
