@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from playlab.llm import bpe, html_text, language, neardup, packing, pii, topk
+from playlab.llm import bpe, html_text, language, neardup, packing, pii, secrets, topk
 from playlab.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -69,6 +69,13 @@ def op5(spark, d):
     return neardup.near_duplicates(table(spark, d, "embeddings")).select("vec_id", "n_links", "component_id", "kept")
 
 
+@query("op6_secrets")
+def op6(spark, d):
+    docs = table(spark, d, "documents")
+    found = secrets.scan(docs.select("doc_id", "text", "source"), secrets.train(docs))
+    return found.select("doc_id", F.explode("secrets").alias("s")).select("doc_id", "s.nth", "s.secret", "s.score")
+
+
 @query("op7_language")
 def op7(spark, d):
     docs = table(spark, d, "documents")
