@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from playlab.llm import bpe, html_text, language, neardup, packing, pii, secrets, topk
+from playlab.llm import bpe, html_text, language, neardup, packing, pii, secrets, substring, topk
 from playlab.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -55,6 +55,24 @@ def op2(spark, d):
     return topk.topk(table(spark, d, "embeddings"), F.col("vec_id") % 50 == 0)
 
 
+@query("op3_substring", r"""
+with w as (select doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), x -> x <> '') as words
+           from documents),
+win as (select doc_id, i, list_slice(words, i, i + 19) as content
+        from w, unnest(range(1, greatest(len(words) - 18, 1))) as u(i)),
+ranked as (select doc_id, i, row_number() over (partition by content order by doc_id, i) as nth from win),
+gone as (select distinct doc_id, i + k as place from ranked, unnest(range(0, 20)) as u(k) where nth > 1),
+kept as (select w.doc_id, count(g.place) as n_removed,
+                string_agg(w.words[p.i], ' ' order by p.i) filter (where g.place is null) as kept
+         from w, unnest(range(1, len(words) + 1)) as p(i)
+         left join gone g on g.doc_id = w.doc_id and g.place = p.i group by w.doc_id)
+select w.doc_id, len(w.words) as n_words, coalesce(k.n_removed, 0) as n_removed, sha256(coalesce(k.kept, '')) as kept_sha256
+from w left join kept k on k.doc_id = w.doc_id""")
+def op3(spark, d):
+    return (substring.deduplicate(table(spark, d, "documents").select("doc_id", "text"))
+            .select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256")))
+
+
 @query("op4_pii")
 def op4(spark, d):
     found = pii.scan(table(spark, d, "documents").select("doc_id", "text"))
