@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from playlab.llm import bpe, html_text, language, neardup, packing, pii, secrets, substring, topk
+from playlab.llm import bpe, html_text, jaccard, language, neardup, packing, pii, secrets, substring, topk
 from playlab.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -34,13 +34,16 @@ def tokenizer_file(name: str) -> str:
     return public_tokenizers.path(name)
 
 
-@query("op1_packing")
-def op1(spark, d):
-    pieces = packing.pack(table(spark, d, "documents"), tokenizer_file("word_bpe_49k.json"))
+def piece_digests(pieces: DataFrame) -> DataFrame:
     return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens",
                          "sequence_id", "offset", "source")
 
 
+@query("op1_packing")
+def op1(spark, d):
+    return piece_digests(packing.pack(table(spark, d, "documents"), tokenizer_file("word_bpe_49k.json")))
+
+
 @query("op2_topk", """
 with v as (select distinct vec_id, list_transform(embedding, x -> cast(floor(256 * cast(x as double)) as bigint)) as v
            from embeddings
@@ -102,6 +105,12 @@ def op7(spark, d):
             .select("doc_id", language.held_out().alias("held_out"), "lang_pred", F.col("lang_score").alias("score")))
 
 
+@query("op8_jaccard")
+def op8(spark, d):
+    docs = table(spark, d, "documents").select("doc_id", "text")
+    return jaccard.jaccard_groups(docs).select("doc_id", "n_shingles", "component_id")
+
+
 @query("op9_html")
 def op9(spark, d):
     pages = table(spark, d, "pages").select("page_id", "url", "html")
