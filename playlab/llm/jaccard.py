@@ -7,8 +7,9 @@ Index: linked sets x, y differ in at most H shingles, H from the largest sizes t
 meet.  Shingles are dealt by hash into H + 1 parts, so one part at least is equal in
 both; the index has a list per (size class, part, content of the part).  Sets of
 neighbouring size classes share an index.  A list entry comes from a whole part, so
-frequent shingles alone make no long lists.  Lists with one class are dropped, and
-components of the classes that share lists are the units to compare.
+frequent shingles alone make no long lists.  A list that repeats in a batch of texts
+is combined there, before the shuffle.  The components of the classes that share lists
+are the units to compare.
 
 Within a unit, sets are taken by size.  Index lists hold a set's rarest shingles with
 their positions, in blocks by position; a block is skipped whole when its
@@ -234,23 +235,47 @@ def jaccard_groups(docs: DataFrame, threshold: Fraction = Fraction(9, 10), shing
     def sign(batches):
         sizes = SizeClasses(threshold)
         for batch in batches:
-            texts = batch.column(0).to_pylist()
+            texts, sigs, classes = batch.column(0).to_pylist(), [], []
             for i, j in slices([len(x) for x in texts]):
-                sigs, classes = [], []
                 for s in shingle_sets(texts[i:j], shingle):
                     if len(s):
-                        g = signatures(s, sizes)
-                        sigs.append(g)
-                        classes.append(np.full(len(g), class_of(s), np.int64))
-                if sigs:
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(as_long(np.concatenate(sigs))), pa.array(np.concatenate(classes))], names=["sig", "class"])
+                        sigs.append(signatures(s, sizes))
+                        classes.append(np.full(len(sigs[-1]), class_of(s), np.int64))
+            if sigs:
+                yield from combined(np.concatenate(sigs), np.concatenate(classes))
+
+    def combined(sigs, classes):
+        """A list met more than once in a batch sends its leader; the others come as pairs with it."""
+        order = np.lexsort((classes, sigs))
+        sigs, classes = sigs[order], classes[order]
+        new = np.r_[True, sigs[1:] != sigs[:-1]] if len(sigs) else np.zeros(0, bool)
+        leader = classes[np.maximum.accumulate(np.where(new, np.arange(len(sigs)), 0))] if len(sigs) else classes
+        other = classes != leader
+        first, second = np.ascontiguousarray(np.unique(np.stack([leader[other], classes[other]], axis=1), axis=0).T)
+        tag = mix64(mix64(first.view(np.uint64)) + second.view(np.uint64))
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(as_long(np.concatenate([sigs[new], tag, tag]))),
+             pa.array(np.concatenate([classes[new], first, second]))], names=["sig", "class"])
+
+    def lead(batches):
+        """The lists come sorted: pairs of a list's first class with its others."""
+        last_sig, last_leader = None, 0
+        for batch in batches:
+            sig, cls = batch.column(0).to_numpy(), batch.column(1).to_numpy()
+            if not len(sig):
+                continue
+            new = np.r_[sig[0] != last_sig, sig[1:] != sig[:-1]]
+            at = np.maximum.accumulate(np.where(new, np.arange(len(sig)), -1))
+            leader = np.where(at < 0, last_leader, cls[at])
+            last_sig, last_leader = sig[-1], leader[-1]
+            other = cls != leader
+            pairs = np.unique(np.stack([leader[other], cls[other]], axis=1), axis=0)
+            yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0].copy()), pa.array(pairs[:, 1].copy())], names=["a", "b"])
 
     lists = (docs.where(F.col(text).isNotNull()).select(F.col(text).alias("text"))
              .mapInArrow(sign, "sig long, class long"))
-    shared = lists.groupBy("sig").agg(F.min("class").alias("a"), F.max("class").alias("z")).where("a <> z").select("sig", "a")
-    together = write_stage(lists.join(shared, "sig").where("class <> a").select("a", F.col("class").alias("b")).distinct(),
-                           "jaccard-together")
+    dealt = lists.repartition("sig").sortWithinPartitions("sig", "class")
+    together = write_stage(dealt.mapInArrow(lead, "a long, b long").distinct(), "jaccard-together")
     units = components(together).select(F.col("id").alias("class"), F.col("component").alias("unit"))
     units = write_stage(units, "jaccard-units")
 
