@@ -313,14 +313,14 @@ def jaccard_groups(docs: DataFrame, threshold: Fraction = Fraction(9, 10), shing
     links = write_stage(cells.groupBy("unit", "lo", "hi").applyInArrow(link, "a long, b long"), "jaccard-links")
     group_of = components(links).select(F.col("id").alias("class"), "component")
     # an empty set is a group of its own per row
-    grouped = described.join(group_of, "class", "left").select(
-        "d", "t", "n", F.when(F.col("n") > 0, F.coalesce("component", "class")).alias("g"))
-    smallest = grouped.where("g is not null").groupBy("g").agg(F.min(F.struct("d", "t")).alias("least"))
+    grouped = write_stage(described.join(write_stage(group_of, "jaccard-components"), "class", "left").select(
+        "d", "t", "n", F.when(F.col("n") > 0, F.coalesce("component", "class")).alias("g")), "jaccard-grouped")
+    smallest = write_stage(grouped.where("g is not null").groupBy("g").agg(F.min(F.struct("d", "t")).alias("least")),
+                           "jaccard-least")
     is_least = (F.col("d") == F.col("least.d")) & (F.col("t") == F.col("least.t"))
     answer = write_stage(grouped.join(smallest, "g", "left")
                          .select("d", "t", "n", F.coalesce("least.d", "d").alias("c"),
-                                 F.coalesce(is_least, F.lit(True)).alias("kept"))
-                         .dropDuplicates(["d", "t"]), "jaccard-groups")
+                                 F.coalesce(is_least, F.lit(True)).alias("kept")), "jaccard-groups").dropDuplicates(["d", "t"])
     names = [c for c in docs.columns if c not in ("n_shingles", "component_id")]
     joined = (docs.select(*[F.col(f"`{c}`") for c in names], d.alias("__d"), text_hash.alias("__t"))
               .join(answer.select(F.col("d").alias("__d"), F.col("t").alias("__t"), F.col("n").alias("n_shingles"),

@@ -167,11 +167,13 @@ def deduplicate(docs: DataFrame, window: int = 20, key: str = "doc_id", text: st
                      pa.array(_place(ts[i:j][doc], first, size))], names=["anchor", "content", "d", "p"])
 
     found = rows.mapInArrow(anchor, "anchor long, content long, d long, p long")
-    repeated = found.groupBy("anchor").agg(F.count("*").alias("n")).where("n > 1").select("anchor")
+    # a stage of its own: the join below then has plain sides, whose hot anchors Spark can split
+    repeated = write_stage(found.groupBy("anchor").agg(F.count("*").alias("n")).where("n > 1").select("anchor"),
+                           "substring-anchors")
     again = write_stage(found.join(repeated, "anchor"), "substring-repeated")
     classes = write_stage(again.groupBy("anchor", "content").agg(F.min(F.struct("d", "p")).alias("first")),
                           "substring-classes")
-    several = classes.groupBy("anchor").agg(F.count("*").alias("n")).where("n > 1")
+    several = write_stage(classes.groupBy("anchor").agg(F.count("*").alias("n")).where("n > 1"), "substring-several")
 
     # copies of a class: all their windows go
     copies = (again.join(classes, ["anchor", "content"]).where((F.col("d") != F.col("first.d")) | (F.col("p") != F.col("first.p")))
