@@ -4,12 +4,14 @@ Two documents link when their sets of distinct shingles have a Jaccard similarit
 of at least ``threshold``.  Equal sets are one class from the start.
 
 Index: linked sets x, y differ in at most H shingles, H from the largest sizes that can
-meet.  Shingles are dealt by hash into H + 1 parts, so one part at least is equal in
-both; the index has a list per (size class, part, content of the part).  Sets of
+meet.  Shingles are dealt by hash into parts, of which more than H hold some, so one part
+that holds some is equal in both; the index has a list per (size class, part, content of
+the part).  A set that fills no more than H parts is listed by its empty parts too.  Sets of
 neighbouring size classes share an index.  A list entry comes from a whole part, so
-frequent shingles alone make no long lists.  A list that repeats in a batch of texts
-is combined there, before the shuffle.  The components of the classes that share lists
-are the units to compare.
+frequent shingles alone make no long lists.  Copies in a batch of texts are listed once,
+and lists of the same sets once.  Sets of a list stay together only if their parity
+bitmaps, which never differ in more bits than the sets do in shingles, leave a link
+possible; the components of what remains are the units to compare.
 
 Within a unit, sets are taken by size.  Index lists hold a set's rarest shingles with
 their positions, in blocks by position; a block is skipped whole when its
@@ -44,6 +46,7 @@ from playlab.llm.graph import components
 from playlab.session import ship_package, write_stage
 
 BLOCK = 2000  # classes of a unit that one task holds of either side
+LIST_ROWS = 20_000  # list entries judged by one task
 POSITIONS = 8  # positions in a block of an index list
 SIMILAR = 0.95  # sets this alike pass on their answers
 _LOWEST = -(1 << 63)
@@ -74,7 +77,7 @@ class SizeClasses:
     """Ranges of set sizes; a set's partners lie in its own range or a neighbouring one."""
 
     def __init__(self, threshold: Fraction):
-        self.t, self.low = threshold, [1]
+        self.t, self.low, self.dealt = threshold, [1], {}
 
     def of(self, n: int) -> int:
         while self.low[-1] <= n:
@@ -87,25 +90,74 @@ class SizeClasses:
         largest = self.low[c + 1] - 1
         return math.floor((1 - self.t) / (1 + self.t) * (largest + math.floor(largest / self.t)))
 
+    def parts(self, c: int) -> int:
+        """Parts of range c: so many that sets of its smallest size fill more than the differences can touch."""
+        if c not in self.dealt:
+            need = m = self.differences(c) + 1
+            while need > 1:
+                empty = math.exp(-self.low[c] / m)
+                if m * (1 - empty) - 3 * math.sqrt(m * empty) >= need or m >= 2 * need:
+                    break
+                m += max(1, m // 50)
+            self.dealt[c] = m
+        return self.dealt[c]
+
 
 def signatures(s: np.ndarray, sizes: SizeClasses) -> np.ndarray:
     """Hashes of the parts of a set, for its own size range and the one below."""
     own, out = sizes.of(len(s)), []
     for c in (own, own - 1):
-        parts = sizes.differences(c) + 1 if c >= 0 else 1
+        parts = sizes.parts(c) if c >= 0 else 1
         if parts == 1:
             continue  # only equal sets can link, and these are one class
         part = (mix64(s + np.uint64(c)) % np.uint64(parts)).astype(np.int64)
         order = np.argsort(part, kind="stable")
         counts = np.bincount(part, minlength=parts)
-        sums = np.zeros(parts, np.uint64)
-        full = counts > 0
-        sums[full] = np.add.reduceat(mix64(s[order]), np.r_[0, np.cumsum(counts)[:-1]][full])
-        tag = mix64(np.uint64(c << 32) + np.arange(parts, dtype=np.uint64))
-        out.append(mix64(sums * np.uint64(0x9E3779B97F4A7C15) + tag + counts.astype(np.uint64)))
+        full = np.flatnonzero(counts)
+        sums = np.add.reduceat(mix64(s[order]), np.r_[0, np.cumsum(counts[full])[:-1]])
+        tag = mix64(np.uint64(c << 32) + full.astype(np.uint64))
+        out.append(mix64(sums * np.uint64(0x9E3779B97F4A7C15) + tag + counts[full].astype(np.uint64)))
+        if len(full) <= sizes.differences(c):  # the equal part may be one that is empty in both
+            out.append(mix64(mix64(np.uint64(c << 32) + np.flatnonzero(counts == 0).astype(np.uint64))))
     return np.concatenate(out) if out else np.zeros(0, np.uint64)
 
 
+def parity(s: np.ndarray) -> bytes:
+    """Bitmap of about two bits a shingle, each shingle turning one bit over.
+
+    Bitmaps of two sets differ in no more bits than the sets do in shingles.  One of
+    half the length is the two halves laid over each other.
+    """
+    size = max(64, 1 << (2 * len(s)).bit_length()) if len(s) else 64
+    bits = np.bincount((mix64(s + np.uint64(77)) % np.uint64(size)).astype(np.int64), minlength=size) & 1
+    return np.packbits(bits.astype(np.uint8), bitorder="little").tobytes()
+
+
+def plausible(sizes: np.ndarray, bitmaps: list[bytes], t: Fraction) -> list[int]:
+    """Root per set of a list: sets whose bitmaps leave a link possible, directly or in steps, share one."""
+    width = min(map(len, bitmaps))
+    rows = []
+    for raw in bitmaps:
+        b = np.frombuffer(raw, np.uint64)
+        while len(b) * 8 > width:
+            b = b[:len(b) // 2] ^ b[len(b) // 2:]
+        rows.append(b)
+    rows, n = np.stack(rows), len(sizes)
+    root = np.arange(n)
+    p, q = t.numerator, t.denominator
+    for i in range(n - 1):
+        others = np.flatnonzero(root[i + 1:] != root[i]) + i + 1
+        if not len(others):
+            continue
+        m = sizes[others]
+        apart = np.bitwise_count(rows[others] ^ rows[i]).sum(axis=1)
+        near = ((apart * (q + p) <= (q - p) * (m + sizes[i]))
+                & (np.minimum(m, sizes[i]) * q >= np.maximum(m, sizes[i]) * p))
+        for r in np.unique(root[others[near]]):
+            root[root == r] = root[i]
+    return root.tolist()
+
+
 class Index:
     """Links among sets (or of sets to the sets of another side) by positional lists and passed-on answers."""
 
@@ -215,17 +267,18 @@ def jaccard_groups(docs: DataFrame, threshold: Fraction = Fraction(9, 10), shing
     spark = docs.sparkSession
     ship_package(spark)
 
-    @F.pandas_udf("n long, class long")
+    @F.pandas_udf("n long, class long, bits binary")
     def describe(texts):
         import pandas as pd
 
-        n, ids = [], []
+        n, ids, bits = [], [], []
         values = list(texts)
         for i, j in slices([len(x or "") for x in values]):
             for s in shingle_sets(values[i:j], shingle):
                 n.append(len(s))
                 ids.append(class_of(s))
-        return pd.DataFrame({"n": n, "class": ids}).astype("int64")
+                bits.append(parity(s))
+        return pd.DataFrame({"n": np.array(n, np.int64), "class": np.array(ids, np.int64), "bits": bits})
 
     d = F.coalesce(F.col(key).cast("long"), F.lit(_LOWEST))
     text_hash = F.coalesce(F.xxhash64(F.col(text)), F.lit(0))
@@ -241,41 +294,64 @@ def jaccard_groups(docs: DataFrame, threshold: Fraction = Fraction(9, 10), shing
                     if len(s):
                         sigs.append(signatures(s, sizes))
                         classes.append(np.full(len(sigs[-1]), class_of(s), np.int64))
-            if sigs:
-                yield from combined(np.concatenate(sigs), np.concatenate(classes))
-
-    def combined(sigs, classes):
-        """A list met more than once in a batch sends its leader; the others come as pairs with it."""
-        order = np.lexsort((classes, sigs))
-        sigs, classes = sigs[order], classes[order]
-        new = np.r_[True, sigs[1:] != sigs[:-1]] if len(sigs) else np.zeros(0, bool)
-        leader = classes[np.maximum.accumulate(np.where(new, np.arange(len(sigs)), 0))] if len(sigs) else classes
-        other = classes != leader
-        first, second = np.ascontiguousarray(np.unique(np.stack([leader[other], classes[other]], axis=1), axis=0).T)
-        tag = mix64(mix64(first.view(np.uint64)) + second.view(np.uint64))
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(as_long(np.concatenate([sigs[new], tag, tag]))),
-             pa.array(np.concatenate([classes[new], first, second]))], names=["sig", "class"])
-
-    def lead(batches):
-        """The lists come sorted: pairs of a list's first class with its others."""
-        last_sig, last_leader = None, 0
+            if sigs:  # copies within the batch send their entries once
+                s, c = np.concatenate(sigs), np.concatenate(classes)
+                order = np.lexsort((c, s))
+                s, c = s[order], c[order]
+                new = np.r_[True, (s[1:] != s[:-1]) | (c[1:] != c[:-1])] if len(s) else np.zeros(0, bool)
+                yield pa.RecordBatch.from_arrays([pa.array(as_long(s[new])), pa.array(c[new])], names=["sig", "class"])
+
+    def gather(batches):
+        """The lists come sorted: those with several classes, equal ones of a task once, as (list, class)."""
+        sig, cls = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        seen: set[int] = set()
+
+        def whole(sig, cls):
+            new = np.r_[True, (sig[1:] != sig[:-1]) | (cls[1:] != cls[:-1])]
+            sig, cls = sig[new], cls[new]
+            start = np.flatnonzero(np.r_[True, sig[1:] != sig[:-1]])
+            size = np.diff(np.r_[start, len(sig)])
+            name = as_long(mix64(np.add.reduceat(mix64(cls.view(np.uint64)), start) + size.astype(np.uint64)))
+            _, first = np.unique(name, return_index=True)
+            first = np.array([f for f in first if size[f] > 1 and int(name[f]) not in seen], np.int64)
+            if len(seen) > 1_000_000:
+                seen.clear()
+            seen.update(name[first].tolist())
+            pick = np.repeat(start[first] - np.r_[0, np.cumsum(size[first])[:-1]], size[first]) + np.arange(size[first].sum())
+            return pa.RecordBatch.from_arrays([pa.array(np.repeat(name[first], size[first])), pa.array(cls[pick])],
+                                              names=["list", "class"])
+
         for batch in batches:
-            sig, cls = batch.column(0).to_numpy(), batch.column(1).to_numpy()
-            if not len(sig):
-                continue
-            new = np.r_[sig[0] != last_sig, sig[1:] != sig[:-1]]
-            at = np.maximum.accumulate(np.where(new, np.arange(len(sig)), -1))
-            leader = np.where(at < 0, last_leader, cls[at])
-            last_sig, last_leader = sig[-1], leader[-1]
-            other = cls != leader
-            pairs = np.unique(np.stack([leader[other], cls[other]], axis=1), axis=0)
-            yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0].copy()), pa.array(pairs[:, 1].copy())], names=["a", "b"])
+            sig = np.concatenate([sig, batch.column(0).to_numpy()])
+            cls = np.concatenate([cls, batch.column(1).to_numpy()])
+            if len(sig):
+                cut = int(np.searchsorted(sig, sig[-1]))  # the last list may go on
+                if cut:
+                    yield whole(sig[:cut], cls[:cut])
+                    sig, cls = sig[cut:], cls[cut:]
+        if len(sig):
+            yield whole(sig, cls)
+
+    def judge(group: pa.Table) -> pa.Table:
+        group = group.sort_by([("list", "ascending"), ("class", "ascending")])
+        name, cls, n = (group.column(c).to_numpy() for c in ("list", "class", "n"))
+        bits, a, b = group.column("bits").to_pylist(), [], []
+        cuts = np.r_[np.flatnonzero(np.r_[True, name[1:] != name[:-1]]), len(name)].tolist()
+        for i, j in zip(cuts, cuts[1:]):
+            for k, r in enumerate(plausible(n[i:j], bits[i:j], threshold)):
+                if r != k:
+                    a.append(cls[i + k])
+                    b.append(cls[i + r])
+        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
 
     lists = (docs.where(F.col(text).isNotNull()).select(F.col(text).alias("text"))
              .mapInArrow(sign, "sig long, class long"))
     dealt = lists.repartition("sig").sortWithinPartitions("sig", "class")
-    together = write_stage(dealt.mapInArrow(lead, "a long, b long").distinct(), "jaccard-together")
+    shared = write_stage(dealt.mapInArrow(gather, "list long, class long").distinct(), "jaccard-lists")
+    buckets = max(1, -(-shared.count() // LIST_ROWS))
+    one = described.groupBy("class").agg(F.first("n").alias("n"), F.first("bits").alias("bits"))
+    together = write_stage(shared.join(one, "class").withColumn("bucket", F.pmod("list", F.lit(buckets)))
+                           .groupBy("bucket").applyInArrow(judge, "a long, b long").distinct(), "jaccard-together")
     units = components(together).select(F.col("id").alias("class"), F.col("component").alias("unit"))
     units = write_stage(units, "jaccard-units")
 
