@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from playlab.llm import jaccard, language, packing, secrets, substring
-from playlab.llm.common import table
+from playlab.llm.common import bound_batches, table
 from playlab.llm.queries import piece_digests, tokenizer_file
 from playlab.session import write_stage
 
@@ -33,6 +33,7 @@ def _with_text(docs: DataFrame, columns: list[str], text: Column) -> DataFrame:
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in a known language; ``lang`` becomes the language found."""
+    bound_batches(spark)
     model = language.train(docs.where(~language.held_out()))
     found = language.identify(docs, model).where((F.col("lang_pred") != language.UNKNOWN)
                                                  & (F.col("lang_score") >= MIN_LANGUAGE_SCORE))

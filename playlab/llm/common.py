@@ -17,8 +17,19 @@ _MIX2 = 0x94D049BB133111EB
 _MASK = (1 << 64) - 1
 
 
+_BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
+BATCH_BYTES = 8 << 20
+
+
+def bound_batches(spark: SparkSession) -> None:
+    """Texts reach Python in batches of about 8 MB, whatever their length (unless the session asks for less)."""
+    if int(spark.conf.get(_BATCH_BYTES).removesuffix("b")) > BATCH_BYTES:
+        spark.conf.set(_BATCH_BYTES, str(BATCH_BYTES))
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     ship_package(spark)
+    bound_batches(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

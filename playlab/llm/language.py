@@ -185,6 +185,7 @@ def identify(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
                 found += shared.value.predict(values[i:j])
             yield pd.DataFrame({"lang_pred": [f[0] for f in found], "lang_score": [f[1] for f in found]})
 
+    predict = predict.asNondeterministic()  # else a filter on its result would run it a second time
     docs = docs.drop("lang_pred", "lang_score")
     found = F.col("__language")
     return (docs.withColumn("__language", predict(F.col(text)))

@@ -259,6 +259,7 @@ def deduplicate(docs: DataFrame, window: int = 20, key: str = "doc_id", text: st
             out.append((len(words), int(gone.sum()), b" ".join(w for w, g in zip(words, gone) if not g).decode()))
         return pd.DataFrame(out, columns=["n_words", "n_removed", "kept"])
 
+    keep = keep.asNondeterministic()  # run once, also where its results are filtered
     new = ("n_words", "n_removed", "kept")
     names = [c for c in docs.columns if c not in new]
     joined = (docs.select(*[F.col(f"`{c}`") for c in names], d.alias("__d"), text_hash.alias("__t"))
