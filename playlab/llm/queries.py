@@ -45,12 +45,12 @@ def op1(spark, d):
 
 
 @query("op2_topk", """
-with v as (select distinct vec_id, list_transform(embedding, x -> cast(floor(256 * cast(x as double)) as bigint)) as v
+with v as (select distinct vec_id, list_transform(embedding, lambda x: cast(floor(256 * cast(x as double)) as bigint)) as v
            from embeddings
            where vec_id is not null and embedding is not null and len(embedding) > 0
-             and len(list_filter(embedding, x -> x is null or not isfinite(x))) = 0),
+             and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
 s as (select q.vec_id as query_id, c.vec_id,
-             cast(list_sum(list_transform(list_zip(q.v, c.v), p -> p[1] * p[2])) as bigint) as score
+             cast(list_sum(list_transform(list_zip(q.v, c.v), lambda p: p[1] * p[2])) as bigint) as score
       from v q join v c on c.vec_id <> q.vec_id and len(c.v) = len(q.v) where q.vec_id % 50 = 0),
 r as (select *, cast(row_number() over (partition by query_id order by score desc, vec_id) as integer) as rank from s)
 select query_id, rank, vec_id, score from r where rank <= 5""")
@@ -59,7 +59,7 @@ def op2(spark, d):
 
 
 @query("op3_substring", r"""
-with w as (select doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), x -> x <> '') as words
+with w as (select doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') as words
            from documents),
 win as (select doc_id, i, list_slice(words, i, i + 19) as content
         from w, unnest(range(1, greatest(len(words) - 18, 1))) as u(i)),
