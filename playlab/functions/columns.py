@@ -10,13 +10,9 @@ Fixed values (they must equal the reference's for the same results):
   ydstogo, play_type, posteam_timeouts_remaining, defteam_timeouts_remaining,
   posteam_score, defteam_score, score_differential, ep, epa, season, wind,
   temp, roof, surface
-- CATEGORICAL_COLUMNS (SMOTE-NC categoricals and one-hot inputs):
-  home_team, away_team, season_type, posteam, posteam_type, defteam,
-  side_of_field, game_half, season, roof, surface
 - SAMPLE_FRACTIONS: field_goal 0.6, no_play 0.6, run 0.6, punt 0.4, pass 0.6
 - EXCLUDED_LABEL: qb_kneel
 - NULL_CHECKED: play_type, temp, wind
-- FILL_VALUES: wind filled with 0, temp with the training mean
 - BLANK_REPLACEMENT: an empty category becomes 'Undefined'
 - FOURTH_DOWN: 4.0
 """
@@ -32,11 +28,6 @@ REFERENCE_COLUMNS = [
     "temp", "roof", "surface",
 ]
 
-CATEGORICAL_COLUMNS = [
-    "home_team", "away_team", "season_type", "posteam", "posteam_type", "defteam",
-    "side_of_field", "game_half", "season", "roof", "surface",
-]
-
 SAMPLE_FRACTIONS = {"field_goal": 0.6, "no_play": 0.6, "run": 0.6, "punt": 0.4, "pass": 0.6}
 EXCLUDED_LABEL = "qb_kneel"
 NULL_CHECKED = ["play_type", "temp", "wind"]

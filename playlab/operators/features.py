@@ -100,5 +100,10 @@ def feature_pipeline(categorical, numeric, kind: str | None = "maxabs", label: s
 
 def explode_vector(df: DataFrame, column: str, key: str, keep_zeros: bool = False) -> DataFrame:
     """(key, slot, value) per vector entry; zeros dropped unless asked for."""
-    out = df.select(key, F.posexplode(vector_to_array(column)).alias("slot", "value"))
-    return out if keep_zeros else out.where(F.col("value") != 0.0)
+    return df.select(key, F.explode(vector_entries(column, keep_zeros)).alias("e")).select(key, "e.slot", "e.value")
+
+
+def vector_entries(column: str, keep_zeros: bool = False):
+    """Array of (slot, value); zeros are left out before anything is exploded."""
+    entries = F.transform(vector_to_array(column), lambda v, i: F.struct(i.alias("slot"), v.alias("value")))
+    return entries if keep_zeros else F.filter(entries, lambda e: e.value != 0.0)

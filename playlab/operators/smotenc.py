@@ -61,7 +61,7 @@ from pyspark.sql import types as T
 from playlab.functions.columns import KEY, LABEL
 from playlab.functions.hashing import uniform_hash, unit_hash
 from playlab.operators.sampling import mark_smallest
-from playlab.session import materialize
+from playlab.session import materialize, ship_package
 
 MAX_PIVOTS = 262_144    # over all classes; bounds what is broadcast to the tasks
 MAX_PIVOT_BYTES = 256 << 20
@@ -283,7 +283,9 @@ def smotenc(df: DataFrame, label: str = LABEL, categorical=None, numeric=None, k
     """
     numeric = list(numeric)
     categorical = list(categorical)
-    df = materialize(df)  # reused by every pass below
+    ship_package(df.sparkSession)
+    # reused by every pass below; a row without a label belongs to no class
+    df = materialize(df.where(F.col(label).isNotNull()))
     stats = class_stats(df, label, numeric, categorical)
     originals = df.withColumn("synth", F.lit(0))
     if not stats:

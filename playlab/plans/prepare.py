@@ -2,9 +2,10 @@
 
 ``prepare`` is one lazy plan per output frame: scan (season range) ->
 projection -> one combined cleaning predicate -> hash sample / hash
-remainder -> fill.  The only action before the caller's is one small
-aggregate for the training mean of ``temp``.  Train and test are exact
-complements of the cleaned rows, found by two filters without a join.
+remainder -> fill.  Two actions run before the caller's: the cleaned rows are
+written once as Parquet to the shared folder (later scans read the columns they
+need), and a small aggregate finds the training mean of ``temp``.  Train and test
+are exact complements of the cleaned rows, found by two filters without a join.
 """
 
 from __future__ import annotations
@@ -42,10 +43,11 @@ class Prepared:
         return out
 
 
-def cleaned(df: DataFrame, start: int = FIRST_SEASON, end: int = END_SEASON, key: str = KEY,
+def cleaned(df: DataFrame, start: int | None = None, end: int | None = None, key: str = KEY,
             all_columns: bool = True) -> DataFrame:
-    """Season range, reference columns (plus the key), fourth downs, NULL rule, no kneels."""
-    return clean(project(scan_table(df, start, end), [key] + REFERENCE_COLUMNS), all_columns=all_columns)
+    """Reference columns (plus the key), fourth downs, NULL rule, no kneels; of a season range if one is given."""
+    rows = scan_table(df, start, end) if start is not None and end is not None else df
+    return clean(project(rows, [key] + REFERENCE_COLUMNS), all_columns=all_columns)
 
 
 def training_fill(train: DataFrame) -> dict:

@@ -517,12 +517,11 @@ def q_string_index(spark, d):
 def q_one_hot(spark, d):
     tr = _ftrain(spark, d)
     enc = Pipeline(stages=[FE.index(CATS), FE.one_hot(CATS)]).fit(tr).transform(tr)
-    out = None
-    for c in CATS:
-        part = FE.explode_vector(enc, FE.vec(c), KEY).select(
-            KEY, F.lit(c).alias("column_name"), "slot", "value")
-        out = part if out is None else out.unionByName(part)
-    return out
+    def named(c):
+        return F.transform(FE.vector_entries(FE.vec(c)), lambda e: F.struct(
+            F.lit(c).alias("column_name"), e.slot.alias("slot"), e.value.alias("value")))
+
+    return enc.select(KEY, F.explode(F.concat(*[named(c) for c in CATS])).alias("e")).select(KEY, "e.column_name", "e.slot", "e.value")
 
 
 @query("assemble_skip", O.with_base("select row_id, slot, round(value, 6) as value from fe",
@@ -582,7 +581,8 @@ def _predictions(model, df):
 
 
 def _scoring_features(kind="maxabs", cats=CATS):
-    return FE.feature_pipeline(cats, NUMS, kind=kind, label="play_type", handle_invalid="keep")
+    # rows whose label was not seen in training are left out of the scores
+    return FE.feature_pipeline(cats, NUMS, kind=kind, label="play_type", handle_invalid="keep", label_invalid="skip")
 
 
 @query("logistic_regression")

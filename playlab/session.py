@@ -62,22 +62,24 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
 
 def shared_dir(spark: SparkSession, name: str) -> str:
-    """A new, unique folder below the shared checkpoint location."""
+    """A new, unique folder below the shared checkpoint location; it goes when the application ends."""
     base = spark.sparkContext.getConf().get("spark.checkpoint.dir", None) or ensure_checkpoint_dir(spark)
     base = base[len("file:"):] if base.startswith("file:") and not base.startswith("file://") else base
-    return os.path.join(base, f"{name}-{uuid.uuid4().hex}")
+    path = os.path.join(base, f"{name}-{uuid.uuid4().hex}")
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(folder)
+    return path
 
 
 def materialize(df):
-    """Write ``df`` once to the shared checkpoint folder and read it back.
+    """Write ``df`` once to the shared checkpoint folder, as Parquet, and read it back.
 
     Used where several jobs reuse one intermediate frame (statistics, then
     the rows): later jobs start from the written files instead of
     recomputing the lineage, and a lost executor costs a re-read, not a
     recomputation.  Never a machine-local copy.
     """
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    return write_stage(df, "stage")
 
 
 _SHIPPED: set[str] = set()
@@ -127,6 +129,4 @@ def write_stage(df: DataFrame, name: str) -> DataFrame:
             spark.conf.unset(_FREE_SHUFFLES)
         else:
             spark.conf.set(_FREE_SHUFFLES, before)
-    jpath = spark._jvm.org.apache.hadoop.fs.Path(path)
-    jpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(jpath)
     return spark.read.schema(df.schema).parquet(path)

@@ -80,18 +80,15 @@ def plays(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def write_partitioned(df: DataFrame, path: str, files_per_season: int = 8, key: str = "row_id",
-                      mode: str = "overwrite") -> None:
+def write_partitioned(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     """Write plays as parquet partitioned by season (one folder per season).
 
-    Rows are shuffled on (season, hash(key) mod ``files_per_season``): every
-    season is spread over that many tasks (no task holds a whole season),
-    and each task writes one file into one season folder instead of one per
-    season it happens to hold.  The hash keeps a retried task's rows the same.
+    The rows are rebalanced by season: Spark joins small seasons and splits a
+    large one over as many tasks as its size asks for (adaptive execution, by
+    ``advisoryPartitionSizeInBytes``), so neither a task nor a file holds a
+    season of any size.
     """
-    spread = F.pmod(F.xxhash64(F.col(key)), F.lit(files_per_season))
-    (df.repartition(F.col("season"), spread).write.mode(mode)
-       .partitionBy("season").parquet(path))
+    df.hint("rebalance", "season").write.mode(mode).partitionBy("season").parquet(path)
 
 
 def scan(spark: SparkSession, path: str, start: int, end: int, columns=None) -> DataFrame:

@@ -7,7 +7,6 @@ from pyspark.sql.streaming import StreamingQuery
 
 from playlab.functions.columns import KEY
 from playlab.operators.clean import blank_to, clean
-from playlab.session import shared_dir
 from playlab.sources.plays import PLAYS_SCHEMA
 
 
@@ -29,13 +28,15 @@ def score_stream(model, stream: DataFrame, columns=(KEY, "play_type", "play_type
     return model.transform(stream).select(*columns)
 
 
-def start_scoring(scored: DataFrame, sink: str, checkpoint: str | None = None,
-                  available_now: bool = True) -> StreamingQuery:
-    """Append predictions to parquet at ``sink``; progress kept in the shared folder."""
-    spark = scored.sparkSession
+def start_scoring(scored: DataFrame, sink: str, checkpoint: str, available_now: bool = True) -> StreamingQuery:
+    """Append predictions to parquet at ``sink``.
+
+    ``checkpoint`` keeps the progress: a query restarted with the same folder goes
+    on where it stopped.
+    """
     writer = (scored.writeStream.format("parquet").outputMode("append")
               .option("path", sink)
-              .option("checkpointLocation", checkpoint or shared_dir(spark, "stream-ckpt")))
+              .option("checkpointLocation", checkpoint))
     if available_now:
         writer = writer.trigger(availableNow=True)
     return writer.start()

@@ -60,8 +60,30 @@ def test_filters_reach_the_scan(spark):
     from playlab.sources.plays import plays, write_partitioned
 
     path = shared_dir(spark, "plan-scan")
-    write_partitioned(plays(spark, SF001), path, files_per_season=1)
+    write_partitioned(plays(spark, SF001), path)
     df = cleaned(scan(spark, path, 1995, 2001))
     plan = df._jdf.queryExecution().executedPlan().toString()
-    assert "PartitionFilters: [isnotnull(season" in plan
+    cut = plan[plan.index("PartitionFilters"):].split("PushedFilters")[0]
+    assert "season" in cut and ">= 1995" in cut and "< 2001" in cut, cut
     assert "PushedFilters: [EqualTo(down,4.0)" in plan
+
+
+def test_one_hot_scans_once_and_prepare_frames_prune(spark):
+    """One pass for all columns; later scans of the cleaned rows are pruned Parquet scans."""
+    from playlab.plans.queries import QUERIES
+
+    plan = QUERIES["one_hot"](spark, SF001)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan parquet") == 1
+    assert "ExistingRDD" not in plan
+    plan = QUERIES["column_list"](spark, SF001)._jdf.queryExecution().executedPlan().toString()
+    assert "FileScan parquet" in plan and "ExistingRDD" not in plan
+
+
+def test_season_outside_the_fixture_is_kept(spark):
+    """Only the season operators cut by season."""
+    from pyspark.sql import functions as F
+    from playlab.plans.prepare import cleaned
+    from playlab.sources.plays import plays
+
+    df = plays(spark, SF001).withColumn("season", F.lit(2030))
+    assert cleaned(df).count() == cleaned(plays(spark, SF001)).count() > 0

@@ -21,7 +21,8 @@ print("ROWS", E.entry(spark).count())
 
 def test_entry_without_checkpoint_setting():
     env = dict(os.environ, SPARK_CONF_DIR=tempfile.mkdtemp(prefix="playlab-noconf-"))
-    out = subprocess.run([sys.executable, "-c", SCRIPT], env=env, capture_output=True, text=True, timeout=600)
+    out = subprocess.run([sys.executable, "-c", SCRIPT], env=env, capture_output=True, text=True, timeout=600,
+                         cwd=tempfile.mkdtemp(prefix="playlab-elsewhere-"))
     assert out.returncode == 0, out.stderr[-2000:]
     rows = [ln for ln in out.stdout.splitlines() if ln.startswith("ROWS")]
     assert rows and int(rows[0].split()[1]) > 0

@@ -17,14 +17,15 @@ NUMS = ["quarter_seconds_remaining", "ydstogo", "ep", "wind", "temp"]
 def test_stream_scoring_matches_batch(spark):
     df = plays(spark, SF001)
     src = shared_dir(spark, "stream-src")
-    write_partitioned(df, src, files_per_season=2)
+    write_partitioned(df, src)
     train = blank_to(prepare(df).train, "surface")
     model = M.fit(train, FE.feature_pipeline(CATS, NUMS, kind="maxabs", handle_invalid="keep"),
                   M.classifier("lr", maxIter=10))
     scored = score_stream(model, clean_stream(read_plays_stream(spark, src)))
     sink = shared_dir(spark, "stream-sink")
-    q = start_scoring(scored, sink)
-    q.awaitTermination(300)
+    progress = shared_dir(spark, "stream-progress")
+    start_scoring(scored, sink, progress).awaitTermination(300)
+    start_scoring(scored, sink, progress).awaitTermination(300)  # a restart appends nothing again
     got = spark.read.parquet(sink)
     batch = score_stream(model, blank_to(cleaned(df), "surface"))
     assert got.count() == batch.count()
