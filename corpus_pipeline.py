@@ -12,6 +12,8 @@ columns travel along unchanged.
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -23,6 +25,20 @@ from playlab.session import write_stage
 MIN_LANGUAGE_SCORE = 0.4  # below it no learned language is likely
 
 
+OWN = ("doc_id", "text", "lang", "source", "n_chars")
+
+
+def _apart(stage):
+    """Runs a stage with the further columns under names that no operator uses, and names them back."""
+    @functools.wraps(stage)
+    def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        names = docs.columns
+        inner = [c if c in OWN else f"__further{i}" for i, c in enumerate(names)]
+        return stage(spark, docs.toDF(*inner), sf_dir).toDF(*names)
+
+    return run_stage
+
+
 def _with_text(docs: DataFrame, columns: list[str], text: Column) -> DataFrame:
     """The documents with a new text, and their character count where they have one."""
     docs = docs.withColumn("text", text)
@@ -31,6 +47,7 @@ def _with_text(docs: DataFrame, columns: list[str], text: Column) -> DataFrame:
     return docs.select(*[F.col(f"`{c}`") for c in columns])
 
 
+@_apart
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in a known language; ``lang`` becomes the language found."""
     bound_batches(spark)
@@ -40,18 +57,21 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     return found.withColumn("lang", F.col("lang_pred")).select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
+@_apart
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates (Jaccard 0.8 on five-word shingles)."""
     found = jaccard.jaccard_groups(docs, threshold=jaccard.Fraction(8, 10), shingle=5, one_per_group=True)
     return found.select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
+@_apart
 def drop_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without the passages of 20 or more words that occur earlier; other texts as they were."""
     found = substring.deduplicate(docs)
     return _with_text(found, docs.columns, F.when(F.col("n_removed") > 0, F.col("kept")).otherwise(F.col("text")))
 
 
+@_apart
 def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts with their secrets masked."""
     found = secrets.scan(docs, secrets.train(docs))

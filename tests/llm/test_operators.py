@@ -1,0 +1,238 @@
+"""The other text operators against brute force on small tables, with odd rows."""
+
+import random
+from collections import Counter, defaultdict
+from fractions import Fraction
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from playlab.llm import bpe, html_text, jaccard, language, neardup, secrets, substring, topk
+from playlab.llm.queries import QUERIES, tokenizer_file
+
+SF = "/root/testdata/sf0.001"
+DOCS = "doc_id long, text string, lang string, source string, anchor string, class int, d int"
+
+
+def frame(spark, texts):
+    return spark.createDataFrame([(i, t, "en", "s", "a", 1, 2) for i, t in texts], DOCS)
+
+
+def corpus(seed=1):
+    """Copies, near copies, shared passages, a repeated row, nulls, empty and one long text."""
+    rng = random.Random(seed)
+    words = [f"w{i}" for i in range(3000)]
+    say = lambda n: [rng.choice(words) for _ in range(n)]
+    passage, rows = say(60), []
+    for i in range(60):
+        rows.append((i, say(rng.randint(1, 120))))
+    for i in range(60, 90):
+        near = list(rows[i - 60][1])
+        if near:
+            near[rng.randrange(len(near))] = "changed"
+        rows.append((i, near))
+    rows += [(i, say(30) + passage + say(10)) for i in range(90, 110)]
+    rows.append((110, say(3000)))
+    rows.append((111, ["same"] * 70))
+    texts = [(i, " ".join(w)) for i, w in rows]
+    return texts + [(112, None), (113, ""), (114, " \t\n"), (115, "one"), (116, "One"), (5, texts[5][1]), (None, texts[7][1])]
+
+
+def test_substring_against_brute_force(spark):
+    texts = corpus()
+    order = sorted(set(texts), key=lambda r: -(1 << 63) if r[0] is None else r[0])
+    seen, want = set(), {}
+    for i, t in order:
+        words = (t or "").split()
+        gone = [False] * len(words)
+        for s in range(len(words) - 19):
+            k = tuple(words[s:s + 20])
+            if k in seen:
+                gone[s:s + 20] = [True] * 20
+            seen.add(k)
+        want[i] = (len(words), sum(gone), " ".join(w for w, g in zip(words, gone) if not g))
+    out = substring.deduplicate(frame(spark, texts)).collect()
+    assert len(out) == len(texts)
+    for r in out:
+        assert (r.n_words, r.n_removed, r.kept) == want[r.doc_id], r.doc_id
+        assert (r.anchor, r["class"], r.d) == ("a", 1, 2)
+    assert substring.deduplicate(frame(spark, texts).limit(0)).count() == 0
+
+
+def test_substring_splits_a_hot_anchor(spark, monkeypatch):
+    monkeypatch.setattr(substring, "BLOCK", 3)
+    test_substring_against_brute_force(spark)
+
+
+def test_automaton_matching():
+    rng = random.Random(3)
+    for _ in range(200):
+        a, b = ([rng.randint(0, 2) for _ in range(rng.randint(0, 12))] for _ in range(2))
+        s = [rng.randint(0, 2) for _ in range(10)]
+        m = substring.SuffixAutomaton()
+        m.add(a)
+        m.add(b)
+        factors = {tuple(x[i:j]) for x in (a, b) for i in range(len(x)) for j in range(i, len(x) + 1)} | {()}
+        assert m.matching(s) == [max(n for n in range(k + 2) if tuple(s[k + 1 - n:k + 1]) in factors) for k in range(len(s))]
+
+
+@pytest.mark.parametrize("t,n", [(Fraction(9, 10), 3), (Fraction(8, 10), 5)])
+def test_jaccard_against_brute_force(spark, t, n):
+    texts = corpus(2)
+    sets = {}
+    for i, x in texts:
+        w = (x or "").lower().split()
+        sets[i] = frozenset(tuple(w[k:k + n]) for k in range(len(w) - n + 1)) if len(w) >= n else frozenset([tuple(w)] if w else [])
+    low = lambda i: -1 if i is None else i
+    group = {i: {i} for i in sets}
+    for i in sets:
+        for j in sets:
+            if i != j and sets[i] and sets[j] and len(sets[i] & sets[j]) >= t * len(sets[i] | sets[j]):
+                g = group[i] | group[j]
+                for k in g:
+                    group[k] = g
+    out = jaccard.jaccard_groups(frame(spark, texts), t, n).collect()
+    assert len(out) == len(texts)
+    for r in out:
+        assert r.n_shingles == len(sets[r.doc_id])
+        assert r.component_id == min(group[r.doc_id], key=low), r.doc_id
+    kept = jaccard.jaccard_groups(frame(spark, texts), t, n, one_per_group=True).collect()
+    assert Counter(r.doc_id for r in kept) == Counter(i for i in sets if min(group[i], key=low) == i)
+    assert jaccard.jaccard_groups(frame(spark, texts).limit(0)).count() == 0
+
+
+def test_jaccard_blocks(spark, monkeypatch):
+    monkeypatch.setattr(jaccard, "BLOCK", 2)
+    test_jaccard_against_brute_force(spark, Fraction(9, 10), 3)
+
+
+VECTORS = "vec_id long, embedding array<double>, id int, v string, rep int"
+
+
+def vectors(spark, seed=4):
+    rng = np.random.default_rng(seed)
+    base = rng.standard_normal((40, 8))
+    rows = [(i, v) for i, v in enumerate(base)]
+    rows += [(40 + i, base[i % 5] + 0.05 * rng.standard_normal(8)) for i in range(80)]
+    rows += [(120 + i, base[0]) for i in range(30)] + [(150, 2 * base[1]), (3, base[3])]
+    rows = [(i, [float(x) for x in v], 1, "x", 2) for i, v in rows]
+    return rows + [(200, None, 1, "x", 2), (201, [0.0] * 8, 1, "x", 2), (202, [float("nan")] * 8, 1, "x", 2),
+                   (203, [None] + [1.0] * 7, 1, "x", 2), (204, [float("inf")] * 8, 1, "x", 2), (205, [1.0, 2.0], 1, "x", 2)]
+
+
+def test_topk_against_brute_force(spark, monkeypatch):
+    monkeypatch.setattr(topk, "SHARD_ROWS", 20)
+    monkeypatch.setattr(topk, "LEAF_ROWS", 4)
+    rows = vectors(spark)
+    df = spark.createDataFrame(rows, VECTORS)
+    got = defaultdict(list)
+    for r in topk.topk(df, F.col("vec_id") % 10 == 0).orderBy("query_id", "rank").collect():
+        got[r.query_id].append((r.vec_id, r.score))
+    good = {i: np.floor(256 * np.array(v)).astype(int) for i, v, *_ in rows
+            if v and all(x is not None and np.isfinite(x) for x in v)}
+    for q in [i for i in good if i % 10 == 0]:
+        s = sorted(((int(good[q] @ v), -i) for i, v in good.items() if i != q and len(v) == len(good[q])), reverse=True)[:5]
+        assert got.pop(q, []) == [(-i, x) for x, i in s]
+    assert not got
+    assert topk.topk(df.limit(0), F.lit(True)).count() == 0
+
+
+def test_neardup_against_brute_force(spark, monkeypatch):
+    monkeypatch.setattr(neardup, "GROUP", 16)
+    rows = vectors(spark)
+    got = {r.vec_id: r for r in neardup.near_duplicates(spark.createDataFrame(rows, VECTORS), recall=0.999).collect()}
+    good = {i: np.array(v) / np.linalg.norm(v) for i, v, *_ in rows
+            if v and all(x is not None and np.isfinite(x) for x in v) and any(v)}
+    link = {i: [j for j in good if j != i and len(good[i]) == len(good[j]) and good[i] @ good[j] >= 0.9] for i in good}
+    for i in {r[0] for r in rows}:
+        reach, todo = {i}, [i]
+        while todo:
+            for j in link.get(todo.pop(), []):
+                if j not in reach:
+                    reach.add(j)
+                    todo.append(j)
+        assert (got[i].n_links, got[i].component_id, got[i].kept) == (len(link.get(i, [])), min(reach), min(reach) == i)
+    assert neardup.near_duplicates(spark.createDataFrame(rows, VECTORS).limit(0)).count() == 0
+
+
+def test_language(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    out = QUERIES["op7_language"](spark, SF).join(docs.select("doc_id", "lang"), "doc_id").where("held_out").collect()
+    assert sum(r.lang_pred == r.lang for r in out) >= 0.9 * len(out) > 0
+    assert all(0 <= r.score <= 1 for r in out)
+    model = language.train(docs.where(~language.held_out()))
+    odd = spark.createDataFrame([(1, None, "q"), (1, "", "q"), (2, "12 !?", "q"), (3, "the the of", "q")],
+                                "doc_id long, text string, lang_pred string")
+    got = [r.lang_pred for r in language.identify(odd, model).orderBy("doc_id").collect()]
+    assert got == ["und", "und", "und", "en"]
+    empty = language.train(docs.limit(0))
+    assert {r.lang_pred for r in language.identify(docs, empty).collect()} == {"und"}
+
+
+def test_bpe_round_trip(spark):
+    from tokenizers import Tokenizer
+
+    path = tokenizer_file("byte_bpe_50k.json")
+    tok, enc = Tokenizer.from_file(path), bpe.encoder(path)
+    rng = random.Random(5)
+    texts = ["".join(rng.choice("ab tTheing'sé日😀 \n\x1c\x85 　019.<|>") for _ in range(rng.randint(0, 80))) for _ in range(1500)]
+    texts += ["<|endoftext|>x <|endoftext|>", "a" * 3000, "   x  \n\n y"]
+    for t, ids in zip(texts, enc.encode(texts)):
+        assert np.frombuffer(ids, "<u4").tolist() == tok.encode(t, add_special_tokens=False).ids
+        assert enc.decode(ids) == t
+    odd = frame(spark, [(1, None), (1, ""), (None, "x y"), (2, "x y"), (2, "x y")])
+    out = bpe.decode(bpe.encode(odd, path), path).collect()
+    assert sorted(r.decoded for r in out) == ["", "", "x y", "x y", "x y"]
+
+
+def test_html_main_text(spark):
+    import html as entities
+    import re
+
+    pages = spark.read.parquet(f"{SF}/pages.parquet")
+    model = html_text.train(pages)
+    for r in html_text.extract(pages, model).collect():
+        body = re.search(r"<article>(.*?)</article>", r.html, re.S).group(1)
+        body = entities.unescape(re.sub(r"<[^>]+>", "", re.sub(r"</?(?:h1|p|br)[^>]*>", " ", body)))
+        assert r.text == " ".join(body.split())
+    page = ("<body><div id=menu><a href=x>Home</a></div><div class='cookie-banner'>We use cookies.</div><main><h1>A &amp; B</h1>"
+            "<p>Some <b>bo</b>ld words\n here, and more of them.<aside>Note</aside><div class=ad>Buy this.</div><p>Second.</p>"
+            "<section class=comments><p>I like this very long text.</p></section></main><script>x<p></script><footer>F</footer>")
+    assert model.text(page) == "A & B Some bold words here, and more of them. Second."
+    odd = spark.createDataFrame([(1, None, "t"), (1, "", "t"), (2, "<p", "t"), (2, "<!-- x", "t")], "page_id long, html string, text string")
+    assert [r.text for r in html_text.extract(odd, model).orderBy("page_id").collect()][:2] == ["", ""]
+    assert html_text.train(pages.limit(0)).text("<main><p>x</main>y") == "x"
+
+
+def test_secrets(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    forest = secrets.train(docs)
+    key, token = "AKIA" + "QCN5VJTUYMSSXKC6", "1eb9c654e721b4f812088970e66a6345cee33dd6"
+    texts = [(1, f'the token = "{token}" of'), (2, f"it was {key} and"), (3, "a thanedblethanedbletion of the"), (4, None), (5, ""),
+             (6, "x" * 50000), (2, f"it was {key} and")]
+    got = {(r.doc_id, r.clean): [s.secret for s in r.secrets] for r in secrets.scan(frame(spark, texts), forest).collect()}
+    assert got[1, 'the token = "[SECRET]" of'] == [token]
+    assert got[2, "it was [SECRET] and"] == [key]
+    assert all(got[i, t] == [] for i, t in texts[2:6])
+    plan = secrets.scan(docs, forest)._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "Exchange" not in plan
+    assert secrets.scan(docs.limit(0), secrets.train(docs.limit(0))).count() == 0
+
+
+def test_pipeline_stages(spark):
+    import corpus_pipeline as C
+
+    docs = spark.read.parquet(f"{SF}/documents.parquet").withColumn("kept", F.lit(1))
+    extra = docs.limit(1).select((F.col("doc_id") + 10_000_000).alias("doc_id"), F.lit(None).cast("string").alias("text"),
+                                 *docs.columns[2:])
+    now = docs.unionByName(extra)
+    for name, stage in C.STAGES[:-1]:
+        out = stage(spark, now, SF)
+        assert out.columns == docs.columns, name
+        now = spark.createDataFrame(out.collect(), docs.schema)
+    ids = {r.doc_id for r in now.collect()}
+    assert max(ids) < 10_000_000
+    assert 0.5 * docs.count() < len(ids) <= docs.count()
+    packed = C.STAGES[-1][1](spark, now, SF).collect()
+    assert {r.doc_id for r in packed} == ids
