@@ -42,7 +42,7 @@ from playlab.llm.bpe import byte_alphabet
 from playlab.llm.common import slices
 from playlab.session import ship_package, write_stage
 
-CACHE_WORDS = 560_000  # word encodings a Python worker keeps at once, in two generations
+CACHE_WORDS = 700_000  # word encodings a Python worker keeps at once
 
 # The tokenizer's white space (\s) and its pieces of a word.
 _SPLIT = regex.compile(r"[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]+")
@@ -65,7 +65,6 @@ class WordEncoder(dict):
         from tokenizers import Tokenizer
 
         super().__init__()
-        self.old: dict[str, bytes] = {}
         self.tok = Tokenizer.from_file(path)
         self.tok.no_padding()
         self.tok.no_truncation()
@@ -90,19 +89,17 @@ class WordEncoder(dict):
             p if p.isascii() else p.encode().decode("latin-1").translate(self.bytes_as))]
 
     def __missing__(self, word: str) -> bytes:
-        code = self.old.get(word)
-        if code is None:
-            code = self.pack(self._ids(word))
-        self[word] = code
+        code = self[word] = self.pack(self._ids(word))
         return code
 
     def encode(self, texts: list[str]) -> list[bytes]:
         cut = [[w for w in _SPLIT.split(t) if w] if _CONTROL.search(t) else t.split() for t in texts]
         get = self.__getitem__
         out = [b"".join(map(get, ws)) for ws in cut]
-        if len(self) > CACHE_WORDS // 2:  # words that are met again come back from the old generation
-            self.old = dict(self)
+        if len(self) > CACHE_WORDS:  # keep the words of this slice
+            kept = {w: self[w] for ws in cut for w in ws}
             self.clear()
+            self.update(kept)
         return out
 
 
