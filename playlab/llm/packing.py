@@ -28,7 +28,6 @@ from __future__ import annotations
 import bisect
 import math
 import struct
-import unicodedata
 from fractions import Fraction
 
 import numpy as np
@@ -42,11 +41,14 @@ from playlab.llm.bpe import byte_alphabet
 from playlab.llm.common import slices
 from playlab.session import ship_package, write_stage
 
-CACHE_WORDS = 700_000  # word encodings a Python worker keeps at once
+CACHE_WORDS = 600_000   # word encodings a Python worker keeps at once
+CACHE_PIECES = 500_000  # and encodings of the pieces that words consist of
 
 # The tokenizer's white space (\s) and its pieces of a word.
 _SPLIT = regex.compile(r"[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]+")
 _PIECES_OF_WORD = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\s\p{L}\p{N}]+")
+# Signs of which any run is one piece.
+_SIGNS = "".join(c for c in map(chr, range(0x21, 0x7F)) if not c.isalnum())
 # What str.split() cuts at and that white space does not hold.
 _CONTROL = regex.compile(r"[\x1c-\x1f]")
 # Words of these characters go straight to the model; others through the whole tokenizer.
@@ -56,9 +58,10 @@ _LATIN = regex.compile(r"[\x21-\x7e\xa1-\u017f]+")
 class WordEncoder(dict):
     """Encodings by word, for a tokenizer that never joins across white space.
 
-    A word that is looked up first is normalized, cut into pieces and given to the
-    model of the tokenizers library; a word outside Latin letters or with a special
-    token's string goes through the library's whole tokenizer.
+    A word that is looked up first is normalized and cut into pieces; new pieces go to
+    the model of the tokenizers library, so words that differ in case or in the signs
+    around them share its work.  A word outside Latin letters or with a special token's
+    string goes through the library's whole tokenizer.
     """
 
     def __init__(self, path: str):
@@ -68,7 +71,7 @@ class WordEncoder(dict):
         self.tok = Tokenizer.from_file(path)
         self.tok.no_padding()
         self.tok.no_truncation()
-        self.model = self.tok.model
+        self.model, self.pieces = self.tok.model, {}
         special = [regex.escape(t.content) for t in self.tok.get_added_tokens_decoder().values()]
         self.special = regex.compile("|".join(special) or r"(?!)")
         self.bytes_as = {b: c for c, b in byte_alphabet().items()}
@@ -79,17 +82,24 @@ class WordEncoder(dict):
     def pack(self, ids) -> bytes:
         return self.packers[len(ids)](*ids) if len(ids) < 64 else struct.pack(f"<{len(ids)}{self.kind}", *ids)
 
-    def _ids(self, word: str) -> list[int]:
-        if word.isascii() and word.isalpha():
-            return [t.id for t in self.model.tokenize(word.lower())]
-        if not _LATIN.fullmatch(word) or self.special.search(word):
-            return self.tok.encode(word, add_special_tokens=False).ids
-        low = "".join(map(str.lower, unicodedata.normalize("NFC", word)))
-        return [t.id for p in _PIECES_OF_WORD.findall(low) for t in self.model.tokenize(
-            p if p.isascii() else p.encode().decode("latin-1").translate(self.bytes_as))]
+    def _piece(self, piece: str) -> bytes:
+        code = self.pieces.get(piece)
+        if code is None:
+            raw = piece if piece.isascii() else piece.encode().decode("latin-1").translate(self.bytes_as)
+            code = self.pieces[piece] = self.pack([t.id for t in self.model.tokenize(raw)])
+        return code
 
     def __missing__(self, word: str) -> bytes:
-        code = self[word] = self.pack(self._ids(word))
+        if word.isascii() and word.isalpha():
+            code = self._piece(word.lower())
+        elif not _LATIN.fullmatch(word) or self.special.search(word):
+            code = self.pack(self.tok.encode(word, add_special_tokens=False).ids)
+        else:
+            low = word.lower()
+            core = low.rstrip(_SIGNS)
+            pieces = (core, low[len(core):]) if core.isalpha() else _PIECES_OF_WORD.findall(low)
+            code = b"".join([self._piece(p) for p in pieces if p])
+        self[word] = code
         return code
 
     def encode(self, texts: list[str]) -> list[bytes]:
@@ -100,6 +110,8 @@ class WordEncoder(dict):
             kept = {w: self[w] for ws in cut for w in ws}
             self.clear()
             self.update(kept)
+        if len(self.pieces) > CACHE_PIECES:
+            self.pieces.clear()
         return out
 
 
