@@ -28,24 +28,31 @@ pivot partitioning of Lu, Shen, Chen and Ooi, "Efficient Processing of k
 Nearest Neighbor Joins using MapReduce", PVLDB 5(10), 2012:
 
 * each class picks P_c = ceil(n_c / cell_rows) pivot rows by key hash, within
-  a global budget of ``max_pivots`` shared in proportion to class size; the
-  pivot table is therefore bounded, and it reaches the tasks once per
-  executor as a broadcast whose size is checked first;
-* pass 1 (``mapInPandas``, numpy): every row goes to the cell of its nearest
-  pivot.  Per cell: U_i = largest distance of a query row to pivot i, D_i =
-  distance from pivot i to its (k'+1)-th nearest member;
-* theta_i = U_i + min_j (|p_i p_j| + D_j) bounds the k'-th neighbour distance
-  of every query in cell i (pivot-to-pivot distances are a small local
-  matrix);
-* pass 2: a row o is sent to cell i (besides its own) when
-  |o p_i| <= U_i + theta_i -- otherwise no query of cell i can have it as a
-  neighbour.  Each cell then solves its queries exactly against its members
-  and the rows sent to it (``applyInPandas``, numpy, chunked).
+  a global budget of ``max_pivots`` (and of MAX_PIVOT_BYTES) shared in
+  proportion to class size; the pivot table is therefore bounded, and it
+  reaches the tasks once per executor as a broadcast;
+* the pivots form a tree of two levels: about sqrt(P_c) of them head groups,
+  and every pivot belongs to the group of its nearest head.  A row goes to the
+  nearest head's group and there to the cell of its nearest pivot, so it is
+  compared with about 2 sqrt(P_c) pivots (``assign``);
+* a cell above ``BLOCK_CELLS * cell_rows`` rows is dealt into blocks by key hash;
+* ``near``: each query finds its k' nearest in its own block.  Their k'-th
+  distance bounds the query's search: it visits only the cells that can hold
+  a row within that bound.  A group or cell j is skipped when the ball
+  around its pivot is too far, d(q, p_j) - R_j > bound, or when the plane between
+  p_j and the pivot p_i nearest to the query is, (d(q, p_j)^2 - d(q, p_i)^2) / (2 |p_i p_j|) > bound
+  (rows of cell j are on p_j's side);
+* ``far``: the queries travel to the blocks they visit (rows stay in theirs), at
+  most about ``VISIT_CELLS * cell_rows`` of them per task, and the k' best of
+  all visited blocks are merged per query.
 
 No candidate is ever dropped: the bounds only skip rows that provably cannot
-be neighbours, so the result equals brute force.  Work per cell is its
-members times its candidates; cells hold about ``cell_rows`` rows as long as
-rows are not massive exact duplicates.
+be neighbours, so the result equals brute force.  No task holds more than one
+block and its share of visitors.  How many cells a query visits depends on the
+data's intrinsic dimension (README, measured).
+
+Contract: ``key`` is unique among the input rows; a key that two query rows share is
+an error.
 """
 
 from __future__ import annotations
@@ -66,8 +73,11 @@ from playlab.session import materialize, ship_package
 MAX_PIVOTS = 262_144    # over all classes; bounds what is broadcast to the tasks
 MAX_PIVOT_BYTES = 256 << 20
 CELL_ROWS = 1000        # rows per cell aimed for
+BLOCK_CELLS = 4         # a block holds at most about so many times ``cell_rows`` rows
+VISIT_CELLS = 8         # visitors per task, likewise
 _BLOCK_ENTRIES = 4_000_000  # distance entries per numpy block (about 32 MB)
-PRUNE_MIN = 4096           # candidates per cell above which the in-cell filter is used
+SLACK = 1e-3               # covers the rounding of distance^2 that orders neighbours
+PRUNE_MIN = 4096           # candidates per block above which the line filter is used
 
 
 def class_stats(df: DataFrame, label: str, numeric, categorical=()) -> dict:
@@ -106,85 +116,114 @@ def _block_rows(width: int) -> int:
     return max(1, _BLOCK_ENTRIES // max(1, width))
 
 
+def _dist(xn, xc, pn, pc, m2):
+    return np.sqrt(_dist2(xn, xc, pn, pc, m2))
+
+
+def _codes(frame: pd.DataFrame, categorical, vocab) -> np.ndarray:
+    """Codes of the rows' categories in the vocabularies (-1: not there)."""
+    if not categorical:
+        return np.zeros((len(frame), 0), dtype=np.int64)
+    return np.stack([v.get_indexer(frame[x].astype(object)) for x, v in zip(categorical, vocab)], axis=1)
+
+
+def _vocab(frame: pd.DataFrame, categorical) -> list:
+    return [pd.Index(pd.unique(frame[x].astype(object))) for x in categorical]
+
+
 class _ClassPivots:
-    """One class's pivots: numeric matrix, categorical codes and vocabularies."""
+    """One class's pivots as a tree of two levels: heads, and per head its group of cells."""
 
-    def __init__(self, rows: pd.DataFrame, numeric, categorical, m):
+    def __init__(self, rows: pd.DataFrame, numeric, categorical, key, m, least: int):
+        rows = rows.sort_values(key, kind="stable")
+        rows = rows.iloc[np.random.default_rng(0).permutation(len(rows))]  # heads whatever the keys' order
         self.numeric, self.categorical, self.m2 = numeric, categorical, m * m
-        self.pn = rows[numeric].to_numpy(float).reshape(len(rows), len(numeric))
-        self.vocab = [pd.Index(pd.unique(rows[x].astype(object))) for x in categorical]
-        self.pc = np.stack([self.vocab[j].get_indexer(rows[x].astype(object)) for j, x in enumerate(categorical)],
-                           axis=1) if categorical else np.zeros((len(rows), 0), dtype=np.int64)
-
-    def nbytes(self) -> int:
-        return self.pn.nbytes + self.pc.nbytes + sum(64 * len(v) for v in self.vocab)
-
-    def encode(self, frame: pd.DataFrame) -> np.ndarray:
-        """Codes of the rows' categories in the pivot vocabularies (-1: no pivot has it)."""
-        if not self.categorical:
-            return np.zeros((len(frame), 0), dtype=np.int64)
-        return np.stack([self.vocab[j].get_indexer(frame[x].astype(object))
-                         for j, x in enumerate(self.categorical)], axis=1)
-
-    def dist(self, frame: pd.DataFrame) -> np.ndarray:
-        return np.sqrt(_dist2(frame[self.numeric].to_numpy(float), self.encode(frame), self.pn, self.pc, self.m2))
-
-    def _line(self):
-        """Pivots on a line by their distance to pivot 0 (for the filters below)."""
-        if not hasattr(self, "a_sorted"):
-            a = np.sqrt(_dist2(self.pn, self.pc, self.pn[:1], self.pc[:1], self.m2))[:, 0]
-            self.by_a = np.argsort(a, kind="stable")
-            self.a_sorted = a[self.by_a]
-
-    def nearest(self, frame: pd.DataFrame, prune_min: int):
-        """(cell, distance) of each row's nearest pivot, ties to the lowest pivot index.
-
-        With many pivots the exact line-filtered search of ``_exact_knn`` is
-        used (k = 1), so a row is not compared with every pivot.
+        self.vocab = _vocab(rows, categorical)
+        pn, pc = self.parts(rows)
+        n = len(rows)
+        heads = max(1, min(math.isqrt(n - 1) + 1, n // max(1, least)))
+        self.hn, self.hc = pn[:heads], pc[:heads]
+        step = _block_rows(heads)
+        group = np.concatenate([_dist(pn[s:s + step], pc[s:s + step], self.hn, self.hc, self.m2).argmin(axis=1)
+                                for s in range(0, n, step)])
+        order = np.argsort(group, kind="stable")
+        self.pn, self.pc = pn[order], pc[order]
+        self.first = np.searchsorted(group[order], np.arange(heads + 1))  # group j: cells first[j] .. first[j + 1]
+        self.rows_at_once = _block_rows(max(heads, int(np.diff(self.first).max())))
+
+    def parts(self, frame: pd.DataFrame):
+        return (frame[self.numeric].to_numpy(float).reshape(len(frame), len(self.numeric)),
+                _codes(frame, self.categorical, self.vocab))
+
+    def _cells(self, j: int):
+        cells = slice(self.first[j], self.first[j + 1])
+        return self.pn[cells], self.pc[cells]
+
+    def nearest(self, xn, xc):
+        """(cell, distance to its pivot, distance to its head, pivots compared) of each row."""
+        head = _dist(xn, xc, self.hn, self.hc, self.m2)
+        group = head.argmin(axis=1)
+        cell, dist = np.zeros(len(xn), np.int64), np.zeros(len(xn))
+        for j in np.unique(group):
+            at = np.flatnonzero(group == j)
+            d = _dist(xn[at], xc[at], *self._cells(j), self.m2)
+            i = d.argmin(axis=1)
+            cell[at], dist[at] = self.first[j] + i, d[np.arange(len(at)), i]
+        return cell, dist, head[np.arange(len(xn)), group], len(self.hn) + np.diff(self.first)[group]
+
+    def _may_hold(self, d, pn, pc, radius, bound):
+        """Which pivots' rows can lie within the bound of each query, given its distances ``d``."""
+        at = d.argmin(axis=1)
+        own, inv = np.unique(at, return_inverse=True)
+        gap = 2 * _dist(pn[own], pc[own], pn, pc, self.m2)[inv]
+        d2 = d * d
+        past = d2 * (1 - 1e-12) - d2[np.arange(len(d)), at][:, None]
+        plane = np.divide(past, gap, out=np.zeros_like(d), where=gap > 0)
+        return np.maximum(d - radius[None, :], plane) <= bound[:, None]
+
+    def visits(self, xn, xc, bound, stats, need: int):
+        """(query, cell) pairs: the cells that can hold a row within the query's bound.
+
+        Without a bound (infinite), the balls of the nearest groups with ``need`` rows in all give one.
         """
-        xn, xc = frame[self.numeric].to_numpy(float), self.encode(frame)
-        if len(self.pn) <= prune_min:
-            d = np.sqrt(_dist2(xn, xc, self.pn, self.pc, self.m2))
-            cell = d.argmin(axis=1)
-            return cell, d[np.arange(len(cell)), cell]
-        cell = _exact_knn(xn, xc, np.full(len(xn), -1), self.pn, self.pc, np.arange(len(self.pn)), 1, self.m2,
-                          prune_min=0)[:, 0]
-        diff2 = ((xn - self.pn[cell]) ** 2).sum(axis=1) + self.m2 * (xc != self.pc[cell]).sum(axis=1)
-        return cell, np.sqrt(diff2)
-
-    def within(self, frame: pd.DataFrame, reach: np.ndarray, prune_min: int):
-        """(row, cell) pairs with distance(row, pivot) <= reach[cell].
-
-        With many pivots only pivots whose line position lies within the
-        largest reach of the row's are compared (|a(o) - a(p)| <= d(o, p)).
-        """
-        xn, xc = frame[self.numeric].to_numpy(float), self.encode(frame)
-        if len(self.pn) <= prune_min or np.isposinf(reach).any():  # an unbounded cell takes every row
-            return np.nonzero(np.sqrt(_dist2(xn, xc, self.pn, self.pc, self.m2)) <= reach[None, :])
-        finite = reach[np.isfinite(reach)]
-        if not len(finite) or finite.max() < 0:
-            return np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64)
-        r_max = finite.max()
-        self._line()
-        a_o = np.sqrt(_dist2(xn, xc, self.pn[:1], self.pc[:1], self.m2))[:, 0]
+        head = _dist(xn, xc, self.hn, self.hc, self.m2)
+        open_ = np.flatnonzero(np.isinf(bound))
+        if len(open_):
+            far = head[open_] + np.where(stats.head_rows > 0, stats.head_radius, np.inf)[None, :]
+            order = np.argsort(far, axis=1, kind="stable")
+            held = np.cumsum(stats.head_rows[order], axis=1) >= need
+            pick = order[np.arange(len(open_)), held.argmax(axis=1)]
+            bound = bound.copy()
+            bound[open_] = far[np.arange(len(open_)), pick] + SLACK
+        groups = self._may_hold(head, self.hn, self.hc, stats.head_radius, bound)
         rows, cells = [], []
-        order = np.argsort(a_o, kind="stable")
-        for s in range(0, len(order), 256):
-            blk = order[s:s + 256]
-            lo = np.searchsorted(self.a_sorted, a_o[blk].min() - r_max, side="left")
-            hi = np.searchsorted(self.a_sorted, a_o[blk].max() + r_max, side="right")
-            sub = self.by_a[lo:hi]
-            if not len(sub):
-                continue
-            d = np.sqrt(_dist2(xn[blk], xc[blk], self.pn[sub], self.pc[sub], self.m2))
-            r_idx, c_idx = np.nonzero(d <= reach[sub][None, :])
-            rows.append(blk[r_idx])
-            cells.append(sub[c_idx])
+        for j in np.flatnonzero(groups.any(axis=0)):
+            at = np.flatnonzero(groups[:, j])
+            lo, hi = self.first[j], self.first[j + 1]
+            d = _dist(xn[at], xc[at], *self._cells(j), self.m2)
+            r, c = np.nonzero(self._may_hold(d, *self._cells(j), stats.radius[lo:hi], bound[at]))
+            rows.append(at[r])
+            cells.append(lo + c)
         if not rows:
-            return np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64)
+            return np.zeros(0, np.int64), np.zeros(0, np.int64)
         return np.concatenate(rows), np.concatenate(cells)
 
 
+class _CellStats:
+    """Per cell its rows' largest distance to the pivot and its blocks; per group the same for the head."""
+
+    def __init__(self, pivots: _ClassPivots, cells: pd.DataFrame):
+        n = len(pivots.pn)
+        self.radius, self.blocks = np.full(n, -np.inf), np.zeros(n, np.int64)
+        at = cells["_cell"].to_numpy(int)
+        self.radius[at], self.blocks[at] = cells["_r"].to_numpy(float), cells["_b"].to_numpy(int)
+        group = np.searchsorted(pivots.first, at, side="right") - 1
+        heads = len(pivots.hn)
+        self.head_radius, self.head_rows = np.full(heads, -np.inf), np.zeros(heads, np.int64)
+        np.maximum.at(self.head_radius, group, cells["_hr"].to_numpy(float))
+        np.add.at(self.head_rows, group, cells["_n"].to_numpy(int))
+
+
 def _top_k(d: np.ndarray, k: int) -> np.ndarray:
     """Column indices of the k smallest entries per row, ordered by (value, column).
 
@@ -272,14 +311,23 @@ def _pick_pivots(df, label, key, counts, seed, cell_rows, max_pivots, columns) -
     return chosen.toPandas()  # at most max_pivots + classes rows, through Arrow
 
 
+def _mode(values):
+    """Most frequent element of an array column; ties go to the smallest."""
+    times = lambda v: F.size(F.filter(values, lambda x: x == v))
+    kinds = F.array_sort(F.array_distinct(values))
+    most = F.array_max(F.transform(values, times))
+    return F.get(F.filter(kinds, lambda v: times(v) == most), F.lit(0))
+
+
 def smotenc(df: DataFrame, label: str = LABEL, categorical=None, numeric=None, key: str = KEY,
             k: int = 5, seed: int = 42, cell_rows: int = CELL_ROWS, max_pivots: int = MAX_PIVOTS,
-            copy_groups: bool = True, prune_min: int = PRUNE_MIN, pivot_prune_min: int = PRUNE_MIN,
+            copy_groups: bool = True, prune_min: int = PRUNE_MIN, pivot_prune_min: int = 1,
             diagnostics: dict | None = None) -> DataFrame:
     """Oversample every class to the largest class's count.
 
+    ``pivot_prune_min``: fewest pivots per group of the pivot tree, on average.
     ``diagnostics``, when given, receives row counts of the kNN passes
-    (extra jobs; for measuring how well the cell bounds prune).
+    (extra jobs; for measuring how well the bounds prune).
     """
     numeric = list(numeric)
     categorical = list(categorical)
@@ -329,118 +377,158 @@ def smotenc(df: DataFrame, label: str = LABEL, categorical=None, numeric=None, k
             copy_queries = marked.where(big & (F.col("_m") > 0)).drop("_cg")
             knn = materialize(marked.where(~big).drop("_cg").unionByName(reps))
 
+    max_pivots = min(max_pivots, MAX_PIVOT_BYTES // (16 * len(numeric) + 96 * len(categorical) + 64))
     pivot_rows = _pick_pivots(knn, label, key, counts, seed, cell_rows, max_pivots, cols)
-    piv = {c: _ClassPivots(g, numeric, categorical, counts[c][1]) for c, g in pivot_rows.groupby(label)}
-    size = sum(p.nbytes() for p in piv.values())
-    if size > MAX_PIVOT_BYTES:
-        raise ValueError(f"pivot table of {size} bytes exceeds {MAX_PIVOT_BYTES}: lower max_pivots")
+    piv = {c: _ClassPivots(g, numeric, categorical, key, counts[c][1], pivot_prune_min)
+           for c, g in pivot_rows.groupby(label)}
     piv_bc = df.sparkSession.sparkContext.broadcast(piv)  # bounded above; once per executor
 
-    # pass 1: nearest pivot of every row
+    # the cell of every row
     def assign(batches):
         piv = piv_bc.value
         for pdf in batches:
-            cell = np.zeros(len(pdf), dtype=np.int32)
-            dist = np.zeros(len(pdf))
+            out = {x: np.zeros(len(pdf)) for x in ("_cell", "_d", "_hd", "_compared")}
             for c, pos in pdf.groupby(label).indices.items():
-                step = _block_rows(min(len(piv[c].pn), pivot_prune_min + 1))
+                step = piv[c].rows_at_once
                 for s in range(0, len(pos), step):
                     at = pos[s:s + step]
-                    cell[at], dist[at] = piv[c].nearest(pdf.iloc[at], pivot_prune_min)
-            yield pd.DataFrame({label: pdf[label], "_cell": cell, "_d": dist, "_q": (pdf["_m"] > 0).to_numpy()})
-
-    assign_schema = T.StructType([df.schema[label], T.StructField("_cell", T.IntegerType()),
-                                  T.StructField("_d", T.DoubleType()), T.StructField("_q", T.BooleanType())])
-    assigned = knn.select(*cols).mapInPandas(assign, assign_schema)
-    w = Window.partitionBy(label, "_cell").orderBy("_d")
-    cell_stats = (assigned.withColumn("_rn", F.row_number().over(w))
-                  .groupBy(label, "_cell")
-                  .agg(F.max(F.when(F.col("_q"), F.col("_d"))).alias("U"),
-                       F.max(F.when(F.col("_rn") == kk_col + 1, F.col("_d"))).alias("D"))
-                  .toPandas())  # one row per cell: bounded by the pivot budget, through Arrow
-    by_class = dict(tuple(cell_stats.groupby(label))) if len(cell_stats) else {}
-    reach = {}
-    for c, pv in piv.items():
-        p = len(pv.pn)
-        U, D = np.full(p, -np.inf), np.full(p, np.inf)
-        st = by_class.get(c)
-        if st is not None:
-            cells = st["_cell"].to_numpy(int)
-            U[cells] = st["U"].fillna(-np.inf).to_numpy(float)
-            D[cells] = st["D"].fillna(np.inf).to_numpy(float)
-        # theta_i = U_i + min_j (|p_i p_j| + D_j), in row blocks of the local pivot matrix
-        near = np.empty(p)
-        step = _block_rows(p)
-        for s in range(0, p, step):
-            pp = np.sqrt(_dist2(pv.pn[s:s + step], pv.pc[s:s + step], pv.pn, pv.pc, pv.m2))
-            near[s:s + step] = np.min(pp + D[None, :], axis=1)
-        theta = U + near
-        # -inf where a cell has no query (nothing to send); the slack covers the
-        # rounding of distance^2 used to order neighbours
-        reach[c] = U + theta + 1e-3
-
-    # pass 2: every row to its own cell and to each cell whose queries it may serve
-    def replicate(batches):
-        piv = piv_bc.value
-        for pdf in batches:
-            pieces = []
-            for c, pos in pdf.groupby(label).indices.items():
-                step = _block_rows(min(len(piv[c].pn), pivot_prune_min + 1))
-                for s in range(0, len(pos), step):
-                    part = pdf.iloc[pos[s:s + step]]
-                    own, _ = piv[c].nearest(part, pivot_prune_min)
-                    r_idx, cells = piv[c].within(part, reach[c], pivot_prune_min)
-                    pairs = np.unique(np.stack([np.concatenate([r_idx, np.arange(len(part))]),
-                                                np.concatenate([cells, own])], axis=1), axis=0)
-                    rep = part.iloc[pairs[:, 0]].copy()
-                    rep["_cell"] = pairs[:, 1].astype(np.int32)
-                    rep["_own"] = pairs[:, 1] == own[pairs[:, 0]]
-                    pieces.append(rep)
-            if pieces:
-                yield pd.concat(pieces, ignore_index=True)
-
-    rep_schema = T.StructType([work.schema[c] for c in cols] + [
-        T.StructField("_cell", T.IntegerType()), T.StructField("_own", T.BooleanType())])
-    replicated = knn.select(*cols).mapInPandas(replicate, rep_schema)
-    if diagnostics is not None:
-        diagnostics.update(rows=knn.count(), sent=replicated.count(),
-                           queries=knn.where(F.col("_m") > 0).count(), cells=int(len(cell_stats)),
-                           copy_queries=0 if copy_queries is None else copy_queries.count())
-
-    nbr_schema = T.StructType(
-        [df.schema[label], df.schema[key], T.StructField("_k", T.IntegerType()),
-         T.StructField("_nbr", T.ArrayType(T.ArrayType(T.DoubleType())))]
-        + [T.StructField(f"_mode_{c}", df.schema[c].dataType) for c in categorical])
-
-    # per cell: exact k nearest of its queries among members and received rows
-    def cell_knn(pdf):
+                    for x, v in zip(out.values(), piv[c].nearest(*piv[c].parts(pdf.iloc[at]))):
+                        x[at] = v
+            yield pdf.assign(**{x: v.astype(np.int32) if x in ("_cell", "_compared") else v for x, v in out.items()})
+
+    assigned = materialize(knn.select(*cols).mapInPandas(assign, T.StructType(
+        [work.schema[c] for c in cols] + [T.StructField("_cell", T.IntegerType()), T.StructField("_d", T.DoubleType()),
+                                          T.StructField("_hd", T.DoubleType()),
+                                          T.StructField("_compared", T.IntegerType())])))
+    cells = materialize(assigned.groupBy(label, "_cell").agg(
+        F.count(F.lit(1)).alias("_n"), F.max("_d").alias("_r"), F.max("_hd").alias("_hr"))
+        .withColumn("_b", F.ceil(F.col("_n") / (BLOCK_CELLS * cell_rows)).cast("int")))
+    cell_rows_ = cells.toPandas()  # one row per cell: bounded by the pivot budget, through Arrow
+    stats = {c: _CellStats(piv[c], g) for c, g in cell_rows_.groupby(label)}
+    stats_bc = df.sparkSession.sparkContext.broadcast(stats)
+    members = (assigned.join(cells.select(label, "_cell", "_b"), [label, "_cell"])
+               .withColumn("_blk", F.pmod(F.xxhash64(key), F.col("_b")).cast("int")).select(*cols, "_cell", "_blk"))
+
+    found = [f"_n_{x}" for x in categorical]
+    lists = [T.StructField("_nd", T.ArrayType(T.DoubleType())), T.StructField("_nk", T.ArrayType(df.schema[key].dataType)),
+             T.StructField("_nx", T.ArrayType(T.ArrayType(T.DoubleType())))]
+    lists += [T.StructField(f, T.ArrayType(df.schema[x].dataType)) for f, x in zip(found, categorical)]
+    near_schema = T.StructType(
+        [df.schema[label], df.schema[key], T.StructField("_x", T.ArrayType(T.DoubleType()))]
+        + [df.schema[x] for x in categorical] + [T.StructField("_bound", T.DoubleType())] + lists
+        + [T.StructField("_tc", T.ArrayType(T.IntegerType())), T.StructField("_tb", T.ArrayType(T.IntegerType()))])
+    far_schema = T.StructType([df.schema[label], df.schema[key]] + lists)
+
+    def none(schema):
+        return pd.DataFrame({f.name: pd.Series([], dtype=object) for f in schema.fields})
+
+    def search(c, q, qn, rows, k_):
+        """Places and squared distances of the k_ nearest of each query among the rows (in key order)."""
+        vocab = _vocab(rows, categorical)
+        qc, cc, m2 = _codes(q, categorical, vocab), _codes(rows, categorical, vocab), counts[c][1] ** 2
+        cn = rows[numeric].to_numpy(float).reshape(len(rows), len(numeric))
+        nb = _exact_knn(qn, qc, q[key].to_numpy(), cn, cc, rows[key].to_numpy(), k_, m2, prune_min)
+        d2 = np.zeros(nb.shape)
+        for j in range(cn.shape[1]):
+            diff = qn[:, j:j + 1] - cn[nb, j]
+            d2 += diff * diff
+        for j in range(cc.shape[1]):
+            d2 += m2 * (qc[:, j:j + 1] != cc[nb, j])
+        return nb, np.round(d2, 6), cn
+
+    # each query among its own block, and the blocks it has to visit
+    def near(pdf):
         c = pdf[label].iloc[0]
-        k_eff, m2 = kk[c], counts[c][1] ** 2
-        q = pdf[pdf["_own"].to_numpy() & (pdf["_m"].to_numpy() > 0)]
+        rows = pdf.sort_values(key, kind="stable")  # key order breaks ties
+        q = rows[rows["_m"].to_numpy() > 0]
         if q.empty:
-            return pd.DataFrame({f.name: pd.Series([], dtype=object) for f in nbr_schema.fields})
-        cand = pdf.drop_duplicates(subset=[key]).sort_values(key, kind="stable")  # key order breaks ties
-        cn = cand[numeric].to_numpy(float)
-        cv = cand[categorical].to_numpy(object)
-        vocab = [pd.Index(pd.unique(cand[x].astype(object))) for x in categorical]
-        cc = np.stack([vocab[j].get_indexer(cand[x].astype(object)) for j, x in enumerate(categorical)], axis=1) \
-            if categorical else np.zeros((len(cand), 0), dtype=np.int64)
-        ck = cand[key].to_numpy()
-        if k_eff == 0:  # a class of one row: copies
-            out_nbr = [[] for _ in range(len(q))]
-            out_modes = {x: q[x].tolist() for x in categorical}
-        else:
-            qc = np.stack([vocab[j].get_indexer(q[x].astype(object)) for j, x in enumerate(categorical)],
-                          axis=1) if categorical else np.zeros((len(q), 0), dtype=np.int64)
-            nb = _exact_knn(q[numeric].to_numpy(float), qc, q[key].to_numpy(), cn, cc, ck, k_eff, m2, prune_min)
-            out_nbr = cn[nb].tolist()
-            out_modes = {x: _modes(cv[nb, j]) for j, x in enumerate(categorical)}
-        res = pd.DataFrame({label: q[label].to_numpy(), key: q[key].to_numpy(), "_k": k_eff, "_nbr": out_nbr})
+            return none(near_schema)
+        pv, st = piv_bc.value[c], stats_bc.value[c]
+        qn = q[numeric].to_numpy(float).reshape(len(q), len(numeric))
+        k_ = min(kk[c], len(rows) - 1)
+        out = pd.DataFrame({label: q[label].to_numpy(), key: q[key].to_numpy(), "_x": qn.tolist()})
         for x in categorical:
-            res[f"_mode_{x}"] = out_modes[x]
-        return res
+            out[x] = q[x].to_numpy()
+        if k_:
+            nb, d2, cn = search(c, q, qn, rows, k_)
+        else:
+            nb, d2, cn = np.zeros((len(q), 0), np.int64), np.zeros((len(q), 0)), np.zeros((len(rows), len(numeric)))
+        kth = d2[:, -1] if k_ == kk[c] and k_ else np.full(len(q), np.inf)
+        out["_bound"] = kth
+        out["_nd"], out["_nk"], out["_nx"] = d2.tolist(), rows[key].to_numpy()[nb].tolist(), cn[nb].tolist()
+        for f, x in zip(found, categorical):
+            out[f] = rows[x].to_numpy(object)[nb].tolist()
+        to_cell, to_block = [[] for _ in range(len(q))], [[] for _ in range(len(q))]
+        if kk[c]:
+            own = int(pdf["_cell"].iloc[0]), int(pdf["_blk"].iloc[0])
+            qc = _codes(q, categorical, pv.vocab)
+            for s in range(0, len(q), pv.rows_at_once):
+                e = s + pv.rows_at_once
+                for r, cell in zip(*pv.visits(qn[s:e], qc[s:e], np.sqrt(kth[s:e]) + SLACK, st, kk[c] + 1)):
+                    for b in range(st.blocks[cell]):
+                        if (cell, b) != own:
+                            to_cell[s + r].append(int(cell))
+                            to_block[s + r].append(b)
+        out["_tc"], out["_tb"] = to_cell, to_block
+        return out
+
+    first = materialize(members.groupBy(label, "_cell", "_blk").applyInPandas(near, near_schema))
+    visits = (first.withColumn("_to", F.explode(F.arrays_zip("_tc", "_tb")))
+              .select(label, key, "_x", *categorical, "_bound", F.col("_to._tc").alias("_cell"),
+                      F.col("_to._tb").alias("_blk")))
+    place = [label, "_cell", "_blk"]
+    shares = materialize(visits.groupBy(*place).agg(F.count(F.lit(1)).alias("_visits"))
+                         .withColumn("_parts", F.ceil(F.col("_visits") / (VISIT_CELLS * cell_rows)).cast("int")))
+    hosts = (members.join(shares, place).drop("_visits")
+             .withColumn("_part", F.explode(F.sequence(F.lit(0), F.col("_parts") - 1))).drop("_parts"))
+    guests = (visits.join(shares, place).drop("_visits")
+              .withColumn("_part", F.pmod(F.xxhash64(key), F.col("_parts")).cast("int")).drop("_parts"))
+
+    # visitors of one block: its rows within their bounds
+    def far(rows, q):
+        if rows.empty or q.empty:
+            return none(far_schema)
+        c = q[label].iloc[0]
+        rows = rows.sort_values(key, kind="stable")
+        qn = np.array(q["_x"].tolist(), float).reshape(len(q), len(numeric))
+        nb, d2, cn = search(c, q, qn, rows, min(kk[c], len(rows)))
+        good = d2 <= q["_bound"].to_numpy()[:, None]
+        hit = np.flatnonzero(good[:, 0])
+        if not len(hit):
+            return none(far_schema)
+        n = good[hit].sum(axis=1)  # each list is in order, so the good ones come first
+        keys = rows[key].to_numpy()
+        out = pd.DataFrame({label: q[label].to_numpy()[hit], key: q[key].to_numpy()[hit]})
+        out["_nd"] = [d2[i, :m].tolist() for i, m in zip(hit, n)]
+        out["_nk"] = [keys[nb[i, :m]].tolist() for i, m in zip(hit, n)]
+        out["_nx"] = [cn[nb[i, :m]].tolist() for i, m in zip(hit, n)]
+        for f, x in zip(found, categorical):
+            v = rows[x].to_numpy(object)
+            out[f] = [v[nb[i, :m]].tolist() for i, m in zip(hit, n)]
+        return out
+
+    more = (hosts.groupBy(*place, "_part").cogroup(guests.groupBy(*place, "_part"))
+            .applyInPandas(far, far_schema))
+    if diagnostics is not None:
+        n_visits = visits.count()
+        diagnostics.update(rows=knn.count(), sent=hosts.count() + n_visits, visits=n_visits,
+                           queries=knn.where(F.col("_m") > 0).count(), cells=len(cell_rows_),
+                           compared=assigned.agg(F.avg("_compared")).first()[0],
+                           copy_queries=0 if copy_queries is None else copy_queries.count())
 
-    nbrs = replicated.groupBy(label, "_cell").applyInPandas(cell_knn, nbr_schema)
+    # the k' nearest of all visited blocks, by (distance^2, key)
+    names = [f.name for f in lists]
+    entries = F.arrays_zip(*names)
+    both = (first.select(label, key, entries.alias("_e"), F.lit(1).alias("_own"))
+            .unionByName(more.select(label, key, entries.alias("_e"), F.lit(0).alias("_own"))))
+    nbrs = (both.groupBy(label, key).agg(F.flatten(F.collect_list("_e")).alias("_e"), F.sum("_own").alias("_own"))
+            .withColumn("_e", F.when(F.col("_own") == 1, F.col("_e")).otherwise(
+                F.raise_error(F.lit("SMOTE-NC needs a unique key: two rows share one"))))
+            .withColumn("_k", kk_col)
+            .select(label, key, "_k", F.slice(F.array_sort("_e"), F.lit(1), F.greatest(F.col("_k"), F.lit(1))).alias("_e"))
+            .select(label, key, "_k", F.col("_e").getField("_nx").alias("_nbr"),
+                    *[F.col("_e").getField(f).alias(f) for f in found])
+            .select(label, key, "_k", "_nbr", *[_mode(F.col(f)).alias(f"_mode_{x}") for f, x in zip(found, categorical)]))
 
     # synthesis: one output row per (base row, t), no per-row Python
     base = knn.where(F.col("_m") > 0).join(nbrs, [label, key])
@@ -459,7 +547,7 @@ def smotenc(df: DataFrame, label: str = LABEL, categorical=None, numeric=None, k
                 v = F.round(v).cast(f.dataType)
             out_cols.append(v.alias(c))
         elif c in categorical:
-            out_cols.append(F.col(f"_mode_{c}").alias(c))
+            out_cols.append(F.when(F.col("_k") > 0, F.col(f"_mode_{c}")).otherwise(F.col(c)).alias(c))
         else:
             out_cols.append(F.col(c))
     synthetic = ex.select(*out_cols, (t + 1).alias("synth"))
