@@ -53,22 +53,16 @@ def confusion_matrix(pred: DataFrame, label: str = LABEL_COL, prediction: str =
     return wide.orderBy("actual")
 
 
-def per_label(pred: DataFrame, label: str = LABEL_COL, prediction: str = PREDICTION_COL) -> DataFrame:
-    """(label, n_actual, n_predicted, tp, precision, recall, f1) per label seen anywhere.
-
-    Each confusion cell counts once for its actual label and once for its
-    predicted label; one more grouped sum gives the per-label totals, so no
-    join is needed.
-    """
-    c = confusion_counts(pred, label, prediction)
+def _per_label(counts: DataFrame, by=()) -> DataFrame:
+    """Per-label numbers from confusion counts, separately per value of the ``by`` columns."""
     n, diag = F.col("n"), F.when(F.col("actual") == F.col("predicted"), F.col("n")).otherwise(F.lit(0))
     sides = F.array(
         F.struct(F.col("actual").alias("label"), n.alias("n_actual"), F.lit(0).cast("bigint").alias("n_predicted"),
                  diag.cast("bigint").alias("tp")),
         F.struct(F.col("predicted").alias("label"), F.lit(0).cast("bigint").alias("n_actual"),
                  n.alias("n_predicted"), F.lit(0).cast("bigint").alias("tp")))
-    s = (c.select(F.explode(sides).alias("s")).select("s.*")
-          .groupBy("label").agg(*[F.sum(x).alias(x) for x in ("n_actual", "n_predicted", "tp")]))
+    s = (counts.select(*by, F.explode(sides).alias("s")).select(*by, "s.*")
+         .groupBy(*by, "label").agg(*[F.sum(x).alias(x) for x in ("n_actual", "n_predicted", "tp")]))
     p = F.when(F.col("n_predicted") > 0, F.col("tp") / F.col("n_predicted")).otherwise(0.0)
     r = F.when(F.col("n_actual") > 0, F.col("tp") / F.col("n_actual")).otherwise(0.0)
     s = s.withColumn("precision", p).withColumn("recall", r)
@@ -77,12 +71,20 @@ def per_label(pred: DataFrame, label: str = LABEL_COL, prediction: str = PREDICT
     return s.withColumn("f1", f1)
 
 
-def metrics(pred: DataFrame, label: str = LABEL_COL, prediction: str = PREDICTION_COL,
-            metric_label: float = 0.0) -> DataFrame:
-    """One row: accuracy, f1, precision_by_label, weighted_precision, weighted_recall."""
-    s = per_label(pred, label, prediction)
+def per_label(pred: DataFrame, label: str = LABEL_COL, prediction: str = PREDICTION_COL) -> DataFrame:
+    """(label, n_actual, n_predicted, tp, precision, recall, f1) per label seen anywhere.
+
+    Each confusion cell counts once for its actual label and once for its
+    predicted label; one more grouped sum gives the per-label totals, so no
+    join is needed.
+    """
+    return _per_label(confusion_counts(pred, label, prediction))
+
+
+def metrics_of_counts(counts: DataFrame, metric_label: float = 0.0, by=()) -> DataFrame:
+    """The metrics E1-E5 from confusion counts, one row per value of the ``by`` columns."""
     n = F.sum("n_actual")
-    return s.agg(
+    return _per_label(counts, by).groupBy(*by).agg(
         (F.sum("tp") / n).alias("accuracy"),
         (F.sum(F.col("f1") * F.col("n_actual")) / n).alias("f1"),
         F.coalesce(F.max(F.when(F.col("label") == F.lit(float(metric_label)), F.col("precision"))),
@@ -92,17 +94,41 @@ def metrics(pred: DataFrame, label: str = LABEL_COL, prediction: str = PREDICTIO
     )
 
 
+def metrics(pred: DataFrame, label: str = LABEL_COL, prediction: str = PREDICTION_COL,
+            metric_label: float = 0.0) -> DataFrame:
+    """One row: accuracy, f1, precision_by_label, weighted_precision, weighted_recall."""
+    return metrics_of_counts(confusion_counts(pred, label, prediction), metric_label)
+
+
+def frame_counts(pred: DataFrame, frames: dict, label: str = LABEL_COL,
+                 prediction: str = PREDICTION_COL) -> DataFrame:
+    """(frame, actual, predicted, n) for several parts of one prediction frame, in one pass.
+
+    ``frames`` maps a name to the condition of its rows; rows may belong to several.
+    """
+    names = F.array_compact(F.array(*[F.when(cond, F.lit(name)) for name, cond in frames.items()]))
+    counts = (pred.groupBy(names.alias("_frames"), F.col(label).cast("double").alias("actual"),
+                           F.col(prediction).cast("double").alias("predicted"))
+              .agg(F.count(F.lit(1)).alias("n")))
+    return counts.select(F.explode("_frames").alias("frame"), "actual", "predicted", "n")
+
+
 def metric_report(frames: dict, label: str = LABEL_COL, prediction: str = PREDICTION_COL,
-                  metric_label: float = 0.0, digits: int | None = 6) -> DataFrame:
-    """All metrics, one row per named prediction frame."""
-    out = None
-    for name, pred in frames.items():
-        m = metrics(pred, label, prediction, metric_label)
-        if digits is not None:
-            m = m.select(*[F.round(c, digits).alias(c) for c in m.columns])
-        m = m.select(F.lit(name).alias("frame"), *m.columns)
-        out = m if out is None else out.unionByName(m)
-    return out
+                  metric_label: float = 0.0, digits: int | None = 6, pred: DataFrame | None = None) -> DataFrame:
+    """All metrics, one row per named prediction frame.
+
+    With ``pred``, ``frames`` are conditions on it and one pass serves them all (a
+    frame without rows has no row); otherwise they are DataFrames.
+    """
+    if pred is not None:
+        counts = frame_counts(pred, frames, label, prediction)
+    else:
+        counts = None
+        for name, frame in frames.items():
+            c = confusion_counts(frame, label, prediction).select(F.lit(name).alias("frame"), "*")
+            counts = c if counts is None else counts.unionByName(c)
+    m = metrics_of_counts(counts, metric_label, ["frame"])
+    return m if digits is None else m.select("frame", *[F.round(c, digits).alias(c) for c in m.columns[1:]])
 
 
 def _sizes(df: DataFrame, predictions: str, labels: str) -> DataFrame:

@@ -87,3 +87,10 @@ def test_season_outside_the_fixture_is_kept(spark):
 
     df = plays(spark, SF001).withColumn("season", F.lit(2030))
     assert cleaned(df).count() == cleaned(plays(spark, SF001)).count() > 0
+
+
+def test_metric_report_scans_once(spark):
+    """Several frames of one prediction frame: as many scans as one frame alone needs."""
+    scans = [E.queries()[q](spark, SF001)._jdf.queryExecution().executedPlan().toString().count("FileScan parquet")
+             for q in ("metric_report", "accuracy")]
+    assert scans[0] == scans[1], scans
