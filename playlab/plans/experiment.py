@@ -72,13 +72,12 @@ def experiment(plays: DataFrame, kind: str, grid_spec: dict, categorical, numeri
         n_classes = len(features.stages[0].labels)
         params["layers"] = M.mlp_layers(ftrain, "scaledFeatures", list(hidden), n_classes)
     clf = M.classifier(kind, **params)
-    key = [KEY, "synth"] if balanced else KEY
     if refit_features:
         tuned = M.tune_pipeline(train, feature_stages, clf, M.grid(clf, grid_spec), metric=metric, seed=seed,
                                 parallelism=parallelism)
         model = tuned.best_model
     else:
-        tuned = M.tune(ftrain, clf, M.grid(clf, grid_spec), metric=metric, seed=seed, key=key,
+        tuned = M.tune(ftrain, clf, M.grid(clf, grid_spec), metric=metric, seed=seed, key=KEY,
                        parallelism=parallelism)
         model = PipelineModel(features.stages + [tuned.best_model])
     scored = {k: M.score(model, v) for k, v in frames.items()}

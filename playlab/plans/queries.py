@@ -647,11 +647,13 @@ def q_mlp(spark, d):
 _TUNE_SMOOTHING = [0.5, 1.0]
 
 
-def _tune_sql():
-    """Naive Bayes in closed form on the hash split's first part, scored on the second.
+def _tune_sql(sel, source="train", base="row_id", before=""):
+    """``sel`` over acc(param_index, accuracy) and lam(param_index, l).
+
+    Naive Bayes in closed form on the hash split's first part, scored on the second.
 
     Scaled values are at least 1 and a constant slot is 1.5, so every row has every slot."""
-    inside = f"{O.h('fx.row_id', 'split', 42)} < 0.8 * 4294967296"
+    inside = f"{O.h('fx.' + base, 'split', 42)} < 0.8 * 4294967296"
     body = f"""
 tv as (select fx.row_id, lx.i as c, {inside} as train from fx join lx on fx.play_type = lx.v),
 slots as (select u.slot, coalesce(fs.lo, 0.0) as lo, coalesce(fs.hi, 0.0) as hi
@@ -663,9 +665,9 @@ xs as (select tv.row_id, tv.c, tv.train, slots.slot,
 lam as (select * from (values {', '.join(f'({i}, {v})' for i, v in enumerate(_TUNE_SMOOTHING))}) as t(param_index, l)),
 cls as (select c, count(*) as n from tv where train group by c),
 sc as (select c, slot, sum(x) as s from xs where train group by c, slot),
-st as (select c, sum(s) as tot from sc group by c),
+ct as (select c, sum(s) as tot from sc group by c),
 pi as (select param_index, c, ln(n + l) - ln((select sum(n) from cls) + l * (select count(*) from cls)) as v from cls, lam),
-th as (select param_index, sc.c, slot, ln(s + l) - ln(tot + l * (select d from fd)) as v from sc join st using (c), lam),
+th as (select param_index, sc.c, slot, ln(s + l) - ln(tot + l * (select d from fd)) as v from sc join ct using (c), lam),
 raw as (select th.param_index, xs.row_id, xs.c as actual, th.c, sum(xs.x * th.v) + any_value(pi.v) as v
         from xs join th using (slot) join pi on pi.param_index = th.param_index and pi.c = th.c
         where not xs.train group by th.param_index, xs.row_id, xs.c, th.c),
@@ -673,9 +675,18 @@ best as (select param_index, row_id, actual, c,
                 row_number() over (partition by param_index, row_id order by v desc, c) as rk from raw),
 acc as (select param_index, cast(count(*) filter (where actual = c) as double) / count(*) as accuracy
         from best where rk = 1 group by param_index)"""
-    sel = """select cast(param_index as integer) as param_index, concat('{"smoothing": ', cast(l as double), '}') as params,
-                    accuracy from acc join lam using (param_index)"""
-    return O.with_base(sel, O.feature_ctes("train", CATS, NUMS) + "," + body)
+    return O.with_base(sel, before + O.feature_ctes(source, CATS, NUMS) + "," + body)
+
+
+_TUNE_METRICS = """select cast(param_index as integer) as param_index, concat('{"smoothing": ', cast(l as double), '}') as params,
+                          accuracy from acc join lam using (param_index)"""
+_TUNE_BEST = """select * from (values ('featuresCol', 'scaledFeatures'), ('labelCol', 'play_type_idx'), ('modelType', 'multinomial'),
+                   ('predictionCol', 'prediction'), ('probabilityCol', 'probability'),
+                   ('rawPredictionCol', 'rawPrediction')) as t(param, value)
+                union all select 'smoothing', cast(cast(l as double) as varchar) from
+                  (select l from acc join lam using (param_index) order by accuracy desc, param_index limit 1)"""
+# a balanced row is known by its key and synth; its copies and its base row share the key's side of the split
+_SM_KEYED = "smk as (select * exclude (row_id, synth), row_id as base_id, row_id * 1000000 + synth as row_id from sm),"
 
 
 def _tuned(spark, d):
@@ -685,12 +696,24 @@ def _tuned(spark, d):
     return M.tune(feats.transform(tr), est, M.grid(est, {"smoothing": _TUNE_SMOOTHING}), metric="accuracy")
 
 
-@query("tune", _tune_sql())
+@query("tune", _tune_sql(_TUNE_METRICS))
 def q_tune(spark, d):
     return _tuned(spark, d).metrics_frame(spark)
 
 
-@query("best_params")
+@query("tune_balanced", _tune_sql(
+    _TUNE_METRICS, "smk", "base_id",
+    O.undersample_ctes("train", 2, "us2") + "," + O.smote_ctes("us2") + "," + _SM_KEYED))
+def q_tune_balanced(spark, d):
+    """The search on the balanced frame; a synthetic row stays on its base row's side of the split."""
+    tr = P.blank_to(SM.balance(prepare(plays(spark, d)).train), "surface")
+    feats = FE.feature_pipeline(CATS, NUMS, kind="minmax", label="play_type").fit(tr)
+    est = M.classifier("nb")
+    return M.tune(feats.transform(tr), est, M.grid(est, {"smoothing": _TUNE_SMOOTHING}),
+                  metric="accuracy").metrics_frame(spark)
+
+
+@query("best_params", _tune_sql(_TUNE_BEST))
 def q_best_params(spark, d):
     return M.best_params(spark, _tuned(spark, d).best_model)
 
