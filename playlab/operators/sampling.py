@@ -224,7 +224,7 @@ def undersample(df: DataFrame, label: str = LABEL, key: str | None = KEY, seed:
     others are untouched.  Rounds compose: each cuts the currently largest
     class to the minority size, so all targets follow from the class counts
     and one pass applies them.  The counts and the rank boundaries come from
-    one histogram pass, so the data is read twice in all.
+    one histogram pass; rows outside and inside the boundary bin are two more.
     """
     cut = {}
 
