@@ -156,6 +156,27 @@ def test_neardup_against_brute_force(spark, monkeypatch):
     assert neardup.near_duplicates(spark.createDataFrame(rows, VECTORS).limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("exact", [0, neardup.EXACT])
+def test_neardup_recall_in_a_hot_cone(spark, monkeypatch, exact):
+    monkeypatch.setattr(neardup, "EXACT", exact)
+    rng = np.random.default_rng(9)
+    unit = lambda m: m / np.linalg.norm(m, axis=-1, keepdims=True)
+    centre, even = unit(rng.standard_normal(64)), unit(rng.standard_normal((4500, 64)))
+    around = rng.standard_normal((3000, 64))
+    around = unit(around - (around @ centre)[:, None] * centre)
+    turn = rng.standard_normal((400, 64))
+    turn -= (turn @ centre)[:, None] * centre
+    turn = unit(turn - np.einsum("ij,ij->i", turn, around[:400])[:, None] * around[:400])
+    s = (0.905 - 0.75) / 0.25  # cosine of the residuals of a pair with cosine 0.905
+    pair = s * around[:400] + np.sqrt(1 - s * s) * turn
+    cone = np.sqrt(0.75) * centre + 0.5 * np.concatenate([around, pair])
+    rows = [(i, v.tolist()) for i, v in enumerate(np.concatenate([cone, even]))]
+    out = neardup.near_duplicates(spark.createDataFrame(rows, "vec_id long, embedding array<double>"))
+    group = {r.vec_id: r.component_id for r in out.collect()}
+    recall = np.mean([group[3000 + i] == group[i] for i in range(400)])
+    assert recall >= (0.93 if exact == 0 else 1.0), recall
+
+
 def test_language(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     out = QUERIES["op7_language"](spark, SF).join(docs.select("doc_id", "lang"), "doc_id").where("held_out").collect()
