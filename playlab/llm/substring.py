@@ -38,13 +38,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from playlab.llm.common import Words, as_long, ngram_hashes, slices, span_hashes
+from playlab.llm.common import Words, as_long, ngram_hashes, slices, span_hashes, text_key
 from playlab.session import ship_package, write_stage
 
 GRAM = 6
 BLOCK = 4000
 _LOWEST = -(1 << 63)
-_PLACE = 35  # bits of a position (first window << 4 | windows) below the text's hash
 
 
 class SuffixAutomaton:
@@ -144,15 +143,19 @@ def segments(words: Words, window: int):
     return doc, first - words.first[doc], size, as_long(h[at[new]]), as_long(content)
 
 
-def _place(text_hash, first, size):
-    return (text_hash << _PLACE) | (first << 4) | size
+def _place(first, size):
+    return (first << 4) | size
+
+
+def _not_first():
+    return ~F.struct("d", "t", "p").eqNullSafe(F.col("first"))
 
 
 def deduplicate(docs: DataFrame, window: int = 20, key: str = "doc_id", text: str = "text") -> DataFrame:
     """All columns of ``docs`` with ``n_words``, ``n_removed`` and ``kept`` (kept words joined by one space)."""
     spark = docs.sparkSession
     ship_package(spark)
-    text_hash = F.coalesce(F.xxhash64(F.col(text)).bitwiseAND(F.lit((1 << 28) - 1)), F.lit(0))
+    text_hash = text_key(text)
     d = F.coalesce(F.col(key).cast("long"), F.lit(_LOWEST))
     rows = docs.where(F.col(text).isNotNull()).select(d.alias("d"), text_hash.alias("t"), F.col(text).alias("text"))
 
@@ -163,26 +166,26 @@ def deduplicate(docs: DataFrame, window: int = 20, key: str = "doc_id", text: st
             for i, j in slices([len(x) for x in texts]):
                 doc, first, size, anchors, content = segments(Words(texts[i:j]), window)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(anchors), pa.array(content), pa.array(ds[i:j][doc]),
-                     pa.array(_place(ts[i:j][doc], first, size))], names=["anchor", "content", "d", "p"])
+                    [pa.array(anchors), pa.array(content), pa.array(ds[i:j][doc]), pa.array(ts[i:j][doc]),
+                     pa.array(_place(first, size))], names=["anchor", "content", "d", "t", "p"])
 
-    found = rows.mapInArrow(anchor, "anchor long, content long, d long, p long")
+    found = rows.mapInArrow(anchor, "anchor long, content long, d long, t long, p long")
     # a stage of its own: the join below then has plain sides, whose hot anchors Spark can split
     repeated = write_stage(found.groupBy("anchor").agg(F.count("*").alias("n")).where("n > 1").select("anchor"),
                            "substring-anchors")
     again = write_stage(found.join(repeated, "anchor"), "substring-repeated")
-    classes = write_stage(again.groupBy("anchor", "content").agg(F.min(F.struct("d", "p")).alias("first")),
+    classes = write_stage(again.groupBy("anchor", "content").agg(F.min(F.struct("d", "t", "p")).alias("first")),
                           "substring-classes")
     several = write_stage(classes.groupBy("anchor").agg(F.count("*").alias("n")).where("n > 1"), "substring-several")
 
     # copies of a class: all their windows go
-    copies = (again.join(classes, ["anchor", "content"]).where((F.col("d") != F.col("first.d")) | (F.col("p") != F.col("first.p")))
-              .select("d", "p"))
+    copies = (again.join(classes, ["anchor", "content"]).where(_not_first())
+              .select("d", "t", "p"))
 
     # first segments around an anchor that has several: to the automata, with their words
     wanted = (classes.join(several, "anchor")
               .withColumn("blocks", F.ceil(F.col("n") / BLOCK))
-              .select(F.col("first.d").alias("d"), F.shiftright("first.p", _PLACE).alias("t"),
+              .select(F.col("first.d").alias("d"), F.col("first.t").alias("t"),
                       F.struct("anchor", F.col("first.p").alias("p"),
                                F.pmod(F.xxhash64("content"), "blocks").alias("block"), "blocks").alias("s"))
               .groupBy("d", "t").agg(F.collect_list("s").alias("wanted")))
@@ -190,51 +193,51 @@ def deduplicate(docs: DataFrame, window: int = 20, key: str = "doc_id", text: st
     def cut(batches):
         for batch in batches:
             for r in range(batch.num_rows):
-                d_, x, want = (batch.column(i)[r].as_py() for i in (0, 2, 3))
+                d_, t_, x, want = (batch.column(i)[r].as_py() for i in range(4))
                 words = Words([x])
                 out = []
                 for s in want:
-                    first, size = (s["p"] >> 4) & ((1 << 31) - 1), s["p"] & 15
+                    first, size = s["p"] >> 4, s["p"] & 15
                     a, b = words.starts[first], words.ends[first + size + window - 2]
-                    out.append((s["anchor"], s["block"], s["blocks"], d_, s["p"], b" ".join(words.data[a:b].split())))
+                    out.append((s["anchor"], s["block"], s["blocks"], d_, t_, s["p"], b" ".join(words.data[a:b].split())))
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(c, k) for c, k in zip(zip(*out), [pa.int64()] * 5 + [pa.binary()])],
-                    names=["anchor", "block", "blocks", "d", "p", "words"])
+                    [pa.array(c, k) for c, k in zip(zip(*out), [pa.int64()] * 6 + [pa.binary()])],
+                    names=["anchor", "block", "blocks", "d", "t", "p", "words"])
 
     passages = write_stage(
         rows.dropDuplicates(["d", "t"]).join(wanted, ["d", "t"]).select("d", "t", "text", "wanted")
-        .mapInArrow(cut, "anchor long, block long, blocks long, d long, p long, words binary"), "substring-passages")
+        .mapInArrow(cut, "anchor long, block long, blocks long, d long, t long, p long, words binary"), "substring-passages")
     shards = max(1, -(-passages.count() // BLOCK))
 
     def match(group: pa.Table) -> pa.Table:
-        group = group.sort_by([("d", "ascending"), ("p", "ascending")])
+        group = group.sort_by([(c, "ascending") for c in ("d", "t", "p")])
         automaton, number, out = SuffixAutomaton(), {}, []
-        for blocks_, d_, p, raw in zip(*(group.column(c).to_pylist() for c in ("blocks", "d", "p", "words"))):
+        for blocks_, d_, t_, p, raw in zip(*(group.column(c).to_pylist() for c in ("blocks", "d", "t", "p", "words"))):
             words = raw.split(b" ")
             seq = [number.setdefault(w, len(number)) for w in words]
-            first, size = (p >> 4) & ((1 << 31) - 1), p & 15
+            first, size = p >> 4, p & 15
             reach = automaton.matching(seq)[window - 1:]
             gone = [i for i in range(size) if reach[i] >= window]
             runs = np.split(gone, np.flatnonzero(np.diff(gone) != 1) + 1) if gone else []
-            out += [(d_, (p >> _PLACE << _PLACE) | (first + int(run[0])) << 4 | len(run), None) for run in runs]
+            out += [(d_, t_, _place(first + int(run[0]), len(run)), None) for run in runs]
             if blocks_ > 1:
                 h = as_long(ngram_hashes(Words([raw.decode()]).hashes, window))
-                out += [(d_, (p >> _PLACE << _PLACE) | (first + i) << 4 | 1, int(h[i]))
+                out += [(d_, t_, _place(first + i, 1), int(h[i]))
                         for i in range(size) if reach[i] < window]
             automaton.add(seq)
-        cols = list(zip(*out)) if out else [[], [], []]
-        return pa.table({c: pa.array(v, pa.int64()) for c, v in zip(("d", "p", "hash"), cols)})
+        cols = list(zip(*out)) if out else [[], [], [], []]
+        return pa.table({c: pa.array(v, pa.int64()) for c, v in zip(("d", "t", "p", "hash"), cols)})
 
     shard = F.pmod(F.xxhash64("anchor", "block"), F.lit(shards))
     matched = write_stage(passages.withColumn("shard", shard).groupBy("shard")
-                          .applyInArrow(match, "d long, p long, hash long"), "substring-matched")
+                          .applyInArrow(match, "d long, t long, p long, hash long"), "substring-matched")
     alive = matched.where("hash is not null")
-    earliest = alive.groupBy("hash").agg(F.min(F.struct("d", "p")).alias("first"))
-    across = (alive.join(earliest, "hash").where((F.col("d") != F.col("first.d")) | (F.col("p") != F.col("first.p")))
-              .select("d", "p"))
+    earliest = alive.groupBy("hash").agg(F.min(F.struct("d", "t", "p")).alias("first"))
+    across = (alive.join(earliest, "hash").where(_not_first())
+              .select("d", "t", "p"))
 
-    spans = (copies.unionByName(matched.where("hash is null").select("d", "p")).unionByName(across)
-             .groupBy("d", F.shiftright("p", _PLACE).alias("t")).agg(F.collect_set("p").alias("spans")))
+    spans = (copies.unionByName(matched.where("hash is null").select("d", "t", "p")).unionByName(across)
+             .groupBy("d", "t").agg(F.collect_set("p").alias("spans")))
     spans = write_stage(spans, "substring-spans")
 
     @F.pandas_udf("n_words long, n_removed long, kept string")
@@ -251,7 +254,7 @@ def deduplicate(docs: DataFrame, window: int = 20, key: str = "doc_id", text: st
                 out.append((len(words), 0, b" ".join(words).decode()))
                 continue
             p = np.asarray(places, np.int64)
-            first, size = (p >> 4) & ((1 << 31) - 1), p & 15
+            first, size = p >> 4, p & 15
             edge = np.zeros(len(words) + 1, np.int64)
             np.add.at(edge, first, 1)
             np.add.at(edge, first + size + window - 1, -1)

@@ -65,6 +65,15 @@ def test_substring_splits_a_hot_anchor(spark, monkeypatch):
     test_substring_against_brute_force(spark)
 
 
+def test_substring_texts_of_one_id_whose_hashes_share_low_bits(spark):
+    twice = " ".join(f"a5073x{k % 25}" for k in range(50))
+    once = " ".join(f"b37415x{k}" for k in range(50))
+    df = frame(spark, [(None, twice), (None, once), (7, once)])
+    assert df.select(F.xxhash64("text").bitwiseAND(F.lit((1 << 28) - 1))).distinct().count() == 1
+    got = {(r.doc_id, r.text): (r.n_words, r.n_removed, r.kept) for r in substring.deduplicate(df).collect()}
+    assert got == {(None, twice): (50, 25, " ".join(twice.split()[:25])), (None, once): (50, 0, once), (7, once): (50, 50, "")}
+
+
 def test_automaton_matching():
     rng = random.Random(3)
     for _ in range(200):
