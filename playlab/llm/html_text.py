@@ -18,7 +18,8 @@ labels are known from the layout.  Weights are fitted by gradient ascent on the
 conditional likelihood (forward-backward, all pages of a step at once).
 
 Edge cases: null or empty html, or a page without main text, gives the empty text;
-unclosed tags, comments and quotes are read as far as they go; a null url stays
+unclosed tags, comments and quotes are read as far as they go; a head without its end
+tag ends at body, or at the first text or tag that may not stand in it; a null url stays
 null; repeated rows and further columns change nothing; without any training page
 every block counts as boilerplate unless inside article or main.
 """
@@ -49,6 +50,8 @@ VOID = frozenset("area base br col embed hr img input link meta param source tra
 RAW = frozenset("script style textarea title xmp noembed noframes plaintext".split())
 HIDDEN = frozenset("head script style textarea title noscript template iframe object svg math canvas select option "
                    "button datalist audio video map xmp noembed noframes plaintext".split())
+# Start tags that may stand in head; any other one, and text, ends an open head.
+IN_HEAD = frozenset("base basefont bgsound head html link meta noframes noscript script style template title".split())
 CLOSED_BY = {"li": ("li", ("ul", "ol", "menu")), "dt": ("dt dd", ("dl",)), "dd": ("dt dd", ("dl",)),
              "tr": ("tr", ("table",)), "td": ("td th", ("tr", "table")), "th": ("td th", ("tr", "table"))}
 MAIN = frozenset(["article", "main"])
@@ -99,6 +102,8 @@ def blocks(page: str | None) -> list[tuple[tuple, str, float]]:
 
     def say(s: str):
         nonlocal linked
+        if hidden and stack[-1][0] == "head" and s.strip(" \t\n\f\r"):
+            pop(len(stack) - 1)
         if s and not hidden:
             s = html.unescape(s) if "&" in s else s
             parts.append(s)
@@ -142,6 +147,8 @@ def blocks(page: str | None) -> list[tuple[tuple, str, float]]:
             else:
                 close((tag,))
             continue
+        if hidden and (tag == "body" or (stack[-1][0] == "head" and tag not in IN_HEAD)):
+            close(("head",), ("template",))
         if tag == "br":
             parts.append(" ")
             continue

@@ -235,6 +235,16 @@ def test_html_main_text(spark):
     assert html_text.train(pages.limit(0)).text("<main><p>x</main>y") == "x"
 
 
+@pytest.mark.parametrize("head", [
+    "<head><title>T</title><body>", "<head><meta charset=utf-8><script>var a = '<p>';</script><body class=x>",
+    "<head><title>T</title>", "<head><noscript><style>p{}</style><body>", "<head><link rel=x></head><body>"])
+def test_html_head_without_end_tag(head):
+    page = f"<html>{head}<article><p>Some words of the text.</p><p>And more.</p></article></body></html>"
+    assert html_text.Crf().text(page) == "Some words of the text. And more."
+    assert [b[1] for b in html_text.blocks("<head><title>T</title>Plain text<p>here")] == ["Plain text", "here"]
+    assert html_text.blocks("<head><noscript><p>x</p></noscript><template><div>y</div></template></head>") == []
+
+
 def test_secrets(spark):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     forest = secrets.train(docs)
