@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from playlab.llm import bpe, html_text, jaccard, language, neardup, packing, pii, secrets, substring, topk
+from playlab.llm import bpe, decontaminate, html_text, jaccard, language, neardup, packing, pii, secrets, substring, topk
 from playlab.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -124,3 +124,28 @@ def op10(spark, d):
     coded = bpe.decode(bpe.encode(table(spark, d, "documents"), path), path)
     return coded.select("doc_id", (F.length("ids") / 4).cast("long").alias("n_tokens"),
                         F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+@query("op12_decontaminate", r"""
+with w as (select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                             '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as words from documents),
+b as (select item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                         '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as words from benchmark),
+win as (select distinct coalesce(cast(item_id as varchar), '') as item, least(10, len(words)) as k,
+               array_to_string(list_slice(words, i, i + least(10, len(words)) - 1), ' ') as content
+        from b, unnest(range(1, len(words) - least(10, len(words)) + 2)) as u(i) where len(words) > 0),
+places as (select doc_id, i, k, array_to_string(list_slice(words, i, i + k - 1), ' ') as content
+           from w, (select distinct k from win), unnest(range(1, greatest(len(words) - k + 2, 1))) as u(i)),
+found as (select doc_id, i, k, item from places join win using (k, content)),
+hit as (select doc_id, count(distinct i + j) as n_hit from (select distinct doc_id, i, k from found), unnest(range(0, k)) as u(j)
+        group by doc_id),
+items as (select doc_id, count(*) as n_items, sha256(string_agg(item, ',' order by item)) as items_sha256
+          from (select distinct doc_id, item from found) group by doc_id)
+select w.doc_id, len(w.words) as n_words, coalesce(n_hit, 0) as n_hit, coalesce(n_items, 0) as n_items,
+       coalesce(items_sha256, sha256('')) as items_sha256, coalesce(n_hit, 0) > 0 as contaminated
+from w left join hit using (doc_id) left join items using (doc_id)""")
+def op12(spark, d):
+    docs = table(spark, d, "documents").select("doc_id", "text")
+    found = decontaminate.decontaminate(docs, table(spark, d, "benchmark"))
+    return found.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
+                        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), "contaminated")
