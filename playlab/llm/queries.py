@@ -8,7 +8,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from playlab.llm import bpe, decontaminate, html_text, jaccard, language, neardup, packing, pii, secrets, substring, topk
+from playlab.llm import bpe, decontaminate, html_text, jaccard, language, neardup, packing, periodic, pii
+from playlab.llm import secrets, substring, topk
 from playlab.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -126,6 +127,63 @@ def op10(spark, d):
                         F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def with_periodic_tails(docs: DataFrame) -> DataFrame:
+    """The texts that op11 looks at: of every tenth document, by a hash of its id, the words from one place on
+    repeat with a period (both follow from the hash)."""
+    words = F.filter(F.split("text", r"[\x20\x09-\x0D]+"), lambda w: w != "")
+    h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    g = F.floor(h / 10)
+    n, a = F.col("n"), F.col("a")
+    period = F.col("period")
+    tail = F.flatten(F.array_repeat(F.slice("words", a + 1, period), F.ceil((n - a) / period).cast("int")))
+    return (docs.withColumn("words", F.when(h % 10 == 0, words)).withColumn("n", F.size("words"))
+            .withColumn("a", F.when(n > 0, g % n).cast("int"))
+            .withColumn("period", F.when(n > 0, 1 + F.floor((n - a) / (3 + g % 8))).cast("int"))
+            .select("doc_id", F.when((h % 10 == 0) & (n > 0), F.array_join(
+                F.concat(F.slice("words", 1, a), F.slice(tail, 1, n - a)), " ")).otherwise(F.col("text")).alias("text")))
+
+
+@query("op11_periodic", r"""
+with words as (select doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') as words,
+                      list_transform(string_split(cast(doc_id as varchar), ''), lambda c: cast(ascii(c) as bigint)) as bytes
+               from documents),
+hashed as (select *, xor(list_reduce(bytes, lambda crc, byte: list_reduce([0, 0, 0, 0, 0, 0, 0, 0], lambda x, _: case
+                         when x % 2 = 1 then xor(x // 2, 3988292384) else x // 2 end, xor(crc, byte)), 4294967295), 4294967295) as h
+           from words),
+places as (select *, h // 10 as g, case when len(words) > 0 and h % 10 = 0 then (h // 10) % len(words) end as a from hashed),
+lengths as (select *, 1 + (len(words) - a) // (3 + g % 8) as p from places),
+docs as (select doc_id, case when a is null then words else list_transform(range(0, len(words)), lambda i: case
+                when i < a then words[i + 1] else words[a + (i - a) % p + 1] end) end as words from lengths),
+grams as (select doc_id, i, list_slice(words, i + 1, i + 6) as gram from docs, unnest(range(0, greatest(len(words) - 5, 0))) as u(i)),
+pairs as (select x.doc_id, x.i, y.i - x.i as d from grams x join grams y on x.doc_id = y.doc_id and x.gram = y.gram and y.i > x.i),
+islands as (select doc_id, d, i, i - row_number() over (partition by doc_id, d order by i) as island from pairs),
+stretches as (select doc_id, d, min(i) as start, count(*) + 5 + d as length from islands group by doc_id, d, island
+              having count(*) + 5 >= d and count(*) + 5 + d >= 12),
+runs as (select doc_id, start, length, min(d) as period from stretches group by doc_id, start, length),
+ranked as (select *, row_number() over (partition by doc_id order by length desc, start, period) as nth from runs),
+listed as (select doc_id, count(*) as n_runs, string_agg(start || ',' || length || ',' || period || chr(10), '' order by start, period) as l
+           from runs group by doc_id),
+gone as (select distinct doc_id, i from runs, unnest(range(start + period, start + length)) as u(i)),
+kept as (select docs.doc_id, string_agg(words[u.i + 1], ' ' order by u.i) as kept from docs, unnest(range(0, len(words))) as u(i)
+         left join gone on gone.doc_id = docs.doc_id and gone.i = u.i where gone.i is null group by docs.doc_id)
+select docs.doc_id, coalesce(n_runs, 0) as n_runs, start, length, period, 1000 * length // period as exponent_milli,
+       sha256(coalesce(l, '')) as runs_sha256, sha256(coalesce(kept, '')) as collapsed_sha256
+from docs left join listed using (doc_id) left join ranked on ranked.doc_id = docs.doc_id and nth = 1
+left join kept on kept.doc_id = docs.doc_id""")
+def op11(spark, d):
+    docs = with_periodic_tails(table(spark, d, "documents").select("doc_id", "text"))
+    found = periodic.periodic_runs(docs)
+    order = F.array_max(F.transform("runs", lambda r: F.struct(r.length.alias("length"), (-r.start).alias("s"),
+                                                               (-r.period).alias("p"))))
+    lines = F.transform("runs", lambda r: F.concat(F.concat_ws(",", r.start, r.length, r.period), F.lit("\n")))
+    return (found.withColumn("longest", order)
+            .select("doc_id", F.size("runs").cast("long").alias("n_runs"), (-F.col("longest.s")).alias("start"),
+                    F.col("longest.length").alias("length"), (-F.col("longest.p")).alias("period"),
+                    F.floor(1000 * F.col("longest.length") / -F.col("longest.p")).alias("exponent_milli"),
+                    F.sha2(F.array_join(lines, ""), 256).alias("runs_sha256"),
+                    F.sha2("collapsed", 256).alias("collapsed_sha256")))
+
+
 @query("op12_decontaminate", r"""
 with w as (select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
                                              '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as words from documents),
