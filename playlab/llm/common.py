@@ -33,6 +33,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+class Numbering(dict):
+    """Numbers keys in the order of their first lookup."""
+
+    def __missing__(self, key):
+        n = self[key] = len(self)
+        return n
+
+
 def text_key(text: str = "text"):
     """Tells apart rows that share a doc_id: a hash of the text (0 for null)."""
     return F.coalesce(F.xxhash64(text), F.lit(0))

@@ -37,18 +37,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from playlab.llm.common import mix64, slices
+from playlab.llm.common import Numbering, mix64, slices
 from playlab.session import ship_package
 
 
-class Numbering(dict):
-    """Numbers keys in the order of their first lookup."""
-
-    def __missing__(self, key):
-        n = self[key] = len(self)
-        return n
-
-
 def repeated_grams(words: np.ndarray, doc: np.ndarray, end: np.ndarray, g: int):
     """Places whose g words start at another place of the same text too, and their groups' numbers."""
     n = len(words)

@@ -8,8 +8,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from playlab.llm import bpe, decontaminate, html_text, jaccard, language, neardup, packing, periodic, pii
-from playlab.llm import secrets, substring, topk
+from playlab.llm import bpe, collocation, decontaminate, html_text, jaccard, language, neardup, packing
+from playlab.llm import periodic, pii, secrets, substring, topk
 from playlab.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -207,3 +207,36 @@ def op12(spark, d):
     found = decontaminate.decontaminate(docs, table(spark, d, "benchmark"))
     return found.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
                         F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), "contaminated")
+
+
+@query("op13_collocation", r"""
+with pieces as (select coalesce(lang, 'und') as lang, doc_id, unnest(regexp_split_to_array(
+                    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) as piece
+                from documents),
+cut as (select lang, list_filter(regexp_split_to_array(piece, '[\x20\x09]+'), lambda x: x <> '') as w from pieces),
+numbered as (select lang, row_number() over () as piece, w from cut),
+words as (select lang, piece, unnest(w) as w1, unnest(range(1, len(w) + 1)) as i from numbered),
+following as (select lang, w1, lead(w1, 1) over p as w2, lead(w1, 2) over p as w3, lead(w1, 3) over p as w4, lead(w1, 4) over p as w5
+              from words window p as (partition by piece order by i)),
+grams as (select lang, 1 as s, w1 as phrase from following
+          union all select lang, 2, w1 || ' ' || w2 from following where w2 is not null
+          union all select lang, 3, w1 || ' ' || w2 || ' ' || w3 from following where w3 is not null
+          union all select lang, 4, w1 || ' ' || w2 || ' ' || w3 || ' ' || w4 from following where w4 is not null
+          union all select lang, 5, w1 || ' ' || w2 || ' ' || w3 || ' ' || w4 || ' ' || w5 from following where w5 is not null),
+totals as (select lang, count(*) as n from grams where s = 1 group by lang),
+f as (select lang, phrase, s, count(*) as f from grams group by all),
+candidates as (select lang, phrase, s, f as a, string_split(phrase, ' ') as w from f where s > 1 and f >= 100),
+cuts as (select c.lang, phrase, s, a, k, lang || ':' || array_to_string(list_slice(w, 1, k), ' ') as lp,
+                lang || ':' || array_to_string(list_slice(w, k + 1, s), ' ') as rp
+         from candidates c, unnest(range(1, s)) as u(k)),
+scored as (select c.lang, c.phrase, c.s, c.a, k, fl.f as l, fr.f as r, t.n,
+                  cast(1000 * cast(a as hugeint) * n // (cast(fl.f as hugeint) * fr.f) as bigint) as score
+           from cuts c join f fl on fl.lang || ':' || fl.phrase = c.lp join f fr on fr.lang || ':' || fr.phrase = c.rp
+           join totals t on t.lang = c.lang),
+best as (select * from scored qualify row_number() over (partition by lang, phrase order by score, k) = 1),
+kept as (select * from best b where not exists (select 1 from candidates c where c.lang = b.lang and c.s > b.s
+             and contains(' ' || c.phrase || ' ', ' ' || b.phrase || ' ') and 100 * c.a >= 100 * b.a))
+select lang, row_number() over (partition by lang order by score desc, a desc, phrase) as rank, phrase, a, l, r, n, score
+from kept qualify rank <= 2000""")
+def op13(spark, d):
+    return collocation.collocations(table(spark, d, "documents").select("lang", "text"))
