@@ -89,7 +89,7 @@ POWERS = Powers()
 
 
 def span_hashes(values: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """64-bit hash of values[start:end] for every span, by prefix sums modulo 2**64."""
+    """64-bit hash of values[start:end] for every span of a few hashes, by prefix sums modulo 2**64."""
     n = len(values)
     up, down = POWERS.need(n + 1)
     sums = np.zeros(n + 1, np.uint64)
@@ -98,6 +98,27 @@ def span_hashes(values: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.
     return mix64(h ^ mix64((ends - starts).astype(np.uint64)))
 
 
+_TAILS = np.array([(1 << 8 * b) - 1 for b in range(9)], np.uint64)
+
+
+def byte_hashes(buf: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """64-bit hash of the bytes buf[start:end] of every (not empty) span.
+
+    Eight bytes at a time enter through the finalizer, together with their number in the span, so no
+    structure of the text cancels out as in a polynomial modulo 2**64.
+    """
+    if not len(starts):
+        return np.zeros(0, np.uint64)
+    eights = np.ndarray((len(buf),), "<u8", buf.tobytes() + bytes(8), 0, (1,))
+    sizes = ends - starts
+    parts = (sizes + 7) >> 3
+    first = np.cumsum(parts) - parts
+    nth = np.arange(int(first[-1] + parts[-1])) - np.repeat(first, parts)
+    number = eights[np.repeat(starts, parts) + 8 * nth] & _TAILS[np.minimum(np.repeat(sizes, parts) - 8 * nth, 8)]
+    number += np.uint64(_BASE) * (nth.astype(np.uint64) + np.uint64(1))
+    return mix64(np.add.reduceat(mix64(number), first) ^ mix64(sizes.astype(np.uint64)))
+
+
 _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
 _LOWER = np.arange(256, dtype=np.uint8)
@@ -121,7 +142,7 @@ class Words:
         edges = np.diff(inside)
         self.starts = np.flatnonzero(edges == 1)
         self.ends = np.flatnonzero(edges == -1)
-        self.hashes = span_hashes(buf, self.starts, self.ends) if len(buf) else np.zeros(0, np.uint64)
+        self.hashes = byte_hashes(buf, self.starts, self.ends)
         # words of document i: first[i] .. first[i + 1]
         self.first = np.searchsorted(self.starts, doc_start)
 

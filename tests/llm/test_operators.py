@@ -290,3 +290,27 @@ def test_pipeline_stages(spark):
     assert 0.5 * docs.count() < len(ids) <= docs.count()
     packed = C.STAGES[-1][1](spark, now, SF).collect()
     assert {r.doc_id for r in packed} == ids
+
+
+def test_words_of_bit_parities_stay_apart(spark):
+    """Long words that a polynomial modulo 2**64 gives one hash: a text and its complement repeat nothing of each other."""
+    parity = "".join("ab"[bin(i).count("1") % 2] for i in range(1024))
+    other = parity.translate(str.maketrans("ab", "ba"))
+    texts = [(1, " ".join([parity] + [f"x{i}" for i in range(19)])), (2, " ".join([other] + [f"x{i}" for i in range(19)])),
+             (3, " ".join([parity] * 5)), (4, " ".join([other] * 5))]
+    out = {r.doc_id: r for r in substring.deduplicate(frame(spark, texts)).collect()}
+    assert all(out[i].n_removed == 0 for i in (1, 2))
+    found = {r.doc_id: r.component_id for r in jaccard.jaccard_groups(frame(spark, texts)).collect()}
+    assert found[3] == 3 and found[4] == 4
+
+
+def test_byte_hashes():
+    from playlab.llm.common import byte_hashes
+
+    data = b"one two on e onetwoonetwo onetwoonetwp one"
+    buf = np.frombuffer(data, np.uint8)
+    spans = [(m.start(), m.end()) for m in __import__("re").finditer(rb"\S+", data)]
+    h = byte_hashes(buf, np.array([a for a, _ in spans]), np.array([b for _, b in spans]))
+    words = [data[a:b] for a, b in spans]
+    assert all((x == y) == (words[i] == words[j]) for i, x in enumerate(h) for j, y in enumerate(h))
+    assert len(byte_hashes(buf, np.zeros(0, int), np.zeros(0, int))) == 0
