@@ -36,20 +36,26 @@ Nearest Neighbor Joins using MapReduce", PVLDB 5(10), 2012:
   nearest head's group and there to the cell of its nearest pivot, so it is
   compared with about 2 sqrt(P_c) pivots (``assign``);
 * a cell above ``BLOCK_CELLS * cell_rows`` rows is dealt into blocks by key hash;
-* ``near``: each query finds its k' nearest in its own block.  Their k'-th
-  distance bounds the query's search: it visits only the cells that can hold
+* rows travel as a vector-approximation file (Weber, Schek and Blott, "A Quantitative Analysis and Performance
+  Study for Similarity-Search Methods in High-Dimensional Spaces", VLDB 1998): two bytes per numeric
+  column (``Quantiser``: one of 256 cells of equal depth, then one of 256 equal parts of the cell)
+  and the length of the error that this makes.  The approximate distance, less and plus that
+  error, gives lower and upper bounds of the exact one; categories stay as they are;
+* ``near``: each query scans the approximations of its own block.  The k'-th smallest upper bound
+  bounds the query's search: it visits only the cells that can hold
   a row within that bound.  A group or cell j is skipped when the ball
-  around its pivot is too far, d(q, p_j) - R_j > bound, or when the plane between
+  around its pivot is too far, d(q, p_j) - R_j > bound, when the plane between
   p_j and the pivot p_i nearest to the query is, (d(q, p_j)^2 - d(q, p_i)^2) / (2 |p_i p_j|) > bound
-  (rows of cell j are on p_j's side);
+  (rows of cell j are on p_j's side), or when the box of its rows' numeric columns is;
 * ``far``: the queries travel to the blocks they visit (rows stay in theirs), at
-  most about ``VISIT_CELLS * cell_rows`` of them per task, and the k' best of
-  all visited blocks are merged per query.
+  most about ``VISIT_CELLS * cell_rows`` of them per task, and scan the approximations there;
+* rows whose lower bound is within the k'-th upper bound of all visited blocks survive.  Only their values
+  are fetched, once, by key, and only for them is the exact distance computed.
 
 No candidate is ever dropped: the bounds only skip rows that provably cannot
 be neighbours, so the result equals brute force.  No task holds more than one
 block and its share of visitors.  How many cells a query visits depends on the
-data's intrinsic dimension (README, measured).
+data's intrinsic dimension; the rows compared exactly do not grow (README, measured).
 
 Contract: ``key`` is unique among the input rows; a key that two query rows share is
 an error.
@@ -77,7 +83,8 @@ BLOCK_CELLS = 4         # a block holds at most about so many times ``cell_rows`
 VISIT_CELLS = 8         # visitors per task, likewise
 _BLOCK_ENTRIES = 4_000_000  # distance entries per numpy block (about 32 MB)
 SLACK = 1e-3               # covers the rounding of distance^2 that orders neighbours
-PRUNE_MIN = 4096           # candidates per block above which the line filter is used
+QUANTILES = 255            # cuts per numeric column
+ROUNDING = 2e-6            # distance^2 is rounded to 6 decimals before it orders neighbours
 
 
 def class_stats(df: DataFrame, label: str, numeric, categorical=()) -> dict:
@@ -201,7 +208,9 @@ class _ClassPivots:
             at = np.flatnonzero(groups[:, j])
             lo, hi = self.first[j], self.first[j + 1]
             d = _dist(xn[at], xc[at], *self._cells(j), self.m2)
-            r, c = np.nonzero(self._may_hold(d, *self._cells(j), stats.radius[lo:hi], bound[at]))
+            may = self._may_hold(d, *self._cells(j), stats.radius[lo:hi], bound[at])
+            may &= stats.box_distance(xn[at], lo, hi) <= bound[at][:, None]
+            r, c = np.nonzero(may)
             rows.append(at[r])
             cells.append(lo + c)
         if not rows:
@@ -222,72 +231,82 @@ class _CellStats:
         self.head_radius, self.head_rows = np.full(heads, -np.inf), np.zeros(heads, np.int64)
         np.maximum.at(self.head_radius, group, cells["_hr"].to_numpy(float))
         np.add.at(self.head_rows, group, cells["_n"].to_numpy(int))
-
-
-def _top_k(d: np.ndarray, k: int) -> np.ndarray:
-    """Column indices of the k smallest entries per row, ordered by (value, column).
-
-    Exact with ties: all entries below the k-th value, then the first equal
-    entries in column order.  Linear in the row length (no full sort).
+        self.least, self.largest = (np.zeros((n, pivots.pn.shape[1])) for _ in range(2))
+        for j in range(pivots.pn.shape[1]):
+            self.least[at, j], self.largest[at, j] = cells[f"_lo{j}"].to_numpy(float), cells[f"_hi{j}"].to_numpy(float)
+
+    def box_distance(self, xn, lo: int, hi: int) -> np.ndarray:
+        """Distance of each query to the box of the numeric columns of cells lo .. hi."""
+        d = np.zeros((len(xn), hi - lo))
+        for j in range(xn.shape[1]):
+            gap = np.maximum(self.least[None, lo:hi, j] - xn[:, j:j + 1], xn[:, j:j + 1] - self.largest[None, lo:hi, j])
+            d += np.maximum(gap, 0) ** 2
+        return np.sqrt(d)
+
+
+class Quantiser:
+    """Two bytes per numeric column: a cell between cuts (of about equal depth), and a 256th part of the cell."""
+
+    def __init__(self, edges: list[list[float]]):
+        """``edges``: per column its least value, cuts in order, its largest value."""
+        self.edges = [np.unique(np.asarray(e, float)) for e in edges]
+
+    def _decode(self, j: int, code: np.ndarray) -> np.ndarray:
+        e = self.edges[j]
+        if len(e) < 2:
+            return np.full(len(code), e[0] if len(e) else 0.0)
+        lo, hi = e[code >> 8], e[(code >> 8) + 1]
+        return lo + (hi - lo) * (((code & 255) + 0.5) / 256)
+
+    def encode(self, x: np.ndarray):
+        """(codes, error): uint16 per column, and an upper bound of the distance to the decoded row."""
+        codes, error = np.zeros(x.shape, np.uint16), np.zeros(len(x))
+        for j, e in enumerate(self.edges):
+            if len(e) > 1:
+                cell = np.clip(np.searchsorted(e, x[:, j], side="right") - 1, 0, len(e) - 2)
+                part = np.floor((x[:, j] - e[cell]) / (e[cell + 1] - e[cell]) * 256)
+                codes[:, j] = (cell << 8) | np.clip(part, 0, 255).astype(np.int64)
+            error += (x[:, j] - self._decode(j, codes[:, j].astype(np.int64))) ** 2
+        return codes, np.sqrt(error) * (1 + 1e-9)
+
+    def decode(self, codes: np.ndarray) -> np.ndarray:
+        return np.stack([self._decode(j, codes[:, j].astype(np.int64)) for j in range(codes.shape[1])], axis=1) \
+            if codes.shape[1] else np.zeros(codes.shape)
+
+
+def quantiser(df: DataFrame, numeric) -> Quantiser:
+    """Cuts of the numeric columns from one aggregate (257 numbers per column reach the driver)."""
+    shares = [(i + 1) / (QUANTILES + 1) for i in range(QUANTILES)]
+    aggs = [F.concat(F.array(F.min(F.col(c).cast("double"))), F.percentile_approx(F.col(c).cast("double"), shares, 10_000),
+                     F.array(F.max(F.col(c).cast("double")))) for c in numeric]
+    return Quantiser(list(df.agg(*aggs).first())) if numeric else Quantiser([])
+
+
+def _survivors(qn, qc, qk, cn, cc, ck, error, k: int, m2: float, bound=None):
+    """(query, candidate, lower, upper): the candidates that can be among each query's k nearest.
+
+    ``cn`` are decoded approximations, ``error`` their errors.  Bounds are of the squared distance.  Candidates
+    whose lower bound passes the k-th smallest upper bound (or the query's ``bound``) cannot; the
+    query itself is excluded.
     """
-    kth = np.partition(d, k - 1, axis=1)[:, k - 1:k]
-    less = d < kth
-    need = k - less.sum(axis=1, keepdims=True)
-    eq = d == kth
-    take = less | (eq & (np.cumsum(eq, axis=1) <= need))
-    cols = np.nonzero(take)[1].reshape(d.shape[0], k)
-    order = np.argsort(np.take_along_axis(d, cols, axis=1), axis=1, kind="stable")
-    return np.take_along_axis(cols, order, axis=1)
-
-
-def _exact_knn(qn, qc, qk, cn, cc, ck, k: int, m2: float, prune_min: int = PRUNE_MIN) -> np.ndarray:
-    """Rows of the candidates (given in key order) holding each query's k
-    nearest by (distance^2 rounded to 6 decimals, key), the query itself
-    excluded.
-
-    Up to ``prune_min`` candidates every distance is computed.  Beyond that,
-    candidates and queries are placed on a line by their distance a(.) to one
-    reference candidate; |a(q) - a(o)| <= d(q, o).  A probe of 2k+1
-    candidates next to q on that line bounds q's k-th distance by theta_q,
-    and only candidates with a(o) within a(q) +- (theta_q + 0.01) are scored
-    (the slack keeps every candidate whose rounded distance could tie).
-    Exact, and much less than all pairs when the data are spread out.
-    """
-    n_q, n_c = len(qn), len(cn)
-    if n_c <= prune_min or n_c < 2 * k + 2:
-        out = []
-        step = _block_rows(n_c)
-        for s in range(0, n_q, step):
-            d = np.round(_dist2(qn[s:s + step], qc[s:s + step], cn, cc, m2), 6)
-            d[qk[s:s + step, None] == ck[None, :]] = np.inf
-            out.append(_top_k(d, k))
-        return np.concatenate(out) if out else np.zeros((0, k), dtype=np.int64)
-    a_c = np.sqrt(_dist2(cn, cc, cn[:1], cc[:1], m2))[:, 0]
-    a_q = np.sqrt(_dist2(qn, qc, cn[:1], cc[:1], m2))[:, 0]
-    by_a = np.argsort(a_c, kind="stable")
-    a_sorted = a_c[by_a]
-    w = 2 * k + 1
-    start = np.clip(np.searchsorted(a_sorted, a_q) - k, 0, n_c - w)
-    probe = by_a[start[:, None] + np.arange(w)[None, :]]  # w distinct candidates per query
-    dp = np.zeros(probe.shape)
-    for j in range(cn.shape[1]):
-        diff = qn[:, j:j + 1] - cn[probe, j]
-        dp += diff * diff
-    for j in range(cc.shape[1]):
-        dp += m2 * (qc[:, j:j + 1] != cc[probe, j])
-    dp[qk[:, None] == ck[probe]] = np.inf
-    theta = np.sqrt(np.partition(dp, k - 1, axis=1)[:, k - 1]) + 0.01
-    result = np.empty((n_q, k), dtype=np.int64)
-    q_order = np.argsort(a_q, kind="stable")
-    for s in range(0, n_q, 256):
-        blk = q_order[s:s + 256]
-        lo = np.searchsorted(a_sorted, np.min(a_q[blk] - theta[blk]), side="left")
-        hi = np.searchsorted(a_sorted, np.max(a_q[blk] + theta[blk]), side="right")
-        sub = np.sort(by_a[lo:hi])  # back to key order: ties go to the smaller key
-        d = np.round(_dist2(qn[blk], qc[blk], cn[sub], cc[sub], m2), 6)
-        d[qk[blk, None] == ck[sub][None, :]] = np.inf
-        result[blk] = sub[_top_k(d, k)]
-    return result
+    out = []
+    step = _block_rows(len(cn))
+    for s in range(0, len(qn), step):
+        q = slice(s, s + step)
+        flat = np.sqrt(_dist2(qn[q], qc[q][:, :0], cn, cc[:, :0], m2))
+        differ = _dist2(qn[q][:, :0], qc[q], cn[:, :0], cc, m2)
+        upper = (flat + error[None, :]) ** 2 + differ
+        lower = np.maximum(flat - error[None, :], 0) ** 2 + differ
+        own = qk[q, None] == ck[None, :]
+        upper[own] = lower[own] = np.inf
+        most = np.full(len(upper), np.inf) if bound is None else bound[q].astype(float)
+        if 0 < k <= upper.shape[1]:
+            most = np.minimum(most, np.partition(upper, k - 1, axis=1)[:, k - 1])
+        r, c = np.nonzero((lower <= (most * (1 + 1e-9) + ROUNDING)[:, None]) & ~own)
+        out.append((s + r, c, lower[r, c], upper[r, c]))
+    if not out:
+        return tuple(np.zeros(0, t) for t in (np.int64, np.int64, float, float))
+    return tuple(np.concatenate(x) for x in zip(*out))
 
 
 def _modes(values: np.ndarray) -> list:
@@ -321,7 +340,7 @@ def _mode(values):
 
 def smotenc(df: DataFrame, label: str = LABEL, categorical=None, numeric=None, key: str = KEY,
             k: int = 5, seed: int = 42, cell_rows: int = CELL_ROWS, max_pivots: int = MAX_PIVOTS,
-            copy_groups: bool = True, prune_min: int = PRUNE_MIN, pivot_prune_min: int = 1,
+            copy_groups: bool = True, pivot_prune_min: int = 1,
             diagnostics: dict | None = None) -> DataFrame:
     """Oversample every class to the largest class's count.
 
@@ -387,6 +406,9 @@ def smotenc(df: DataFrame, label: str = LABEL, categorical=None, numeric=None, k
     def assign(batches):
         piv = piv_bc.value
         for pdf in batches:
+            xn = pdf[numeric].to_numpy(float).reshape(len(pdf), len(numeric))
+            codes, error = approx_bc.value.encode(xn)
+            rows = pdf.drop(columns=numeric).assign(_x=xn.tolist(), _code=[c.tobytes() for c in codes], _err=error)
             out = {x: np.zeros(len(pdf)) for x in ("_cell", "_d", "_hd", "_compared")}
             for c, pos in pdf.groupby(label).indices.items():
                 step = piv[c].rows_at_once
@@ -394,25 +416,30 @@ def smotenc(df: DataFrame, label: str = LABEL, categorical=None, numeric=None, k
                     at = pos[s:s + step]
                     for x, v in zip(out.values(), piv[c].nearest(*piv[c].parts(pdf.iloc[at]))):
                         x[at] = v
-            yield pdf.assign(**{x: v.astype(np.int32) if x in ("_cell", "_compared") else v for x, v in out.items()})
+            yield rows.assign(**{x: v.astype(np.int32) if x in ("_cell", "_compared") else v for x, v in out.items()})
 
+    approx_bc = df.sparkSession.sparkContext.broadcast(quantiser(knn, numeric))  # 257 numbers per column
     assigned = materialize(knn.select(*cols).mapInPandas(assign, T.StructType(
-        [work.schema[c] for c in cols] + [T.StructField("_cell", T.IntegerType()), T.StructField("_d", T.DoubleType()),
-                                          T.StructField("_hd", T.DoubleType()),
-                                          T.StructField("_compared", T.IntegerType())])))
+        [work.schema[c] for c in cols if c not in numeric]
+        + [T.StructField("_x", T.ArrayType(T.DoubleType())), T.StructField("_code", T.BinaryType()),
+           T.StructField("_err", T.DoubleType()), T.StructField("_cell", T.IntegerType()), T.StructField("_d", T.DoubleType()),
+           T.StructField("_hd", T.DoubleType()), T.StructField("_compared", T.IntegerType())])))
+    boxes = [f(F.element_at("_x", j + 1)).alias(f"{name}{j}") for j in range(len(numeric))
+             for f, name in ((F.min, "_lo"), (F.max, "_hi"))]
     cells = materialize(assigned.groupBy(label, "_cell").agg(
-        F.count(F.lit(1)).alias("_n"), F.max("_d").alias("_r"), F.max("_hd").alias("_hr"))
+        F.count(F.lit(1)).alias("_n"), F.max("_d").alias("_r"), F.max("_hd").alias("_hr"), *boxes)
         .withColumn("_b", F.ceil(F.col("_n") / (BLOCK_CELLS * cell_rows)).cast("int")))
     cell_rows_ = cells.toPandas()  # one row per cell: bounded by the pivot budget, through Arrow
     stats = {c: _CellStats(piv[c], g) for c, g in cell_rows_.groupby(label)}
     stats_bc = df.sparkSession.sparkContext.broadcast(stats)
+    # a row travels as its approximation; a query's values go with it
     members = (assigned.join(cells.select(label, "_cell", "_b"), [label, "_cell"])
-               .withColumn("_blk", F.pmod(F.xxhash64(key), F.col("_b")).cast("int")).select(*cols, "_cell", "_blk"))
+               .withColumn("_blk", F.pmod(F.xxhash64(key), F.col("_b")).cast("int"))
+               .select(label, key, "_m", *categorical, F.when(F.col("_m") > 0, F.col("_x")).alias("_x"), "_code", "_err",
+                       "_cell", "_blk"))
 
-    found = [f"_n_{x}" for x in categorical]
-    lists = [T.StructField("_nd", T.ArrayType(T.DoubleType())), T.StructField("_nk", T.ArrayType(df.schema[key].dataType)),
-             T.StructField("_nx", T.ArrayType(T.ArrayType(T.DoubleType())))]
-    lists += [T.StructField(f, T.ArrayType(df.schema[x].dataType)) for f, x in zip(found, categorical)]
+    lists = [T.StructField("_lb", T.ArrayType(T.DoubleType())), T.StructField("_ub", T.ArrayType(T.DoubleType())),
+             T.StructField("_nk", T.ArrayType(df.schema[key].dataType))]
     near_schema = T.StructType(
         [df.schema[label], df.schema[key], T.StructField("_x", T.ArrayType(T.DoubleType()))]
         + [df.schema[x] for x in categorical] + [T.StructField("_bound", T.DoubleType())] + lists
@@ -422,49 +449,44 @@ def smotenc(df: DataFrame, label: str = LABEL, categorical=None, numeric=None, k
     def none(schema):
         return pd.DataFrame({f.name: pd.Series([], dtype=object) for f in schema.fields})
 
-    def search(c, q, qn, rows, k_):
-        """Places and squared distances of the k_ nearest of each query among the rows (in key order)."""
+    def values(frame):
+        return np.array(frame["_x"].tolist(), float).reshape(len(frame), len(numeric))
+
+    def scan(c, q, qn, rows, bound=None):
+        """Per query the keys of the rows that can be neighbours, with their bounds."""
         vocab = _vocab(rows, categorical)
-        qc, cc, m2 = _codes(q, categorical, vocab), _codes(rows, categorical, vocab), counts[c][1] ** 2
-        cn = rows[numeric].to_numpy(float).reshape(len(rows), len(numeric))
-        nb = _exact_knn(qn, qc, q[key].to_numpy(), cn, cc, rows[key].to_numpy(), k_, m2, prune_min)
-        d2 = np.zeros(nb.shape)
-        for j in range(cn.shape[1]):
-            diff = qn[:, j:j + 1] - cn[nb, j]
-            d2 += diff * diff
-        for j in range(cc.shape[1]):
-            d2 += m2 * (qc[:, j:j + 1] != cc[nb, j])
-        return nb, np.round(d2, 6), cn
+        codes = np.frombuffer(b"".join(rows["_code"]), np.uint16).reshape(len(rows), len(numeric))
+        keys = rows[key].to_numpy()
+        r, at, lower, upper = _survivors(qn, _codes(q, categorical, vocab), q[key].to_numpy(), approx_bc.value.decode(codes),
+                                         _codes(rows, categorical, vocab), keys, rows["_err"].to_numpy(float), kk[c],
+                                         counts[c][1] ** 2, bound)
+        cut = np.searchsorted(r, np.arange(1, len(q)))
+        return {f: [part.tolist() for part in np.split(v, cut)] for f, v in (("_lb", lower), ("_ub", upper), ("_nk", keys[at]))}
 
     # each query among its own block, and the blocks it has to visit
-    def near(pdf):
-        c = pdf[label].iloc[0]
-        rows = pdf.sort_values(key, kind="stable")  # key order breaks ties
+    def near(rows):
+        c = rows[label].iloc[0]
         q = rows[rows["_m"].to_numpy() > 0]
         if q.empty:
             return none(near_schema)
         pv, st = piv_bc.value[c], stats_bc.value[c]
-        qn = q[numeric].to_numpy(float).reshape(len(q), len(numeric))
-        k_ = min(kk[c], len(rows) - 1)
+        qn = values(q)
         out = pd.DataFrame({label: q[label].to_numpy(), key: q[key].to_numpy(), "_x": qn.tolist()})
         for x in categorical:
             out[x] = q[x].to_numpy()
-        if k_:
-            nb, d2, cn = search(c, q, qn, rows, k_)
-        else:
-            nb, d2, cn = np.zeros((len(q), 0), np.int64), np.zeros((len(q), 0)), np.zeros((len(rows), len(numeric)))
-        kth = d2[:, -1] if k_ == kk[c] and k_ else np.full(len(q), np.inf)
+        k_ = kk[c]
+        found = scan(c, q, qn, rows)
+        kth = np.array([sorted(u)[k_ - 1] if len(u) >= k_ > 0 else np.inf for u in found["_ub"]])
         out["_bound"] = kth
-        out["_nd"], out["_nk"], out["_nx"] = d2.tolist(), rows[key].to_numpy()[nb].tolist(), cn[nb].tolist()
-        for f, x in zip(found, categorical):
-            out[f] = rows[x].to_numpy(object)[nb].tolist()
+        for f, v in found.items():
+            out[f] = v
         to_cell, to_block = [[] for _ in range(len(q))], [[] for _ in range(len(q))]
-        if kk[c]:
-            own = int(pdf["_cell"].iloc[0]), int(pdf["_blk"].iloc[0])
+        if k_:
+            own = int(rows["_cell"].iloc[0]), int(rows["_blk"].iloc[0])
             qc = _codes(q, categorical, pv.vocab)
             for s in range(0, len(q), pv.rows_at_once):
                 e = s + pv.rows_at_once
-                for r, cell in zip(*pv.visits(qn[s:e], qc[s:e], np.sqrt(kth[s:e]) + SLACK, st, kk[c] + 1)):
+                for r, cell in zip(*pv.visits(qn[s:e], qc[s:e], np.sqrt(kth[s:e]) + SLACK, st, k_ + 1)):
                     for b in range(st.blocks[cell]):
                         if (cell, b) != own:
                             to_cell[s + r].append(int(cell))
@@ -479,59 +501,63 @@ def smotenc(df: DataFrame, label: str = LABEL, categorical=None, numeric=None, k
     place = [label, "_cell", "_blk"]
     shares = materialize(visits.groupBy(*place).agg(F.count(F.lit(1)).alias("_visits"))
                          .withColumn("_parts", F.ceil(F.col("_visits") / (VISIT_CELLS * cell_rows)).cast("int")))
-    hosts = (members.join(shares, place).drop("_visits")
+    hosts = (members.drop("_x", "_m").join(shares, place).drop("_visits")
              .withColumn("_part", F.explode(F.sequence(F.lit(0), F.col("_parts") - 1))).drop("_parts"))
     guests = (visits.join(shares, place).drop("_visits")
               .withColumn("_part", F.pmod(F.xxhash64(key), F.col("_parts")).cast("int")).drop("_parts"))
 
-    # visitors of one block: its rows within their bounds
+    # visitors of one block: its rows that can be within their bounds
     def far(rows, q):
         if rows.empty or q.empty:
             return none(far_schema)
-        c = q[label].iloc[0]
-        rows = rows.sort_values(key, kind="stable")
-        qn = np.array(q["_x"].tolist(), float).reshape(len(q), len(numeric))
-        nb, d2, cn = search(c, q, qn, rows, min(kk[c], len(rows)))
-        good = d2 <= q["_bound"].to_numpy()[:, None]
-        hit = np.flatnonzero(good[:, 0])
-        if not len(hit):
-            return none(far_schema)
-        n = good[hit].sum(axis=1)  # each list is in order, so the good ones come first
-        keys = rows[key].to_numpy()
-        out = pd.DataFrame({label: q[label].to_numpy()[hit], key: q[key].to_numpy()[hit]})
-        out["_nd"] = [d2[i, :m].tolist() for i, m in zip(hit, n)]
-        out["_nk"] = [keys[nb[i, :m]].tolist() for i, m in zip(hit, n)]
-        out["_nx"] = [cn[nb[i, :m]].tolist() for i, m in zip(hit, n)]
-        for f, x in zip(found, categorical):
-            v = rows[x].to_numpy(object)
-            out[f] = [v[nb[i, :m]].tolist() for i, m in zip(hit, n)]
-        return out
+        found = scan(q[label].iloc[0], q, values(q), rows, q["_bound"].to_numpy(float))
+        out = pd.DataFrame({label: q[label].to_numpy(), key: q[key].to_numpy(), **found})
+        return out[[len(n) > 0 for n in found["_nk"]]]
 
     more = (hosts.groupBy(*place, "_part").cogroup(guests.groupBy(*place, "_part"))
             .applyInPandas(far, far_schema))
+
+    # survivors of all visited blocks: lower bound within the k'-th upper bound
+    entries = F.arrays_zip("_lb", "_ub", "_nk")
+    both = (first.select(label, key, entries.alias("_e"), F.lit(1).alias("_own"))
+            .unionByName(more.select(label, key, entries.alias("_e"), F.lit(0).alias("_own"))))
+    merged = (both.groupBy(label, key).agg(F.flatten(F.collect_list("_e")).alias("_e"), F.sum("_own").alias("_own"))
+              .withColumn("_e", F.when(F.col("_own") == 1, F.col("_e")).otherwise(
+                  F.raise_error(F.lit("SMOTE-NC needs a unique key: two rows share one"))))
+              .withColumn("_most", F.coalesce(F.get(F.array_sort(F.col("_e._ub")), kk_col - 1), F.lit(math.inf))))
+    pairs = materialize(merged.select(label, key, F.explode(F.filter(
+        "_e", lambda e: e["_lb"] <= F.col("_most") * (1 + 1e-9) + ROUNDING)).alias("_e"))
+        .select(label, key, F.col("_e._nk").alias("_nk")))
     if diagnostics is not None:
         n_visits = visits.count()
         diagnostics.update(rows=knn.count(), sent=hosts.count() + n_visits, visits=n_visits,
-                           queries=knn.where(F.col("_m") > 0).count(), cells=len(cell_rows_),
+                           queries=knn.where(F.col("_m") > 0).count(), cells=len(cell_rows_), exact=pairs.count(),
+                           scanned=shares.join(members.groupBy(*place).count(), place)
+                           .agg(F.sum(F.col("count") * F.col("_visits"))).first()[0],
                            compared=assigned.agg(F.avg("_compared")).first()[0],
                            copy_queries=0 if copy_queries is None else copy_queries.count())
 
-    # the k' nearest of all visited blocks, by (distance^2, key)
-    names = [f.name for f in lists]
-    entries = F.arrays_zip(*names)
-    both = (first.select(label, key, entries.alias("_e"), F.lit(1).alias("_own"))
-            .unionByName(more.select(label, key, entries.alias("_e"), F.lit(0).alias("_own"))))
-    nbrs = (both.groupBy(label, key).agg(F.flatten(F.collect_list("_e")).alias("_e"), F.sum("_own").alias("_own"))
-            .withColumn("_e", F.when(F.col("_own") == 1, F.col("_e")).otherwise(
-                F.raise_error(F.lit("SMOTE-NC needs a unique key: two rows share one"))))
-            .withColumn("_k", kk_col)
-            .select(label, key, "_k", F.slice(F.array_sort("_e"), F.lit(1), F.greatest(F.col("_k"), F.lit(1))).alias("_e"))
-            .select(label, key, "_k", F.col("_e").getField("_nx").alias("_nbr"),
-                    *[F.col("_e").getField(f).alias(f) for f in found])
-            .select(label, key, "_k", "_nbr", *[_mode(F.col(f)).alias(f"_mode_{x}") for f, x in zip(found, categorical)]))
+    # their values, fetched by key, and the k' nearest by (distance^2 rounded, key)
+    found = {x: f"_n_{i}" for i, x in enumerate(numeric + categorical)}
+    fetched = knn.select(F.col(key).alias("_nk"), *[F.col(x).alias(f) for x, f in found.items()])
+    m2 = F.create_map(*[x for c, (_, m) in counts.items() for x in (F.lit(c), F.lit(float(m) * float(m)))])[lab]
+    square = F.lit(0.0)
+    for x in numeric:
+        diff = F.col(x).cast("double") - F.col(found[x]).cast("double")
+        square = square + diff * diff
+    for x in categorical:
+        square = square + m2 * (~F.col(x).eqNullSafe(F.col(found[x]))).cast("double")
+    base = knn.where(F.col("_m") > 0)
+    exact = (pairs.join(fetched, "_nk").join(base.select(label, key, *numeric, *categorical), [label, key])
+             .select(label, key, F.struct(F.round(square, 6).alias("_nd"), "_nk",
+                                          F.array(*[F.col(found[x]).cast("double") for x in numeric]).alias("_nx"),
+                                          *[F.col(found[x]) for x in categorical]).alias("_e")))
+    nbrs = (exact.groupBy(label, key).agg(F.slice(F.array_sort(F.collect_list("_e")), F.lit(1), kk_col).alias("_e"))
+            .select(label, key, F.col("_e._nx").alias("_nbr"),
+                    *[_mode(F.col("_e").getField(found[x])).alias(f"_mode_{x}") for x in categorical]))
 
     # synthesis: one output row per (base row, t), no per-row Python
-    base = knn.where(F.col("_m") > 0).join(nbrs, [label, key])
+    base = base.join(nbrs, [label, key], "left").withColumn("_k", kk_col)
     t = F.col("_t")
     ex = base.withColumn("_t", F.explode(F.sequence(F.lit(0), F.col("_m") - 1)))
     pick = F.when(F.col("_k") > 0, (uniform_hash(key, "nbr", seed, t) % F.col("_k")).cast("int"))

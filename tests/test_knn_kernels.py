@@ -4,22 +4,7 @@ import numpy as np
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from playlab.operators.smotenc import _modes, _top_k
-
-
-@settings(max_examples=200, deadline=None)
-@given(st.integers(1, 6), st.integers(2, 30), st.integers(1, 5), st.integers(0, 10 ** 6))
-def test_top_k_matches_stable_sort(rows, cols, k, seed):
-    k = min(k, cols)
-    rng = np.random.default_rng(seed)
-    d = rng.integers(0, 4, size=(rows, cols)).astype(float)  # many ties
-    expect = np.argsort(d, axis=1, kind="stable")[:, :k]
-    assert (_top_k(d, k) == expect).all()
-
-
-def test_top_k_skips_infinite_self():
-    d = np.array([[np.inf, 1.0, 1.0, 0.5]])
-    assert _top_k(d, 3).tolist() == [[3, 1, 2]]
+from playlab.operators.smotenc import Quantiser, _modes, _survivors
 
 
 def test_modes_ties_go_to_smallest():
@@ -28,17 +13,28 @@ def test_modes_ties_go_to_smallest():
     assert _modes(np.array([[3, 1, 2]], dtype=object)) == [1]
 
 
-@settings(max_examples=60, deadline=None)
-@given(st.integers(20, 300), st.integers(1, 40), st.integers(1, 5), st.integers(0, 10 ** 6), st.booleans())
-def test_pruned_knn_equals_brute_force(n_c, n_q, k, seed, coarse):
-    from playlab.operators.smotenc import _exact_knn
+@settings(max_examples=100, deadline=None)
+@given(st.integers(2, 300), st.integers(1, 40), st.integers(1, 5), st.integers(0, 10 ** 6), st.sampled_from(["coarse", "wide", "tails"]))
+def test_survivors_hold_the_nearest(n_c, n_q, k, seed, kind):
     rng = np.random.default_rng(seed)
-    scale = 3 if coarse else 1000
-    cn = rng.integers(0, scale, size=(n_c, 3)).astype(float)  # coarse values: many exact ties
-    cc = rng.integers(0, 3, size=(n_c, 2))
-    ck = np.arange(n_c) * 7 + 3
+    cn = {"coarse": lambda: rng.integers(0, 3, (n_c, 3)).astype(float), "wide": lambda: rng.normal(1e6, 1, (n_c, 3)),
+          "tails": lambda: rng.standard_cauchy((n_c, 3)) * 1e3}[kind]()
+    cc, ck = rng.integers(0, 3, size=(n_c, 2)), np.arange(n_c) * 7 + 3
+    approx = Quantiser([np.quantile(cn[:, j], np.linspace(0, 1, 17)) for j in range(3)])
+    codes, error = approx.encode(cn)
+    decoded = approx.decode(codes)
+    assert (np.sqrt(((decoded - cn) ** 2).sum(axis=1)) <= error).all()
     qi = rng.choice(n_c, size=min(n_q, n_c), replace=False)
-    args = (cn[qi], cc[qi], ck[qi], cn, cc, ck, k, 2.25)
-    brute = _exact_knn(*args, prune_min=10 ** 9)
-    pruned = _exact_knn(*args, prune_min=0)
-    assert (brute == pruned).all()
+    q, c, lower, upper = _survivors(cn[qi], cc[qi], ck[qi], decoded, cc, ck, error, k, 2.25)
+    exact = ((cn[qi][q] - cn[c]) ** 2).sum(axis=1) + 2.25 * (cc[qi][q] != cc[c]).sum(axis=1)
+    assert (lower <= exact * (1 + 1e-9) + 1e-9).all() and (exact <= upper * (1 + 1e-9) + 1e-9).all()
+    for i, row in enumerate(qi):
+        d = np.round(((cn[row] - cn) ** 2).sum(axis=1) + 2.25 * (cc[row] != cc).sum(axis=1), 6)
+        nearest = [x for x in np.lexsort((ck, d)) if x != row][:k]
+        assert set(nearest) <= set(c[q == i].tolist())
+
+
+def test_quantiser_of_constant_columns():
+    approx = Quantiser([[5.0, 5.0, 5.0], [0.0, 1.0]])
+    codes, error = approx.encode(np.array([[5.0, 0.25], [5.0, 1.0]]))
+    assert approx.decode(codes)[:, 0].tolist() == [5.0, 5.0] and (error < 0.01).all()

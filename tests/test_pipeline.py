@@ -1,5 +1,6 @@
 """Invariants of the data pipeline on the driver tables."""
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -68,14 +69,13 @@ def test_mark_smallest_with_small_bins(spark):
     assert "pass" not in got
 
 
-@pytest.mark.parametrize("cell_rows,max_pivots,prune_min,pivot_prune_min", [
-    (8, SM.MAX_PIVOTS, SM.PRUNE_MIN, SM.PRUNE_MIN), (4, 7, 10 ** 9, SM.PRUNE_MIN),
-    (10 ** 6, SM.MAX_PIVOTS, 0, SM.PRUNE_MIN), (6, SM.MAX_PIVOTS, SM.PRUNE_MIN, 0)])
-def test_smotenc_cells_match_brute_force(spark, cell_rows, max_pivots, prune_min, pivot_prune_min):
+@pytest.mark.parametrize("cell_rows,max_pivots,pivot_prune_min", [
+    (8, SM.MAX_PIVOTS, 4096), (4, 7, 4096), (6, SM.MAX_PIVOTS, 0)])
+def test_smotenc_cells_match_one_block(spark, cell_rows, max_pivots, pivot_prune_min):
     train = prepare(plays(spark, SF001)).train.cache()
-    one = SM.smotenc(train, categorical=O.SMOTE_CATS, numeric=O.SMOTE_NUMS, cell_rows=10 ** 6, prune_min=10 ** 9)
+    one = SM.smotenc(train, categorical=O.SMOTE_CATS, numeric=O.SMOTE_NUMS, cell_rows=10 ** 6)
     many = SM.smotenc(train, categorical=O.SMOTE_CATS, numeric=O.SMOTE_NUMS, cell_rows=cell_rows,
-                      max_pivots=max_pivots, prune_min=prune_min, pivot_prune_min=pivot_prune_min)
+                      max_pivots=max_pivots, pivot_prune_min=pivot_prune_min)
     cols = ["row_id", "synth"] + O.SMOTE_NUMS + O.SMOTE_CATS + ["play_type"]
     a = sorted(tuple(r) for r in one.select(*cols).collect())
     b = sorted(tuple(r) for r in many.select(*cols).collect())
@@ -117,6 +117,23 @@ def test_entry_smoke(spark):
     assert set(E.oracle_sql()) <= set(E.queries())
 
 
+def test_smotenc_exact_comparisons_do_not_grow(spark):
+    """Rows compared exactly per query stay near k, whatever the rows (8 dimensions, normal data)."""
+    per_query = []
+    for n in (1000, 4000):
+        rng = np.random.default_rng(n)
+        x, cats = rng.normal(size=(n, 6)), rng.integers(0, 3, (n, 2))
+        rows = [(i, "small", *map(float, x[i]), *(f"c{v}" for v in cats[i])) for i in range(n)]
+        rows += [(n + i, "large", *[float(i)] * 6, "c0", "c0") for i in range(2 * n)]
+        nums, names = [f"x{j}" for j in range(6)], ["a", "b"]
+        df = spark.createDataFrame(rows, "row_id long, play_type string, " + ", ".join(f"{c} double" for c in nums)
+                                   + ", a string, b string")
+        dg = {}
+        SM.smotenc(df, categorical=names, numeric=nums, cell_rows=200, diagnostics=dg)
+        per_query.append(dg["exact"] / dg["queries"])
+    assert 5 <= per_query[0] <= 10 and per_query[1] <= 1.5 * per_query[0]
+
+
 def test_smotenc_tiny_classes(spark):
     rows = [(1, "a", 1.0, "x"), (2, "a", 2.0, "y"), (3, "a", 3.0, "x"), (4, "a", 4.0, "x"),
             (5, "b", 10.0, "y"), (6, "b", 20.0, "z"), (7, "c", 5.0, "q")]
