@@ -1,7 +1,8 @@
 """Feature engineering with Spark ML stages.
 
-- F1 ``StringIndexer``: category -> index by descending frequency, ties in
-  alphabetical order of the value's text; numbers are indexed as text.
+- F1 ``DictionaryIndexer`` (``dictionary.py``): category -> index by descending frequency, ties in
+  alphabetical order of the value's text; numbers are indexed as text.  The label, whose values are the classes,
+  has Spark's ``StringIndexer``.
 - F2 ``OneHotEncoder``: sparse vector, the last category dropped.
 - F3/F4 ``VectorAssembler``: ``skip`` drops rows with NaN/NULL inputs,
   ``error`` fails on them.
@@ -9,8 +10,8 @@
   for multinomial naive Bayes; a constant feature maps to 1.5).
 - F7 the four as one ``Pipeline``, fitted on training rows only.
 
-Fitting costs one aggregate per stage (category counts, column extremes);
-every transform is a narrow, per-row map.
+Fitting costs one aggregate per stage (category counts, column extremes).
+Indexing joins the dictionary of a column; every other transform is a narrow, per-row map.
 """
 
 from __future__ import annotations
@@ -24,6 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from playlab.functions.columns import LABEL, LABEL_INDEX
+from playlab.operators.dictionary import DictionaryIndexer
 
 
 def idx(c: str) -> str:
@@ -34,10 +36,10 @@ def vec(c: str) -> str:
     return f"{c}_vec"
 
 
-def index(columns, handle_invalid: str = "error") -> StringIndexer:
+def index(columns, handle_invalid: str = "error") -> DictionaryIndexer:
     """One indexer for many columns; outputs are always ``<column>_idx`` (F1)."""
-    return StringIndexer(inputCols=list(columns), outputCols=[idx(c) for c in columns],
-                         handleInvalid=handle_invalid)
+    return DictionaryIndexer(inputCols=list(columns), outputCols=[idx(c) for c in columns],
+                             handleInvalid=handle_invalid)
 
 
 def label_indexer(label: str = LABEL, output: str = LABEL_INDEX, handle_invalid: str = "error") -> StringIndexer:
