@@ -3,7 +3,7 @@
 Models are Spark ML estimators; their training loops run on the executors
 (one aggregate per iteration / tree level).  Tuning fits the feature
 stages once, caches the feature frame, and fits every grid entry of the
-classifier on it; the split into train and validation rows is the key hash
+classifier on it (a grid of naive Bayes smoothings takes two passes in all, ``bayes_grid``); the split into train and validation rows is the key hash
 of ``tv_split``, so it does not change with the partition layout.
 """
 
@@ -24,7 +24,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from playlab.functions.columns import KEY, LABEL_INDEX
-from playlab.operators.sampling import tv_split
+from playlab.operators import bayes_grid
+from playlab.operators.sampling import in_split, tv_split
 
 # The reference's search grids.
 LR_GRID = {"regParam": [0.0, 0.1, 0.09, 0.05, 0.01, 0.005], "maxIter": [50],
@@ -116,9 +117,14 @@ def tune(features_df: DataFrame, estimator, param_maps, metric: str = "accuracy"
             model = estimator.fit(train, param_maps[i])
             return i, evaluator.evaluate(model.transform(valid))
 
-        with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
-            for i, s in pool.map(run, range(len(param_maps))):
-                scores[i] = s
+        if bayes_grid.applies(estimator, param_maps) and metric in bayes_grid.METRICS:
+            smoothings = [estimator.copy(m).getSmoothing() for m in param_maps]
+            scores = bayes_grid.scores(features_df, in_split(features_df, ratio, seed, key), smoothings, metric,
+                                       estimator.getFeaturesCol(), label)
+        else:
+            with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
+                for i, s in pool.map(run, range(len(param_maps))):
+                    scores[i] = s
         best = max(range(len(scores)), key=lambda i: (scores[i], -i)) if evaluator.isLargerBetter() else \
             min(range(len(scores)), key=lambda i: (scores[i], i))
         best_model = estimator.fit(features_df, param_maps[best])

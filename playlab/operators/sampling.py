@@ -102,9 +102,14 @@ def season_split(df: DataFrame, season: int, column: str = "season", drop: bool
     return train, test
 
 
+def in_split(df: DataFrame, ratio: float = 0.8, seed: int = 42, key: str | None = KEY):
+    """Whether a row is in the first part of ``tv_split``."""
+    return _hash(df, key, "split", seed) < F.lit(ratio * HASH_RANGE)
+
+
 def tv_split(df: DataFrame, ratio: float = 0.8, seed: int = 42, key: str | None = KEY):
     """Random train/validation split by key hash (R5): exact complements."""
-    inside = _hash(df, key, "split", seed) < F.lit(ratio * HASH_RANGE)
+    inside = in_split(df, ratio, seed, key)
     return df.where(inside), df.where(~inside)
 
 

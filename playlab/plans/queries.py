@@ -644,7 +644,7 @@ def q_mlp(spark, d):
     return clf.transform(feats.transform(te)).select(KEY, "play_type_idx", "prediction")
 
 
-_TUNE_SMOOTHING = [0.5, 1.0]
+_TUNE_SMOOTHING = M.NB_GRID["smoothing"]
 
 
 def _tune_sql(sel, source="train", base="row_id", before=""):
