@@ -22,12 +22,14 @@ from playlab.operators import aggregates as A
 from playlab.operators import clean as P
 from playlab.operators import evaluate as E
 from playlab.operators import features as FE
+from playlab.operators import model_tables as MT
 from playlab.operators import models as M
 from playlab.operators import sampling as R
 from playlab.operators import smotenc as SM
+from playlab.operators.optimality import gradient_table
 from playlab.plans import oracle as O
 from playlab.plans.prepare import base_frame, cleaned, prepare, season_test, training_fill
-from playlab.session import shared_dir
+from playlab.session import materialize, shared_dir
 from playlab.sources import io as S
 from playlab.sources.plays import plays, scan, write_partitioned
 
@@ -592,6 +594,29 @@ def q_logistic_regression(spark, d):
     return _predictions(model, te)
 
 
+_GRADIENT_BOUND = 1e-4
+
+
+@query("logistic_optimality", O.with_base("""
+select cast(cl.i as integer) as class_index, cast(sl.slot as integer) as feature,
+       round(coalesce(s.v, 0.0) / (select count(*) from fx), 6) as observed, true as optimal
+from (select distinct i from lx) cl
+join (select u.slot from fd, unnest(range(-1, cast(fd.d as bigint))) as u(slot)) sl on true
+left join (select lx.i, e.slot, sum(e.value) as v
+           from (select fe.row_id, fe.slot, fe.value / fs.m as value from fe join fs using (slot)
+                 union all select row_id, -1, 1.0 from fx) e
+           join fx on fx.row_id = e.row_id join lx on fx.play_type = lx.v group by lx.i, e.slot) s
+     on s.i = cl.i and s.slot = sl.slot""", O.feature_ctes("train", CATS, NUMS)))
+def q_logistic_optimality(spark, d):
+    """Per weight the observed moment, and whether the loss's gradient there is within the bound (M1)."""
+    tr = _ftrain(spark, d)
+    rows = materialize(FE.feature_pipeline(CATS, NUMS, kind="maxabs", label="play_type").fit(tr).transform(tr)
+                       .select("play_type_idx", "scaledFeatures"))
+    model = M.classifier("lr", maxIter=500, tol=1e-9, regParam=0.01).fit(rows)
+    return gradient_table(model, rows).select("class_index", "feature", r6("observed").alias("observed"),
+                                              (F.abs("gradient") <= _GRADIENT_BOUND).alias("optimal"))
+
+
 @query("random_forest")
 def q_random_forest(spark, d):
     tr, te, _ = _frames(spark, d)
@@ -644,6 +669,45 @@ def q_mlp(spark, d):
     return clf.transform(feats.transform(te)).select(KEY, "play_type_idx", "prediction")
 
 
+# both scores of every test row whose label training has seen: the library's and the tables'
+def _agree_sql(column: str = "", source: str = "") -> str:
+    valid = " and ".join(f"{n} is not null and not isnan({n})" for n in NUMS)
+    return O.with_base(
+        f"select {column}fx.row_id, lx.i as play_type_idx, true as agrees from fx join lx on fx.play_type = lx.v{source}",
+        f"""lx as (select play_type as v, cast(row_number() over (order by count(*) desc, play_type) - 1 as double) as i
+                   from train group by play_type),
+            fx as (select * from test where {valid})""")
+
+
+def _agreement(scored, predicted):
+    return (scored.join(predicted.withColumnRenamed("prediction", "by_tables"), KEY, "left")
+            .select(KEY, "play_type_idx", F.col("prediction").eqNullSafe(F.col("by_tables")).alias("agrees")))
+
+
+@query("random_forest_tables", _agree_sql())
+def q_random_forest_tables(spark, d):
+    """The forest as a table of nodes, scored by one join per level, against the model's own predictions (M2)."""
+    tr, te, _ = _frames(spark, d)
+    feats = _scoring_features().fit(tr)
+    clf = M.classifier("rf", numTrees=20, maxDepth=5).fit(feats.transform(tr))
+    rows = materialize(clf.transform(feats.transform(te)).select(KEY, "play_type_idx", "scaledFeatures", "prediction"))
+    nodes = materialize(MT.forest_table(spark, clf))
+    return _agreement(rows, MT.score_forest(nodes, rows, "scaledFeatures", KEY, 5))
+
+
+@query("mlp_tables", _agree_sql())
+def q_mlp_tables(spark, d):
+    """The network as a table of weights, scored layer by layer, against the model's own predictions (M4)."""
+    tr, te, _ = _frames(spark, d)
+    feats = _scoring_features().fit(tr)
+    ftr = feats.transform(tr)
+    layers = M.mlp_layers(ftr, "scaledFeatures", [16], len(feats.stages[0].labels))
+    clf = M.classifier("mlp", layers=layers, maxIter=50).fit(ftr)
+    rows = materialize(clf.transform(feats.transform(te)).select(KEY, "play_type_idx", "scaledFeatures", "prediction"))
+    weights = MT.network_table(spark, clf)
+    return _agreement(rows, MT.score_network(weights, MT.entries(rows, "scaledFeatures", KEY), rows, KEY, 2))
+
+
 _TUNE_SMOOTHING = M.NB_GRID["smoothing"]
 
 
@@ -731,6 +795,24 @@ def q_score(spark, d):
             .unionByName(_predictions(model, holdout).withColumn("frame", F.lit("holdout"))))
 
 
+@query("score_versions", _agree_sql("v.version, ", ", unnest([1, 2]) as v(version)"))
+def q_score_versions(spark, d):
+    """Two versions of a model saved as tables, loaded again and scored from these, against the models' own predictions (M8)."""
+    tr, te, _ = _frames(spark, d)
+    feats = _scoring_features().fit(tr)
+    ftr, fte = feats.transform(tr), feats.transform(te)
+    root, out = shared_dir(spark, "models"), None
+    for reg in (0.01, 0.1):
+        model = M.classifier("lr", maxIter=50, regParam=reg).fit(ftr)
+        version = MT.save_version(spark, root, {"linear": MT.linear_table(spark, model)}, {"kind": "lr", "regParam": reg})
+        tables, _ = MT.load_version(spark, root, version)
+        rows = materialize(model.transform(fte).select(KEY, "play_type_idx", "scaledFeatures", "prediction"))
+        part = _agreement(rows, MT.score_linear(tables["linear"], MT.entries(rows, "scaledFeatures", KEY), rows, KEY))
+        part = part.withColumn("version", F.lit(version))
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
 # ---------------------------------------------------------------- SMOTE-NC, balancing, flagship
 
 _SM_ROUND = ", ".join(f"round({c}, 6) as {c}" for c in O.SMOTE_NUMS)
