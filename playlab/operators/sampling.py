@@ -132,8 +132,18 @@ def _literal_map(d: dict):
     return F.create_map(*[x for k, v in d.items() for x in (F.lit(k), F.lit(v))])
 
 
+def _boundary(hist: DataFrame, label: str) -> DataFrame:
+    """Per class the bin ``_e`` where the running count of (label, _bin, _n) reaches ``_w``, how many rows are still
+    wanted there (``_k``) and how many it holds (``_in``); classes that never reach it are left out."""
+    w_cum = Window.partitionBy(label).orderBy("_bin").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    return (hist.withColumn("_cum", F.sum("_n").over(w_cum))
+            .where((F.col("_cum") - F.col("_n") < F.col("_w")) & (F.col("_cum") >= F.col("_w")))
+            .select(label, F.col("_bin").alias("_e"), (F.col("_w") - (F.col("_cum") - F.col("_n"))).alias("_k"),
+                    F.col("_n").alias("_in")))
+
+
 def mark_smallest(df: DataFrame, label: str, key: str | None, purpose: str, seed: int, want,
-                  flag: str = "_sel", bits: int = 16) -> DataFrame:
+                  flag: str = "_sel", bits: int = 16, most: int = 1_000_000, diagnostics: dict | None = None) -> DataFrame:
     """Add a boolean ``flag``: true for the ``want[c]`` rows of class c with the
     smallest (hash(key, purpose, seed), key); all rows when ``want[c]`` is at
     least the class size; false for classes not in ``want``.
@@ -144,9 +154,11 @@ def mark_smallest(df: DataFrame, label: str, key: str | None, purpose: str, seed
 
     No class is sorted in one task.  A histogram of the top ``bits`` bits of
     the hash per (class, bin) -- a map-side combined aggregate -- gives, per
-    class, the bin where the running count reaches the target.  Rows in lower
+    class, the bin where the running count reaches the target.  While some
+    boundary bin holds more than ``most`` rows, a histogram of 8 more bits of the
+    rows inside the boundary bins refines it (radix selection; the hash has 32 bits).  Rows in lower
     bins are flagged by a filter, rows in higher bins are not, and only the
-    boundary bin (about n / 2**bits rows of the class) is ranked by a window.
+    boundary bin (at most ``most`` rows, or the rows of one hash value) is ranked by a window.
     Without a key, identical rows share one hash; in the boundary bin they
     are collapsed map-side and only distinct rows are ranked, each keeping
     as many copies as still fit, so a huge group of copies costs one row.
@@ -178,13 +190,18 @@ def mark_smallest(df: DataFrame, label: str, key: str | None, purpose: str, seed
         hist = cached if cached is not None else (
             base.join(targets.select(label), label).groupBy(label, "_bin").agg(F.count(F.lit(1)).alias("_n")))
         hist = hist.join(targets, label)
-    w_cum = Window.partitionBy(label).orderBy("_bin").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    bounds = (hist.withColumn("_cum", F.sum("_n").over(w_cum))
-                  .where((F.col("_cum") - F.col("_n") < F.col("_w")) & (F.col("_cum") >= F.col("_w")))
-                  .select(label, F.col("_bin").alias("_e"), (F.col("_w") - (F.col("_cum") - F.col("_n"))).alias("_k")))
+    at_bits = lambda b: F.shiftright("_h", 32 - b)
+    bounds = _boundary(hist, label)
     if inline:
         rows = bounds.collect()  # at most one row per class in `want`
-        marked = base.withColumn("_w", want_map[lab])
+        while bits < 32 and any(r["_in"] > most for r in rows):
+            edge, left = (_literal_map({r[label]: r[c] for r in rows})[lab] for c in ("_e", "_k"))
+            finer = min(bits + 8, 32)
+            hist = (base.where(at_bits(bits) == edge).groupBy(label, at_bits(finer).alias("_bin"))
+                    .agg(F.count(F.lit(1)).alias("_n")).withColumn("_w", left))
+            rows, bits = _boundary(hist, label).collect(), finer
+        held = max((r["_in"] for r in rows), default=0)
+        marked = base.withColumn("_bin", at_bits(bits)).withColumn("_w", want_map[lab])
         if rows:
             marked = (marked.withColumn("_e", _literal_map({r[label]: r["_e"] for r in rows})[lab])
                             .withColumn("_k", _literal_map({r[label]: r["_k"] for r in rows})[lab]))
@@ -192,7 +209,17 @@ def mark_smallest(df: DataFrame, label: str, key: str | None, purpose: str, seed
             marked = marked.withColumn("_e", F.lit(None).cast("bigint")).withColumn("_k", F.lit(None).cast("bigint"))
     else:
         bounds = materialize(bounds)  # one row per class, written once
-        marked = base.join(targets, label, "left").join(bounds, label, "left")
+        held = bounds.agg(F.max("_in")).first()[0] or 0
+        while bits < 32 and held > most:
+            finer = min(bits + 8, 32)
+            hist = (base.join(bounds.drop("_in"), label).where(at_bits(bits) == F.col("_e"))
+                    .groupBy(label, at_bits(finer).alias("_bin"), F.col("_k").alias("_w")).agg(F.count(F.lit(1)).alias("_n")))
+            bounds, bits = materialize(_boundary(hist, label)), finer
+            held = bounds.agg(F.max("_in")).first()[0] or 0
+        marked = (base.withColumn("_bin", at_bits(bits)).join(targets, label, "left")
+                  .join(bounds.drop("_in"), label, "left"))
+    if diagnostics is not None:
+        diagnostics.update(bits=bits, ranked=held)
     if cached is not None:
         cached.unpersist()
     plain = (marked.where(F.col("_e").isNull() | (F.col("_bin") != F.col("_e")))

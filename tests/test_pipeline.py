@@ -58,6 +58,30 @@ def test_undersample_counts(spark):
     assert all(cut[c] == n[c] for c in order[2:])
 
 
+@pytest.mark.parametrize("inline", [10_000, 0])
+def test_mark_smallest_refines_its_bins(spark, monkeypatch, inline):
+    """Radix selection: the boundary bin is refined until it holds few rows; the rows chosen stay the same."""
+    monkeypatch.setattr(R, "MAX_INLINE_CLASSES", inline)
+    train = prepare(plays(spark, SF001)).train
+    want = {"punt": 40, "field_goal": 11, "pass": 10 ** 9}
+    plain = _keys(R.mark_smallest(train, "play_type", "row_id", "x", 42, want, "_s").where("_s"))
+    dg = {}
+    fine = _keys(R.mark_smallest(train, "play_type", "row_id", "x", 42, want, "_s", bits=2, most=1, diagnostics=dg).where("_s"))
+    assert fine == plain and dg["ranked"] <= 1 and dg["bits"] > 2
+
+
+def test_mark_smallest_of_one_class_of_ten_million(spark):
+    n, want = 10_000_000, 4_321_987
+    df = spark.range(0, n, numPartitions=8).select(F.col("id").alias("row_id"), F.lit("x").alias("play_type"))
+    dg = {}
+    out = R.mark_smallest(df, "play_type", "row_id", "big", 42, {"x": want}, "_s", bits=8, most=20, diagnostics=dg)
+    assert dg["ranked"] <= 20 and dg["bits"] == 24
+    h = R.uniform_hash("row_id", "big", 42)
+    row = out.groupBy("_s").agg(F.count(F.lit(1)).alias("n"), F.min(h).alias("lo"), F.max(h).alias("hi")).collect()
+    by = {r._s: r for r in row}
+    assert by[True].n == want and by[False].n == n - want and by[True].hi <= by[False].lo
+
+
 def test_mark_smallest_with_small_bins(spark):
     train = prepare(plays(spark, SF01)).train
     want = {"punt": 100, "field_goal": 5000, "pass": 0}
