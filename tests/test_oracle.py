@@ -20,6 +20,6 @@ def con():
 
 @pytest.mark.parametrize("name", sorted(E.oracle_sql()))
 def test_query_matches_sql(spark, con, name):
-    got = E.queries()[name](spark, SF001).toPandas()
-    want = con.execute(E.oracle_sql()[name]).df()
+    got = E.queries()[name](spark, SF001).toArrow()
+    want = con.sql(E.oracle_sql()[name]).to_arrow_table()
     assert rows_of(got) == rows_of(want)
