@@ -53,13 +53,10 @@ def linear_table(spark: SparkSession, model) -> DataFrame:
 
 def score_linear(table: DataFrame, rows: DataFrame, keys: DataFrame, key: str) -> DataFrame:
     """(key, prediction); ``keys`` are all rows to score (those without entries have the intercepts only)."""
-    bias = table.where("slot = -1").select("class", F.col("weight").alias("score"))
-    parts = (rows.join(table.where("slot >= 0"), "slot")
-             .select(key, "class", (F.col("value") * F.col("weight")).alias("score")))
-    start = bias.agg(F.collect_list(F.struct("class", "score")).alias("b"))  # one row: the intercept of each class
-    every = (keys.select(key, F.lit(1).alias("one")).join(start.withColumn("one", F.lit(1)), "one")
-             .select(key, F.explode("b").alias("b")).select(key, "b.class", "b.score"))
-    return _argmax(every.unionByName(parts).groupBy(key, "class").agg(F.sum("score").alias("score")), key)
+    bias = keys.select(key, F.lit(-1).alias("slot"), F.lit(1.0).alias("value"))  # the intercept is a slot of value 1
+    parts = (rows.select(key, "slot", "value").unionByName(bias).join(table, "slot")
+             .groupBy(key, "class").agg(F.sum(F.col("value") * F.col("weight")).alias("score")))
+    return _argmax(parts, key)
 
 
 # ---------------------------------------------------------------- forest
@@ -80,15 +77,14 @@ def forest_table(spark: SparkSession, model) -> DataFrame:
                        .alias("votes"))
 
 
-def score_forest(table: DataFrame, df: DataFrame, features: str, key: str, depth: int) -> DataFrame:
-    """(key, prediction) of rows with a feature vector; one join per level.
+def score_forest(table: DataFrame, df: DataFrame, features: str, key: str, trees: int, depth: int) -> DataFrame:
+    """(key, prediction) of rows with a feature vector; one join per level, for ``trees`` trees of at most ``depth`` levels.
 
     A row visits one node per tree and level, so it carries its values with it and is not shuffled while the
     table of nodes is small enough to broadcast.  Splits are on ordered features (no categorical ones).
     """
-    roots = table.where("node = 0").select("tree").withColumn("one", F.lit(1))
-    at = (df.select(key, vector_to_array(features).alias("x")).withColumn("one", F.lit(1)).join(roots, "one")
-          .select(key, "tree", "x", F.lit(0).alias("node")))
+    at = df.select(key, F.explode(F.sequence(F.lit(0), F.lit(trees - 1))).alias("tree"), vector_to_array(features).alias("x"),
+                   F.lit(0).alias("node"))
     split = table.where("feature >= 0").select("tree", "node", "feature", "threshold", "left", "right")
     for _ in range(depth):
         at = (at.join(split, ["tree", "node"], "left")

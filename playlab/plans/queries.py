@@ -692,7 +692,7 @@ def q_random_forest_tables(spark, d):
     clf = M.classifier("rf", numTrees=20, maxDepth=5).fit(feats.transform(tr))
     rows = materialize(clf.transform(feats.transform(te)).select(KEY, "play_type_idx", "scaledFeatures", "prediction"))
     nodes = materialize(MT.forest_table(spark, clf))
-    return _agreement(rows, MT.score_forest(nodes, rows, "scaledFeatures", KEY, 5))
+    return _agreement(rows, MT.score_forest(nodes, rows, "scaledFeatures", KEY, trees=20, depth=5))
 
 
 @query("mlp_tables", _agree_sql())

@@ -42,7 +42,7 @@ def test_forest(spark, rows, tmp_path):
     want = predictions(model.transform(rows))
     table = MT.forest_table(spark, model)
     assert table.where("feature = -1 and votes is null").count() == 0
-    assert predictions(MT.score_forest(table, rows, "scaledFeatures", "row_id", 4)) == want
+    assert predictions(MT.score_forest(table, rows, "scaledFeatures", "row_id", 7, 4)) == want
     entries = MT.entries(rows, "scaledFeatures", "row_id")
     got = by_sql("""
         with recursive walk as (
