@@ -20,12 +20,16 @@ the window and sequence borders.
 
 Edge cases: null or empty text is a document of the end id alone; a null source
 is a queue of its own; rows with the same or null doc_id are documents of their
-own; an empty table gives no pieces; further columns are ignored.
+own; an empty table gives no pieces; further columns are ignored.  Which sequence a
+document comes to depends on how the table's files are split into tasks, since a
+queue's order is that of its partitions; a rerun of lost tasks reads what job (1) wrote.
+A tokenizer file of another layout raises ValueError before anything is read.
 """
 
 from __future__ import annotations
 
 import bisect
+import json
 import math
 import struct
 from fractions import Fraction
@@ -41,8 +45,10 @@ from playlab.llm.bpe import byte_alphabet
 from playlab.llm.common import slices
 from playlab.session import ship_package, write_stage
 
-CACHE_WORDS = 600_000   # word encodings a Python worker keeps at once
-CACHE_PIECES = 500_000  # and encodings of the pieces that words consist of
+TEMPER = 0.7               # target proportions: token counts to this power
+SEQUENCES_PER_WINDOW = 64  # wide enough that most documents lie in a window uncut
+CACHE_WORDS = 1_000_000  # word encodings a Python worker keeps at once
+CACHE_PIECES = 700_000   # and encodings of the pieces that words consist of
 
 # The tokenizer's white space (\s) and its pieces of a word.
 _SPLIT = regex.compile(r"[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]+")
@@ -53,6 +59,13 @@ _SIGNS = "".join(c for c in map(chr, range(0x21, 0x7F)) if not c.isalnum())
 _CONTROL = regex.compile(r"[\x1c-\x1f]")
 # Words of these characters go straight to the model; others through the whole tokenizer.
 _LATIN = regex.compile(r"[\x21-\x7e\xa1-\u017f]+")
+# The layout of a tokenizer file that the encoder stands for.
+_NORMALIZER = {"type": "Sequence", "normalizers": [
+    {"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}, {"type": "Lowercase"}]}
+_PRE_TOKENIZER = {"type": "Sequence", "pretokenizers": [
+    {"type": "Split", "pattern": {"Regex": r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"},
+     "behavior": "Removed", "invert": True},
+    {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False}]}
 
 
 class WordEncoder(dict):
@@ -68,6 +81,8 @@ class WordEncoder(dict):
         from tokenizers import Tokenizer
 
         super().__init__()
+        with open(path, encoding="utf-8") as f:
+            check_layout(json.load(f), path)
         self.tok = Tokenizer.from_file(path)
         self.tok.no_padding()
         self.tok.no_truncation()
@@ -89,32 +104,47 @@ class WordEncoder(dict):
             code = self.pieces[piece] = self.pack([t.id for t in self.model.tokenize(raw)])
         return code
 
-    def __missing__(self, word: str) -> bytes:
-        if word.isascii() and word.isalpha():
-            code = self._piece(word.lower())
-        elif not _LATIN.fullmatch(word) or self.special.search(word):
-            code = self.pack(self.tok.encode(word, add_special_tokens=False).ids)
-        else:
+    def _encode(self, word: str) -> bytes:
+        if word.isascii():
             low = word.lower()
             core = low.rstrip(_SIGNS)
-            pieces = (core, low[len(core):]) if core.isalpha() else _PIECES_OF_WORD.findall(low)
-            code = b"".join([self._piece(p) for p in pieces if p])
-        self[word] = code
+            if core.isalpha():  # holds no special token's string: those have a sign before a letter
+                return self._piece(core) if len(core) == len(low) else self._piece(core) + self._piece(low[len(core):])
+        if not _LATIN.fullmatch(word) or self.special.search(word):
+            return self.pack(self.tok.encode(word, add_special_tokens=False).ids)
+        low = word.lower()
+        core = low.rstrip(_SIGNS)
+        pieces = (core, low[len(core):]) if core.isalpha() else _PIECES_OF_WORD.findall(low)
+        return b"".join([self._piece(p) for p in pieces if p])
+
+    def __missing__(self, word: str) -> bytes:
+        code = self[word] = self._encode(word)
         return code
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        cut = [[w for w in _SPLIT.split(t) if w] if _CONTROL.search(t) else t.split() for t in texts]
-        get = self.__getitem__
-        out = [b"".join(map(get, ws)) for ws in cut]
-        if len(self) > CACHE_WORDS:  # keep the words of this slice
-            kept = {w: self[w] for ws in cut for w in ws}
+        get, out = self.__getitem__, []
+        for t in texts:
+            words = [w for w in _SPLIT.split(t) if w] if _CONTROL.search(t) else t.split()
+            out.append(b"".join(map(get, words)))
+        if len(self) > CACHE_WORDS:
             self.clear()
-            self.update(kept)
         if len(self.pieces) > CACHE_PIECES:
             self.pieces.clear()
         return out
 
 
+def check_layout(spec: dict, path: str) -> None:
+    """Raise unless the file's tokenizer cuts words as ``WordEncoder`` does."""
+    model = spec["model"]
+    plain = not any(model.get(k) for k in ("dropout", "unk_token", "continuing_subword_prefix", "fuse_unk",
+                                            "byte_fallback", "ignore_merges"))
+    added = all(not any(t.get(k) for k in ("single_word", "lstrip", "rstrip", "normalized"))
+                and regex.match(r"[^\s\p{L}\p{N}].*\p{L}", t["content"]) for t in spec["added_tokens"])
+    if (spec["normalizer"], spec["pre_tokenizer"]) != (_NORMALIZER, _PRE_TOKENIZER) \
+            or model.get("type") != "BPE" or not model.get("end_of_word_suffix") or not plain or not added:
+        raise ValueError(f"{path}: packing needs a lower-casing BPE tokenizer of single words with word ends")
+
+
 _ENCODERS: dict[str, WordEncoder] = {}
 
 
@@ -205,17 +235,20 @@ class Placer:
 
 
 def pack(docs: DataFrame, tokenizer: str, end_id: int = 2, length: int = 4096, weights: dict | None = None,
-         sequences_per_window: int = 1, source: str = "source") -> DataFrame:
+         temper: float = TEMPER, sequences_per_window: int = SEQUENCES_PER_WINDOW, source: str = "source") -> DataFrame:
     """Pieces (doc_id, source, start, length, doc_tokens, sequence_id, offset, ids).
 
     ``weights``: target token proportions per source (None as key: null source);
-    without them each source's share of all tokens, so that every window holds the
-    corpus's own mixture.  Sources without a weight follow when the others are dry.
+    without them a source with n tokens weighs ``n ** temper``: below 1, small sources
+    get more than their share until they run dry; 1 keeps the corpus's own mixture.
+    Sources without a weight follow when the others are dry.
     ``ids`` are little-endian unsigned 32-bit numbers.  One sequence at most is
     shorter than ``length``.  The driver holds one total per source.
     """
     spark = docs.sparkSession
     ship_package(spark)
+    with open(tokenizer, encoding="utf-8") as f:
+        check_layout(json.load(f), tokenizer)
     queue = F.coalesce(F.concat(F.lit("="), F.col(source).cast("string")), F.lit("null"))
 
     def tokenize(batches):
@@ -244,7 +277,7 @@ def pack(docs: DataFrame, tokenizer: str, end_id: int = 2, length: int = 4096, w
     totals = {r.queue: r.n for r in bases.groupBy("queue").agg(F.sum("n").alias("n")).collect()}
     names = sorted(totals)
     key = {("null" if k is None else f"={k}"): Fraction(v) for k, v in (weights or {}).items()}
-    shares = [key.get(q, Fraction(0)) if weights else Fraction(totals[q]) for q in names]
+    shares = [key.get(q, Fraction(0)) if weights else Fraction(round(totals[q] ** temper)) for q in names]
     phases = schedule([totals[q] for q in names], shares)
 
     def cut(batches):

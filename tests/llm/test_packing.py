@@ -84,7 +84,7 @@ def test_pack_shares_and_edges(spark):
     docs[300], docs[301] = None, ""
     rows = [(d, t, None if d % 50 == 0 else f"s{d % 3 if d % 4 else 0}", "x", 1) for d, t in docs.items()]
     df = spark.createDataFrame(rows, "doc_id long, text string, source string, queue string, part int").repartition(5)
-    pieces = rows_of(packing.pack(df, PATH, length=64))
+    pieces = rows_of(packing.pack(df, PATH, length=64, temper=1, sequences_per_window=1))
     check(docs, pieces, 64)
     total = sum(p["length"] for p in pieces)
     share, per = defaultdict(int), defaultdict(lambda: defaultdict(int))
@@ -102,10 +102,55 @@ def test_pack_with_weights(spark):
     docs = {i: f"text {i} " * 20 for i in range(120)}
     df = spark.createDataFrame([(d, t, "a" if d % 4 else "b") for d, t in docs.items()],
                                "doc_id long, text string, source string").repartition(3)
-    pieces = rows_of(packing.pack(df, PATH, length=64, weights={"a": 1, "b": 1}))
+    pieces = rows_of(packing.pack(df, PATH, length=64, weights={"a": 1, "b": 1}, sequences_per_window=1))
     check(docs, pieces, 64)
-    first = [p for p in pieces if p["sequence_id"] == 0]
-    assert sum(p["length"] for p in first if p["source"] == "b") in (31, 32, 33)
+    assert_shares(pieces, {"a": Fraction(1, 2), "b": Fraction(1, 2)}, 1, 64)
+
+
+def assert_shares(pieces, target, width, length):
+    """Every window before the first queue runs dry holds the target proportions; each has a token either way."""
+    per = defaultdict(lambda: defaultdict(int))
+    for p in pieces:
+        per[p["sequence_id"] // width][p["source"]] += p["length"]
+    full = min(max(w for w in per if per[w][s]) for s in target)
+    assert full > 1
+    for w in range(full):
+        for s, share in target.items():
+            assert abs(per[w][s] - share * width * length) < 2, (w, s)
+
+
+def test_tempered_shares_in_every_window(spark):
+    docs = {i: f"text {i} of some words " * (1 + i % 9) for i in range(400)}
+    df = spark.createDataFrame([(d, t, "abc"[min(2, d % 7)]) for d, t in docs.items()],
+                               "doc_id long, text string, source string").repartition(6)
+    pieces = rows_of(packing.pack(df, PATH, length=64, temper=0.5, sequences_per_window=4))
+    check(docs, pieces, 64)
+    total = defaultdict(int)
+    for p in pieces:
+        total[p["source"]] += p["length"]
+    weigh = {s: round(n ** 0.5) for s, n in total.items()}
+    assert_shares(pieces, {s: Fraction(w, sum(weigh.values())) for s, w in weigh.items()}, 4, 64)
+
+
+def test_wide_windows_leave_documents_whole(spark):
+    rows = [(i, f"text {i} of some words " * 5, f"s{i % 9}") for i in range(600)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(3)
+    pieces = rows_of(packing.pack(df, PATH, length=256, sequences_per_window=16))
+    sequences = 1 + max(p["sequence_id"] for p in pieces)
+    windows = -(-sequences // 16)
+    assert len(pieces) <= len(rows) + sequences + 9 * (windows + 18)
+
+
+def test_other_tokenizer_layouts_raise(spark):
+    df = spark.createDataFrame([(1, "Some text", "a")], "doc_id long, text string, source string")
+    with pytest.raises(ValueError, match="byte_bpe_50k"):
+        packing.pack(df, tokenizer_file("byte_bpe_50k.json"))
+
+
+def test_a_text_of_megabytes(spark):
+    text = "some words, and Wörter 42 " * 80_000 + "x" * 300_000
+    df = spark.createDataFrame([(1, text, "a"), (2, "short", None)], "doc_id long, text string, source string")
+    check({1: text, 2: "short"}, rows_of(packing.pack(df, PATH)), 4096)
 
 
 def test_query_checksums(spark):
