@@ -14,7 +14,7 @@ from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from playlab.functions.columns import END_SEASON, KEY
+from playlab.functions.columns import KEY
 from playlab.operators import evaluate as E
 from playlab.operators import features as FE
 from playlab.operators import models as M
@@ -48,8 +48,8 @@ def experiment(plays: DataFrame, kind: str, grid_spec: dict, categorical, numeri
     ``refit_features``: search as the reference does, refitting the feature
     stages for every grid entry (``TrainValidationSplit`` over the pipeline).
     """
-    end = holdout if holdout is not None else END_SEASON
-    prep = prepare(plays, end=end, balanced=balanced, seed=seed,
+    prep = prepare(plays, end=holdout,  # without a holdout every season trains
+                   balanced=balanced, seed=seed,
                    categorical=list(categorical) if balanced else None,
                    numeric=list(numeric) if balanced else None)
     train = prep.balanced if balanced else prep.train

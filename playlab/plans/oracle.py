@@ -66,7 +66,7 @@ plays as ({PLAYS_SQL}),
 fourth as (select * from plays where down = 4.0),
 clean as (
   select {', '.join(CLEAN_COLS)} from plays
-  where season >= 1995 and season < 2002 and down = 4.0 and {NOT_NULL_ALL}
+  where down = 4.0 and {NOT_NULL_ALL}
     and play_type <> 'qb_kneel'),
 sampled as (select * from clean where {IN_SAMPLE}),
 rest as (select * from clean where not ({IN_SAMPLE})),

@@ -2,10 +2,11 @@
 
 ``prepare`` is one lazy plan per output frame: scan (season range) ->
 projection -> one combined cleaning predicate -> hash sample / hash
-remainder -> fill.  Two actions run before the caller's: the cleaned rows are
+remainder -> fill.  One action runs before the caller's: the cleaned rows are
 written once as Parquet to the shared folder (later scans read the columns they
-need), and a small aggregate finds the training mean of ``temp``.  Train and test
-are exact complements of the cleaned rows, found by two filters without a join.
+need), and the same job observes the training mean of ``temp`` and the training rows
+per class.  Train and test are exact complements of the cleaned rows, found by two
+filters without a join.
 """
 
 from __future__ import annotations
@@ -16,9 +17,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from playlab.functions.columns import (
-    END_SEASON, FIRST_SEASON, KEY, LABEL, REFERENCE_COLUMNS, SAMPLE_FRACTIONS,
+    KEY, LABEL, REFERENCE_COLUMNS, SAMPLE_FRACTIONS,
 )
-from playlab.operators.aggregates import impute, nan_mean_value
+from playlab.operators.aggregates import impute, nan_free, nan_mean_value
 from playlab.operators.clean import clean, project
 from playlab.operators.sampling import StratifiedSplit
 from playlab.session import materialize
@@ -31,6 +32,7 @@ class Prepared:
     test: DataFrame
     balanced: DataFrame | None
     fill: dict
+    class_counts: dict  # training rows per class of the sample's fractions
 
     def frames(self) -> DataFrame:
         """All frames stacked, with a ``split`` column naming each."""
@@ -46,8 +48,7 @@ class Prepared:
 def cleaned(df: DataFrame, start: int | None = None, end: int | None = None, key: str = KEY,
             all_columns: bool = True) -> DataFrame:
     """Reference columns (plus the key), fourth downs, NULL rule, no kneels; of a season range if one is given."""
-    rows = scan_table(df, start, end) if start is not None and end is not None else df
-    return clean(project(rows, [key] + REFERENCE_COLUMNS), all_columns=all_columns)
+    return clean(project(scan_table(df, start, end), [key] + REFERENCE_COLUMNS), all_columns=all_columns)
 
 
 def training_fill(train: DataFrame) -> dict:
@@ -56,7 +57,7 @@ def training_fill(train: DataFrame) -> dict:
     return {"wind": 0.0, "temp": float(mean) if mean is not None else 0.0}
 
 
-def prepare(df: DataFrame, end: int = END_SEASON, start: int = FIRST_SEASON, balanced: bool = False,
+def prepare(df: DataFrame, end: int | None = None, start: int | None = None, balanced: bool = False,
             reference_order: bool = False, key: str = KEY, label: str = LABEL,
             fractions: dict | None = None, seed: int = 42, smote_k: int = 5,
             categorical=None, numeric=None) -> Prepared:
@@ -70,10 +71,15 @@ def prepare(df: DataFrame, end: int = END_SEASON, start: int = FIRST_SEASON, bal
     """
     # the cleaned rows feed the mean, train, test (and balancing): read the
     # raw tables once and reuse the written fourth-down subset
-    rows = materialize(cleaned(df, start, end, key))
+    rows = cleaned(df, start, end, key)
     split = StratifiedSplit(label, dict(SAMPLE_FRACTIONS if fractions is None else fractions), seed, key)
+    chosen = split.in_sample(rows)
+    classes = sorted(split.fractions)
+    rows, seen = materialize(rows, observe={
+        "temp": F.avg(F.when(chosen, nan_free("temp"))),
+        **{f"class {i}": F.count_if(chosen & (F.col(label) == c)) for i, c in enumerate(classes)}})
     sample = split.sample(rows)
-    fill = training_fill(sample)
+    fill = {"wind": 0.0, "temp": float(seen["temp"]) if seen["temp"] is not None else 0.0}
     train = impute(sample, fill)
     if reference_order:
         test = rows.subtract(train)
@@ -84,10 +90,10 @@ def prepare(df: DataFrame, end: int = END_SEASON, start: int = FIRST_SEASON, bal
         from playlab.operators.smotenc import balance
         bal = balance(train, label=label, key=key, seed=seed, k=smote_k,
                       categorical=categorical, numeric=numeric)
-    return Prepared(train, test, bal, fill)
+    return Prepared(train, test, bal, fill, {c: seen[f"class {i}"] for i, c in enumerate(classes)})
 
 
-def base_frame(df: DataFrame, end: int = END_SEASON, start: int = FIRST_SEASON, key: str = KEY,
+def base_frame(df: DataFrame, end: int | None = None, start: int | None = None, key: str = KEY,
                label: str = LABEL, seed: int = 42) -> DataFrame:
     """Filled training sample with the three-column NULL rule only."""
     rows = cleaned(df, start, end, key, all_columns=False)

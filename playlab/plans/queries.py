@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from playlab.functions.columns import (
-    END_SEASON, FIRST_SEASON, HOLDOUT_SEASON, KEY, LABEL, NULL_CHECKED, REFERENCE_COLUMNS,
+    FIRST_SEASON, HOLDOUT_SEASON, KEY, LABEL, NULL_CHECKED, REFERENCE_COLUMNS,
 )
 from playlab.functions.rules import rule_predictions
 from playlab.operators import aggregates as A
@@ -29,9 +29,10 @@ from playlab.operators import smotenc as SM
 from playlab.operators.optimality import gradient_table
 from playlab.plans import oracle as O
 from playlab.plans.prepare import base_frame, cleaned, prepare, season_test, training_fill
-from playlab.session import materialize, shared_dir
+from playlab.session import materialize, shared_dir, stable_dir
 from playlab.sources import io as S
-from playlab.sources.plays import plays, scan, write_partitioned
+from playlab.sources.plays import plays
+from playlab.sources.season_store import SeasonStore
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -63,29 +64,26 @@ def _split():
 
 
 # ---------------------------------------------------------------- sources
-_SEASON_DATASETS: dict = {}
+def _seasons(spark, d) -> SeasonStore:
+    """The plays as a season-partitioned dataset below the shared folder, brought up to date.
 
-
-def _season_dataset(spark, d) -> str:
-    """The plays as a season-partitioned parquet dataset in the shared folder,
-    written once per application and table folder and then reused."""
-    k = (spark.sparkContext.applicationId, d)
-    if k not in _SEASON_DATASETS:
-        path = shared_dir(spark, "plays-by-season")
-        write_partitioned(plays(spark, d), path)
-        _SEASON_DATASETS[k] = path
-    return _SEASON_DATASETS[k]
+    It outlives the application: only seasons that changed since are written.
+    """
+    base = stable_dir(spark, "plays-by-season", d)
+    store = SeasonStore(spark, base)
+    store.refresh(plays(spark, d))
+    return store
 
 
 @query("season_scan", O.with_base(
     f"select * from plays where season >= {FIRST_SEASON} and season < {HOLDOUT_SEASON}"))
 def q_season_scan(spark, d):
-    return scan(spark, _season_dataset(spark, d), FIRST_SEASON, HOLDOUT_SEASON)
+    return _seasons(spark, d).scan(FIRST_SEASON, HOLDOUT_SEASON)
 
 
 @query("single_season_scan", O.with_base(f"select * from plays where season = {HOLDOUT_SEASON}"))
 def q_single_season_scan(spark, d):
-    return scan(spark, _season_dataset(spark, d), HOLDOUT_SEASON, HOLDOUT_SEASON + 1)
+    return _seasons(spark, d).scan(HOLDOUT_SEASON, HOLDOUT_SEASON + 1)
 
 
 def _profile_sql():
@@ -573,7 +571,7 @@ def q_feature_pipeline(spark, d):
 
 
 # ---------------------------------------------------------------- models
-def _frames(spark, d, end=END_SEASON):
+def _frames(spark, d, end=None):
     prep = prepare(plays(spark, d), end=end)
     return P.blank_to(prep.train, "surface"), P.blank_to(prep.test, "surface"), prep.fill
 

@@ -8,12 +8,13 @@ fresh folder under the system temp directory.
 
 from __future__ import annotations
 
+import hashlib
 import os
 import tempfile
 import uuid
 import zipfile
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 
 _LOCAL_DEFAULTS = {
     "spark.ui.enabled": "false",
@@ -71,7 +72,14 @@ def shared_dir(spark: SparkSession, name: str) -> str:
     return path
 
 
-def materialize(df):
+def stable_dir(spark: SparkSession, name: str, *key: str) -> str:
+    """A folder below the shared checkpoint location that every application with the same key finds again."""
+    base = spark.sparkContext.getConf().get("spark.checkpoint.dir", None) or ensure_checkpoint_dir(spark)
+    base = base[len("file:"):] if base.startswith("file:") and not base.startswith("file://") else base
+    return os.path.join(base, f"{name}-{hashlib.sha256(repr(key).encode()).hexdigest()[:16]}")
+
+
+def materialize(df, observe: dict | None = None):
     """Write ``df`` once to the shared checkpoint folder, as Parquet, and read it back.
 
     Used where several jobs reuse one intermediate frame (statistics, then
@@ -79,7 +87,7 @@ def materialize(df):
     recomputing the lineage, and a lost executor costs a re-read, not a
     recomputation.  Never a machine-local copy.
     """
-    return write_stage(df, "stage")
+    return write_stage(df, "stage", observe)
 
 
 _SHIPPED: set[str] = set()
@@ -110,9 +118,13 @@ def ship_package(spark: SparkSession) -> None:
 _FREE_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
-def write_stage(df: DataFrame, name: str) -> DataFrame:
+def write_stage(df: DataFrame, name: str, observe: dict | None = None):
     """Write ``df`` as Parquet into the shared folder and read it back.
 
+    ``observe`` maps names to aggregate columns over the written rows; the same job then
+    yields them, and the result is (frame, values).  They are gathered in the write's own
+    tasks, whose metrics count once each, also where a task is run again.
+
     Cuts the lineage like a checkpoint, but the files are columnar, compressed
     and have statistics, so later readers prune columns and Spark knows their
     size.  The shuffle files of the query that made them are freed when it
@@ -120,6 +132,9 @@ def write_stage(df: DataFrame, name: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = shared_dir(spark, name)
+    schema, watch = df.schema, Observation() if observe else None
+    if observe:
+        df = df.observe(watch, *[c.alias(k) for k, c in observe.items()])
     before = spark.conf.get(_FREE_SHUFFLES, None)
     spark.conf.set(_FREE_SHUFFLES, "true")
     try:
@@ -129,4 +144,5 @@ def write_stage(df: DataFrame, name: str) -> DataFrame:
             spark.conf.unset(_FREE_SHUFFLES)
         else:
             spark.conf.set(_FREE_SHUFFLES, before)
-    return spark.read.schema(df.schema).parquet(path)
+    written = spark.read.schema(schema).parquet(path)
+    return (written, watch.get) if observe else written

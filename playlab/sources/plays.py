@@ -102,6 +102,8 @@ def scan(spark: SparkSession, path: str, start: int, end: int, columns=None) ->
     return df.select(*columns) if columns else df
 
 
-def scan_table(df: DataFrame, start: int, end: int) -> DataFrame:
-    """The same season range over an already-built plays frame."""
-    return df.where((F.col("season") >= start) & (F.col("season") < end))
+def scan_table(df: DataFrame, start: int | None = None, end: int | None = None) -> DataFrame:
+    """The same season range over an already-built plays frame; an end that is None is open."""
+    if start is not None:
+        df = df.where(F.col("season") >= start)
+    return df if end is None else df.where(F.col("season") < end)
