@@ -11,7 +11,7 @@ main text, in page order, are the page's text.
 Training pages are a bounded sample: the ``sample`` pages with the smallest hash of
 their key that are no longer than ``MAX_TRAIN_CHARS``.  Their labels come from their
 own markup (blocks inside article or main elements, outside navigation and the
-like).  Since one site's markup is poor in variety, every sampled page is also
+like); pages without such a block train nothing.  Since one site's markup is poor in variety, every sampled page is also
 laid out anew a few times with its own texts in other templates (other
 containers, sidebars, notices, adverts, forms, reader comments), whose
 labels are known from the layout.  Weights are fitted by gradient ascent on the
@@ -30,6 +30,7 @@ import html
 import random
 import re
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pandas as pd
@@ -50,12 +51,17 @@ VOID = frozenset("area base br col embed hr img input link meta param source tra
 RAW = frozenset("script style textarea title xmp noembed noframes plaintext".split())
 HIDDEN = frozenset("head script style textarea title noscript template iframe object svg math canvas select option "
                    "button datalist audio video map xmp noembed noframes plaintext".split())
+FOREIGN = ("svg", "math")
 # Start tags that may stand in head; any other one, and text, ends an open head.
 IN_HEAD = frozenset("base basefont bgsound head html link meta noframes noscript script style template title".split())
 CLOSED_BY = {"li": ("li", ("ul", "ol", "menu")), "dt": ("dt dd", ("dl",)), "dd": ("dt dd", ("dl",)),
              "tr": ("tr", ("table",)), "td": ("td th", ("tr", "table")), "th": ("td th", ("tr", "table"))}
 MAIN = frozenset(["article", "main"])
 ASIDE = frozenset("nav header footer aside form menu dialog".split())
+BLOCK = frozenset("address article aside blockquote body caption center colgroup dd details dialog dir div dl dt fieldset "
+                  "figcaption figure footer form frameset h1 h2 h3 h4 h5 h6 header hgroup html legend li main menu nav ol "
+                  "optgroup p pre search section summary table tbody td tfoot th thead tr ul".split())
+NAMES = INLINE | VOID | RAW | HIDDEN | BLOCK  # other elements count as one name
 # Words in class, id and role attributes, by group; matched as prefixes of their parts.
 GROUPS = {
     "nav": "nav menu toc", "crumb": "breadcrumb crumb", "head": "header masthead topbar", "foot": "foot copyright legal",
@@ -70,6 +76,7 @@ _TOKEN = re.compile(
     r"<!--(?:.*?-->|.*\Z)|<[!?][^>]*+>"
     r"|<(/?)([A-Za-z][^\s/>]*+)([^>\"']*+(?:\"[^\"]*\"[^>\"']*+|'[^']*'[^>\"']*+)*+)>"
     r"|<(/?)([A-Za-z][^\s/>]*+)([^>]*+)>", re.S)
+_OPEN_COMMENT = re.compile(r"<!--.*\Z", re.S)
 _ATTR = re.compile(r"(?:^|\s)(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
 
 
@@ -83,20 +90,55 @@ def groups_of(attrs: str) -> tuple[str, ...]:
     return tuple(sorted(found))
 
 
-def blocks(page: str | None) -> list[tuple[tuple, str, float]]:
-    """Leaf blocks in page order: (ancestor path, text, share of characters inside links)."""
-    out: list[tuple[tuple, str, float]] = []
-    stack: list[tuple[str, tuple[str, ...]]] = []
+class Place(NamedTuple):
+    """What the ancestors of a block say.
+
+    Each element's place follows from its parent's, and the sets grow only with element
+    names and groups that are new on the path, so a page's depth costs nothing.
+    """
+    tags: frozenset = frozenset()
+    groups: frozenset = frozenset()
+    leaf: str = "-"       # innermost element within body
+    apart: bool = False   # in an element set apart by its name or groups
+    inside: bool = False  # in article or main
+    off: bool = False     # in an element set apart within these
+
+    def child(self, tag: str, groups: tuple[str, ...] = ()) -> Place:
+        tag = tag if tag in NAMES else "other"
+        inside = self.inside or tag in MAIN
+        named = tag in ASIDE
+        return Place(
+            self.tags if tag in self.tags else self.tags | {tag},
+            self.groups if self.groups.issuperset(groups) else self.groups.union(groups),
+            self.leaf if tag in ("html", "body") else tag,
+            self.apart or named or any(g != "main" for g in groups),
+            inside, self.off or (inside and (named or any(g not in ("main", "head", "page") for g in groups))))
+
+
+def place(path) -> Place:
+    at = Place()
+    for tag, groups in path:
+        at = at.child(tag, groups)
+    return at
+
+
+def blocks(page: str | None) -> list[tuple[Place, str, float]]:
+    """Leaf blocks in page order: (place, text, share of characters inside links).
+
+    Open elements are indexed by name, so every tag costs about the same at any depth.
+    """
+    out: list[tuple[Place, str, float]] = []
+    stack: list[tuple[str, Place]] = []
+    opened: dict[str, list[int]] = {}  # places of the open elements in the stack, by name
     parts: list[str] = []
     hidden = links = linked = 0
-    path: tuple = ()
 
     def flush():
         nonlocal linked
         if parts:
             text = " ".join("".join(parts).split())
             if text:
-                out.append((path, text, min(1.0, linked / len(text))))
+                out.append((stack[-1][1] if stack else Place(), text, min(1.0, linked / len(text))))
             parts.clear()
         linked = 0
 
@@ -111,30 +153,37 @@ def blocks(page: str | None) -> list[tuple[tuple, str, float]]:
                 linked += len(s)
 
     def pop(to: int):
-        nonlocal hidden, links, path
+        nonlocal hidden, links
         for tag, _ in stack[to:]:
             hidden -= tag in HIDDEN
             links -= tag == "a"
+            opened[tag].pop()
         del stack[to:]
-        path = tuple(x for x in stack if x[0] not in INLINE)
+
+    def last(names) -> int:
+        return max([opened[n][-1] for n in names if opened.get(n)], default=-1)
 
     def close(names, stop=()):
-        for i in range(len(stack) - 1, -1, -1):
-            if stack[i][0] in names:
-                pop(i)
-                return
-            if stack[i][0] in stop:
-                return
+        at = last(names)
+        if at >= 0 and at >= last(stop):
+            pop(at)
 
     page = page or ""
     at, size = 0, len(page)
+    tags_end = page.rfind(">") + 1  # no tag ends beyond
     while at < size:
-        m = _TOKEN.search(page, at)
+        m = _TOKEN.search(page, at, tags_end) if at < tags_end else _OPEN_COMMENT.search(page, at)
         if not m:
+            say(page[at:max(at, tags_end)])
+            at = max(at, tags_end)
+            if at == tags_end and _OPEN_COMMENT.search(page, at):
+                continue
             say(page[at:])
             break
         say(page[at:m.start()])
         at = m.end()
+        if m[0].startswith("<!--") and not m[0].endswith("-->"):
+            break
         name = m[2] or m[5]
         if not name:
             continue
@@ -158,29 +207,26 @@ def blocks(page: str | None) -> list[tuple[tuple, str, float]]:
                 close(CLOSED_BY[tag][0].split(), CLOSED_BY[tag][1])
             elif tag not in VOID:
                 close(("p",), ("article", "section", "div", "td", "li", "blockquote", "body"))
-        if tag in VOID or attrs.endswith("/"):
-            continue
+        if tag in VOID or (attrs.endswith("/") and (tag in FOREIGN or any(opened.get(f) for f in FOREIGN))):
+            continue  # elsewhere a slash at a tag's end means nothing
         if tag in RAW:
             end = re.compile(f"</{re.escape(tag)}[^>]*>", re.I).search(page, at)
             at = end.end() if end else size
             continue
-        stack.append((tag, groups_of(attrs) if "=" in attrs else ()))
+        if tag == "a" and opened.get("a") and opened["a"][-1] == len(stack) - 1:
+            pop(len(stack) - 1)  # links do not nest
+        around = stack[-1][1] if stack else Place()
+        opened.setdefault(tag, []).append(len(stack))
+        stack.append((tag, around if tag in INLINE else around.child(tag, groups_of(attrs) if "=" in attrs else ())))
         hidden += tag in HIDDEN
         links += tag == "a"
-        if tag not in INLINE:
-            path = tuple(x for x in stack if x[0] not in INLINE)
     flush()
     return out
 
 
-def markup_label(path) -> int:
+def markup_label(at: Place) -> int:
     """What the page's own markup says: inside article or main, in nothing set apart."""
-    inside = False
-    for tag, groups in path:
-        inside = inside or tag in MAIN
-        if inside and (tag in ASIDE or set(groups) - {"main", "head", "page"}):
-            return 0
-    return int(inside)
+    return int(at.inside and not at.off)
 
 
 class Features:
@@ -196,16 +242,14 @@ class Features:
             return [self.number[n] for n in names if n in self.number]
         return [self.number.setdefault(n, len(self.number)) for n in names]
 
-    def path(self, path) -> tuple[int, ...]:
+    def path(self, path: Place) -> tuple[int, ...]:
         if path not in self.of_path:
             if len(self.of_path) > 20_000:
                 self.of_path.clear()
-            names = {f"in {t}" for t, _ in path} | {f"group {g}" for _, gs in path for g in gs}
-            tags = [t for t, _ in path if t not in ("html", "body")]
-            names.add(f"leaf {tags[-1] if tags else '-'}")
-            names.add("main element" if MAIN.intersection(tags) else "no main element")
-            marks = [g for _, gs in path for g in gs if g != "main"] + [t for t in tags if t in ASIDE]
-            names.add("set apart" if marks else "not set apart")
+            names = {f"in {t}" for t in path.tags} | {f"group {g}" for g in path.groups}
+            names.add(f"leaf {path.leaf}")
+            names.add("main element" if path.inside else "no main element")
+            names.add("set apart" if path.apart else "not set apart")
             self.of_path[path] = tuple(self._add(sorted(names)))
         return self.of_path[path]
 
@@ -320,7 +364,7 @@ def relaid(found: list[tuple], rng: random.Random) -> tuple[list[tuple], list[in
         top += (("div", rng.choice([(), (), ("main",)])),)
 
     def add(path, text, y, linked=0.0):
-        page.append((path, text, linked))
+        page.append((place(path), text, linked))
         labels.append(y)
 
     def some():
@@ -343,10 +387,11 @@ def relaid(found: list[tuple], rng: random.Random) -> tuple[list[tuple], list[in
     for _ in range(rng.randint(0, 4)):
         aside(top)
     main = rng.choice([(("article", ()),), (("main", ()),), (("article", ("main",)),), (("main", ()), ("article", ())),
-                       (("div", ("main",)),), (("section", ("main",)),), (("div", ("main",)), ("div", ()))])
+                       (("div", ("main",)),), (("section", ("main",)),), (("div", ("main",)), ("div", ())),
+                       (("div", ()),), (("table", ()), ("tr", ()), ("td", ()))])
     heads = ("h1", "h2", "h3")
     for i, b in enumerate(body):
-        leaf = b[0][-1][0]
+        leaf = b[0].leaf
         tag = leaf if leaf in heads else rng.choice(["p"] * 6 + ["blockquote", "li", "h2", "div", "td"])
         inner = {"li": (("ul", ()),), "td": (("table", ()), ("tr", ()))}.get(tag, ())
         add((*top, *main, *inner, (tag, ())), b[1], 1, b[2])
@@ -371,16 +416,16 @@ def train(pages: DataFrame, key: str = "page_id", text: str = "html", sample: in
     found, labels = [], []
     for h, page in rows:
         bs = blocks(page)
-        if not bs:
-            continue
+        marked = [markup_label(b[0]) for b in bs]
+        if not any(marked):
+            continue  # its markup says nothing about where its text is
         found.append(bs)
-        labels.append([markup_label(b[0]) for b in bs])
+        labels.append(marked)
         rng = random.Random(h)
-        if any(labels[-1]):
-            for _ in range(LAYOUTS):
-                p, y = relaid(bs, rng)
-                found.append(p)
-                labels.append(y)
+        for _ in range(LAYOUTS):
+            p, y = relaid(bs, rng)
+            found.append(p)
+            labels.append(y)
     return Crf().fit(found, labels) if found else Crf()
 
 
