@@ -266,6 +266,7 @@ def deduplicate(docs: DataFrame, window: int = 20, key: str = "doc_id", text: st
     new = ("n_words", "n_removed", "kept")
     names = [c for c in docs.columns if c not in new]
     joined = (docs.select(*[F.col(f"`{c}`") for c in names], d.alias("__d"), text_hash.alias("__t"))
-              .join(spans.select(F.col("d").alias("__d"), F.col("t").alias("__t"), "spans"), ["__d", "__t"], "left")
-              .withColumn("__k", keep(F.col(text), F.col("spans"))))
+              .join(spans.select(F.col("d").alias("__d"), F.col("t").alias("__t"), F.col("spans").alias("__spans")),
+                    ["__d", "__t"], "left")
+              .withColumn("__k", keep(F.col(text), F.col("__spans"))))
     return joined.select(*[F.col(f"`{c}`") for c in names], *[F.col(f"__k.{c}").alias(c) for c in new])

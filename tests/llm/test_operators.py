@@ -39,6 +39,13 @@ def corpus(seed=1):
     return texts + [(112, None), (113, ""), (114, " \t\n"), (115, "one"), (116, "One"), (5, texts[5][1]), (None, texts[7][1])]
 
 
+def test_substring_beside_columns_of_its_own_names(spark):
+    text = " ".join(f"w{i}" for i in range(30))
+    df = spark.createDataFrame([(1, text, "x", 7), (2, text, "y", 8)], "doc_id long, text string, spans string, d int")
+    got = {r.doc_id: (r.spans, r.d, r.n_removed, r.kept) for r in substring.deduplicate(df).collect()}
+    assert got == {1: ("x", 7, 0, text), 2: ("y", 8, 30, "")}
+
+
 def test_substring_against_brute_force(spark):
     texts = corpus()
     order = sorted(set(texts), key=lambda r: -(1 << 63) if r[0] is None else r[0])
