@@ -8,18 +8,24 @@ all passes' pairs are united by connected components.
 
 One pass puts a pair at the threshold into one window with a probability that falls
 with the number of classes around it, and how many there are depends on the data: rows
-in one cone share their leading bits.  So the number of passes is measured.  Up to
-``PROBES`` sampled classes get a partner made at the threshold, which is ordered along
-with the classes but makes no links.  A probe is found once its partner has met a
-class of the component of its own class.  The probes are cut into ``STRATA`` by the density
+in one cone share their leading bits.  So the number of passes is measured, at every size
+in the same way.  Up to ``PROBES`` sampled classes get a partner made at the threshold, which
+is ordered along with the classes but makes no links.  A probe is found once its partner has
+met a class of the component of its own class.  The probes are cut into ``STRATA`` by the density
 around them, and passes go on until each stratum, the densest too, has found the share
-``recall``.  A first round has the passes that evenly spread vectors need.  Where the
-windows of all passes would hold as many pairs as there are, and for up to ``EXACT``
-classes, all pairs are compared instead, block against block, and the recall is 1.
-
-The order of a pass is cut into blocks of ``BLOCK`` ranks, each with the first
-``WINDOW`` rows of the next block, so no task sees more, whatever the keys are.
-A block sends one link per row (to the smallest id its window reaches there).
+``recall``.  A first round has the passes that evenly spread vectors need.  Passes are
+independent, so each adds to every stratum's share; there is no other end and no other way.
+
+Vectors stay where they are.  What a pass sorts is a class's *sketch*, one byte per component with a
+bound of its error, from which follow a lower and an upper bound of a cosine.  Where both are on
+one side of the threshold the pair is decided; the few others are compared exactly, in double precision,
+by a join with the vectors.
+
+A pass is one exchange by range and one sort.  Its tasks slide the window along their
+sorted rows and hold ``WINDOW`` rows and one batch.  Rows of one key stand in random order, so
+no run of equal keys, however long, lands in one task or is cut at the same places in every pass.  A window does
+not reach over the border of a task's range; what that loses is part of the recall measured.
+A task sends one link per row (to the smallest id its batch reaches there).
 Groups larger than the window are no loss: chains of windows connect them, and
 the links of a component's members are counted afterwards block against block,
 all of them, within the component.
@@ -40,15 +46,16 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from playlab.llm.common import mix64
 from playlab.llm.graph import components
 from playlab.llm.topk import finite
 from playlab.session import ship_package, write_stage
 
 WINDOW = 48
-BLOCK = 4096
+RANGE = 1 << 16  # rows of a pass that one task sorts
 BITS = 48
+TIES = 15  # random bits below the signs
 GROUP = 1024  # members of a component that one task holds of either side
-EXACT = 8192  # classes up to which all pairs are compared
 PROBES = 1000
 STRATA = 10
 
@@ -60,11 +67,36 @@ def passes_for(n: int, threshold: float, recall: float, window: int = WINDOW) ->
     return max(1, math.ceil(math.log(1 - recall) / math.log(1 - p))) if p < 1 else 1
 
 
-def sign_keys(unit: np.ndarray, number: int, seed: int) -> np.ndarray:
-    """Bit strings of one pass as integers whose order is lexicographic."""
+def sign_keys(unit: np.ndarray, cls: np.ndarray, number: int, seed: int) -> np.ndarray:
+    """Bit strings of one pass as integers whose order is lexicographic, ties in an order of the pass's own."""
     rng = np.random.default_rng([seed, number, unit.shape[1]])
     bits = unit @ rng.standard_normal((unit.shape[1], BITS)) > 0
-    return bits.astype(np.int64) @ (1 << np.arange(BITS - 1, -1, -1, dtype=np.int64))
+    signs = bits.astype(np.int64) @ (1 << np.arange(BITS - 1, -1, -1, dtype=np.int64))
+    tie = mix64(cls.view(np.uint64) + np.uint64(rng.integers(1 << 62))) >> np.uint64(64 - TIES)
+    return (signs << TIES) | tie.astype(np.int64)
+
+
+def encode(unit: np.ndarray) -> pa.Array:
+    """Sketches of unit vectors: scale and error bound in single precision, then a byte per component."""
+    n, dim = unit.shape
+    scale = (np.abs(unit).max(axis=1) / 127).astype(np.float32)
+    cells = np.clip(np.rint(unit / scale[:, None]), -127, 127)
+    error = np.linalg.norm(unit - cells * scale[:, None].astype(np.float64), axis=1)
+    out = np.empty((n, 8 + dim), np.uint8)
+    out[:, :4] = scale[:, None].view(np.uint8)
+    out[:, 4:8] = np.nextafter(error.astype(np.float32), np.float32(np.inf))[:, None].view(np.uint8)
+    out[:, 8:] = cells.astype(np.int8).view(np.uint8)
+    ends = np.arange(n + 1, dtype=np.int32) * (8 + dim)
+    return pa.Array.from_buffers(pa.binary(), n, [None, pa.py_buffer(ends.tobytes()), pa.py_buffer(out.tobytes())])
+
+
+def decode(sketches: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Approximate vectors of sketches of one length, and the bounds of their errors."""
+    n = len(sketches)
+    ends = np.frombuffer(sketches.buffers()[1], np.int32)[sketches.offset:sketches.offset + n + 1]
+    raw = np.frombuffer(sketches.buffers()[2], np.uint8)[ends[0]:ends[-1]].reshape(n, -1)
+    scale, error = (raw[:, i:i + 4].copy().view(np.float32)[:, 0].astype(np.float64) for i in (0, 4))
+    return raw[:, 8:].view(np.int8) * scale[:, None], error
 
 
 def _units(column) -> np.ndarray:
@@ -129,48 +161,42 @@ def passes_left(done: int, found: float, recall: float) -> int:
     return min(3 * done, max(1, need - done))
 
 
-def _all_pairs(classes: DataFrame, n: int, threshold: float) -> DataFrame:
-    """Links (a, b) of all pairs, block against block."""
-    blocks = max(1, math.ceil(n / BLOCK))
-    items = classes.select(F.size("v").alias("dim"), F.pmod(F.xxhash64("class", F.lit(2)), F.lit(blocks)).alias("own"), "class", "v")
-    cell = ["dim", "i", "j"]
-    left = items.withColumn("i", F.col("own")).withColumn("j", F.explode(F.sequence("own", F.lit(blocks - 1).cast("long"))))
-    right = items.withColumn("j", F.col("own")).withColumn("i", F.explode(F.sequence(F.lit(0).cast("long"), "own")))
+def _of_one_length(batches, column: str):
+    """The batches' rows, apart by the length of a list column."""
+    for batch in batches:
+        lengths = batch.column(column).value_lengths().to_numpy(zero_copy_only=False)
+        for size in np.unique(lengths):
+            yield int(size), batch.filter(pa.array(lengths == size))
 
-    right = right.toDF(*right.columns)
 
-    def judge(a: pa.Table, b: pa.Table) -> pa.Table:
-        if not a.num_rows or not b.num_rows:
-            return pa.table({"a": pa.array([], pa.int64()), "b": pa.array([], pa.int64())})
-        cls = np.concatenate([a.column("class").to_numpy(), b.column("class").to_numpy()])
-        x, y = np.nonzero(_units(a.column("v")) @ _units(b.column("v")).T >= threshold)
-        root = _roots(len(cls), x, y + a.num_rows, cls)
-        far = np.flatnonzero(cls[root] != cls)
-        return pa.table({"a": pa.array(cls[far], pa.int64()), "b": pa.array(cls[root[far]], pa.int64())})
+def _sketched(items: DataFrame) -> DataFrame:
+    def sketch(batches):
+        for size, part in _of_one_length(batches, "v"):
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.full(part.num_rows, size, np.int32)), part.column("class"), part.column("probe"), encode(_units(part.column("v")))],
+                names=["dim", "class", "probe", "sketch"])
 
-    return (left.select(*cell, "class", "v").groupBy(*cell).cogroup(right.select(*cell, "class", "v").groupBy(*cell))
-            .applyInArrow(judge, "a long, b long").distinct())
+    return items.select("class", "probe", "v").mapInArrow(sketch, "dim int, class long, probe int, sketch binary")
 
 
 def _groups(classes: DataFrame, n: int, threshold: float, recall: float, seed: int) -> DataFrame:
     """(id, component) of the classes that have links."""
     spark = classes.sparkSession
-    first = passes_for(n, threshold, recall)
-    limit = n // (2 * WINDOW)  # from here on the windows hold as many pairs as there are
-    if n <= EXACT or first >= limit:
-        return write_stage(components(write_stage(_all_pairs(classes, n, threshold), "neardup-links")), "neardup-groups")
-
     drawn = classes.where(F.size("v") > 1).orderBy(F.xxhash64("class", F.lit(3)), "class").limit(PROBES).select("class", "v").collect()
-    sources = [r["class"] for r in drawn]
-    partners, stratum = probe_pairs([_units(pa.array([r["v"]]))[0] for r in drawn], threshold, seed)
+    units = [_units(pa.array([r["v"]]))[0] for r in drawn]
+    partners, stratum = probe_pairs(units, threshold, seed)
+    # a partner that rounding puts below the threshold measures nothing
+    usable = [i for i, (u, w) in enumerate(zip(units, partners)) if u @ w / np.linalg.norm(w) >= threshold + 1e-12]
+    sources, partners, stratum = [drawn[i]["class"] for i in usable], [partners[i] for i in usable], stratum[usable]
     numbers = np.random.default_rng(seed).integers(-(1 << 63), (1 << 63) - 1, len(sources)).tolist()
     probes = spark.createDataFrame([(c, v.tolist(), i) for i, (c, v) in enumerate(zip(numbers, partners))],
                                    "class long, v array<double>, probe int")
-    items = write_stage(classes.select("class", "v", F.lit(-1).alias("probe")).unionByName(probes), "neardup-items")
+    items = classes.select("class", "v", F.lit(-1).alias("probe")).unionByName(probes)
+    sketches = write_stage(_sketched(items), "neardup-sketches")
     of_probe = spark.createDataFrame(list(enumerate(sources)), "probe int, source long")
-    found, done, more = None, 0, first
+    found, done, more = None, 0, passes_for(n, threshold, recall)
     while True:
-        part = write_stage(_window_links(items, n + len(sources), range(done, done + more), threshold, seed), "neardup-found")
+        part = write_stage(_window_links(items, sketches, n + len(sources), range(done, done + more), threshold, seed), "neardup-found")
         found = part if found is None else found.unionByName(part)
         done += more
         group_of = write_stage(components(found.where("probe < 0").select("a", "b").distinct()), "neardup-groups")
@@ -183,79 +209,83 @@ def _groups(classes: DataFrame, n: int, threshold: float, recall: float, seed: i
         more = max((passes_left(done, float(hit[stratum == s].mean()), recall) for s in np.unique(stratum)), default=0)
         if not more:
             return group_of
-        if done + more >= limit:
-            return write_stage(components(write_stage(_all_pairs(classes, n, threshold), "neardup-links")), "neardup-groups")
 
 
-def _window_links(items: DataFrame, n: int, passes: range, threshold: float, seed: int) -> DataFrame:
+def slide(batches, threshold: float):
+    """Pairs (a, b, probe, sure) that a window of ``WINDOW`` further rows shows along sorted sketches."""
+    carry = None
+    for batch in batches:
+        lead = np.stack([batch.column(c).to_numpy() for c in ("dim", "pass")])
+        cuts = [0, *(np.flatnonzero((lead[:, 1:] != lead[:, :-1]).any(axis=0)) + 1).tolist(), batch.num_rows]
+        for i, j in zip(cuts, cuts[1:]):
+            if i == j:
+                continue
+            rows = (*decode(batch.column("sketch").slice(i, j - i)), *(batch.column(c).to_numpy()[i:j] for c in ("class", "probe")))
+            before = 0
+            if carry and carry[0] == tuple(lead[:, i]):
+                before = len(carry[1][1])
+                rows = tuple(np.concatenate(x) for x in zip(carry[1], rows))
+            near, error, cls, probe = rows
+            pairs = []
+            for step in range(1, min(WINDOW, len(cls) - 1) + 1):
+                left = np.arange(max(0, before - step), len(cls) - step)  # pairs within the carried rows were seen
+                right = left + step
+                cosine = np.einsum("ij,ij->i", near[left], near[right])
+                slack = error[right] + error[left] * (1 + error[right]) + 1e-9
+                some = cosine + slack >= threshold
+                pairs.append((left[some], right[some], (cosine - slack >= threshold)[some]))
+            carry = tuple(lead[:, i]), tuple(x[-WINDOW:] for x in rows)
+            if not pairs:
+                continue
+            a, b, sure = (np.concatenate(x) for x in zip(*pairs))
+            real = (probe[a] < 0) & (probe[b] < 0)
+            root = _roots(len(cls), a[real & sure], b[real & sure], cls)
+            far = np.flatnonzero(root != np.arange(len(cls)))
+            open_ = real & ~sure & (root[a] != root[b])
+            partner, other, sure = np.r_[a, b], np.r_[b, a], np.r_[sure, sure]
+            shown = (probe[partner] >= 0) & (probe[other] < 0)
+            none = np.full(len(far) + int(open_.sum()), -1, np.int32)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.r_[cls[far], cls[a[open_]], cls[other[shown]]], pa.int64()),
+                 pa.array(np.r_[cls[root[far]], cls[b[open_]], cls[partner[shown]]], pa.int64()),
+                 pa.array(np.r_[none, probe[partner[shown]]], pa.int32()),
+                 pa.array(np.r_[np.ones(len(far), bool), np.zeros(int(open_.sum()), bool), sure[shown]])],
+                names=["a", "b", "probe", "sure"])
+
+
+def _window_links(items: DataFrame, sketches: DataFrame, n: int, passes: range, threshold: float, seed: int) -> DataFrame:
     """Links (a, b, probe) that the windows of some passes show: of classes with probe -1, or of a
     probe's partner to the class a."""
 
     def keys(batches):
         for batch in batches:
-            lengths = batch.column("v").value_lengths().to_numpy(zero_copy_only=False)
-            for size in np.unique(lengths):
-                part = batch.filter(pa.array(lengths == size))
-                unit = _units(part.column("v"))
+            dims = batch.column("dim").to_numpy()
+            for dim in np.unique(dims):
+                part = batch.filter(pa.array(dims == dim))
+                near, cls = decode(part.column("sketch"))[0], part.column("class").to_numpy()
                 for p in passes:
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array(np.full(len(unit), size, np.int32)), pa.array(np.full(len(unit), p, np.int32)),
-                         pa.array(sign_keys(unit, p, seed)), part.column("class"), part.column("probe")],
-                        names=["dim", "pass", "key", "class", "probe"])
-
-    def number(batches):
-        from pyspark import TaskContext
+                        [part.column("dim"), pa.array(np.full(len(cls), p, np.int32)), pa.array(sign_keys(near, cls, p, seed)),
+                         part.column("class"), part.column("probe"), part.column("sketch")],
+                        names=["dim", "pass", "key", "class", "probe", "sketch"])
 
-        part, at = TaskContext.get().partitionId(), 0
-        for batch in batches:
-            m = batch.num_rows
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns, pa.array(np.full(m, part, np.int32)), pa.array(np.arange(at, at + m, dtype=np.int64))],
-                names=["dim", "pass", "key", "class", "probe", "part", "place"])
-            at += m
+    def verify(batches):
+        for _, part in _of_one_length(batches, "va"):
+            cosine = np.einsum("ij,ij->i", _units(part.column("va")), _units(part.column("vb")))
+            yield part.select(["a", "b", "probe"]).filter(pa.array(cosine >= threshold))
 
     order = ["dim", "pass", "key", "class", "probe"]
-    parts = max(1, math.ceil(n * len(passes) / (BLOCK * 16)))
-    ranked = write_stage(
-        items.mapInArrow(keys, "dim int, pass int, key long, class long, probe int")
+    parts = max(1, math.ceil(n * len(passes) / RANGE))
+    shown = write_stage(
+        sketches.mapInArrow(keys, "dim int, pass int, key long, class long, probe int, sketch binary")
         .repartitionByRange(parts, *order).sortWithinPartitions(*order)
-        .mapInArrow(number, "dim int, pass int, key long, class long, probe int, part int, place long"), "neardup-ranks")
-    base, at = {}, 0
-    for part, size in sorted((r[0], r[1]) for r in ranked.groupBy("part").count().collect()):
-        base[part], at = at, at + size
-    offset = F.create_map(*[F.lit(x) for kv in (base or {-1: 0}).items() for x in kv])
-    rank = F.col("place") + offset[F.col("part")].cast("long")
-    blocks = (ranked.select("dim", "pass", "class", "probe", rank.alias("rank"))
-              .withColumn("own", F.floor(F.col("rank") / BLOCK))
-              .withColumn("block", F.explode(F.when((F.col("rank") % BLOCK < WINDOW) & (F.col("own") > 0),
-                                                    F.array("own", F.col("own") - 1)).otherwise(F.array("own")))))
-
-    def compare(group: pa.Table) -> pa.Table:
-        group = group.sort_by("rank")
-        lead = list(zip(*(group.column(c).to_pylist() for c in ("dim", "pass"))))
-        cls = group.column("class").to_numpy()
-        a_all, b_all = [], []
-        cuts = [0] + [i for i in range(1, len(lead)) if lead[i] != lead[i - 1]] + [len(lead)]
-        for i, j in zip(cuts, cuts[1:]):
-            unit = _units(group.column("v").slice(i, j - i))
-            for step in range(1, min(WINDOW, j - i - 1) + 1):
-                hit = np.flatnonzero(np.einsum("ij,ij->i", unit[:-step], unit[step:]) >= threshold)
-                a_all.append(hit + i)
-                b_all.append(hit + i + step)
-        a = np.concatenate(a_all) if a_all else np.zeros(0, np.int64)
-        b = np.concatenate(b_all) if b_all else np.zeros(0, np.int64)
-        probe = group.column("probe").to_numpy()
-        real = (probe[a] < 0) & (probe[b] < 0)
-        root = _roots(len(cls), a[real], b[real], cls)
-        far = np.flatnonzero(root != np.arange(len(cls)))
-        partner, other = np.r_[a, b], np.r_[b, a]
-        shown = (probe[partner] >= 0) & (probe[other] < 0)
-        return pa.table({"a": pa.array(np.r_[cls[far], cls[other[shown]]], pa.int64()),
-                         "b": pa.array(np.r_[cls[root[far]], cls[partner[shown]]], pa.int64()),
-                         "probe": pa.array(np.r_[np.full(len(far), -1), probe[partner[shown]]], pa.int32())})
-
-    return (blocks.join(items, ["class", "probe"]).groupBy("block")
-            .applyInArrow(compare, "a long, b long, probe int").distinct())
+        .mapInArrow(lambda batches: slide(batches, threshold), "a long, b long, probe int, sure boolean"), "neardup-shown")
+    pair = ["a", "b", "probe"]
+    exact = (shown.where("not sure").select(*pair).distinct()
+             .join(items.where("probe < 0").select(F.col("class").alias("a"), F.col("v").alias("va")), "a")
+             .join(items.select(F.col("class").alias("b"), "probe", F.col("v").alias("vb")), ["b", "probe"]))
+    return shown.where("sure").select(*pair).unionByName(
+        exact.select(*pair, "va", "vb").mapInArrow(verify, "a long, b long, probe int")).distinct()
 
 
 def near_duplicates(vectors: DataFrame, threshold: float = 0.9, recall: float = 0.95, key: str = "vec_id",
