@@ -434,3 +434,80 @@ def test_byte_hashes():
     words = [data[a:b] for a, b in spans]
     assert all((x == y) == (words[i] == words[j]) for i, x in enumerate(h) for j, y in enumerate(h))
     assert len(byte_hashes(buf, np.zeros(0, int), np.zeros(0, int))) == 0
+
+
+def test_pipeline_rows_against_brute_force(spark):
+    """Whole rows of every stage on a small fixture; each stage's input is what plain Python makes of the stage before."""
+    import zlib
+
+    import corpus_pipeline as C
+    from tokenizers import Tokenizer
+
+    schema = "doc_id long, text string, lang string, source string, n_chars long, spans int"
+    key = "AKIA" + "QCN5VJTUYMSSXKC6"
+    rows = {i: t for i, t in corpus(6) if i is not None} | {200: f"w1 {key} w2", 201: "12 34 !?"}
+    now = [(i, t, "en", f"s{i % 3}", len(t or ""), 7) for i, t in sorted(rows.items())]
+    again = lambda text: [(i, text(t), lang, s, len(text(t)), x) for i, t, lang, s, _, x in now]
+    order = lambda found: sorted(tuple(r) for r in found)
+
+    def stage(name):
+        return dict(C.STAGES)[name](spark, spark.createDataFrame(now, schema), SF).collect()
+
+    found = stage("language")
+    now = [r for r in now if r[1] and any(c.isalpha() for c in r[1])]  # the rest has no letter
+    assert order(found) == now
+
+    found = stage("near_duplicates")
+    sets = {}
+    for i, t, *_ in now:
+        w = t.lower().split()
+        sets[i] = {tuple(w[k:k + 5]) for k in range(len(w) - 4)} if len(w) >= 5 else {tuple(w)}
+    group = {i: {i} for i in sets}
+    for i in sets:
+        for j in sets:
+            if i < j and 10 * len(sets[i] & sets[j]) >= 8 * len(sets[i] | sets[j]) > 0:
+                both = group[i] | group[j]
+                for k in both:
+                    group[k] = both
+    now = [r for r in now if r[0] == min(group[r[0]])]
+    assert order(found) == now and 5 < len(sets) - len(now) < 60
+
+    found = stage("repeated_passages")
+    seen, left = set(), []
+    for i, t, lang, s, n, x in now:
+        w = t.split()
+        gone = [False] * len(w)
+        for k in range(len(w) - 19):
+            window = tuple(w[k:k + 20])
+            if window in seen:
+                gone[k:k + 20] = [True] * 20
+            seen.add(window)
+        kept = " ".join(a for a, g in zip(w, gone) if not g) if any(gone) else t
+        left.append((i, kept, lang, s, len(kept), x))
+    assert order(found) == left and left != now
+    now = left
+
+    found = stage("secrets")
+    now = again(lambda t: t.replace(key, "[SECRET]"))
+    assert order(found) == now
+
+    found = stage("packing")
+    tok = Tokenizer.from_file(tokenizer_file("word_bpe_49k.json"))
+    filled = defaultdict(list)
+    for i, t, *_ in now:
+        ids = np.array(tok.encode(t, add_special_tokens=False).ids + [2], "<u4")
+        pieces = sorted((r for r in found if r.doc_id == i), key=lambda r: r.start)
+        at = 0
+        for r in pieces:
+            assert r.start == at and r.length > 0 and r.doc_tokens == len(ids)
+            assert r.ids_crc32 == zlib.crc32(ids[at:at + r.length].tobytes())
+            at += r.length
+            filled[r.sequence_id].append((r.offset, r.length))
+        assert at == len(ids), i
+    assert len(found) == sum(map(len, filled.values()))
+    for places in filled.values():
+        at = 0
+        for offset, length in sorted(places):
+            assert offset == at
+            at += length
+        assert at <= 4096
