@@ -277,6 +277,53 @@ def test_bpe_round_trip(spark):
     assert sorted(r.decoded for r in out) == ["", "", "x y", "x y", "x y"]
 
 
+def test_bpe_cuts_each_chunk_once(monkeypatch):
+    """Only the distinct words of a slice reach the pre-tokenizer."""
+    from tokenizers import Tokenizer
+
+    class Counting:
+        def __init__(self, pattern):
+            self.pattern, self.seen = pattern, 0
+
+        def findall(self, text):
+            self.seen += len(text)
+            return self.pattern.findall(text)
+
+    path = tokenizer_file("byte_bpe_50k.json")
+    tok, enc = Tokenizer.from_file(path), bpe.TrieEncoder(path)
+    counting = Counting(bpe._PATTERN)
+    monkeypatch.setattr(bpe, "_PATTERN", counting)
+    rng = random.Random(2)
+    words = ["".join(rng.choice("etaoinsh") for _ in range(9)) + end for end in ["", ",", ".\n"] for _ in range(100)]
+    texts = [" ".join(rng.choices(words, k=400)) for _ in range(30)]
+    for t, ids in zip(texts, enc.encode(texts)):
+        assert np.frombuffer(ids, "<u4").tolist() == tok.encode(t, add_special_tokens=False).ids
+    assert counting.seen < sum(map(len, texts)) / 10
+
+
+def test_bpe_chunks_and_small_caches(monkeypatch):
+    """White space of every kind at the edges of chunks and of texts, caches that overflow, slices of arrays."""
+    import pyarrow as pa
+    from tokenizers import Tokenizer
+
+    for name in ("CACHE_ENTRIES", "CACHE_PAIRS", "CACHE_TAILS"):
+        monkeypatch.setattr(bpe, name, 40)
+    path = tokenizer_file("byte_bpe_50k.json")
+    tok, enc = Tokenizer.from_file(path), bpe.TrieEncoder(path)
+    rng = random.Random(9)
+    parts = [" ", " ", "  ", " \n", "\n\n", "\t", "\x1c", "\x85", "\xa0", "\u2003", "\u3000", "the", " and", "'s", "'re", "!!", "12",
+             "é", "あ", "\u201c", "x" * 70, "international", "<|endoftext|>", "_id"]
+    texts = ["".join(rng.choices(parts, k=rng.randint(0, 25))) if rng.random() < 0.9 else None for _ in range(2000)]
+    want = [e.ids for e in tok.encode_batch([t or "" for t in texts], add_special_tokens=False)]
+    for kind in (pa.string(), pa.large_string()):
+        array = pa.array(["a  ", *texts, "  b"], kind)
+        got = [i for k in range(0, 2000, 50) for i in enc.encode_array(array.slice(1 + k, 50)).to_pylist()]
+        assert [np.frombuffer(i, "<u4").tolist() for i in got] == want
+    assert enc.encode([]) == [] and enc.encode([None, ""]) == [b"", b""]
+    one = "abetion" * 3000
+    assert np.frombuffer(enc.encode([one])[0], "<u4").tolist() == tok.encode(one, add_special_tokens=False).ids
+
+
 def test_html_main_text(spark):
     import html as entities
     import re
