@@ -47,8 +47,8 @@ from playlab.session import ship_package, write_stage
 
 TEMPER = 0.7               # target proportions: token counts to this power
 SEQUENCES_PER_WINDOW = 64  # wide enough that most documents lie in a window uncut
-CACHE_WORDS = 1_000_000  # word encodings a Python worker keeps at once
-CACHE_PIECES = 700_000   # and encodings of the pieces that words consist of
+CACHE_WORDS = 100_000   # word encodings in a generation of a Python worker's cache, which keeps two
+CACHE_PIECES = 200_000  # and encodings of the pieces that words consist of
 
 # The tokenizer's white space (\s) and its pieces of a word.
 _SPLIT = regex.compile(r"[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]+")
@@ -75,6 +75,10 @@ class WordEncoder(dict):
     the model of the tokenizers library, so words that differ in case or in the signs
     around them share its work.  A word outside Latin letters or with a special token's
     string goes through the library's whole tokenizer.
+
+    Words and pieces are each kept in two generations: a full younger one becomes the
+    older one, whose entries come back when they are met again.  So frequent words stay,
+    and at most twice ``CACHE_WORDS`` and ``CACHE_PIECES`` entries take memory.
     """
 
     def __init__(self, path: str):
@@ -86,7 +90,7 @@ class WordEncoder(dict):
         self.tok = Tokenizer.from_file(path)
         self.tok.no_padding()
         self.tok.no_truncation()
-        self.model, self.pieces = self.tok.model, {}
+        self.model, self.older, self.pieces, self.older_pieces = self.tok.model, {}, {}, {}
         special = [regex.escape(t.content) for t in self.tok.get_added_tokens_decoder().values()]
         self.special = regex.compile("|".join(special) or r"(?!)")
         self.bytes_as = {b: c for c, b in byte_alphabet().items()}
@@ -100,25 +104,37 @@ class WordEncoder(dict):
     def _piece(self, piece: str) -> bytes:
         code = self.pieces.get(piece)
         if code is None:
-            raw = piece if piece.isascii() else piece.encode().decode("latin-1").translate(self.bytes_as)
-            code = self.pieces[piece] = self.pack([t.id for t in self.model.tokenize(raw)])
+            code = self.older_pieces.get(piece)
+            if code is None:
+                raw = piece if piece.isascii() else piece.encode().decode("latin-1").translate(self.bytes_as)
+                code = self.pack([t.id for t in self.model.tokenize(raw)])
+            if len(self.pieces) >= CACHE_PIECES:
+                self.pieces, self.older_pieces = {}, self.pieces
+            self.pieces[piece] = code
         return code
 
     def _encode(self, word: str) -> bytes:
+        low = word.lower()
+        if low == word:
+            low = word  # one string as key of both caches
         if word.isascii():
-            low = word.lower()
             core = low.rstrip(_SIGNS)
             if core.isalpha():  # holds no special token's string: those have a sign before a letter
                 return self._piece(core) if len(core) == len(low) else self._piece(core) + self._piece(low[len(core):])
         if not _LATIN.fullmatch(word) or self.special.search(word):
             return self.pack(self.tok.encode(word, add_special_tokens=False).ids)
-        low = word.lower()
         core = low.rstrip(_SIGNS)
         pieces = (core, low[len(core):]) if core.isalpha() else _PIECES_OF_WORD.findall(low)
         return b"".join([self._piece(p) for p in pieces if p])
 
     def __missing__(self, word: str) -> bytes:
-        code = self[word] = self._encode(word)
+        code = self.older.get(word)
+        if code is None:
+            code = self._encode(word)
+        if len(self) >= CACHE_WORDS:
+            self.older = dict(self)
+            self.clear()
+        self[word] = code
         return code
 
     def encode(self, texts: list[str]) -> list[bytes]:
@@ -126,10 +142,6 @@ class WordEncoder(dict):
         for t in texts:
             words = [w for w in _SPLIT.split(t) if w] if _CONTROL.search(t) else t.split()
             out.append(b"".join(map(get, words)))
-        if len(self) > CACHE_WORDS:
-            self.clear()
-        if len(self.pieces) > CACHE_PIECES:
-            self.pieces.clear()
         return out
 
 
@@ -252,6 +264,7 @@ def pack(docs: DataFrame, tokenizer: str, end_id: int = 2, length: int = 4096, w
     queue = F.coalesce(F.concat(F.lit("="), F.col(source).cast("string")), F.lit("null"))
 
     def tokenize(batches):
+        pa.default_memory_pool().release_unused()  # what earlier tasks of this worker left there
         enc, part = encoder(tokenizer), TaskContext.get().partitionId()
         end = enc.pack([end_id])
         at: dict[str, int] = {}
@@ -281,6 +294,7 @@ def pack(docs: DataFrame, tokenizer: str, end_id: int = 2, length: int = 4096, w
     phases = schedule([totals[q] for q in names], shares)
 
     def cut(batches):
+        pa.default_memory_pool().release_unused()
         placers = {q: Placer(phases, j, length * sequences_per_window, length) for j, q in enumerate(names)}
         for batch in batches:
             q_, d_, pos_, n_, ids_ = (batch.column(i) for i in range(5))
