@@ -47,8 +47,7 @@ from playlab.session import ship_package, write_stage
 
 TEMPER = 0.7               # target proportions: token counts to this power
 SEQUENCES_PER_WINDOW = 64  # wide enough that most documents lie in a window uncut
-CACHE_WORDS = 100_000   # word encodings in a generation of a Python worker's cache, which keeps two
-CACHE_PIECES = 200_000  # and encodings of the pieces that words consist of
+CACHE_WORDS = 200_000  # encodings in a generation of a Python worker's cache, which keeps two
 
 # The tokenizer's white space (\s) and its pieces of a word.
 _SPLIT = regex.compile(r"[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]+")
@@ -76,9 +75,9 @@ class WordEncoder(dict):
     around them share its work.  A word outside Latin letters or with a special token's
     string goes through the library's whole tokenizer.
 
-    Words and pieces are each kept in two generations: a full younger one becomes the
-    older one, whose entries come back when they are met again.  So frequent words stay,
-    and at most twice ``CACHE_WORDS`` and ``CACHE_PIECES`` entries take memory.
+    A piece is encoded as the word it would be alone, so one cache keeps both, in two generations: a full
+    younger one becomes the older one, whose entries come back when they are met again.
+    So frequent words stay, and at most twice ``CACHE_WORDS`` entries take memory.
     """
 
     def __init__(self, path: str):
@@ -90,7 +89,7 @@ class WordEncoder(dict):
         self.tok = Tokenizer.from_file(path)
         self.tok.no_padding()
         self.tok.no_truncation()
-        self.model, self.older, self.pieces, self.older_pieces = self.tok.model, {}, {}, {}
+        self.model, self.older = self.tok.model, {}
         special = [regex.escape(t.content) for t in self.tok.get_added_tokens_decoder().values()]
         self.special = regex.compile("|".join(special) or r"(?!)")
         self.bytes_as = {b: c for c, b in byte_alphabet().items()}
@@ -101,31 +100,24 @@ class WordEncoder(dict):
     def pack(self, ids) -> bytes:
         return self.packers[len(ids)](*ids) if len(ids) < 64 else struct.pack(f"<{len(ids)}{self.kind}", *ids)
 
-    def _piece(self, piece: str) -> bytes:
-        code = self.pieces.get(piece)
-        if code is None:
-            code = self.older_pieces.get(piece)
-            if code is None:
-                raw = piece if piece.isascii() else piece.encode().decode("latin-1").translate(self.bytes_as)
-                code = self.pack([t.id for t in self.model.tokenize(raw)])
-            if len(self.pieces) >= CACHE_PIECES:
-                self.pieces, self.older_pieces = {}, self.pieces
-            self.pieces[piece] = code
-        return code
+    def _model(self, piece: str) -> bytes:
+        raw = piece if piece.isascii() else piece.encode().decode("latin-1").translate(self.bytes_as)
+        return self.pack([t.id for t in self.model.tokenize(raw)])
 
     def _encode(self, word: str) -> bytes:
-        low = word.lower()
-        if low == word:
-            low = word  # one string as key of both caches
         if word.isascii():
+            low = word.lower()
             core = low.rstrip(_SIGNS)
             if core.isalpha():  # holds no special token's string: those have a sign before a letter
-                return self._piece(core) if len(core) == len(low) else self._piece(core) + self._piece(low[len(core):])
+                if len(core) < len(low):
+                    return self[core] + self[low[len(core):]]
+                return self._model(word) if low == word else self[low]
         if not _LATIN.fullmatch(word) or self.special.search(word):
             return self.pack(self.tok.encode(word, add_special_tokens=False).ids)
+        low = word.lower()
         core = low.rstrip(_SIGNS)
         pieces = (core, low[len(core):]) if core.isalpha() else _PIECES_OF_WORD.findall(low)
-        return b"".join([self._piece(p) for p in pieces if p])
+        return b"".join([self._model(p) if p == word or self.special.search(p) else self[p] for p in pieces if p])
 
     def __missing__(self, word: str) -> bytes:
         code = self.older.get(word)
