@@ -15,7 +15,8 @@ possible; the components of what remains are the units to compare.
 
 Within a unit, sets are taken by size.  Index lists hold a set's rarest shingles with
 their positions, in blocks by position; a block is skipped whole when its
-positions leave too few shingles for the threshold, and so are sets already connected.
+positions leave too few shingles for the threshold, and so are sets already connected
+and those whose bitmaps rule a link out, before any list is read.
 A set y that is highly similar to a computed set r gets its answers from r's: the
 overlap with z is r's overlap, less what r has and y has not of z, plus the
 reverse, exact by a few lookups.
@@ -32,7 +33,6 @@ id stays null and counts as smaller than all others; an empty table gives no row
 from __future__ import annotations
 
 import math
-from bisect import bisect_left
 from collections import defaultdict
 from fractions import Fraction
 
@@ -65,30 +65,39 @@ def shingle_sets(texts, size: int):
             yield np.zeros(0, np.uint64)
 
 
-def class_of(s: np.ndarray) -> int:
-    """Identity of a set: a hash of its size, sum and mixed sum."""
-    if not len(s):
-        return 0
-    parts = np.array([len(s), s.sum(dtype=np.uint64), mix64(s).sum(dtype=np.uint64)], np.uint64)
-    return int(as_long(span_hashes(parts, np.array([0]), np.array([3])))[0])
+def classes_of(sets: list[np.ndarray]) -> np.ndarray:
+    """Identity of each set: a hash of its size, sum and mixed sum; 0 for an empty one."""
+    n = np.array([len(s) for s in sets], np.int64)
+    out, some = np.zeros(len(sets), np.int64), np.flatnonzero(n)
+    if len(some):
+        s, start = np.concatenate(sets), (np.cumsum(n) - n)[some]
+        parts = np.stack([n[some].astype(np.uint64), np.add.reduceat(s, start), np.add.reduceat(mix64(s), start)], axis=1)
+        first = 3 * np.arange(len(some))
+        out[some] = as_long(span_hashes(parts.ravel(), first, first + 3))
+    return out
 
 
 class SizeClasses:
     """Ranges of set sizes; a set's partners lie in its own range or a neighbouring one."""
 
     def __init__(self, threshold: Fraction):
-        self.t, self.low, self.dealt = threshold, [1], {}
+        self.t, self.low, self.dealt, self.most = threshold, [1], {}, {}
 
-    def of(self, n: int) -> int:
+    def _reach(self, n: int):
         while self.low[-1] <= n:
             self.low.append(math.floor(Fraction(self.low[-1]) / self.t) + 1)
-        return next(i for i in range(len(self.low) - 1, -1, -1) if self.low[i] <= n)
+
+    def of(self, n: np.ndarray) -> np.ndarray:
+        self._reach(int(n.max()))
+        return np.searchsorted(self.low, n, side="right") - 1
 
     def differences(self, c: int) -> int:
         """Most shingles in which a set of range c can differ from a linked set no smaller range."""
-        self.of(self.low[-1])
-        largest = self.low[c + 1] - 1
-        return math.floor((1 - self.t) / (1 + self.t) * (largest + math.floor(largest / self.t)))
+        if c not in self.most:
+            self._reach(self.low[-1])
+            largest = self.low[c + 1] - 1
+            self.most[c] = math.floor((1 - self.t) / (1 + self.t) * (largest + math.floor(largest / self.t)))
+        return self.most[c]
 
     def parts(self, c: int) -> int:
         """Parts of range c: so many that sets of its smallest size fill more than the differences can touch."""
@@ -103,34 +112,57 @@ class SizeClasses:
         return self.dealt[c]
 
 
-def signatures(s: np.ndarray, sizes: SizeClasses) -> np.ndarray:
-    """Hashes of the parts of a set, for its own size range and the one below."""
-    own, out = sizes.of(len(s)), []
+def signatures(sets: list[np.ndarray], sizes: SizeClasses) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the parts of sets, none empty, each for its own size range and the one below; and whose each is."""
+    n = np.array([len(s) for s in sets], np.int64)
+    s, own = np.concatenate(sets), sizes.of(n)
+    mixed, out, of = mix64(s), [], []
     for c in (own, own - 1):
-        parts = sizes.parts(c) if c >= 0 else 1
-        if parts == 1:
-            continue  # only equal sets can link, and these are one class
-        part = (mix64(s + np.uint64(c)) % np.uint64(parts)).astype(np.int64)
-        order = np.argsort(part, kind="stable")
-        counts = np.bincount(part, minlength=parts)
-        full = np.flatnonzero(counts)
-        sums = np.add.reduceat(mix64(s[order]), np.r_[0, np.cumsum(counts[full])[:-1]])
-        tag = mix64(np.uint64(c << 32) + full.astype(np.uint64))
-        out.append(mix64(sums * np.uint64(0x9E3779B97F4A7C15) + tag + counts[full].astype(np.uint64)))
-        if len(full) <= sizes.differences(c):  # the equal part may be one that is empty in both
-            out.append(mix64(mix64(np.uint64(c << 32) + np.flatnonzero(counts == 0).astype(np.uint64))))
-    return np.concatenate(out) if out else np.zeros(0, np.uint64)
-
-
-def parity(s: np.ndarray) -> bytes:
-    """Bitmap of about two bits a shingle, each shingle turning one bit over.
+        ranges, which = np.unique(c, return_inverse=True)
+        # a range of one part has none: only equal sets can link, and these are one class
+        parts = np.array([sizes.parts(r) if r >= 0 else 1 for r in ranges.tolist()], np.int64)[which]
+        few = np.array([sizes.differences(r) if r >= 0 else 0 for r in ranges.tolist()], np.int64)[which]
+        base = np.cumsum(parts) - parts
+        c = np.maximum(c, 0).astype(np.uint64)
+        slot = (mix64(s + np.repeat(c, n)) % np.repeat(parts.astype(np.uint64), n)).astype(np.int64) + np.repeat(base, n)
+        counts = np.bincount(slot, minlength=int(parts.sum()))
+        sums = np.zeros(len(counts), np.uint64)
+        np.add.at(sums, slot, mixed)
+        owner = np.repeat(np.arange(len(sets)), parts)
+        tag = mix64((c << np.uint64(32))[owner] + (np.arange(len(counts)) - base[owner]).astype(np.uint64))
+        listed = (parts > 1)[owner]
+        full = np.flatnonzero((counts > 0) & listed)
+        out.append(mix64(sums[full] * np.uint64(0x9E3779B97F4A7C15) + tag[full] + counts[full].astype(np.uint64)))
+        # the equal part may be one that is empty in both
+        few = np.bincount(owner[full], minlength=len(sets)) <= few
+        empty = np.flatnonzero((counts == 0) & (listed & few[owner]))
+        out.append(mix64(tag[empty]))
+        of += [owner[full], owner[empty]]
+    return np.concatenate(out), np.concatenate(of)
+
+
+def parities(sets: list[np.ndarray], widths: np.ndarray) -> np.ndarray:
+    """Bitmaps of the sets, so many bits each (powers of two), one after another; each shingle turns one bit over.
 
     Bitmaps of two sets differ in no more bits than the sets do in shingles.  One of
     half the length is the two halves laid over each other.
     """
-    size = max(64, 1 << (2 * len(s)).bit_length()) if len(s) else 64
-    bits = np.bincount((mix64(s + np.uint64(77)) % np.uint64(size)).astype(np.int64), minlength=size) & 1
-    return np.packbits(bits.astype(np.uint8), bitorder="little").tobytes()
+    n = np.array([len(s) for s in sets], np.int64)
+    mixed = mix64(np.concatenate(sets) + np.uint64(77)) if len(sets) else np.zeros(0, np.uint64)
+    bit = (mixed & np.repeat(widths - 1, n).astype(np.uint64)).astype(np.int64) + np.repeat(np.cumsum(widths) - widths, n)
+    bits = np.bincount(bit, minlength=int(widths.sum())) & 1
+    return np.packbits(bits.astype(np.uint8), bitorder="little")
+
+
+def width_of(n: int) -> int:
+    """About two bits a shingle."""
+    return max(64, 1 << (2 * n).bit_length()) if n else 64
+
+
+def bitmaps(sets: list[np.ndarray]) -> list[bytes]:
+    widths = np.array([width_of(len(s)) for s in sets], np.int64)
+    raw, end = parities(sets, widths).tobytes(), (np.cumsum(widths) // 8).tolist()
+    return [raw[i:j] for i, j in zip([0, *end], end)]
 
 
 def plausible(sizes: np.ndarray, bitmaps: list[bytes], t: Fraction) -> list[int]:
@@ -168,18 +200,17 @@ class Index:
         rank = np.empty(len(everything), np.int64)
         rank[np.lexsort((everything, df))] = np.arange(len(everything))
         self.tokens = [np.sort(rank[np.searchsorted(everything, s)]) for s in sets]  # rarest first
-        self.lists: dict[int, dict[int, list[tuple[int, int]]]] = defaultdict(dict)
-        self.root = list(range(len(sets)))
+        self.alone = int(np.count_nonzero(df == 1))  # a shingle of one set only needs no list
+        self.sizes = np.array([len(s) for s in sets], np.int64)
+        width = width_of(int(self.sizes.mean())) if sets else 64
+        self.bits = parities(sets, np.full(len(sets), width)).view(np.uint64).reshape(len(sets), width // 64)
+        self.lists: dict[int, dict[int, set[int]]] = defaultdict(dict)
+        self.listed = np.zeros(len(sets), bool)
+        self.root = np.arange(len(sets))
         self.frozen: dict[int, frozenset] = {}
         self.teacher: dict[int, tuple[int, list[int], list[int]]] = {}
         self.overlaps: dict[tuple[int, int], int] = {}
 
-    def find(self, i: int) -> int:
-        while self.root[i] != i:
-            self.root[i] = self.root[self.root[i]]
-            i = self.root[i]
-        return i
-
     def _members(self, i: int) -> frozenset:
         if i not in self.frozen:
             if len(self.frozen) > 512:
@@ -202,27 +233,44 @@ class Index:
         """Smallest overlap of linked sets of these sizes."""
         return math.ceil(self.t * (n + m) / (1 + self.t))
 
-    def _prefix(self, i: int):
+    def _prefix(self, i: int) -> list[tuple[int, int]]:
+        """(position, shingle) of those of which a linked set must hold one."""
         n = len(self.tokens[i])
-        return self.tokens[i][:n - math.ceil(self.t * n) + 1].tolist()
+        prefix = self.tokens[i][:n - math.ceil(self.t * n) + 1]
+        first = int(np.searchsorted(prefix, self.alone))
+        return list(enumerate(prefix[first:].tolist(), first))
+
+    def _apart(self, x: int, others: np.ndarray) -> np.ndarray:
+        return others[self.root[others] != self.root[x]]
+
+    def possible(self, x: int, smallest: int) -> np.ndarray:
+        """Listed sets not yet connected with x whose size and bitmap leave a link possible."""
+        others = self._apart(x, np.flatnonzero(self.listed & (self.sizes >= smallest)))
+        p, q = self.t.numerator, self.t.denominator
+        apart = np.bitwise_count(self.bits[others] ^ self.bits[x]).sum(axis=1, dtype=np.int64)
+        return others[apart * (q + p) <= (q - p) * (self.sizes[others] + self.sizes[x])]
 
     def probe(self, x: int):
         n = len(self.tokens[x])
         smallest = math.ceil(self.t * n)
-        seen = set()
-        for p, token in enumerate(self._prefix(x)):
+        left = set(self.possible(x, smallest).tolist())
+        need, largest = self.least(n, smallest), math.floor(n / self.t)
+        for p, token in self._prefix(x):
+            if not left:
+                return
             for block, entries in self.lists.get(token, {}).items():
                 # the most that any entry of the block and x can still share
-                if 1 + min(n - p - 1, math.floor(n / self.t) - block * POSITIONS - 1) < self.least(n, smallest):
+                if 1 + min(n - p - 1, largest - block * POSITIONS - 1) < need:
                     continue
-                for size, z in entries[bisect_left(entries, (smallest, -1)):]:
-                    if z not in seen and self.find(z) != self.find(x):
-                        seen.add(z)
-                        if self.overlap(x, z) >= self.least(n, size):
+                for z in left & entries:
+                    if z in left:
+                        left.discard(z)
+                        if self.overlap(x, z) >= self.least(n, len(self.tokens[z])):
                             self._link(x, z)
+                            left = set(self._apart(x, np.fromiter(left, np.int64, len(left))).tolist())
 
     def _link(self, x: int, z: int):
-        self.root[self.find(x)] = self.find(z)
+        self.root[self.root == self.root[x]] = self.root[z]
         if x in self.teacher:
             return
         r = self.teacher[z][0] if z in self.teacher else z
@@ -232,29 +280,20 @@ class Index:
             self.teacher[x] = (r, more.tolist(), less.tolist())
 
     def add(self, i: int):
-        n = len(self.tokens[i])
-        for p, token in enumerate(self._prefix(i)):
-            self.lists[token].setdefault(p // POSITIONS, []).append((n, i))
+        for p, token in self._prefix(i):
+            self.lists[token].setdefault(p // POSITIONS, set()).add(i)
+        self.listed[i] = True
 
     def run(self, side=None):
         """Link the sets; with ``side`` (0 or 1 per set) only sets of different sides."""
         order = sorted(range(len(self.sets)), key=lambda i: len(self.sets[i]))
-        if side is None:
-            for i in order:
-                self.probe(i)
-                self.add(i)
-        else:
-            mine = ([], [])
-            for i in order:
-                mine[side[i]].append(i)
-            keep = self.lists
-            both = (keep, defaultdict(dict))
-            for i in order:
-                self.lists = both[1 - side[i]]
-                self.probe(i)
-                self.lists = both[side[i]]
-                self.add(i)
-        return [self.find(i) for i in range(len(self.sets))]
+        both = [(self.lists, self.listed), (defaultdict(dict), np.zeros(len(self.sets), bool))]
+        for i in order:
+            self.lists, self.listed = both[1 - side[i] if side else 0]
+            self.probe(i)
+            self.lists, self.listed = both[side[i] if side else 0]
+            self.add(i)
+        return self.root.tolist()
 
 
 def jaccard_groups(docs: DataFrame, threshold: Fraction = Fraction(9, 10), shingle: int = 3, key: str = "doc_id",
@@ -274,10 +313,10 @@ def jaccard_groups(docs: DataFrame, threshold: Fraction = Fraction(9, 10), shing
         n, ids, bits = [], [], []
         values = list(texts)
         for i, j in slices([len(x or "") for x in values]):
-            for s in shingle_sets(values[i:j], shingle):
-                n.append(len(s))
-                ids.append(class_of(s))
-                bits.append(parity(s))
+            sets = list(shingle_sets(values[i:j], shingle))
+            n += map(len, sets)
+            ids += classes_of(sets).tolist()
+            bits += bitmaps(sets)
         return pd.DataFrame({"n": np.array(n, np.int64), "class": np.array(ids, np.int64), "bits": bits})
 
     d = F.coalesce(F.col(key).cast("long"), F.lit(_LOWEST))
@@ -290,10 +329,10 @@ def jaccard_groups(docs: DataFrame, threshold: Fraction = Fraction(9, 10), shing
         for batch in batches:
             texts, sigs, classes = batch.column(0).to_pylist(), [], []
             for i, j in slices([len(x) for x in texts]):
-                for s in shingle_sets(texts[i:j], shingle):
-                    if len(s):
-                        sigs.append(signatures(s, sizes))
-                        classes.append(np.full(len(sigs[-1]), class_of(s), np.int64))
+                if sets := [s for s in shingle_sets(texts[i:j], shingle) if len(s)]:
+                    sig, of = signatures(sets, sizes)
+                    sigs.append(sig)
+                    classes.append(classes_of(sets)[of])
             if sigs:  # copies within the batch send their entries once
                 s, c = np.concatenate(sigs), np.concatenate(classes)
                 order = np.lexsort((c, s))
